@@ -203,8 +203,8 @@ CTES: list[tuple[str, str]] = [
  FROM o_counts) x WHERE pattern_id = fv"""),
     ("o_stop_arrays", "SELECT pattern_id, list(stop_id ORDER BY stop_id) AS stop_ids FROM o_pattern_stops GROUP BY pattern_id"),
     ("o_diff_raw", """SELECT p.route_id, p.pattern_id, pp.primary_pattern_id, s.stop_ids, pr.stop_ids AS primary_stop_ids,
- list_sort(list_distinct(list_filter(s.stop_ids, x -> NOT list_contains(pr.stop_ids, x)))) AS added_l,
- list_sort(list_distinct(list_filter(pr.stop_ids, x -> NOT list_contains(s.stop_ids, x)))) AS removed_l
+ list_sort(list_distinct(list_filter(s.stop_ids, lambda x: NOT list_contains(pr.stop_ids, x)))) AS added_l,
+ list_sort(list_distinct(list_filter(pr.stop_ids, lambda x: NOT list_contains(s.stop_ids, x)))) AS removed_l
  FROM o_patterns_base p JOIN o_primary pp ON p.route_id = pp.route_id AND p.direction_id = pp.direction_id
  JOIN o_stop_arrays s ON s.pattern_id = p.pattern_id JOIN o_stop_arrays pr ON pr.pattern_id = pp.primary_pattern_id"""),
     ("o_diff", """SELECT route_id, pattern_id, primary_pattern_id, CAST(len(stop_ids) AS BIGINT) AS n_stops,
@@ -362,6 +362,8 @@ _TABLE_CTE = {
 }
 
 CTES += [
+    ("o_ps_summary", """SELECT pattern_id, count(*) AS number_of_stops, min(stop_order) AS min_stop_order,
+ max(stop_order) AS max_stop_order FROM o_pattern_stops GROUP BY pattern_id"""),
     ("o_rider_intent", f"""SELECT fare_rider_category_id, fare_id, rider_category_custom_id, CAST(price AS DOUBLE) AS price, agency_id
  FROM src_fare_rider_categories WHERE agency_id IN {DST_AGENCY_IDS} AND fare_id IN (SELECT fare_id FROM o_fare_attributes)"""),
     ("o_shape_lines", """SELECT from_stop_id, to_stop_id, CAST(COUNT(*) AS BIGINT) AS n_points,
@@ -422,10 +424,8 @@ FINAL: dict[str, str] = {
     "pattern_stop_difference": """SELECT route_id, pattern_id, primary_pattern_id, n_stops, n_added_stops, n_removed_stops,
  array_to_string(added_stop_ids, ',') AS added_stop_ids, array_to_string(removed_stop_ids, ',') AS removed_stop_ids FROM o_diff""",
     "pattern_names": "SELECT * FROM o_patterns",
-    "pattern_names_endpoints": """WITH pattern_stop_summary AS (SELECT pattern_id, count(*) AS number_of_stops,
-   min(stop_order) AS min_stop_order, max(stop_order) AS max_stop_order FROM o_pattern_stops GROUP BY pattern_id)
- SELECT p.pattern_id, s1.stop_name || ' to ' || sN.stop_name || ' x' || CAST(number_of_stops AS VARCHAR) AS generated_name
- FROM o_patterns_base p JOIN pattern_stop_summary ps ON ps.pattern_id = p.pattern_id
+    "pattern_names_endpoints": """SELECT p.pattern_id, s1.stop_name || ' to ' || sN.stop_name || ' x' || CAST(number_of_stops AS VARCHAR) AS generated_name
+ FROM o_patterns_base p JOIN o_ps_summary ps ON ps.pattern_id = p.pattern_id
  JOIN o_pattern_stops ps1 ON ps1.pattern_id = p.pattern_id AND ps1.stop_order = min_stop_order
  JOIN o_pattern_stops psN ON psN.pattern_id = p.pattern_id AND psN.stop_order = max_stop_order
  JOIN src_stops s1 ON s1.stop_id = ps1.stop_id JOIN src_stops sN ON sN.stop_id = psN.stop_id""",
