@@ -11,6 +11,7 @@ number rows differently.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +33,13 @@ def dense_id(df: DataFrame, order_cols: list, name: str, offset: int = 0,
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = _orders(order_cols)
-    ranged = (df.repartitionByRange(n, *orders)
+    # the range sample and the checkpoint both read the input: compute it once
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *orders)
               .sortWithinPartitions(*orders)
               .withColumn("_hw_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
+    src.unpersist()
     pid = F.shiftright(F.col("_hw_mid"), 33)
     counts = ranged.groupBy(pid.alias("_hw_pid")).agg(F.count(F.lit(1)).alias("_hw_n"))
     before = Window.orderBy("_hw_pid").rowsBetween(Window.unboundedPreceding, -1)

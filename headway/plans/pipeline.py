@@ -20,6 +20,12 @@ from headway.sources.catalog import SourceCatalog
 from headway.sources.sinks import write_all
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    """Persist an intermediate read by several target tables (spills to
+    disk; recomputed from lineage if an executor is lost)."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class Migration:
     def __init__(self, spark: SparkSession, src: SourceCatalog, cfg: MigrateConfig | None = None):
         self.spark = spark
@@ -29,7 +35,7 @@ class Migration:
     # ---- B: reference tables --------------------------------------------
     @cached_property
     def agencies(self) -> DataFrame:
-        return ref.agencies(self.src, self.cfg)
+        return _keep(ref.agencies(self.src, self.cfg))
 
     @cached_property
     def feeds(self) -> DataFrame:
@@ -37,16 +43,16 @@ class Migration:
 
     @cached_property
     def zones(self) -> DataFrame:
-        return ref.zones(self.src)
+        return _keep(ref.zones(self.src))
 
     @cached_property
     def stops(self) -> DataFrame:
         base = ref.stops_base(self.src, self.agencies)
-        return spatial.assign_timezones(base, self.src["tz_polygons"], self.cfg)
+        return _keep(spatial.assign_timezones(base, self.src["tz_polygons"], self.cfg))
 
     @cached_property
     def routes(self) -> DataFrame:
-        return ref.routes(self.src, self.agencies)
+        return _keep(ref.routes(self.src, self.agencies))
 
     @cached_property
     def headsigns(self) -> DataFrame:
@@ -128,15 +134,15 @@ class Migration:
 
     @cached_property
     def patterns_base(self) -> DataFrame:
-        return pat.pattern_headsigns(pat.patterns(self.tpsn), self.tpsn)
+        return _keep(pat.pattern_headsigns(pat.patterns(self.tpsn), self.tpsn))
 
     @cached_property
     def pattern_stops(self) -> DataFrame:
-        return pat.pattern_stops(self.tpsn, self.agencies)
+        return _keep(pat.pattern_stops(self.tpsn, self.agencies))
 
     @cached_property
     def timed_patterns(self) -> DataFrame:
-        return pat.timed_patterns_table(self.tpsn)
+        return _keep(pat.timed_patterns_table(self.tpsn))
 
     @cached_property
     def timed_pattern_stops(self) -> DataFrame:
@@ -145,11 +151,12 @@ class Migration:
     # ---- D: trips -----------------------------------------------------------
     @cached_property
     def first_arrivals(self) -> DataFrame:
-        return trp.first_arrivals(self.src, self.agencies, self.cfg)
+        return trp.first_arrivals(self.src, self.agencies, self.cfg).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def patterns_trips(self) -> DataFrame:
-        return trp.patterns_trips(self.pattern_members, self.tpsn, self.agencies)
+        return trp.patterns_trips(self.pattern_members, self.tpsn, self.agencies).persist(
+            StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def trips(self) -> DataFrame:
@@ -162,11 +169,11 @@ class Migration:
 
     @cached_property
     def primary_patterns(self) -> DataFrame:
-        return naming.primary_patterns(self.pattern_trip_counts)
+        return _keep(naming.primary_patterns(self.pattern_trip_counts))
 
     @cached_property
     def pattern_stop_difference(self) -> DataFrame:
-        return naming.pattern_stop_difference(self.patterns_base, self.primary_patterns, self.pattern_stops)
+        return _keep(naming.pattern_stop_difference(self.patterns_base, self.primary_patterns, self.pattern_stops))
 
     @cached_property
     def patterns(self) -> DataFrame:
@@ -179,11 +186,11 @@ class Migration:
     # ---- F: fares -----------------------------------------------------------
     @cached_property
     def fare_rules(self) -> DataFrame:
-        return fares.fare_rules(self.src, self.zones, self.agencies, self.cfg)
+        return _keep(fares.fare_rules(self.src, self.zones, self.agencies, self.cfg))
 
     @cached_property
     def fares_symmetric(self) -> DataFrame:
-        return fares.symmetric(self.fare_rules)
+        return _keep(fares.symmetric(self.fare_rules))
 
     @cached_property
     def fares_asymmetric(self) -> DataFrame:
@@ -192,7 +199,7 @@ class Migration:
     # ---- I: shapes -----------------------------------------------------------
     @cached_property
     def shape_segments(self) -> DataFrame:
-        return spatial.shape_segments(self.src, self.stops)
+        return _keep(spatial.shape_segments(self.src, self.stops))
 
     # ---- everything -----------------------------------------------------------
     def targets(self) -> dict[str, DataFrame]:

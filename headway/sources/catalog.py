@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +33,20 @@ def conform(name: str, df: DataFrame) -> DataFrame:
 class SourceCatalog:
     """Lazily built, memoised mapping of source table name -> DataFrame."""
 
-    def __init__(self, spark: SparkSession, loaders: dict[str, Callable[[], DataFrame]]):
+    def __init__(self, spark: SparkSession, loaders: dict[str, Callable[[], DataFrame]],
+                 persist: tuple[str, ...] = ()):
         self.spark = spark
         self._loaders = loaders
+        self._persist = set(persist)
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = conform(name, self._loaders[name]())
+            df = conform(name, self._loaders[name]())
+            if name in self._persist:
+                # derived sources read by several jobs of one run
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._cache[name] = df
         return self._cache[name]
 
     __getitem__ = table
@@ -82,4 +89,4 @@ class SourceCatalog:
         for name, load in loaders_by_fixture.items():
             short = name[4:] if name.startswith("src_") else name
             loaders[short] = load
-        return cls(spark, loaders)
+        return cls(spark, loaders, persist=("stop_times", "trips"))
