@@ -131,3 +131,44 @@ def stop_feed_link(src, dst_agencies: DataFrame) -> DataFrame:
     """I11 (legacy): feed of a stop through its agency's group."""
     s = src["stops"].select("stop_id", "agency_id")
     return s.join(dst_agencies.select("agency_id", "feed_id"), "agency_id", "left").select("stop_id", "feed_id")
+
+
+# Earth's surface area in square metres used for the coverage
+# fraction, and the sphere radius of the ring-area approximation.
+EARTH_AREA_M2 = 510072000000000.0
+SPHERE_RADIUS_M = 6378137.0
+
+
+def polygon_areas(edges: DataFrame) -> DataFrame:
+    """I9 helper: spherical area per polygon from its closed edge list,
+    ``R^2 |sum (lon2 - lon1) (2 + sin lat1 + sin lat2)| / 2`` (edges taken as
+    rhumb-free great-circle approximations).  A partial aggregate per tzid."""
+    term = (F.radians(F.col("x2")) - F.radians(F.col("x1"))) * (
+        2 + F.sin(F.radians(F.col("y1"))) + F.sin(F.radians(F.col("y2"))))
+    return edges.groupBy("tzid").agg(
+        (F.abs(F.sum(term)) * F.lit(SPHERE_RADIUS_M ** 2) / 2).alias("area_m2"))
+
+
+def tz_coverage(edges: DataFrame, stops: DataFrame) -> DataFrame:
+    """Fraction of the Earth covered by time zone polygons and the
+    number of stops left without a time zone."""
+    area = polygon_areas(edges).groupBy().agg((F.sum("area_m2") / F.lit(EARTH_AREA_M2)).alias("fraction_covered"))
+    nulls = stops.groupBy().agg(
+        F.sum(F.when(F.col("timezone").isNull(), 1).otherwise(0)).cast("bigint").alias("n_null_timezone"))
+    return _one_row(area, nulls)
+
+
+def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Combine two single-row aggregates into one row without a cross join."""
+    k = F.lit(1)
+    return a.withColumn("_one", k).join(b.withColumn("_one", k), "_one").drop("_one")
+
+
+GEOJSON_LINE_SCHEMA = "struct<type:string,coordinates:array<array<double>>>"
+
+
+def geojson_lines(df: DataFrame, col: str, out: str = "linestring") -> DataFrame:
+    """A GeoJSON LineString text column -> array<struct<lon,lat>>."""
+    parsed = F.from_json(F.col(col), GEOJSON_LINE_SCHEMA)
+    pts = F.transform(parsed["coordinates"], lambda c: make_point(F.element_at(c, 1), F.element_at(c, 2)))
+    return df.withColumn(out, F.when(F.lower(parsed["type"]) == "linestring", pts))

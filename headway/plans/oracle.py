@@ -497,6 +497,22 @@ FINAL: dict[str, str] = {
  UNION ALL SELECT 'fare_rules', CAST(COALESCE(MAX(fare_rule_id), 0) + 1 AS BIGINT) FROM o_fare_rules
  UNION ALL SELECT 'blocks', CAST(COALESCE(MAX(block_id), 0) + 1 AS BIGINT) FROM o_blocks""",
 }
+_BOX_EDGES = """SELECT tzid, min_lon AS x1, min_lat AS y1, max_lon AS x2, min_lat AS y2 FROM tz_polygons
+ UNION ALL SELECT tzid, max_lon, min_lat, max_lon, max_lat FROM tz_polygons
+ UNION ALL SELECT tzid, max_lon, max_lat, min_lon, max_lat FROM tz_polygons
+ UNION ALL SELECT tzid, min_lon, max_lat, min_lon, min_lat FROM tz_polygons"""
+FINAL.update({
+    "trips_legacy_union": """SELECT * FROM o_trips_sched UNION SELECT * FROM o_trips_based_on
+ UNION SELECT * FROM o_trips_freq_based_on UNION SELECT * FROM o_trips_freq""",
+    "tz_coverage": f"""SELECT ROUND((SELECT SUM(area_m2) FROM (
+   SELECT tzid, abs(sum((radians(x2) - radians(x1)) * (2 + sin(radians(y1)) + sin(radians(y2))))) * 6378137.0 * 6378137.0 / 2 AS area_m2
+   FROM ({_BOX_EDGES}) e GROUP BY tzid) a) / 510072000000000.0, 9) AS fraction_covered,
+ (SELECT CAST(COUNT(*) FILTER (WHERE timezone IS NULL) AS BIGINT) FROM o_stops) AS n_null_timezone""",
+    "stop_feed_link": "SELECT s.stop_id, a.feed_id FROM src_stops s LEFT JOIN o_agencies a ON s.agency_id = a.agency_id",
+    "orphan_prune": f"""SELECT * FROM (SELECT fare_rider_category_id, fare_id, rider_category_custom_id, CAST(price AS DOUBLE) AS price, agency_id
+ FROM src_fare_rider_categories WHERE agency_id IN {DST_AGENCY_IDS} AND fare_id IN (SELECT agency_id FROM o_fare_attributes)) r
+ WHERE r.fare_id IN (SELECT fare_id FROM o_fare_attributes) OR r.fare_id IS NULL""",
+})
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()
 FINAL["check_audit"] = _check_sql()

@@ -407,3 +407,30 @@ def q_high_water_marks(spark, sf):
         "timed_patterns": (m.timed_patterns, "timed_pattern_id"), "trips": (m.trips, "trip_id"),
         "fare_rules": (m.fare_rules, "fare_rule_id"), "blocks": (m.blocks, "block_id"),
     })
+
+
+# ---- legacy and coverage jobs ------------------------------------------------------------------
+
+@query("trips_legacy_union")
+def q_trips_legacy_union(spark, sf):
+    m = migration(spark, sf)
+    return trp.trips_legacy_union(m.src, m.agencies, m.first_arrivals, m.patterns_trips)
+
+
+@query("tz_coverage")
+def q_tz_coverage(spark, sf):
+    m = migration(spark, sf)
+    cov = spatial.tz_coverage(spatial.box_edges(m.src["tz_polygons"]), m.stops)
+    return cov.select(F.round("fraction_covered", 9).alias("fraction_covered"), "n_null_timezone")
+
+
+@query("stop_feed_link")
+def q_stop_feed_link(spark, sf):
+    m = migration(spark, sf)
+    return spatial.stop_feed_link(m.src, m.agencies)
+
+
+@query("orphan_prune")
+def q_orphan_prune(spark, sf):
+    m = migration(spark, sf)
+    return audits.prune_orphans(_riders(m, "literal"), "fare_id", m.fare_attributes, "fare_id")
