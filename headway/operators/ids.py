@@ -11,6 +11,8 @@ number rows differently.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,16 +32,20 @@ def dense_id(df: DataFrame, order_cols: list, name: str, offset: int = 0,
     LAST) plus ``offset``.  Rows tied on every order column receive
     distinct ids in an unspecified order."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ckpt = ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = _orders(order_cols)
-    # the range sample and the checkpoint both read the input: compute it once
+    # the range sample and the write both read the input: compute it once
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(n, *orders)
-              .sortWithinPartitions(*orders)
-              .withColumn("_hw_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    path = f"{ckpt.rstrip('/')}/dense-id-{uuid.uuid4().hex}"
+    (src.repartitionByRange(n, *orders)
+     .sortWithinPartitions(*orders)
+     .withColumn("_hw_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
     src.unpersist()
+    # a written table in the shared checkpoint folder cuts the lineage: a
+    # lost executor re-reads these files instead of renumbering rows
+    ranged = spark.read.parquet(path)
     pid = F.shiftright(F.col("_hw_mid"), 33)
     counts = ranged.groupBy(pid.alias("_hw_pid")).agg(F.count(F.lit(1)).alias("_hw_n"))
     before = Window.orderBy("_hw_pid").rowsBetween(Window.unboundedPreceding, -1)

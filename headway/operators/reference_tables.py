@@ -172,4 +172,5 @@ CUSTOM_SHAPE_SEGMENTS_SCHEMA = T.StructType([
 
 def custom_shape_segments(spark: SparkSession) -> DataFrame:
     """Emptied on every reload and never filled."""
-    return spark.createDataFrame([], CUSTOM_SHAPE_SEGMENTS_SCHEMA)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                   for f in CUSTOM_SHAPE_SEGMENTS_SCHEMA.fields])
