@@ -4,9 +4,9 @@
 in Spark.  Instead the rows are range partitioned and sorted on the order
 keys, each partition counts its rows, the running offsets of those counts
 (one row per partition: a proven size bound) are broadcast back, and each
-row's id is ``offset + position inside its partition``.  The ranged data
-is checkpointed first so a lost executor cannot make a recomputation
-number rows differently.
+row's id is ``offset + position inside its partition``.  The ranged rows
+are written once as a table under the session's checkpoint folder, so a
+lost executor re-reads them instead of numbering rows differently.
 """
 
 from __future__ import annotations
