@@ -3,8 +3,9 @@ into timed patterns (C1-C15).
 
 Plan shape (see README, "Scale"):
 
-1. ``trip_stop_rows``: stop_times joined to base trips and grouped by
-   ``trip_id`` -- the only shuffle of stop_times.  Each trip carries its
+1. ``trip_stop_rows``: stop_times joined to trips and grouped by
+   ``trip_id`` -- the only shuffle of stop_times (first arrivals, D1, are
+   read off the same arrays).  Each trip carries its
    stop rows as an ordered array (a trip has a bounded number of stops).
 2. ``trip_signatures``: stop list text and time signatures per trip, pure
    higher-order Column expressions over that array.
@@ -31,14 +32,17 @@ PATTERN_KEY = ["stops_pattern", "arrival_time_intervals", "departure_time_interv
 
 
 def trip_stop_rows(src, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFrame:
-    """One row per base trip (``based_on IS NULL``) with its stop_times rows
-    sorted by stop_sequence.  Each row records whether it passes the skip
-    list (``keep``, filters C1-C3) and whether its agency was migrated
-    (``in_dst``, filters C5)."""
+    """One row per trip with its stop_times rows sorted by stop_sequence --
+    the only shuffle of stop_times in a run (the first-arrival table D1 is
+    read off the same arrays).  ``is_base`` marks trips with ``based_on IS
+    NULL`` (the pattern jobs use only those).  Each stop row records whether
+    it passes the skip list (``keep``, filters C1-C3) and whether its agency
+    was migrated (``in_dst``, filters C5 and D1)."""
     st = src["stop_times"]
-    trips = (src["trips"].where(F.col("based_on").isNull())
+    trips = (src["trips"]
              .select("trip_id", F.col("agency_id").alias("trip_agency_id"), "route_id",
-                     "direction_id", F.col("headsign_id").alias("trip_headsign_id")))
+                     "direction_id", F.col("headsign_id").alias("trip_headsign_id"),
+                     F.col("based_on").isNull().alias("trip_is_base")))
     aid = dst_agencies.select(F.col("agency_id").alias("_aid")).distinct().withColumn("_in_dst", F.lit(True))
     st = st.join(aid, st.agency_id == aid["_aid"], "left")
     row = F.struct(
@@ -53,6 +57,7 @@ def trip_stop_rows(src, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFram
                .agg(F.first("trip_agency_id").alias("agency_id"), F.first("route_id").alias("route_id"),
                     F.first("direction_id").alias("direction_id"),
                     F.first("trip_headsign_id").alias("trip_headsign_id"),
+                    F.first("trip_is_base").alias("is_base"),
                     F.array_sort(F.collect_list(row)).alias("rows")))
     return trip_signatures(grouped)
 
@@ -81,7 +86,7 @@ def trip_signatures(per_trip: DataFrame) -> DataFrame:
     dep_sig = ordered_join(F.transform("_kept", lambda r: F.when(
         r["arr"].isNotNull(), (r["dep"] - F.col("min_departure_time")).cast("string")).otherwise(F.lit(""))), ",")
     return step.select(
-        "trip_id", "agency_id", "route_id", "direction_id", "trip_headsign_id",
+        "trip_id", "agency_id", "route_id", "direction_id", "trip_headsign_id", "is_base",
         (F.size("_kept") > 0).alias("has_kept"),
         ordered_join(F.transform("_kept", lambda r: r["stop_id"].cast("string")), ", ").alias("stops_pattern"),
         F.when(F.size("_kept") > 0, arr_sig).alias("arrival_time_intervals"),
@@ -92,8 +97,8 @@ def trip_signatures(per_trip: DataFrame) -> DataFrame:
 
 
 def _pattern_trips(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
-    """Trips feeding C4: skip-list rows present, agency migrated."""
-    return in_migrated_agencies(per_trip.where("has_kept"), dst_agencies)
+    """Trips feeding C4: base trips with skip-list rows, agency migrated."""
+    return in_migrated_agencies(per_trip.where(F.col("is_base") & F.col("has_kept")), dst_agencies)
 
 
 def pattern_time_intervals(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
@@ -109,7 +114,7 @@ def timed_patterns(pti: DataFrame, per_trip: DataFrame) -> DataFrame:
     """C5 + C7: minimum times re-derived from the representative trip's
     migrated stop rows (patterns whose representative has none vanish),
     ``timed_pattern_id`` numbered by ``one_trip`` (unique per pattern)."""
-    rep = per_trip.where("has_dst").select(
+    rep = per_trip.where(F.col("is_base") & F.col("has_dst")).select(
         F.col("trip_id").alias("one_trip"), "trip_headsign_id",
         F.col("rep_min_arrival_time").alias("min_arrival_time"),
         F.col("rep_min_departure_time").alias("min_departure_time"), "rows")
@@ -119,7 +124,7 @@ def timed_patterns(pti: DataFrame, per_trip: DataFrame) -> DataFrame:
 def stop_patterns(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
     """C6 + C7: distinct (stop list, route, direction) over base trips of
     migrated agencies; ``pattern_id`` numbered by those three columns."""
-    trips = in_migrated_agencies(per_trip, dst_agencies)
+    trips = in_migrated_agencies(per_trip.where("is_base"), dst_agencies)
     distinct = trips.select(F.col("stops_pattern_all").alias("stops_pattern"),
                             "route_id", "direction_id").distinct()
     return dense_id(distinct, ["stops_pattern", "route_id", "direction_id"], "pattern_id")

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
@@ -16,20 +16,20 @@ TRIP_COLUMNS = ["agency_id", "timed_pattern_id", "calendar_id", "start_time", "e
                 "block_id", *WEEKDAYS, "in_seat_transfer"]
 
 
-def first_arrival_rows(src, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFrame:
-    """D1 before projection: the row(s) holding the smallest stop_sequence of
-    each trip; ties keep every row.  The window partition is one trip."""
-    st = in_migrated_agencies(src["stop_times"], dst_agencies)
-    trips = src["trips"].select("trip_id")
-    j = st.join(trips, "trip_id").where(not_skipped("trip_id", cfg.skip_trips))
-    w = Window.partitionBy("trip_id")
-    return (j.withColumn("_min_seq", F.min("stop_sequence").over(w))
-            .where(F.col("stop_sequence") == F.col("_min_seq"))
-            .select("trip_id", "stop_sequence", "arrival_time"))
+def first_arrival_rows(per_trip: DataFrame, cfg: MigrateConfig) -> DataFrame:
+    """D1 before projection: among a trip's stop rows of migrated agencies,
+    the row(s) holding the smallest stop_sequence; ties keep every row.
+    Read off the per-trip arrays, so stop_times is not shuffled again."""
+    rows = F.filter("rows", lambda r: r["in_dst"])
+    first_seq = F.array_min(F.transform(rows, lambda r: r["seq"]))
+    firsts = F.filter(rows, lambda r: r["seq"] == first_seq)
+    return (per_trip.where(not_skipped("trip_id", cfg.skip_trips))
+            .select("trip_id", F.explode(firsts).alias("r"))
+            .select("trip_id", F.col("r.seq").alias("stop_sequence"), F.col("r.arr").alias("arrival_time")))
 
 
-def first_arrivals(src, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFrame:
-    return first_arrival_rows(src, dst_agencies, cfg).select(
+def first_arrivals(per_trip: DataFrame, cfg: MigrateConfig) -> DataFrame:
+    return first_arrival_rows(per_trip, cfg).select(
         "trip_id", F.col("arrival_time").alias("first_arrival_time"))
 
 

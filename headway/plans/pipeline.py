@@ -151,7 +151,7 @@ class Migration:
     # ---- D: trips -----------------------------------------------------------
     @cached_property
     def first_arrivals(self) -> DataFrame:
-        return trp.first_arrivals(self.src, self.agencies, self.cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        return trp.first_arrivals(self.per_trip, self.cfg).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def patterns_trips(self) -> DataFrame:

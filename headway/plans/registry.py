@@ -198,7 +198,7 @@ def q_first_arrivals(spark, sf):
 @query("first_arrival_duplicates")
 def q_first_arrival_dups(spark, sf):
     m = migration(spark, sf)
-    return trp.first_arrival_duplicates(trp.first_arrival_rows(m.src, m.agencies, m.cfg)).withColumn(
+    return trp.first_arrival_duplicates(trp.first_arrival_rows(m.per_trip, m.cfg)).withColumn(
         "n_rows", F.col("n_rows").cast("bigint"))
 
 
