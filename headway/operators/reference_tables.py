@@ -114,9 +114,12 @@ def service_exceptions(src, dst_agencies: DataFrame, dst_calendars: DataFrame,
         dates = dst_calendar_dates.select(F.col("calendar_date_id").alias("_did"))
         j = j.join(dates, e.calendar_date_id == dates["_did"], "left_semi")
     elif mode == "literal":
-        any_date = dst_calendar_dates.select(F.lit(1).alias("_one")).limit(1)
-        j = (j.where(e.calendar_date_id == c.calendar_id)
-             .join(any_date, F.lit(1) == any_date["_one"], "left_semi"))
+        # the subquery yields calendar.calendar_id once per calendar date row:
+        # true iff the ids match and at least one calendar date exists (a
+        # scalar existence check read on the driver)
+        j = j.where(e.calendar_date_id == c.calendar_id)
+        if dst_calendar_dates.isEmpty():
+            j = j.limit(0)
     else:
         raise ValueError(mode)
     return j.select(e.calendar_date_id, e.exception_type, e.service_exception.alias("calendar_id"),

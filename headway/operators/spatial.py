@@ -159,9 +159,12 @@ def tz_coverage(edges: DataFrame, stops: DataFrame) -> DataFrame:
 
 
 def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Combine two single-row aggregates into one row without a cross join."""
-    k = F.lit(1)
-    return a.withColumn("_one", k).join(b.withColumn("_one", k), "_one").drop("_one")
+    """Combine two single-row aggregates into one row without a join: union
+    them with typed NULLs in the other's columns, then a global ``max``."""
+    cols_a, cols_b = a.columns, b.columns
+    ua = a.select(*cols_a, *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in cols_b])
+    ub = b.select(*[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in cols_a], *cols_b)
+    return ua.unionByName(ub).groupBy().agg(*[F.max(c).alias(c) for c in cols_a + cols_b])
 
 
 GEOJSON_LINE_SCHEMA = "struct<type:string,coordinates:array<array<double>>>"
