@@ -35,12 +35,16 @@ def dense_id(df: DataFrame, order_cols: list, name: str, offset: int = 0,
     ckpt = ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = _orders(order_cols)
-    # the range sample and the write both read the input: compute it once
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # the range sample and the write both read the input: compute it once.
+    # ``_hw_tie`` is a last order key so that rows equal on every order
+    # column (even a third of all rows) still spread over many partitions.
+    src = df.withColumn("_hw_tie", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    orders = orders + [F.col("_hw_tie").asc()]
     path = f"{ckpt.rstrip('/')}/dense-id-{uuid.uuid4().hex}"
     (src.repartitionByRange(n, *orders)
      .sortWithinPartitions(*orders)
      .withColumn("_hw_mid", F.monotonically_increasing_id())
+     .drop("_hw_tie")
      .write.parquet(path))
     src.unpersist()
     # a written table in the shared checkpoint folder cuts the lineage: a

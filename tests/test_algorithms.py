@@ -158,3 +158,14 @@ def test_fare_edits_match_sequential_trigger(spark):
     assert sorted(kept) == sorted(r["fare_rule_id"] for r in want if r["fare_rule_id"] in originals)
     new_ids = [r.fare_rule_id for r in got if r.fare_rule_id not in originals]
     assert len(new_ids) == len(set(new_ids)) and all(i > max(originals) for i in new_ids)
+
+
+def test_dense_id_spreads_identical_rows(spark):
+    # a third of the rows identical on every order column: still many partitions
+    rows = [(1, "same")] * 300 + [(i, "x") for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, s string")
+    out = dense_id(df, ["k", "s"], "id", num_partitions=6)
+    ids = [r.id for r in out.collect()]
+    assert sorted(ids) == list(range(1, 901))
+    parts = out.where("s = 'same'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
