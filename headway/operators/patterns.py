@@ -118,7 +118,10 @@ def timed_patterns(pti: DataFrame, per_trip: DataFrame) -> DataFrame:
         F.col("trip_id").alias("one_trip"), "trip_headsign_id",
         F.col("rep_min_arrival_time").alias("min_arrival_time"),
         F.col("rep_min_departure_time").alias("min_departure_time"), "rows")
-    return dense_id(pti.join(rep, "one_trip"), ["one_trip"], "timed_pattern_id")
+    # number the surviving pattern keys only; the representative's stop rows
+    # join afterwards, so the id step never moves the row arrays
+    keys = pti.join(rep.select("one_trip"), "one_trip", "left_semi")
+    return dense_id(keys, ["one_trip"], "timed_pattern_id").join(rep, "one_trip")
 
 
 def stop_patterns(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
