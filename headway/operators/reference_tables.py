@@ -35,14 +35,13 @@ def agencies(src, cfg: MigrateConfig) -> DataFrame:
             .distinct())
 
 
-def zones(src, spark: SparkSession | None = None) -> DataFrame:
+def zones(src) -> DataFrame:
     """All zones (no agency filter) plus the wildcard zone -411."""
     z = src["zones"].select("zone_id", F.col("zone_name").alias("name"), "agency_id")
-    wildcard = z.limit(0).unionByName(
-        z.sparkSession.range(1).select(
-            F.lit(ALL_ID).cast(z.schema["zone_id"].dataType).alias("zone_id"),
-            F.lit(WILDCARD_ZONE_NAME).alias("name"),
-            F.lit(ALL_ID).cast(z.schema["agency_id"].dataType).alias("agency_id")))
+    wildcard = z.sparkSession.range(1).select(
+        F.lit(ALL_ID).cast(z.schema["zone_id"].dataType).alias("zone_id"),
+        F.lit(WILDCARD_ZONE_NAME).alias("name"),
+        F.lit(ALL_ID).cast(z.schema["agency_id"].dataType).alias("agency_id"))
     return z.unionByName(wildcard)
 
 

@@ -33,8 +33,9 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--skip-agencies", default="7,21")
+    ap.add_argument("--cluster", action="store_true", help="use the large-cluster settings (session.CLUSTER_CONF)")
     a = ap.parse_args(argv)
-    spark = build_session(master=a.master)
+    spark = build_session(master=a.master, cluster=a.cluster)
     src = (SourceCatalog.from_parquet(spark, a.source, SOURCE_TABLES) if a.source
            else SourceCatalog.from_testdata(spark, a.testdata))
     skip = tuple(int(x) for x in a.skip_agencies.split(",") if x.strip())

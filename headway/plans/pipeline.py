@@ -26,6 +26,13 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _release(m: "Migration") -> None:
+    """Unpersist every intermediate a migration cached."""
+    for value in list(vars(m).values()):
+        if isinstance(value, DataFrame) and value.is_cached:
+            value.unpersist()
+
+
 class Migration:
     def __init__(self, spark: SparkSession, src: SourceCatalog, cfg: MigrateConfig | None = None):
         self.spark = spark
@@ -230,4 +237,7 @@ def run_all(spark: SparkSession, src: SourceCatalog, out_root: str,
             cfg: MigrateConfig | None = None) -> dict[str, str]:
     """Full reload: every target table is rebuilt and overwritten."""
     m = Migration(spark, src, cfg)
-    return write_all(m.targets(), out_root)
+    try:
+        return write_all(m.targets(), out_root)
+    finally:
+        _release(m)

@@ -8,10 +8,39 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~100 TB of stop times, ~1000 executors).
+# The shuffle partition count is an upper bound that AQE coalesces down;
+# skewed join partitions are split; small dimensions (agencies, calendars,
+# routes, zones, directions) are broadcast only below a measured size.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app: str = "headway") -> SparkSession:
+                  app: str = "headway", cluster: bool = False) -> SparkSession:
+    builder = SparkSession.builder.master(master).appName(app)
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
+        spark = builder.config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("WARN")
+        ensure_checkpoint_dir(spark)
+        return spark
     spark = (
-        SparkSession.builder.master(master).appName(app)
+        builder
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
