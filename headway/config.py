@@ -13,8 +13,8 @@ class MigrateConfig:
     skip_agencies: tuple[int, ...] = (7, 21)
     # Trips left out of the first-arrival table.
     skip_trips: tuple[int, ...] = (0,)
-    # Fare rule combinability: agencies whose rules are never combinable,
-    # and agencies whose zone-bound rules are not combinable.
+    # Fare rule combinability (fixed values): agencies whose rules are never
+    # combinable, and agencies whose zone-bound rules are not combinable.
     never_combinable_agencies: tuple[int, ...] = (42, 175)
     zone_rules_not_combinable_agencies: tuple[int, ...] = (19,)
     # "intent" follows the foreign keys; "literal" reproduces the name

@@ -17,11 +17,11 @@ RULE_COLUMNS = ["fare_rule_id", "fare_id", "route_id", "origin_id", "destination
 SYM_COLUMNS = ["agency_id", "fare_id", "zone_id_a", "zone_id_b", "route_id", "contains_id", "is_combinable"]
 
 
-def golden_fare_rules(rules: DataFrame) -> DataFrame:
+def newest_fare_rules(rules: DataFrame) -> DataFrame:
     """the newest rule (largest id) of each duplicate group, NULLs
     equal; group size and oldest id reported instead of an unbounded list."""
     return rules.groupBy(*RULE_KEY).agg(
-        F.max("fare_rule_id").alias("golden_fare_rule_id"),
+        F.max("fare_rule_id").alias("newest_fare_rule_id"),
         F.min("fare_rule_id").alias("oldest_fare_rule_id"),
         F.count(F.lit(1)).alias("n_rules"))
 
@@ -50,10 +50,10 @@ def set_combinable(rules: DataFrame, cfg: MigrateConfig) -> DataFrame:
 
 
 def fare_rules(src, dst_zones: DataFrame, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFrame:
-    """F3 (+F4): golden rules with valid zones of migrated agencies."""
+    """F3 (+F4): newest rules with valid zones of migrated agencies."""
     rules = src["fare_rules"]
-    golden = golden_fare_rules(rules).select(F.col("golden_fare_rule_id").alias("fare_rule_id"))
-    r = rules.join(golden, "fare_rule_id", "left_semi")
+    newest = newest_fare_rules(rules).select(F.col("newest_fare_rule_id").alias("fare_rule_id"))
+    r = rules.join(newest, "fare_rule_id", "left_semi")
     r = in_migrated_agencies(valid_zones(r, dst_zones), dst_agencies)
     return set_combinable(r, cfg).select(*RULE_COLUMNS)
 

@@ -12,6 +12,7 @@ from headway.functions.geo import make_point
 from headway.operators.scope import in_migrated_agencies, not_skipped
 
 WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+# Fixed value: name of the wildcard zone row (id -411).
 WILDCARD_ZONE_NAME = "Wildcard: any or all zones for this agency."
 
 

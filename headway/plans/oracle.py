@@ -1,6 +1,6 @@
-"""Independent DuckDB oracle: the migration written as plain SQL, close to
-the original statements (correlated subqueries, ordered string_agg,
-row_number windows, NOT IN), over the same source views.
+"""Independent DuckDB oracle: every target restated as plain SQL (window
+minima, ordered string_agg / list aggregates, EXISTS / NOT EXISTS,
+row_number windows), over the same source views as the Spark jobs.
 
 ``oracle_sql()`` returns one self-contained query per registered name:
 the needed source views and target CTEs are prepended as a WITH list.
@@ -30,240 +30,237 @@ def _nl(cols: str) -> str:
 # Target tables as CTEs, in dependency order.
 CTES: list[tuple[str, str]] = [
     ("o_stop_times", "SELECT *, CAST(NULL AS INTEGER) AS drop_off_type, CAST(NULL AS BIGINT) AS headsign_id FROM src_stop_times"),
-    ("o_agencies", f"""SELECT DISTINCT a.agency_id, a.agency_name, g.agency_group_id AS feed_id
- FROM src_agency a JOIN src_agency_group_assoc g ON a.agency_id = g.agency_id WHERE a.agency_id NOT IN ({SKIP})"""),
-    ("o_feeds", f"""SELECT DISTINCT g.agency_group_id AS feed_id, g.group_name AS name
- FROM src_agency_groups g JOIN src_agency_group_assoc a ON a.agency_group_id = g.agency_group_id WHERE a.agency_id NOT IN ({SKIP})"""),
+    ("o_agencies", f"""SELECT DISTINCT ag.agency_id, ag.agency_name, link.agency_group_id AS feed_id
+ FROM src_agency ag JOIN src_agency_group_assoc link USING (agency_id) WHERE ag.agency_id NOT IN ({SKIP})"""),
+    ("o_feeds", f"""SELECT DISTINCT grp.agency_group_id AS feed_id, grp.group_name AS name FROM src_agency_groups grp
+ WHERE EXISTS (SELECT 1 FROM src_agency_group_assoc link WHERE link.agency_group_id = grp.agency_group_id
+               AND link.agency_id NOT IN ({SKIP}))"""),
     ("o_zones", """SELECT zone_id, zone_name AS name, agency_id FROM src_zones
  UNION ALL SELECT -411, 'Wildcard: any or all zones for this agency.', -411"""),
-    ("o_stops", f"""SELECT a.feed_id, s.stop_id, s.stop_name AS name, z.zone_id, s.stop_lon AS lon, s.stop_lat AS lat,
- s.publish_status AS enabled, s.agency_id,
- (SELECT min(p.tzid) FROM tz_polygons p WHERE s.stop_lon > p.min_lon AND s.stop_lon < p.max_lon
-   AND s.stop_lat > p.min_lat AND s.stop_lat < p.max_lat) AS timezone
- FROM src_stops s LEFT JOIN src_zones z ON s.zone_id = z.zone_id JOIN o_agencies a ON s.agency_id = a.agency_id
- WHERE s.agency_id IS NOT NULL AND s.agency_id IN {DST_AGENCY_IDS}"""),
+    ("o_stops", f"""SELECT ag.feed_id, sp.stop_id, sp.stop_name AS name, zn.zone_id, sp.stop_lon AS lon, sp.stop_lat AS lat,
+ sp.publish_status AS enabled, sp.agency_id,
+ (SELECT min(box.tzid) FROM tz_polygons box WHERE sp.stop_lon BETWEEN box.min_lon AND box.max_lon
+   AND sp.stop_lat BETWEEN box.min_lat AND box.max_lat) AS timezone
+ FROM src_stops sp JOIN o_agencies ag ON ag.agency_id = sp.agency_id LEFT JOIN src_zones zn ON zn.zone_id = sp.zone_id"""),
     ("o_routes", f"""SELECT agency_id, route_id, route_short_name, route_long_name,
- CASE WHEN regexp_full_match(route_color, '[0-9a-fA-F]{{6}}') THEN '#' || lower(route_color) ELSE '#ffffff' END AS route_color,
- CASE WHEN regexp_full_match(CAST(NULL AS VARCHAR), '[0-9a-fA-F]{{6}}') THEN '#' ELSE '#000000' END AS route_text_color,
- route_sort_order, CASE WHEN hidden THEN false ELSE true END AS enabled
+ coalesce('#' || lower(CASE WHEN regexp_full_match(route_color, '[0-9a-fA-F]{{6}}') THEN route_color END), '#ffffff') AS route_color,
+ coalesce('#' || lower(CASE WHEN regexp_full_match(CAST(NULL AS VARCHAR), '[0-9a-fA-F]{{6}}') THEN 'x' END), '#000000') AS route_text_color,
+ route_sort_order, coalesce(NOT hidden, true) AS enabled
  FROM src_routes WHERE agency_id IN {DST_AGENCY_IDS}"""),
     ("o_headsigns", f"""SELECT DISTINCT agency_id, headsign_id, headsign FROM src_headsigns
- WHERE agency_id IN {DST_AGENCY_IDS} AND headsign_id IS NOT NULL AND headsign IS NOT NULL"""),
+ WHERE headsign IS NOT NULL AND headsign_id IS NOT NULL AND agency_id IN {DST_AGENCY_IDS}"""),
     ("o_calendars", f"""SELECT agency_id, service_schedule_group_id AS calendar_id, service_schedule_group_label AS name
- FROM src_service_schedule_groups WHERE agency_id IN {DST_AGENCY_IDS} AND service_schedule_group_id IS NOT NULL"""),
-    ("o_calendar_bounds", f"""SELECT agency_id, service_schedule_group_id AS calendar_id, start_date, end_date
- FROM src_service_schedule_bounds WHERE agency_id IN {DST_AGENCY_IDS}
- AND service_schedule_group_id IN (SELECT calendar_id FROM o_calendars) AND service_schedule_group_id IS NOT NULL"""),
+ FROM src_service_schedule_groups WHERE service_schedule_group_id IS NOT NULL AND agency_id IN {DST_AGENCY_IDS}"""),
+    ("o_calendar_bounds", f"""SELECT bnd.agency_id, bnd.service_schedule_group_id AS calendar_id, bnd.start_date, bnd.end_date
+ FROM src_service_schedule_bounds bnd WHERE bnd.agency_id IN {DST_AGENCY_IDS}
+ AND EXISTS (SELECT 1 FROM o_calendars k WHERE k.calendar_id = bnd.service_schedule_group_id)"""),
     ("o_calendar_dates", f"""SELECT calendar_date_id, date, agency_id, description AS name FROM src_calendar_dates
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_service_exceptions", f"""SELECT e.calendar_date_id, e.exception_type, e.service_exception AS calendar_id, {WEEKDAY_BOOLS}, e.agency_id
- FROM src_calendar_date_service_exceptions e JOIN src_calendar c ON e.service_exception = c.calendar_id
- WHERE e.agency_id IN {DST_AGENCY_IDS} AND e.service_exception IN (SELECT calendar_id FROM o_calendars)
- AND e.calendar_date_id IN (SELECT calendar_date_id FROM o_calendar_dates)"""),
-    # the original's subquery names calendar_id, which only the outer calendar has
-    ("o_service_exceptions_literal", f"""SELECT e.calendar_date_id, e.exception_type, e.service_exception AS calendar_id, {WEEKDAY_BOOLS}, e.agency_id
- FROM src_calendar_date_service_exceptions e JOIN src_calendar c ON e.service_exception = c.calendar_id
- WHERE e.agency_id IN {DST_AGENCY_IDS} AND e.service_exception IN (SELECT calendar_id FROM o_calendars)
- AND e.calendar_date_id IN (SELECT c.calendar_id FROM o_calendar_dates)"""),
-    ("o_blocks", f"""SELECT b.agency_id, b.block_id, b.name, sc.color FROM
- (SELECT DISTINCT agency_id, block_id, block_label AS name FROM src_blocks WHERE agency_id IN {DST_AGENCY_IDS}) b
- LEFT JOIN sample_colors sc ON sc.color_id = b.block_id"""),
+    ("o_service_exceptions", f"""SELECT ex.calendar_date_id, ex.exception_type, ex.service_exception AS calendar_id, {WEEKDAY_BOOLS}, ex.agency_id
+ FROM src_calendar_date_service_exceptions ex JOIN src_calendar c ON c.calendar_id = ex.service_exception
+ WHERE ex.agency_id IN {DST_AGENCY_IDS}
+ AND EXISTS (SELECT 1 FROM o_calendars k WHERE k.calendar_id = ex.service_exception)
+ AND EXISTS (SELECT 1 FROM o_calendar_dates d WHERE d.calendar_date_id = ex.calendar_date_id)"""),
+    # literal reading: the date id must equal the calendar id, and some calendar date must exist
+    ("o_service_exceptions_literal", f"""SELECT ex.calendar_date_id, ex.exception_type, ex.service_exception AS calendar_id, {WEEKDAY_BOOLS}, ex.agency_id
+ FROM src_calendar_date_service_exceptions ex JOIN src_calendar c ON c.calendar_id = ex.service_exception
+ WHERE ex.agency_id IN {DST_AGENCY_IDS}
+ AND EXISTS (SELECT 1 FROM o_calendars k WHERE k.calendar_id = ex.service_exception)
+ AND ex.calendar_date_id = c.calendar_id AND EXISTS (SELECT 1 FROM o_calendar_dates)"""),
+    ("o_blocks", f"""SELECT blk.agency_id, blk.block_id, blk.name, col.color FROM
+ (SELECT DISTINCT agency_id, block_id, block_label AS name FROM src_blocks WHERE agency_id IN {DST_AGENCY_IDS}) blk
+ LEFT JOIN sample_colors col ON col.color_id = blk.block_id"""),
     ("o_fare_attributes", f"""SELECT agency_id, fare_id, price, currency_type, payment_method FROM src_fare_attributes
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
     ("o_transfers", f"""SELECT transfer_id, from_stop_id, to_stop_id, transfer_type, agency_id FROM src_transfers
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_users", "SELECT user_id, email, (read_only = 1) AS read_only, (admin = 1) AS admin FROM src_users"),
-    ("o_user_permissions", """SELECT up.permission_id, up.agency_id, up.user_id FROM src_user_permissions up
- JOIN o_agencies a ON up.agency_id = a.agency_id JOIN o_users u ON up.user_id = u.user_id"""),
-    # ---- pattern mining, as the original single statement, split into CTEs
-    ("o_seq", f"""SELECT st.trip_id, string_agg(CAST(st.stop_id AS VARCHAR), ', ' ORDER BY st.stop_sequence) AS stops_pattern,
- MIN(st.arrival_time) AS min_arrival_time
- FROM src_stop_times st JOIN src_trips t ON st.trip_id = t.trip_id
- WHERE st.agency_id NOT IN ({SKIP}) AND t.based_on IS NULL GROUP BY st.trip_id"""),
-    ("o_trip_min", f"""SELECT st.trip_id, MIN(st.arrival_time) AS min_arrival_time, MIN(st.departure_time) AS min_departure_time
- FROM src_stop_times st JOIN src_trips t ON st.trip_id = t.trip_id
- WHERE st.agency_id NOT IN ({SKIP}) AND t.based_on IS NULL GROUP BY st.trip_id"""),
-    ("o_sig", f"""SELECT m.trip_id, m.min_arrival_time, m.min_departure_time,
- string_agg(CASE WHEN st.arrival_time IS NOT NULL THEN CAST(st.arrival_time - m.min_arrival_time AS VARCHAR) ELSE '' END, ',' ORDER BY st.stop_sequence) AS arrival_time_intervals,
- string_agg(CASE WHEN st.arrival_time IS NOT NULL THEN CAST(st.departure_time - m.min_departure_time AS VARCHAR) ELSE '' END, ',' ORDER BY st.stop_sequence) AS departure_time_intervals
- FROM src_stop_times st JOIN src_trips t ON st.trip_id = t.trip_id JOIN o_trip_min m ON st.trip_id = m.trip_id
- WHERE st.agency_id NOT IN ({SKIP}) AND t.based_on IS NULL
- GROUP BY m.trip_id, m.min_arrival_time, m.min_departure_time"""),
-    ("o_pti", f"""SELECT MIN(t.trip_id) AS one_trip, COUNT(*) AS trip_count,
- array_agg(t.trip_id ORDER BY s.min_arrival_time, t.trip_id) AS trips_list,
- s.stops_pattern, g.arrival_time_intervals, g.departure_time_intervals, t.agency_id, t.route_id, t.direction_id
- FROM src_trips t JOIN o_seq s ON t.trip_id = s.trip_id JOIN o_sig g ON s.trip_id = g.trip_id
- WHERE t.agency_id IN {DST_AGENCY_IDS} AND t.based_on IS NULL
- GROUP BY s.stops_pattern, g.arrival_time_intervals, g.departure_time_intervals, t.agency_id, t.route_id, t.direction_id"""),
-    ("o_tp_sub", f"""SELECT p.one_trip, p.trip_count, p.trips_list, p.stops_pattern, p.arrival_time_intervals, p.departure_time_intervals,
- p.agency_id, p.route_id, p.direction_id, MIN(st.arrival_time) AS min_arrival_time, MIN(st.departure_time) AS min_departure_time
- FROM o_pti p JOIN src_stop_times st ON p.one_trip = st.trip_id
- WHERE st.agency_id IN {DST_AGENCY_IDS}
- GROUP BY p.one_trip, p.trip_count, p.trips_list, p.stops_pattern, p.arrival_time_intervals, p.departure_time_intervals,
- p.agency_id, p.route_id, p.direction_id"""),
-    ("o_tp", "SELECT ROW_NUMBER() OVER (ORDER BY one_trip) AS timed_pattern_id, * FROM o_tp_sub"),
-    ("o_sp", f"""SELECT stops_pattern, route_id, direction_id,
- ROW_NUMBER() OVER (ORDER BY stops_pattern NULLS LAST, route_id NULLS LAST, direction_id NULLS LAST) AS pattern_id
- FROM (SELECT DISTINCT stops_pattern, route_id, direction_id FROM (
-   SELECT string_agg(CAST(st.stop_id AS VARCHAR), ', ' ORDER BY st.stop_sequence) AS stops_pattern, t.route_id, t.direction_id
-   FROM src_stop_times st JOIN src_trips t ON st.trip_id = t.trip_id
-   WHERE t.agency_id IN {DST_AGENCY_IDS} AND t.based_on IS NULL
-   GROUP BY st.trip_id, t.route_id, t.direction_id) u) d"""),
-    ("o_tpsn_raw", """SELECT tp.agency_id, ag.agency_name, r.route_short_name, r.route_long_name, d.direction_label AS direction_name,
- t.direction_id, h.headsign_id AS trip_headsign_id, h.headsign AS trip_headsign, st.stop_id,
- DENSE_RANK() OVER (PARTITION BY tp.timed_pattern_id ORDER BY st.stop_sequence) AS stop_order,
- tp.timed_pattern_id, sp.pattern_id,
- CASE WHEN st.arrival_time IS NOT NULL THEN st.arrival_time - tp.min_arrival_time ELSE NULL END AS arrival_time,
- CASE WHEN st.departure_time IS NOT NULL THEN st.departure_time - tp.min_departure_time ELSE NULL END AS departure_time,
- COALESCE(st.pickup_type, 0) AS pickup_type, COALESCE(st.drop_off_type, 0) AS drop_off_type,
- tp.one_trip, tp.trips_list, sp.stops_pattern, tp.arrival_time_intervals, tp.departure_time_intervals, t.route_id,
- st.headsign_id AS stop_headsign_id
- FROM o_tp tp
- LEFT JOIN o_stop_times st ON tp.one_trip = st.trip_id
- INNER JOIN o_sp sp ON (tp.stops_pattern = sp.stops_pattern AND tp.route_id = sp.route_id AND tp.direction_id = sp.direction_id)
- INNER JOIN src_trips t ON st.trip_id = t.trip_id
- INNER JOIN src_routes r ON t.route_id = r.route_id
- LEFT JOIN src_directions d ON t.direction_id = d.direction_id
- LEFT JOIN src_headsigns h ON t.headsign_id = h.headsign_id
- INNER JOIN src_agency ag ON st.agency_id = ag.agency_id"""),
-    ("o_tpsn", """SELECT * FROM o_tpsn_raw WHERE pattern_id NOT IN (
- SELECT DISTINCT pattern_id FROM o_tpsn_raw WHERE stop_id NOT IN (SELECT stop_id FROM src_stops))"""),
-    ("o_patterns_base", """SELECT p.agency_id, p.pattern_id, p.route_id, p.direction_id, h.headsign_id FROM
- (SELECT DISTINCT agency_id, pattern_id, route_id, direction_id FROM o_tpsn) p
- LEFT JOIN (SELECT pattern_id, MIN(one_headsign) AS headsign_id FROM (
-     SELECT pattern_id, (array_agg(DISTINCT trip_headsign_id))[1] AS one_headsign FROM o_tpsn
-     WHERE trip_headsign_id IS NOT NULL GROUP BY pattern_id, agency_id, route_id, direction_id
-     HAVING COUNT(DISTINCT trip_headsign_id) = 1) x GROUP BY pattern_id) h ON p.pattern_id = h.pattern_id"""),
+    ("o_users", """SELECT user_id, email, CASE WHEN read_only IS NULL THEN NULL ELSE read_only = 1 END AS read_only,
+ CASE WHEN admin IS NULL THEN NULL ELSE admin = 1 END AS admin FROM src_users"""),
+    ("o_user_permissions", """SELECT perm.permission_id, perm.agency_id, perm.user_id
+ FROM src_user_permissions perm JOIN o_agencies USING (agency_id) JOIN o_users USING (user_id)"""),
+    # ---- pattern mining
+    # stop rows of base trips past the skip list, with the trip's first times
+    ("o_trip_rows", f"""SELECT x.trip_id, x.stop_sequence, x.stop_id, x.arrival_time, x.departure_time,
+ min(x.arrival_time) OVER (PARTITION BY x.trip_id) AS first_arr, min(x.departure_time) OVER (PARTITION BY x.trip_id) AS first_dep
+ FROM src_stop_times x WHERE x.agency_id NOT IN ({SKIP})
+ AND EXISTS (SELECT 1 FROM src_trips tr WHERE tr.trip_id = x.trip_id AND tr.based_on IS NULL)"""),
+    ("o_trip_sig", """SELECT trip_id, min(first_arr) AS min_arrival_time,
+ string_agg(CAST(stop_id AS VARCHAR), ', ' ORDER BY stop_sequence) AS stops_pattern,
+ string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(arrival_time - first_arr AS VARCHAR) END, ',' ORDER BY stop_sequence) AS arrival_time_intervals,
+ string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(departure_time - first_dep AS VARCHAR) END, ',' ORDER BY stop_sequence) AS departure_time_intervals
+ FROM o_trip_rows GROUP BY trip_id"""),
+    ("o_pattern_groups", f"""SELECT g.stops_pattern, g.arrival_time_intervals, g.departure_time_intervals, tr.agency_id, tr.route_id,
+ tr.direction_id, min(tr.trip_id) AS one_trip, count(*) AS trip_count,
+ list(tr.trip_id ORDER BY g.min_arrival_time, tr.trip_id) AS member_trips
+ FROM o_trip_sig g JOIN src_trips tr ON tr.trip_id = g.trip_id
+ WHERE tr.based_on IS NULL AND tr.agency_id IN {DST_AGENCY_IDS}
+ GROUP BY g.stops_pattern, g.arrival_time_intervals, g.departure_time_intervals, tr.agency_id, tr.route_id, tr.direction_id"""),
+    ("o_rep_min", f"""SELECT trip_id, min(arrival_time) AS rep_arr, min(departure_time) AS rep_dep FROM src_stop_times
+ WHERE agency_id IN {DST_AGENCY_IDS} GROUP BY trip_id"""),
+    ("o_tp", """SELECT row_number() OVER (ORDER BY g.one_trip) AS timed_pattern_id, g.*, r.rep_arr AS min_arrival_time,
+ r.rep_dep AS min_departure_time FROM o_pattern_groups g JOIN o_rep_min r ON r.trip_id = g.one_trip"""),
+    ("o_stop_lists", f"""SELECT x.trip_id, string_agg(CAST(x.stop_id AS VARCHAR), ', ' ORDER BY x.stop_sequence) AS stop_list
+ FROM src_stop_times x JOIN src_trips tr ON tr.trip_id = x.trip_id
+ WHERE tr.based_on IS NULL AND tr.agency_id IN {DST_AGENCY_IDS} GROUP BY x.trip_id"""),
+    ("o_sp", """SELECT u.stops_pattern, u.route_id, u.direction_id,
+ row_number() OVER (ORDER BY u.stops_pattern NULLS LAST, u.route_id NULLS LAST, u.direction_id NULLS LAST) AS pattern_id
+ FROM (SELECT DISTINCT l.stop_list AS stops_pattern, tr.route_id, tr.direction_id
+       FROM o_stop_lists l JOIN src_trips tr ON tr.trip_id = l.trip_id) u"""),
+    ("o_wide_keys", """SELECT tp.timed_pattern_id, sp.pattern_id, tp.agency_id, tp.one_trip, tp.member_trips, sp.stops_pattern,
+ tp.arrival_time_intervals, tp.departure_time_intervals, tp.min_arrival_time, tp.min_departure_time
+ FROM o_tp tp JOIN o_sp sp ON sp.stops_pattern = tp.stops_pattern AND sp.route_id = tp.route_id
+ AND sp.direction_id = tp.direction_id"""),
+    ("o_tpsn_raw", """SELECT w.agency_id, ag.agency_name, rt.route_short_name, rt.route_long_name, dir.direction_label AS direction_name,
+ tr.direction_id, hs.headsign_id AS trip_headsign_id, hs.headsign AS trip_headsign, x.stop_id,
+ dense_rank() OVER (PARTITION BY w.timed_pattern_id ORDER BY x.stop_sequence) AS stop_order,
+ w.timed_pattern_id, w.pattern_id, x.arrival_time - w.min_arrival_time AS arrival_time,
+ x.departure_time - w.min_departure_time AS departure_time,
+ coalesce(x.pickup_type, 0) AS pickup_type, coalesce(x.drop_off_type, 0) AS drop_off_type,
+ w.one_trip, w.member_trips, w.stops_pattern, w.arrival_time_intervals, w.departure_time_intervals, tr.route_id,
+ x.headsign_id AS stop_headsign_id
+ FROM o_wide_keys w
+ JOIN o_stop_times x ON x.trip_id = w.one_trip
+ JOIN src_agency ag ON ag.agency_id = x.agency_id
+ JOIN src_trips tr ON tr.trip_id = x.trip_id
+ JOIN src_routes rt ON rt.route_id = tr.route_id
+ LEFT JOIN src_directions dir ON dir.direction_id = tr.direction_id
+ LEFT JOIN src_headsigns hs ON hs.headsign_id = tr.headsign_id"""),
+    ("o_bad_patterns", """SELECT DISTINCT w.pattern_id FROM o_tpsn_raw w
+ WHERE w.stop_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM src_stops sp WHERE sp.stop_id = w.stop_id)"""),
+    ("o_tpsn", """SELECT w.* FROM o_tpsn_raw w WHERE NOT EXISTS (SELECT 1 FROM o_bad_patterns b WHERE b.pattern_id = w.pattern_id)"""),
+    ("o_one_headsign", """SELECT pattern_id, min(lo) AS headsign_id FROM (
+   SELECT pattern_id, agency_id, route_id, direction_id, min(trip_headsign_id) AS lo, max(trip_headsign_id) AS hi
+   FROM o_tpsn WHERE trip_headsign_id IS NOT NULL GROUP BY pattern_id, agency_id, route_id, direction_id) q
+ WHERE lo = hi GROUP BY pattern_id"""),
+    ("o_patterns_base", """SELECT p.agency_id, p.pattern_id, p.route_id, p.direction_id, h.headsign_id
+ FROM (SELECT DISTINCT agency_id, pattern_id, route_id, direction_id FROM o_tpsn) p
+ LEFT JOIN o_one_headsign h ON h.pattern_id = p.pattern_id"""),
     ("o_pattern_stops", f"""SELECT DISTINCT agency_id, pattern_id, stop_order, stop_id FROM o_tpsn
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
     ("o_timed_patterns", "SELECT DISTINCT agency_id, timed_pattern_id, pattern_id FROM o_tpsn"),
     ("o_timed_pattern_stops", """SELECT DISTINCT agency_id, timed_pattern_id, stop_order, stop_id, arrival_time, departure_time,
  pickup_type, drop_off_type, stop_headsign_id AS headsign_id FROM o_tpsn"""),
-    ("o_directions", f"""SELECT DISTINCT ON (direction_id) agency_id, direction_id, direction_name AS name FROM o_tpsn
- WHERE agency_id IN {DST_AGENCY_IDS} ORDER BY direction_id, agency_id, direction_name"""),
+    ("o_directions", f"""SELECT agency_id, direction_id, name FROM (
+   SELECT agency_id, direction_id, direction_name AS name,
+     row_number() OVER (PARTITION BY direction_id ORDER BY agency_id, direction_name) AS pos
+   FROM o_tpsn WHERE agency_id IN {DST_AGENCY_IDS}) q WHERE pos = 1"""),
     # ---- trips
-    ("o_first_rows", f"""SELECT trip_id, stop_sequence, arrival_time FROM (
- SELECT st.trip_id, st.arrival_time, st.stop_sequence, MIN(st.stop_sequence) OVER (PARTITION BY st.trip_id) AS min_stop_sequence
- FROM src_stop_times st JOIN src_trips t ON st.trip_id = t.trip_id
- WHERE st.agency_id IN {DST_AGENCY_IDS} AND t.trip_id NOT IN (0)) x WHERE stop_sequence = min_stop_sequence"""),
+    ("o_first_rows", f"""SELECT x.trip_id, x.stop_sequence, x.arrival_time FROM src_stop_times x
+ WHERE x.agency_id IN {DST_AGENCY_IDS} AND x.trip_id <> 0
+ AND EXISTS (SELECT 1 FROM src_trips tr WHERE tr.trip_id = x.trip_id)
+ AND x.stop_sequence = (SELECT min(y.stop_sequence) FROM src_stop_times y
+                        WHERE y.trip_id = x.trip_id AND y.agency_id IN {DST_AGENCY_IDS})"""),
     ("o_first_arrivals", "SELECT trip_id, arrival_time AS first_arrival_time FROM o_first_rows"),
     ("o_patterns_trips", f"""SELECT DISTINCT timed_pattern_id, agency_id, trip_id FROM (
- SELECT timed_pattern_id, agency_id, unnest(trips_list) AS trip_id FROM (
-   SELECT DISTINCT timed_pattern_id, agency_id, trips_list FROM o_tpsn) a) b
- WHERE agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_trips_sched", f"""SELECT t.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
- fa.first_arrival_time AS start_time, CAST(NULL AS BIGINT) AS end_time, CAST(NULL AS INTEGER) AS headway_secs, t.block_id,
- {WEEKDAY_BOOLS}, t.in_seat_transfer = 1 AS in_seat_transfer
- FROM src_trips t JOIN src_calendar c ON t.service_id = c.calendar_id
- JOIN o_first_arrivals fa ON fa.trip_id = t.trip_id JOIN o_patterns_trips pt ON pt.trip_id = t.trip_id
- WHERE NOT EXISTS (SELECT NULL FROM src_frequencies f WHERE t.trip_id = f.trip_id)
- AND t.based_on IS NULL AND t.service_id IS NOT NULL AND fa.first_arrival_time IS NOT NULL
- AND t.agency_id IN {DST_AGENCY_IDS}
- GROUP BY t.agency_id, pt.timed_pattern_id, c.calendar_id, c.service_schedule_group_id, fa.first_arrival_time, t.trip_id,
- t.block_id, {WEEKDAY_COLS}, t.in_seat_transfer
- HAVING c.service_schedule_group_id IS NOT NULL"""),
-    ("o_trips_based_on", f"""SELECT b.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
- COALESCE(b.trip_start_time, t.trip_start_time) AS start_time, CAST(NULL AS BIGINT) AS end_time,
- CAST(NULL AS INTEGER) AS headway_secs, b.block_id, {WEEKDAY_BOOLS}, t.in_seat_transfer = 1 AS in_seat_transfer
- FROM src_trips b JOIN src_trips t ON b.based_on = t.trip_id
- JOIN o_patterns_trips pt ON t.trip_id = pt.trip_id
- JOIN src_calendar c ON b.service_id = c.calendar_id
- WHERE b.service_id IS NOT NULL AND (b.trip_start_time IS NOT NULL OR t.trip_start_time IS NOT NULL)
- AND NOT EXISTS (SELECT NULL FROM src_frequencies f WHERE t.trip_id = f.trip_id)
- AND b.based_on IS NOT NULL AND t.agency_id IN {DST_AGENCY_IDS}
- GROUP BY b.agency_id, pt.timed_pattern_id, c.calendar_id, c.service_schedule_group_id,
- COALESCE(b.trip_start_time, t.trip_start_time), t.trip_id, t.in_seat_transfer, b.block_id, {WEEKDAY_COLS}, b.in_seat_transfer
- HAVING c.service_schedule_group_id IS NOT NULL"""),
-    ("o_trips_freq_based_on", f"""SELECT b.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
+   SELECT timed_pattern_id, agency_id, unnest(member_trips) AS trip_id FROM (
+     SELECT DISTINCT timed_pattern_id, agency_id, member_trips FROM o_tpsn WHERE agency_id IN {DST_AGENCY_IDS}) a) b"""),
+    ("o_trips_sched", f"""SELECT {TRIP_ORDER} FROM (
+   SELECT DISTINCT tr.trip_id AS trip_key, c.calendar_id AS cal_key, tr.in_seat_transfer AS ist_key,
+     tr.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id, fa.first_arrival_time AS start_time,
+     CAST(NULL AS BIGINT) AS end_time, CAST(NULL AS INTEGER) AS headway_secs, tr.block_id, {WEEKDAY_BOOLS},
+     tr.in_seat_transfer = 1 AS in_seat_transfer
+   FROM src_trips tr JOIN src_calendar c ON c.calendar_id = tr.service_id
+   JOIN o_first_arrivals fa ON fa.trip_id = tr.trip_id JOIN o_patterns_trips pt ON pt.trip_id = tr.trip_id
+   WHERE tr.based_on IS NULL AND fa.first_arrival_time IS NOT NULL AND c.service_schedule_group_id IS NOT NULL
+   AND tr.agency_id IN {DST_AGENCY_IDS}
+   AND NOT EXISTS (SELECT 1 FROM src_frequencies f WHERE f.trip_id = tr.trip_id)) d"""),
+    ("o_trips_based_on", f"""SELECT {TRIP_ORDER} FROM (
+   SELECT DISTINCT par.trip_id AS parent_key, c.calendar_id AS cal_key, kid.in_seat_transfer AS ist_key,
+     kid.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
+     coalesce(kid.trip_start_time, par.trip_start_time) AS start_time,
+     CAST(NULL AS BIGINT) AS end_time, CAST(NULL AS INTEGER) AS headway_secs, kid.block_id, {WEEKDAY_BOOLS},
+     par.in_seat_transfer = 1 AS in_seat_transfer
+   FROM src_trips kid JOIN src_trips par ON par.trip_id = kid.based_on
+   JOIN o_patterns_trips pt ON pt.trip_id = par.trip_id JOIN src_calendar c ON c.calendar_id = kid.service_id
+   WHERE coalesce(kid.trip_start_time, par.trip_start_time) IS NOT NULL AND c.service_schedule_group_id IS NOT NULL
+   AND par.agency_id IN {DST_AGENCY_IDS}
+   AND NOT EXISTS (SELECT 1 FROM src_frequencies f WHERE f.trip_id = par.trip_id)) d"""),
+    ("o_trips_freq_based_on", f"""SELECT kid.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
  CAST(f.start_time AS BIGINT) AS start_time, CAST(f.end_time AS BIGINT) AS end_time, CAST(f.headway_secs AS INTEGER) AS headway_secs,
- b.block_id, {WEEKDAY_BOOLS}, b.in_seat_transfer = 1 AS in_seat_transfer
- FROM src_frequencies f JOIN src_trips b ON f.trip_id = b.trip_id JOIN src_trips t ON b.based_on = t.trip_id
- JOIN o_patterns_trips pt ON pt.trip_id = t.trip_id JOIN src_calendar c ON b.service_id = c.calendar_id
- WHERE b.service_id IS NOT NULL AND b.based_on IS NOT NULL AND t.agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_trips_freq", f"""SELECT t.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
+ kid.block_id, {WEEKDAY_BOOLS}, kid.in_seat_transfer = 1 AS in_seat_transfer
+ FROM src_frequencies f JOIN src_trips kid ON kid.trip_id = f.trip_id JOIN src_trips par ON par.trip_id = kid.based_on
+ JOIN o_patterns_trips pt ON pt.trip_id = par.trip_id JOIN src_calendar c ON c.calendar_id = kid.service_id
+ WHERE par.agency_id IN {DST_AGENCY_IDS}"""),
+    ("o_trips_freq", f"""SELECT tr.agency_id, pt.timed_pattern_id, c.service_schedule_group_id AS calendar_id,
  CAST(f.start_time AS BIGINT) AS start_time, CAST(f.end_time AS BIGINT) AS end_time, CAST(f.headway_secs AS INTEGER) AS headway_secs,
- t.block_id, {WEEKDAY_BOOLS}, t.in_seat_transfer = 1 AS in_seat_transfer
- FROM src_frequencies f JOIN src_trips t ON f.trip_id = t.trip_id JOIN o_patterns_trips pt ON pt.trip_id = t.trip_id
- JOIN src_calendar c ON t.service_id = c.calendar_id
- WHERE t.service_id IS NOT NULL AND t.based_on IS NULL AND t.agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_trips", f"""SELECT ROW_NUMBER() OVER (ORDER BY trip_source, {_nl(TRIP_ORDER)}) AS trip_id, * FROM (
+ tr.block_id, {WEEKDAY_BOOLS}, tr.in_seat_transfer = 1 AS in_seat_transfer
+ FROM src_frequencies f JOIN src_trips tr ON tr.trip_id = f.trip_id JOIN o_patterns_trips pt ON pt.trip_id = tr.trip_id
+ JOIN src_calendar c ON c.calendar_id = tr.service_id
+ WHERE tr.based_on IS NULL AND tr.agency_id IN {DST_AGENCY_IDS}"""),
+    ("o_trips", f"""SELECT row_number() OVER (ORDER BY trip_source, {_nl(TRIP_ORDER)}) AS trip_id, * FROM (
  SELECT 1 AS trip_source, * FROM o_trips_sched UNION ALL SELECT 2, * FROM o_trips_based_on
  UNION ALL SELECT 3, * FROM o_trips_freq_based_on UNION ALL SELECT 4, * FROM o_trips_freq) u"""),
     # ---- naming
-    ("o_counts", """SELECT route_id, direction_id, pattern_id,
- CAST(SUM(CASE WHEN headway_secs IS NULL OR end_time IS NULL THEN 1
-          ELSE CAST(FLOOR(1 + (end_time - start_time) / headway_secs) AS BIGINT) END) AS BIGINT) AS num_trips
- FROM (SELECT timed_pattern_id, pattern_id FROM o_timed_patterns) tp
- JOIN (SELECT pattern_id, route_id, direction_id FROM o_patterns_base) p USING (pattern_id)
- JOIN (SELECT timed_pattern_id, start_time, end_time, headway_secs FROM o_trips) tr USING (timed_pattern_id)
- GROUP BY route_id, direction_id, pattern_id"""),
+    ("o_counts", """SELECT p.route_id, p.direction_id, p.pattern_id,
+ CAST(sum(CASE WHEN tr.headway_secs IS NOT NULL AND tr.end_time IS NOT NULL
+               THEN CAST(floor((tr.end_time - tr.start_time) / tr.headway_secs + 1) AS BIGINT) ELSE 1 END) AS BIGINT) AS num_trips
+ FROM o_trips tr JOIN o_timed_patterns tp ON tp.timed_pattern_id = tr.timed_pattern_id
+ JOIN o_patterns_base p ON p.pattern_id = tp.pattern_id
+ GROUP BY p.route_id, p.direction_id, p.pattern_id"""),
     ("o_primary", """SELECT route_id, direction_id, pattern_id AS primary_pattern_id FROM (
- SELECT route_id, direction_id, pattern_id,
-   first_value(pattern_id) OVER (PARTITION BY route_id, direction_id ORDER BY num_trips DESC, pattern_id) AS fv
- FROM o_counts) x WHERE pattern_id = fv"""),
-    ("o_stop_arrays", "SELECT pattern_id, list(stop_id ORDER BY stop_id) AS stop_ids FROM o_pattern_stops GROUP BY pattern_id"),
-    ("o_diff_raw", """SELECT p.route_id, p.pattern_id, pp.primary_pattern_id, s.stop_ids, pr.stop_ids AS primary_stop_ids,
- list_sort(list_distinct(list_filter(s.stop_ids, lambda x: NOT list_contains(pr.stop_ids, x)))) AS added_l,
- list_sort(list_distinct(list_filter(pr.stop_ids, lambda x: NOT list_contains(s.stop_ids, x)))) AS removed_l
- FROM o_patterns_base p JOIN o_primary pp ON p.route_id = pp.route_id AND p.direction_id = pp.direction_id
- JOIN o_stop_arrays s ON s.pattern_id = p.pattern_id JOIN o_stop_arrays pr ON pr.pattern_id = pp.primary_pattern_id"""),
-    ("o_diff", """SELECT route_id, pattern_id, primary_pattern_id, CAST(len(stop_ids) AS BIGINT) AS n_stops,
- CAST(len(added_l) AS BIGINT) AS n_added_stops, CAST(len(removed_l) AS BIGINT) AS n_removed_stops,
- CASE WHEN len(added_l) > 0 THEN added_l END AS added_stop_ids,
- CASE WHEN len(removed_l) > 0 THEN removed_l END AS removed_stop_ids
- FROM o_diff_raw"""),
-    ("o_names", """SELECT route_id, pattern_id, primary_pattern_id,
- CASE WHEN pattern_id = primary_pattern_id THEN 'Primary'
- ELSE CASE WHEN n_added_stops > 3 OR n_added_stops = 0 THEN '+ ' || CAST(n_added_stops AS VARCHAR) || ' stops'
-      ELSE '+ ' || (SELECT string_agg(s.name, ' + ' ORDER BY s.stop_id) FROM o_stops s
-                    WHERE list_contains(d.added_stop_ids, s.stop_id)) END
-   || CASE WHEN n_removed_stops > 3 OR n_removed_stops = 0 THEN ' - ' || CAST(n_removed_stops AS VARCHAR) || ' stops'
-      ELSE ' - ' || (SELECT string_agg(s.name, ' - ' ORDER BY s.stop_id) FROM o_stops s
-                     WHERE list_contains(d.removed_stop_ids, s.stop_id)) END
- END AS generated_name
- FROM o_diff d"""),
+   SELECT route_id, direction_id, pattern_id,
+     row_number() OVER (PARTITION BY route_id, direction_id ORDER BY num_trips DESC, pattern_id) AS pos
+   FROM o_counts) q WHERE pos = 1"""),
+    ("o_stop_sets", "SELECT pattern_id, list(stop_id ORDER BY stop_id) AS stops FROM o_pattern_stops GROUP BY pattern_id"),
+    ("o_diff_lists", """SELECT p.route_id, p.pattern_id, pr.primary_pattern_id, mine.stops AS stops_mine,
+ list_sort(list_distinct(list_filter(mine.stops, lambda v: NOT list_contains(theirs.stops, v)))) AS plus_l,
+ list_sort(list_distinct(list_filter(theirs.stops, lambda v: NOT list_contains(mine.stops, v)))) AS minus_l
+ FROM o_patterns_base p JOIN o_primary pr ON pr.route_id = p.route_id AND pr.direction_id = p.direction_id
+ JOIN o_stop_sets mine ON mine.pattern_id = p.pattern_id JOIN o_stop_sets theirs ON theirs.pattern_id = pr.primary_pattern_id"""),
+    ("o_diff", """SELECT route_id, pattern_id, primary_pattern_id, CAST(len(stops_mine) AS BIGINT) AS n_stops,
+ CAST(len(plus_l) AS BIGINT) AS n_added_stops, CAST(len(minus_l) AS BIGINT) AS n_removed_stops,
+ CASE WHEN len(plus_l) > 0 THEN plus_l END AS added_stop_ids,
+ CASE WHEN len(minus_l) > 0 THEN minus_l END AS removed_stop_ids
+ FROM o_diff_lists"""),
+    ("o_plus_names", """SELECT d.pattern_id, string_agg(sp.name, ' + ' ORDER BY sp.stop_id) AS nm
+ FROM o_diff d JOIN o_stops sp ON list_contains(d.added_stop_ids, sp.stop_id)
+ WHERE d.n_added_stops BETWEEN 1 AND 3 GROUP BY d.pattern_id"""),
+    ("o_minus_names", """SELECT d.pattern_id, string_agg(sp.name, ' - ' ORDER BY sp.stop_id) AS nm
+ FROM o_diff d JOIN o_stops sp ON list_contains(d.removed_stop_ids, sp.stop_id)
+ WHERE d.n_removed_stops BETWEEN 1 AND 3 GROUP BY d.pattern_id"""),
+    ("o_names", """SELECT d.route_id, d.pattern_id, d.primary_pattern_id,
+ CASE WHEN d.pattern_id = d.primary_pattern_id THEN 'Primary'
+ ELSE (CASE WHEN d.n_added_stops BETWEEN 1 AND 3 THEN '+ ' || pn.nm
+            ELSE '+ ' || CAST(d.n_added_stops AS VARCHAR) || ' stops' END)
+   || (CASE WHEN d.n_removed_stops BETWEEN 1 AND 3 THEN ' - ' || mn.nm
+            ELSE ' - ' || CAST(d.n_removed_stops AS VARCHAR) || ' stops' END) END AS generated_name
+ FROM o_diff d LEFT JOIN o_plus_names pn ON pn.pattern_id = d.pattern_id
+ LEFT JOIN o_minus_names mn ON mn.pattern_id = d.pattern_id"""),
     ("o_patterns", """SELECT p.*, n.generated_name AS name FROM o_patterns_base p
  LEFT JOIN o_names n ON n.pattern_id = p.pattern_id"""),
-    ("o_unordered", """SELECT agency_id, CAST(COUNT(DISTINCT route_sort_order) AS BIGINT) AS n_sort_orders,
- CAST(COUNT(route_id) AS BIGINT) AS n_routes FROM o_routes GROUP BY agency_id
- HAVING COUNT(DISTINCT route_sort_order) <> COUNT(route_id)"""),
+    ("o_unordered", """SELECT agency_id, CAST(count(DISTINCT route_sort_order) AS BIGINT) AS n_sort_orders,
+ CAST(count(route_id) AS BIGINT) AS n_routes FROM o_routes GROUP BY agency_id
+ HAVING count(DISTINCT route_sort_order) <> count(route_id)"""),
     ("o_routes_ordered", """SELECT r.agency_id, r.route_id, r.route_short_name, r.route_long_name, r.route_color, r.route_text_color,
- COALESCE(o.route_alpha_order, r.route_sort_order) AS route_sort_order, r.enabled
+ coalesce(alpha.pos, r.route_sort_order) AS route_sort_order, r.enabled
  FROM o_routes r LEFT JOIN (
-   SELECT route_id, ROW_NUMBER() OVER (PARTITION BY agency_id
-     ORDER BY route_long_name NULLS LAST, route_short_name NULLS LAST, route_id) AS route_alpha_order
-   FROM o_routes WHERE agency_id IN (SELECT agency_id FROM o_unordered)) o ON r.route_id = o.route_id"""),
+   SELECT route_id, row_number() OVER (PARTITION BY agency_id
+     ORDER BY route_long_name NULLS LAST, route_short_name NULLS LAST, route_id) AS pos
+   FROM o_routes WHERE agency_id IN (SELECT agency_id FROM o_unordered)) alpha ON alpha.route_id = r.route_id"""),
     # ---- fares
-    ("o_fare_rules", f"""WITH distinct_fare_rules AS (
-   SELECT agency_id, fare_id, route_id, origin_id, destination_id, contains_id, max(fare_rule_id) AS golden_fare_rule_id
-   FROM src_fare_rules GROUP BY agency_id, fare_id, route_id, origin_id, destination_id, contains_id)
- SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id,
-   NOT COALESCE(agency_id IN (42, 175) OR (agency_id = 19 AND origin_id IS NOT NULL)
-                OR (agency_id = 19 AND destination_id IS NOT NULL), false) AS is_combinable,
-   CAST(NULL AS TIMESTAMP) AS last_modified
- FROM src_fare_rules
- WHERE fare_rule_id IN (SELECT golden_fare_rule_id FROM distinct_fare_rules)
- AND (origin_id IS NULL OR origin_id IN (SELECT zone_id FROM o_zones))
- AND (destination_id IS NULL OR destination_id IN (SELECT zone_id FROM o_zones))
- AND (contains_id IS NULL OR contains_id IN (SELECT zone_id FROM o_zones))
- AND agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_sym", """SELECT DISTINCT fr1.agency_id, fr1.fare_id, fr1.origin_id AS zone_id_a, fr1.destination_id AS zone_id_b,
- fr1.route_id, fr1.contains_id, fr1.is_combinable, GREATEST(fr1.last_modified, fr2.last_modified) AS last_modified
- FROM o_fare_rules fr1 JOIN o_fare_rules fr2
- ON fr1.fare_id = fr2.fare_id AND fr1.agency_id = fr2.agency_id
- AND COALESCE(fr1.origin_id, -411) = COALESCE(fr2.destination_id, -411)
- AND COALESCE(fr1.destination_id, -411) = COALESCE(fr2.origin_id, -411)
- AND COALESCE(fr1.route_id, -411) = COALESCE(fr2.route_id, -411)
- AND COALESCE(fr1.contains_id, -411) = COALESCE(fr2.contains_id, -411)
- WHERE COALESCE(fr1.origin_id, -411) < COALESCE(fr1.destination_id, -411)
- AND COALESCE(fr2.origin_id, -411) > COALESCE(fr2.destination_id, -411)"""),
-    ("o_asym", """SELECT fr.* FROM o_fare_rules fr LEFT JOIN o_sym s
- ON fr.fare_id = s.fare_id AND fr.agency_id = s.agency_id
- AND COALESCE(fr.route_id, -411) = COALESCE(s.route_id, -411)
- AND LEAST(COALESCE(fr.origin_id, -411), COALESCE(fr.destination_id, -411)) = COALESCE(s.zone_id_a, -411)
- AND GREATEST(COALESCE(fr.origin_id, -411), COALESCE(fr.destination_id, -411)) = COALESCE(s.zone_id_b, -411)
- AND COALESCE(fr.contains_id, -411) = COALESCE(s.contains_id, -411)
- WHERE s.agency_id IS NULL AND s.fare_id IS NULL"""),
+    ("o_fare_rules", f"""SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id,
+ CASE WHEN agency_id IN (42, 175) THEN false
+      WHEN agency_id = 19 AND (origin_id IS NOT NULL OR destination_id IS NOT NULL) THEN false ELSE true END AS is_combinable,
+ CAST(NULL AS TIMESTAMP) AS last_modified
+ FROM (SELECT *, max(fare_rule_id) OVER (PARTITION BY agency_id, fare_id, route_id, origin_id, destination_id, contains_id) AS newest
+       FROM src_fare_rules) r
+ WHERE fare_rule_id = newest AND agency_id IN {DST_AGENCY_IDS}
+ AND (origin_id IS NULL OR EXISTS (SELECT 1 FROM o_zones z WHERE z.zone_id = r.origin_id))
+ AND (destination_id IS NULL OR EXISTS (SELECT 1 FROM o_zones z WHERE z.zone_id = r.destination_id))
+ AND (contains_id IS NULL OR EXISTS (SELECT 1 FROM o_zones z WHERE z.zone_id = r.contains_id))"""),
+    ("o_rule_keys", """SELECT r.*, coalesce(r.origin_id, -411) AS ko, coalesce(r.destination_id, -411) AS kd,
+ coalesce(r.route_id, -411) AS kr, coalesce(r.contains_id, -411) AS kc FROM o_fare_rules r"""),
+    ("o_sym", """SELECT DISTINCT lo.agency_id, lo.fare_id, lo.origin_id AS zone_id_a, lo.destination_id AS zone_id_b, lo.route_id,
+ lo.contains_id, lo.is_combinable, greatest(lo.last_modified, hi.last_modified) AS last_modified
+ FROM o_rule_keys lo JOIN o_rule_keys hi
+ ON hi.agency_id = lo.agency_id AND hi.fare_id = lo.fare_id AND hi.kr = lo.kr AND hi.kc = lo.kc
+ AND hi.ko = lo.kd AND hi.kd = lo.ko
+ WHERE lo.ko < lo.kd"""),
+    ("o_asym", """SELECT r.fare_rule_id, r.fare_id, r.route_id, r.origin_id, r.destination_id, r.contains_id, r.agency_id,
+ r.is_combinable, r.last_modified FROM o_rule_keys r
+ WHERE NOT EXISTS (SELECT 1 FROM o_sym s WHERE s.agency_id = r.agency_id AND s.fare_id = r.fare_id
+   AND coalesce(s.route_id, -411) = r.kr AND coalesce(s.contains_id, -411) = r.kc
+   AND coalesce(s.zone_id_a, -411) = least(r.ko, r.kd) AND coalesce(s.zone_id_b, -411) = greatest(r.ko, r.kd))"""),
     ("o_edits", """SELECT * FROM (
  SELECT fare_rule_id AS seq,
    CASE CAST(FLOOR(fare_rule_id / 10) AS BIGINT) % 5 WHEN 0 THEN 'INSERT' WHEN 1 THEN 'UPDATE' WHEN 2 THEN 'DELETE' END AS op,
@@ -294,13 +291,14 @@ CTES: list[tuple[str, str]] = [
  FROM (SELECT seq, 0 AS dir, new_a AS o, new_b AS d, * FROM o_last_touch WHERE ins
        UNION ALL SELECT seq, 1, new_b, new_a, * FROM o_last_touch WHERE ins) p"""),
     # ---- shapes
-    ("o_shape_pts", """SELECT ss.start_coordinate_id AS from_stop_id, ss.end_coordinate_id AS to_stop_id, sp.shape_pt_sequence, sp.lon, sp.lat
- FROM src_shape_segments ss
- JOIN (SELECT start_coordinate_id, end_coordinate_id, max(shape_segment_id) AS shape_segment_id FROM src_shape_segments
-       GROUP BY start_coordinate_id, end_coordinate_id) mr ON ss.shape_segment_id = mr.shape_segment_id
- JOIN src_shape_points sp ON sp.shape_segment_id = ss.shape_segment_id
- WHERE ss.start_coordinate_id IS NOT NULL AND ss.end_coordinate_id IS NOT NULL
- AND ss.start_coordinate_id IN (SELECT stop_id FROM o_stops) AND ss.end_coordinate_id IN (SELECT stop_id FROM o_stops)"""),
+    ("o_shape_pts", """SELECT seg.start_coordinate_id AS from_stop_id, seg.end_coordinate_id AS to_stop_id, pt.shape_pt_sequence,
+ pt.lon, pt.lat
+ FROM (SELECT *, max(shape_segment_id) OVER (PARTITION BY start_coordinate_id, end_coordinate_id) AS newest
+       FROM src_shape_segments) seg
+ JOIN src_shape_points pt ON pt.shape_segment_id = seg.shape_segment_id
+ WHERE seg.shape_segment_id = seg.newest
+ AND EXISTS (SELECT 1 FROM o_stops a WHERE a.stop_id = seg.start_coordinate_id)
+ AND EXISTS (SELECT 1 FROM o_stops b WHERE b.stop_id = seg.end_coordinate_id)"""),
 ]
 
 _CTE_NAMES = [n for n, _ in CTES]
@@ -362,8 +360,8 @@ _TABLE_CTE = {
 }
 
 CTES += [
-    ("o_ps_summary", """SELECT pattern_id, count(*) AS number_of_stops, min(stop_order) AS min_stop_order,
- max(stop_order) AS max_stop_order FROM o_pattern_stops GROUP BY pattern_id"""),
+    ("o_ps_summary", """SELECT ps.pattern_id, count(*) AS n, min(ps.stop_order) AS lo, max(ps.stop_order) AS hi
+ FROM o_pattern_stops ps WHERE ps.pattern_id IN (SELECT pattern_id FROM o_patterns_base) GROUP BY ps.pattern_id"""),
     ("o_rider_intent", f"""SELECT fare_rider_category_id, fare_id, rider_category_custom_id, CAST(price AS DOUBLE) AS price, agency_id
  FROM src_fare_rider_categories WHERE agency_id IN {DST_AGENCY_IDS} AND fare_id IN (SELECT fare_id FROM o_fare_attributes)"""),
     ("o_shape_lines", """SELECT from_stop_id, to_stop_id, CAST(COUNT(*) AS BIGINT) AS n_points,
@@ -395,7 +393,7 @@ FINAL: dict[str, str] = {
     "users": "SELECT * FROM o_users",
     "user_permissions": "SELECT * FROM o_user_permissions",
     "timed_pattern_groups": """SELECT stops_pattern, arrival_time_intervals, departure_time_intervals, agency_id, route_id,
- direction_id, one_trip, trip_count FROM o_pti""",
+ direction_id, one_trip, trip_count FROM o_pattern_groups""",
     "tpsn": """SELECT agency_id, agency_name, route_short_name, route_long_name, direction_name, direction_id, trip_headsign_id,
  trip_headsign, stop_id, CAST(stop_order AS BIGINT) AS stop_order, timed_pattern_id, pattern_id, arrival_time, departure_time,
  pickup_type, drop_off_type, one_trip, stops_pattern, arrival_time_intervals, departure_time_intervals, route_id, stop_headsign_id
@@ -424,15 +422,16 @@ FINAL: dict[str, str] = {
     "pattern_stop_difference": """SELECT route_id, pattern_id, primary_pattern_id, n_stops, n_added_stops, n_removed_stops,
  array_to_string(added_stop_ids, ',') AS added_stop_ids, array_to_string(removed_stop_ids, ',') AS removed_stop_ids FROM o_diff""",
     "pattern_names": "SELECT * FROM o_patterns",
-    "pattern_names_endpoints": """SELECT p.pattern_id, s1.stop_name || ' to ' || sN.stop_name || ' x' || CAST(number_of_stops AS VARCHAR) AS generated_name
- FROM o_patterns_base p JOIN o_ps_summary ps ON ps.pattern_id = p.pattern_id
- JOIN o_pattern_stops ps1 ON ps1.pattern_id = p.pattern_id AND ps1.stop_order = min_stop_order
- JOIN o_pattern_stops psN ON psN.pattern_id = p.pattern_id AND psN.stop_order = max_stop_order
- JOIN src_stops s1 ON s1.stop_id = ps1.stop_id JOIN src_stops sN ON sN.stop_id = psN.stop_id""",
+    "pattern_names_endpoints": """SELECT ends.pattern_id,
+ head.stop_name || ' to ' || tail.stop_name || ' x' || CAST(ends.n AS VARCHAR) AS generated_name
+ FROM o_ps_summary ends
+ JOIN o_pattern_stops f ON f.pattern_id = ends.pattern_id AND f.stop_order = ends.lo
+ JOIN o_pattern_stops l ON l.pattern_id = ends.pattern_id AND l.stop_order = ends.hi
+ JOIN src_stops head ON head.stop_id = f.stop_id JOIN src_stops tail ON tail.stop_id = l.stop_id""",
     "unordered_agencies": "SELECT * FROM o_unordered",
     "routes_ordered": "SELECT * FROM o_routes_ordered",
     "fare_rules_golden": """SELECT agency_id, fare_id, route_id, origin_id, destination_id, contains_id,
- max(fare_rule_id) AS golden_fare_rule_id, min(fare_rule_id) AS oldest_fare_rule_id, CAST(count(*) AS BIGINT) AS n_rules
+ max(fare_rule_id) AS newest_fare_rule_id, min(fare_rule_id) AS oldest_fare_rule_id, CAST(count(*) AS BIGINT) AS n_rules
  FROM src_fare_rules GROUP BY agency_id, fare_id, route_id, origin_id, destination_id, contains_id""",
     "fare_rules": """SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id, is_combinable
  FROM o_fare_rules""",
@@ -475,13 +474,12 @@ FINAL: dict[str, str] = {
  (SELECT p.route_id, CAST(COUNT(*) AS BIGINT) AS n_target FROM o_trips tr JOIN o_timed_patterns tp USING (timed_pattern_id)
   JOIN o_patterns_base p ON p.pattern_id = tp.pattern_id WHERE tr.headway_secs IS NOT NULL GROUP BY p.route_id) t
  ON s.route_id = t.route_id""",
-    "based_on_missing_start": f"""SELECT b.trip_id AS b_trip_id, t.trip_id AS base_trip_id, b.agency_id, pt.timed_pattern_id,
+    "based_on_missing_start": f"""SELECT kid.trip_id AS b_trip_id, par.trip_id AS base_trip_id, kid.agency_id, pt.timed_pattern_id,
  c.service_schedule_group_id AS calendar_id
- FROM src_trips b JOIN src_trips t ON b.based_on = t.trip_id JOIN o_patterns_trips pt ON t.trip_id = pt.trip_id
- JOIN src_calendar c ON b.service_id = c.calendar_id
- WHERE (b.trip_start_time IS NULL AND t.trip_start_time IS NULL) AND b.service_id IS NOT NULL
- AND NOT EXISTS (SELECT NULL FROM src_frequencies f WHERE t.trip_id = f.trip_id)
- AND b.based_on IS NOT NULL AND t.agency_id IN {DST_AGENCY_IDS}""",
+ FROM src_trips kid JOIN src_trips par ON par.trip_id = kid.based_on
+ JOIN o_patterns_trips pt ON pt.trip_id = par.trip_id JOIN src_calendar c ON c.calendar_id = kid.service_id
+ WHERE coalesce(kid.trip_start_time, par.trip_start_time) IS NULL AND par.agency_id IN {DST_AGENCY_IDS}
+ AND NOT EXISTS (SELECT 1 FROM src_frequencies f WHERE f.trip_id = par.trip_id)""",
     "trip_chain_counts": """SELECT 1 AS stage_order, 'trips' AS stage, CAST(COUNT(*) AS BIGINT) AS n_rows FROM src_trips
  UNION ALL SELECT 2, 'with calendar', CAST(COUNT(*) AS BIGINT) FROM src_trips t JOIN src_calendar c ON t.service_id = c.calendar_id
  UNION ALL SELECT 3, 'with first arrival', CAST(COUNT(*) AS BIGINT) FROM src_trips t JOIN src_calendar c ON t.service_id = c.calendar_id

@@ -283,7 +283,7 @@ def q_routes_ordered(spark, sf):
 
 @query("fare_rules_golden")
 def q_fare_rules_golden(spark, sf):
-    g = fares.golden_fare_rules(migration(spark, sf).src["fare_rules"])
+    g = fares.newest_fare_rules(migration(spark, sf).src["fare_rules"])
     return g.withColumn("n_rules", F.col("n_rules").cast("bigint"))
 
 
