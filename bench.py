@@ -37,7 +37,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="headway-bench")
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), app="headway-bench")
     prep_dir = tempfile.mkdtemp(prefix="headway-bench-src-")
     t0 = time.perf_counter()
     derived = SourceCatalog.from_testdata(spark, sf_dir)
