@@ -49,7 +49,7 @@ def main() -> None:
         registry._MIGRATIONS.clear()
         spark.catalog.clearCache()
         m = Migration(spark, SourceCatalog.from_parquet(spark, prep_dir, SOURCE_TABLES))
-        registry._MIGRATIONS[(id(spark), sf_dir)] = m
+        registry._MIGRATIONS[registry._key(spark, sf_dir)] = m
         return m
 
     fresh()

@@ -511,6 +511,10 @@ FINAL.update({
  FROM src_fare_rider_categories WHERE agency_id IN {DST_AGENCY_IDS} AND fare_id IN (SELECT agency_id FROM o_fare_attributes)) r
  WHERE r.fare_id IN (SELECT fare_id FROM o_fare_attributes) OR r.fare_id IS NULL""",
 })
+FINAL["scope_only_agency"] = """SELECT DISTINCT ag.agency_id, ag.agency_name, link.agency_group_id AS feed_id
+ FROM src_agency ag JOIN src_agency_group_assoc link USING (agency_id)
+ WHERE ag.agency_id = (SELECT agency_id FROM src_trips WHERE agency_id IS NOT NULL GROUP BY agency_id
+                       ORDER BY count(*) DESC, agency_id LIMIT 1)"""
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()
 FINAL["check_audit"] = _check_sql()

@@ -19,14 +19,21 @@ from headway.operators.ids import high_water_marks
 from headway.plans.pipeline import Migration
 from headway.sources.catalog import SourceCatalog
 
-_MIGRATIONS: dict[tuple[int, str], Migration] = {}
+_MIGRATIONS: dict[tuple, Migration] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return (spark.sparkContext.applicationId, id(spark), sf_dir)
 
 
 def migration(spark: SparkSession, sf_dir: str) -> Migration:
-    key = (id(spark), sf_dir)
-    if key not in _MIGRATIONS:
-        _MIGRATIONS[key] = Migration(spark, SourceCatalog.from_testdata(spark, sf_dir), MigrateConfig())
-    return _MIGRATIONS[key]
+    """One migration per (application, session, scale folder): the queries of
+    one driver run share its persisted intermediates and dense ids."""
+    key = _key(spark, sf_dir)
+    m = _MIGRATIONS.get(key)
+    if m is None or m.spark is not spark:
+        m = _MIGRATIONS[key] = Migration(spark, SourceCatalog.from_testdata(spark, sf_dir), MigrateConfig())
+    return m
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -434,3 +441,21 @@ def q_stop_feed_link(spark, sf):
 def q_orphan_prune(spark, sf):
     m = migration(spark, sf)
     return audits.prune_orphans(_riders(m, "literal"), "fare_id", m.fare_attributes, "fare_id")
+
+
+def busiest_agency(src) -> int:
+    """The agency running the most trips (ties: smallest id), read as a scalar."""
+    row = (src["trips"].where(F.col("agency_id").isNotNull()).groupBy("agency_id").count()
+           .orderBy(F.col("count").desc(), F.col("agency_id")).first())
+    return int(row["agency_id"])
+
+
+@query("scope_only_agency")
+def q_scope_only_agency(spark, sf):
+    """A5: a trial run scoped to one agency; its skip list is every other
+    agency (computed from the data)."""
+    from headway.operators.scope import scope_only
+    from headway.operators.reference_tables import agencies
+    m = migration(spark, sf)
+    cfg = MigrateConfig(skip_agencies=tuple(scope_only(m.src, busiest_agency(m.src))))
+    return agencies(m.src, cfg).select("agency_id", "agency_name", "feed_id")
