@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
 from headway.functions.geo import METRES_TO_MILES, make_point, segment_metres
-from headway.operators.scope import in_migrated_agencies
 
 # Legacy time zone text clean-up.
 LEGACY_TZ_RENAMES = {"US/Eastern": "America/New_York"}

@@ -1,6 +1,5 @@
 """Library functions that are not registered queries."""
 
-from pyspark.sql import functions as F
 
 from headway.functions.columns import hms_to_seconds, null_means_all, seconds_to_hms
 from headway.operators import audits, spatial
