@@ -27,3 +27,7 @@ class MigrateConfig:
     tz_band_degrees: float = 1.0
     # Salt buckets spread a hot latitude band over several tasks.
     tz_band_salt: int = 4
+    # Write the per-trip table (about the size of stop_times) as a table
+    # bucketed by trip_id under spark.checkpoint.dir instead of persisting
+    # it: a lost executor re-reads files instead of redoing the shuffle.
+    materialize_per_trip: bool = False

@@ -39,7 +39,8 @@ def main(argv=None) -> None:
     src = (SourceCatalog.from_parquet(spark, a.source, SOURCE_TABLES) if a.source
            else SourceCatalog.from_testdata(spark, a.testdata))
     skip = tuple(int(x) for x in a.skip_agencies.split(",") if x.strip())
-    print(json.dumps(run_all(spark, src, a.out, MigrateConfig(skip_agencies=skip))))
+    cfg = MigrateConfig(skip_agencies=skip, materialize_per_trip=a.cluster)
+    print(json.dumps(run_all(spark, src, a.out, cfg)))
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@ a lost executor recomputes the same numbering.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.config import MigrateConfig
 from headway.operators import (audits, fares, naming, patterns as pat, reference_tables as ref,
                                spatial, trips as trp)
+from headway.session import ensure_checkpoint_dir
 from headway.sources.catalog import SourceCatalog
 from headway.sources.sinks import write_all
 
@@ -26,6 +28,19 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def bucketed_table(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Write ``df`` once as a parquet table bucketed and sorted by ``key``
+    under the session's checkpoint folder and read it back: the lineage is
+    cut, and joins on ``key`` can use the bucketing instead of a shuffle."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"headway_{label}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.bucketBy(n, key).sortBy(key).option("path", f"{root}/{name}")
+     .mode("overwrite").saveAsTable(name))
+    return spark.table(name)
+
+
 def _release(m: "Migration") -> None:
     """Unpersist every intermediate a migration cached."""
     for value in list(vars(m).values()):
@@ -116,7 +131,10 @@ class Migration:
     # ---- C: patterns ------------------------------------------------------
     @cached_property
     def per_trip(self) -> DataFrame:
-        return pat.trip_stop_rows(self.src, self.agencies, self.cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = pat.trip_stop_rows(self.src, self.agencies, self.cfg)
+        if self.cfg.materialize_per_trip:
+            return bucketed_table(rows, "trip_id", "per_trip")
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def pattern_time_intervals(self) -> DataFrame:
