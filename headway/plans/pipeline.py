@@ -67,10 +67,15 @@ class Migration:
     def zones(self) -> DataFrame:
         return _keep(ref.zones(self.src))
 
+    @cached_property
+    def stops_base(self) -> DataFrame:
+        """Migrated stops before the time zone step (names and ids only are
+        needed by pattern names and shapes)."""
+        return _keep(ref.stops_base(self.src, self.agencies))
+
     @cached_property
     def stops(self) -> DataFrame:
-        base = ref.stops_base(self.src, self.agencies)
-        return _keep(spatial.assign_timezones(base, self.src["tz_polygons"], self.cfg))
+        return _keep(spatial.assign_timezones(self.stops_base, self.src["tz_polygons"], self.cfg))
 
     @cached_property
     def routes(self) -> DataFrame:
@@ -202,7 +207,7 @@ class Migration:
 
     @cached_property
     def patterns(self) -> DataFrame:
-        return naming.pattern_names(self.patterns_base, self.pattern_stop_difference, self.stops)
+        return naming.pattern_names(self.patterns_base, self.pattern_stop_difference, self.stops_base)
 
     @cached_property
     def routes_ordered(self) -> DataFrame:
@@ -224,7 +229,7 @@ class Migration:
     # ---- I: shapes -----------------------------------------------------------
     @cached_property
     def shape_segments(self) -> DataFrame:
-        return _keep(spatial.shape_segments(self.src, self.stops))
+        return _keep(spatial.shape_segments(self.src, self.stops_base))
 
     # ---- everything -----------------------------------------------------------
     def targets(self) -> dict[str, DataFrame]:
