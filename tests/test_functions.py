@@ -54,3 +54,25 @@ def test_prune_orphans_keeps_null_keys(spark):
     child = spark.createDataFrame([(1, 10), (2, None), (3, 99)], "id int, parent bigint")
     parent = spark.createDataFrame([(10,)], "pid bigint")
     assert sorted(r.id for r in audits.prune_orphans(child, "parent", parent, "pid").collect()) == [1, 2]
+
+
+def test_array_minus_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    from headway.functions.columns import array_minus
+
+    elems = st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=6)
+    cases = []
+
+    @settings(max_examples=60, deadline=None)
+    @given(elems, elems)
+    def collect(a, b):
+        cases.append((a, b))
+
+    collect()
+    df = spark.createDataFrame(cases, "a array<int>, b array<int>")
+    got = [r[0] for r in df.select(array_minus("a", "b")).collect()]
+    for (a, b), g in zip(cases, got):
+        keep = {x for x in a if x is None or x not in {y for y in b if y is not None}}
+        want = sorted(x for x in keep if x is not None) + ([None] if None in keep else [])
+        assert g == (want or None)
