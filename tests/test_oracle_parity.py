@@ -11,6 +11,9 @@ from tools.check_oracle import BASE, rows_of
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(E.queries())
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                   "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                   "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +34,14 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
+    rel = con.sql(E.oracle_sql()[name])
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    # same column types on both engines
+    sql_type = dict(zip(ocols, otypes))
+    for col, spark_type in df.dtypes:
+        assert SPARK_TO_DUCKDB.get(spark_type, spark_type.upper()) == sql_type[col], (col, spark_type)
     assert rows_of(df.columns, srows) == rows_of(ocols, orows)
 
 
