@@ -515,6 +515,8 @@ FINAL["scope_only_agency"] = """SELECT DISTINCT ag.agency_id, ag.agency_name, li
  FROM src_agency ag JOIN src_agency_group_assoc link USING (agency_id)
  WHERE ag.agency_id = (SELECT agency_id FROM src_trips WHERE agency_id IS NOT NULL GROUP BY agency_id
                        ORDER BY count(*) DESC, agency_id LIMIT 1)"""
+FINAL["null_means_all"] = """SELECT fare_rule_id, coalesce(route_id, -411) AS route_id, coalesce(origin_id, -411) AS origin_id,
+ coalesce(destination_id, -411) AS destination_id, coalesce(contains_id, -411) AS contains_id FROM src_fare_rules"""
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()
 FINAL["check_audit"] = _check_sql()

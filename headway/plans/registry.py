@@ -459,3 +459,12 @@ def q_scope_only_agency(spark, sf):
     m = migration(spark, sf)
     cfg = MigrateConfig(skip_agencies=tuple(scope_only(m.src, busiest_agency(m.src))))
     return agencies(m.src, cfg).select("agency_id", "agency_name", "feed_id")
+
+
+@query("null_means_all")
+def q_null_means_all(spark, sf):
+    """H3 over the whole source fare-rule table: wildcard keys as -411."""
+    from headway.functions.columns import null_means_all
+    r = migration(spark, sf).src["fare_rules"]
+    return r.select("fare_rule_id", *[null_means_all(c).alias(c) for c in
+                                      ("route_id", "origin_id", "destination_id", "contains_id")])
