@@ -43,6 +43,9 @@ def test_query_matches_oracle(spark, con, name):
     for col, spark_type in df.dtypes:
         assert SPARK_TO_DUCKDB.get(spark_type, spark_type.upper()) == sql_type[col], (col, spark_type)
     assert rows_of(df.columns, srows) == rows_of(ocols, orows)
+    # plan audit: no cross products or nested-loop joins anywhere in the plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry_smoke(spark):
