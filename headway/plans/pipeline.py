@@ -2,8 +2,10 @@
 
 ``Migration`` exposes every target table as a memoised DataFrame built in
 data-flow order.  Shared intermediates are persisted once (the per-trip
-table, the wide table); dense ids are checkpointed inside ``dense_id`` so
-a lost executor recomputes the same numbering.
+table, the wide table, patterns, stops, fare rules, ...); ``dense_id``
+writes its numbered rows as a table under the checkpoint folder, so a lost
+executor never renumbers rows.  With ``materialize_per_trip`` the per-trip
+table is written there too, bucketed by trip_id.
 """
 
 from __future__ import annotations
