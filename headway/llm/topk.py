@@ -114,7 +114,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, shard_rows: int = S
     n_blocks = max(1, -(-(n // every) // block_queries))
     blocks = _packed(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "twin"), F.lit(n_blocks))), "block")
     pairs = (blocks.select("block", F.col("ids").alias("q_ids"), F.col("twins").alias("q_twins"), F.col("dim").alias("q_dim"),
-                           F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).cast("long").alias("shard"))
+                           F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard"))
              .join(shards.drop("twins"), "shard"))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
