@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, topk
+from . import licenses, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_license_scan")
+def op3_license_scan(spark, sf_dir):
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
 @query("op7_sharding")
 def op7_sharding(spark, sf_dir):
     return sharding.digest(table(spark, sf_dir, "documents"), n_shards=40)
