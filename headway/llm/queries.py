@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, sharding, topk
+from . import html, licenses, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,8 @@ def op7_sharding(spark, sf_dir):
 @query("op8_topk_search", topk.ORACLE_SQL)
 def op8_topk_search(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@query("op9_html_extraction")
+def op9_html_extraction(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
