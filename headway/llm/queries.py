@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, licenses, sharding, topk
+from . import html, jaccard, licenses, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,11 @@ def op3_license_scan(spark, sf_dir):
     return licenses.digest(table(spark, sf_dir, "documents"))
 
 
+@query("op5_jaccard_join", jaccard.ORACLE_SQL)
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @query("op7_sharding")
 def op7_sharding(spark, sf_dir):
     return sharding.digest(table(spark, sf_dir, "documents"), n_shards=40)
