@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, jaccard, licenses, sharding, topk
+from . import html, jaccard, licenses, lm, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,8 @@ def op8_topk_search(spark, sf_dir):
 @query("op9_html_extraction")
 def op9_html_extraction(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"))
