@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, jaccard, licenses, lm, sharding, topk
+from . import decontam, html, jaccard, licenses, lm, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_decontamination", decontam.ORACLE_SQL)
+def op2_decontamination(spark, sf_dir):
+    return decontam.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op3_license_scan")
 def op3_license_scan(spark, sf_dir):
     return licenses.digest(table(spark, sf_dir, "documents"))
