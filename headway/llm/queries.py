@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html, jaccard, licenses, lm, sharding, topk
+from . import decontam, html, jaccard, langid, licenses, lm, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,11 @@ def op3_license_scan(spark, sf_dir):
     return licenses.digest(table(spark, sf_dir, "documents"))
 
 
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    return langid.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 @query("op5_jaccard_join", jaccard.ORACLE_SQL)
 def op5_jaccard_join(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
