@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html, jaccard, langid, licenses, lm, sharding, topk
+from . import decontam, html, jaccard, langid, licenses, lines, lm, mixing, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_mixing")
+def op1_mixing(spark, sf_dir):
+    return mixing.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_decontamination", decontam.ORACLE_SQL)
 def op2_decontamination(spark, sf_dir):
     return decontam.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +50,11 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+@query("op6_line_dedup", lines.ORACLE_SQL)
+def op6_line_dedup(spark, sf_dir):
+    return lines.clean(table(spark, sf_dir, "documents"))
+
+
 @query("op7_sharding")
 def op7_sharding(spark, sf_dir):
     return sharding.digest(table(spark, sf_dir, "documents"), n_shards=40)
