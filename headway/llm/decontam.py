@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import text
 from .packing import slices
+from .store import ship
 
 WORDS, PERCENT = 5, 80
 SKETCH = 16
@@ -106,6 +107,7 @@ class Index:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Index]:
+    ship(benchmark.sparkSession)
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_BYTES))

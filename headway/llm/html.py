@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .store import write_table
+from .store import ship, write_table
 
 SHARE, LEAST = 0.5, 10
 
@@ -204,6 +204,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """``page_id, url, text, n_chars, n_template_blocks`` of every page."""
+    ship(pages.sparkSession)
     host = F.nullif(F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
     parsed = write_table(rows.mapInArrow(

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import text
 from .packing import slices
-from .store import write_table
+from .store import ship, write_table
 
 SAMPLE = 20_000          # labelled rows that the trigram models are fitted on
 BUCKETS = 1 << 15
@@ -71,6 +71,7 @@ def _language(c: Column) -> Column:
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their log probabilities per trigram bucket, from ``text, lang``."""
+    ship(labelled.sparkSession)
     rows = labelled.select("text", _language(F.col("lang")).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     one_in = max(1, -(-rows.count() // sample))
     rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import text
 from .eliasfano import EliasFano, TrieLevel, memory_map
 from .packing import pack, slices, unpack
-from .store import drop_table, shuffle_partitions, write_table
+from .store import ship, shuffle_partitions, write_table
 
 DISCOUNT = 0.75
 STEP = 1 / 16                  # width of a probability code in log10; 255 codes reach 10**-15.9
@@ -313,6 +313,7 @@ def _finish(n_train: int, total: float):
 
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document."""
+    ship(docs.sparkSession)
     n_shards = 2 * shuffle_partitions(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = vocabulary(docs, n_shards)

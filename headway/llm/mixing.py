@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import text
 from .packing import slices
-from .store import write_table
+from .store import ship, write_table
 
 SAMPLE = 10_000              # labelled documents that the classifier is fitted on
-WORDS = 4096                 # most telling words of the sample that are features
+WORDS = 512                  # most telling words of the sample that are features
 LEAST = 5                    # documents of the sample that such a word is in
 STEPS = 60
 CLOSE = 1e-3                 # steps end when every total is this close to its target, or stands still
@@ -68,7 +68,7 @@ class Classifier:
 
     def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Token counts, rows and features of the feature words found, dense features."""
-        hashes, offsets = text.word_hashes(column, text.SPACED)
+        hashes, offsets = text.word_hashes(column, text.PLAIN)
         n_tokens = np.diff(offsets)
         at = np.flatnonzero(self.table[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
         feature = np.minimum(np.searchsorted(self.words, hashes[at]), max(len(self.words) - 1, 0))
@@ -103,6 +103,7 @@ def _table(words: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Classifier of the labelled documents."""
+    ship(docs.sparkSession)
     named = labels.select(F.col("doc_id").alias("label_id"), domain().alias("domain")).where("domain IS NOT NULL AND label_id IS NOT NULL")
     one_in = max(1, -(-named.count() // sample))
     named = named.where(F.pmod(F.xxhash64("label_id"), F.lit(one_in)) == 0)           # at most about ``sample`` ids
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                hashes, offsets = text.word_hashes(part["text"], text.SPACED)
+                hashes, offsets = text.word_hashes(part["text"], text.PLAIN)
                 sets = [np.unique(hashes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
                 label = part["domain"].take(pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets])))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), label], names=["word", "domain"])

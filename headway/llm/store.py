@@ -7,7 +7,10 @@ unset (tests, local runs) the session helper makes one.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +36,22 @@ def drop_table(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors once per application, wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp(prefix='headway-py-')}/{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        sc.addPyFile(archive)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

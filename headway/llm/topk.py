@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from .store import ship
+
 SHARD_ROWS = 8192
 BLOCK_QUERIES = 512
 PROBE = 4        # terms traversed or probed between two tests of the threshold
@@ -101,6 +103,7 @@ def _packed(rows: DataFrame, key: str) -> DataFrame:
 def search(vectors: DataFrame, k: int = 20, every: int = 20, shard_rows: int = SHARD_ROWS,
            block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best candidates of every row whose id is divisible by ``every``."""
+    ship(vectors.sparkSession)
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(
         F.col("vec_id").cast("long").alias("vec_id"),
