@@ -184,9 +184,9 @@ def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is identified; the source stands for the host."""
     found = identify(_documents(docs, _identity()), fit(docs))
     rejected = write_table(found.where(~F.col("accepted")).select(
-        F.col("key.doc_id").alias("r_id"), F.col("key.mark").alias("r_mark")).distinct(), "langid-rejected")
-    own = _identity()
-    return docs.join(rejected, own["doc_id"].eqNullSafe(F.col("r_id")) & (own["mark"] == F.col("r_mark")), "left_anti")
+        F.col("key.doc_id").alias("_id"), F.col("key.mark").alias("_mark")).distinct(), "langid-rejected")
+    mark = F.xxhash64(docs["text"], docs["lang"], docs["source"])
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]) & (mark == rejected["_mark"]), "left_anti")
 
 
 _PAGE_TEXT = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<[^>]*>|&[a-z]+;|&#\w+;"
