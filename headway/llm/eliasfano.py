@@ -13,14 +13,12 @@ import tempfile
 
 import numpy as np
 
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-
 
 class EliasFano:
     def __init__(self, values: np.ndarray):
         self.n = len(values)
         top = int(values[-1]) + 1 if self.n else 1
-        self.low_bits = max(0, (top // max(self.n, 1)).bit_length() - 1)
+        self.low_bits = min(57, max(0, (top // max(self.n, 1)).bit_length() - 1))
         values = values.astype(np.uint64)
         self.low = _pack_bits(values & np.uint64((1 << self.low_bits) - 1), self.low_bits)
         high = (values >> np.uint64(self.low_bits)).astype(np.int64)
@@ -31,7 +29,7 @@ class EliasFano:
         self._index()
 
     def _index(self) -> None:
-        ones = _ONES[np.asarray(self.bits)].reshape(-1, 8).sum(axis=1, dtype=np.int64)
+        ones = np.bitwise_count(self.bits.view("<u8")).astype(np.int64)
         self.ones = np.append(0, np.cumsum(ones)).astype(np.uint32 if self.n < 1 << 31 else np.uint64)    # ones before each 64-bit word
 
     def arrays(self) -> list[np.ndarray]:
@@ -41,20 +39,21 @@ class EliasFano:
         """Position of the k-th (from 0) one or zero."""
         words = len(self.ones) - 1
         before = self.ones if one else np.arange(words + 1, dtype=np.int64) * 64 - self.ones
-        word = np.searchsorted(before, k, side="right") - 1
-        left = k - before[word].astype(np.int64)
-        at = word * 8
-        out = np.full(len(k), -1, np.int64)
-        for _ in range(8):                                           # the byte within the word
-            byte = self.bits[np.minimum(at, len(self.bits) - 1)]
-            here = _ONES[byte].astype(np.int64) if one else 8 - _ONES[byte].astype(np.int64)
-            move = (out < 0) & (left >= here)
-            stay = (out < 0) & ~move
-            out[stay] = at[stay]
-            left = np.where(move, left - here, left)
-            at = np.where(move, at + 1, at)
-        byte = self.bits[np.minimum(out, len(self.bits) - 1)]
-        return out * 8 + (_SELECT1 if one else _SELECT0)[byte, np.clip(left, 0, 7)]
+        at = np.searchsorted(before, k.astype(before.dtype), side="right") - 1
+        left = k - before[at].astype(np.int64)
+        at = np.minimum(at, words - 1)
+        word = self.bits.view("<u8")[at]
+        if not one:
+            word = ~word
+        out = at * 64
+        for half in (32, 16, 8):
+            low = word & np.uint64((1 << half) - 1)
+            here = np.bitwise_count(low).astype(np.int64)
+            move = left >= here
+            word = np.where(move, word >> np.uint64(half), low)
+            left -= here * move
+            out += half * move
+        return out + _SELECT[word & np.uint64(0xFF), np.minimum(left, 7)]
 
     def access(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
@@ -63,39 +62,39 @@ class EliasFano:
         high = (self._select(i, True) - i).astype(np.uint64)
         return (high << np.uint64(self.low_bits)) | _read_bits(self.low, i, self.low_bits)
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first value >= x, n where there is none."""
+    def successor(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
+        """Index of the first value >= x among the indices from ``begin`` to ``end``; ``end`` where there is none."""
         x = np.asarray(x, np.uint64)
+        last = np.broadcast_to(np.asarray(self.n if end is None else end, np.int64), len(x))
         if not self.n or not len(x):
-            return np.zeros(len(x), np.int64)
+            return last.copy()
         high = (x >> np.uint64(self.low_bits)).astype(np.int64)
         zeros = len(self.bits) * 8 - int(self.ones[-1])
-        # values with a smaller high part: the ones before the high-th zero
-        at = np.where(high == 0, 0, self._select(np.clip(high - 1, 0, zeros - 1), False) + 1 - high)
-        at = np.where(high >= zeros, self.n, np.minimum(at, self.n))
-        low = x & np.uint64((1 << self.low_bits) - 1)
-        moving = np.flatnonzero(at < self.n)
-        while len(moving):                                           # equal high parts: few on average
-            value = self.access(at[moving])
-            less = value < x[moving]
-            moving = moving[less]
-            at[moving] += 1
-            moving = moving[at[moving] < self.n]
-        return at
-
-
-_bits = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(bool)
-_SELECT1 = np.zeros((256, 8), np.int64)
-_SELECT0 = np.zeros((256, 8), np.int64)
-for _b in range(256):
-    _one, _zero = np.flatnonzero(_bits[_b]), np.flatnonzero(~_bits[_b])
-    _SELECT1[_b, :len(_one)], _SELECT0[_b, :len(_zero)] = _one, _zero
+        # the values with this high part stand between the zeros before and after them
+        low = np.where(high == 0, 0, self._select(np.clip(high - 1, 0, zeros - 1), False) + 1 - high)
+        top = self._select(np.clip(high, 0, zeros - 1), False) - high
+        low, top = (np.where(high >= zeros, self.n, y) for y in (low, top))
+        low, top = np.clip(low, begin, last), np.clip(top, begin, last)
+        open_ = np.flatnonzero(low < top)
+        while len(open_):
+            middle = (low[open_] + top[open_]) >> 1
+            less = self.access(middle) < x[open_]
+            low[open_[less]] = middle[less] + 1
+            top[open_[~less]] = middle[~less]
+            open_ = open_[low[open_] < top[open_]]
+        return low
+
+
+_SELECT = np.zeros((256, 8), np.int64)         # place of the k-th one of a byte
+for _byte in range(256):
+    _places = [i for i in range(8) if _byte >> i & 1]
+    _SELECT[_byte, :len(_places)] = _places
 
 
 def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     if not width or not len(values):
         return np.zeros(16, np.uint8)
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1) if len(values) * width < 1 << 22 else None
+    bits = (values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1) if len(values) * width <= 1 << 22 else None
     if bits is None:                                                 # in slices, to bound the temporaries
         step = 8 * max(1, (1 << 19) // width)
         return np.concatenate([_pack_bits(values[a:a + step], width)[:step * width // 8] for a in range(0, len(values), step)]
@@ -107,12 +106,9 @@ def _read_bits(data: np.ndarray, i: np.ndarray, width: int) -> np.ndarray:
     if not width:
         return np.zeros(len(i), np.uint64)
     start = i * width
-    byte, shift = start >> 3, (start & 7).astype(np.uint64)
-    out = np.zeros(len(i), np.uint64)
-    for k in range((width + 14) // 8):
-        b = data[byte + k].astype(np.uint64)
-        out |= (b << np.uint64(8 * k)) >> shift if k < 7 else (b << np.uint64(56)) >> shift if k == 7 else b << (np.uint64(64) - shift)
-    return out & np.uint64((1 << width) - 1)
+    # eight bytes from any byte on hold every value of up to 57 bits
+    at_byte = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    return (at_byte[start >> 3] >> (start & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
 
 
 class TrieLevel:
@@ -137,8 +133,8 @@ class TrieLevel:
         nodes, run = parents[new], np.cumsum(new) - 1
         begin, end = (self.pointers.access(nodes + k).astype(np.int64)[run] for k in (0, 1))
         target = parents.astype(np.uint64) * np.uint64(self.universe) + ids.astype(np.uint64)
-        at = self.ids.successor(target)
-        inside = np.flatnonzero((at >= begin) & (at < end))
+        at = self.ids.successor(target, begin, end)
+        inside = np.flatnonzero(at < end)
         found = np.full(len(ids), -1, np.int64)
         hit = inside[self.ids.access(at[inside]) == target[inside]]
         found[hit] = at[hit]
