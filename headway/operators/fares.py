@@ -13,7 +13,8 @@ from headway.operators.scope import in_migrated_agencies
 
 RULE_KEY = ["agency_id", "fare_id", "route_id", "origin_id", "destination_id", "contains_id"]
 RULE_COLUMNS = ["fare_rule_id", "fare_id", "route_id", "origin_id", "destination_id", "contains_id",
-                "agency_id", "is_combinable", "last_modified"]
+                "agency_id", "is_combinable", "last_modified", "fare_id_import", "route_id_import", "origin_id_import",
+                "destination_id_import", "contains_id_import"]
 SYM_COLUMNS = ["agency_id", "fare_id", "zone_id_a", "zone_id_b", "route_id", "contains_id", "is_combinable"]
 
 
@@ -159,12 +160,13 @@ def _pair_key(fare, agency, route, a, b, contains):
 _KEY = ["_kf", "_ka", "_kr", "_klo", "_khi", "_kc"]
 
 
-def apply_edits(rules: DataFrame, edits: DataFrame, first_new_id: int | None = None) -> DataFrame:
+def apply_edits(rules: DataFrame, edits: DataFrame, first_new_id: int | None = None, run_ts=None) -> DataFrame:
     """F8: DELETE removes both directions of OLD; INSERT removes both
     directions of NEW, then adds forward and reverse rows; UPDATE does both
     (OLD first).  The final state of a key is decided by the last edit
     touching it (``max_by`` over (seq, step), a partial aggregate); new rows
-    get ids after the current maximum."""
+    get ids after the current maximum, ``run_ts`` as their modification time
+    and no import ids."""
     deletes = edits.where(F.col("op").isin("DELETE", "UPDATE")).select(
         *_pair_key(F.col("old_fare_id"), F.col("old_agency_id"), F.col("old_route_id"),
                    F.col("old_zone_id_a"), F.col("old_zone_id_b"), F.col("old_contains_id")),
@@ -194,5 +196,7 @@ def apply_edits(rules: DataFrame, edits: DataFrame, first_new_id: int | None = N
         F.col("o").alias("origin_id"), F.col("d").alias("destination_id"),
         F.col("new_contains_id").alias("contains_id"), F.col("new_agency_id").alias("agency_id"),
         F.col("new_is_combinable").alias("is_combinable"),
-        F.lit(None).cast(rules.schema["last_modified"].dataType).alias("last_modified"))
+        F.lit(run_ts).cast(rules.schema["last_modified"].dataType).alias("last_modified"))
+    added = added.select("*", *[F.lit(None).cast(rules.schema[c].dataType).alias(c)
+                                for c in rules.columns if c not in added.columns])
     return kept.unionByName(added.select(*rules.columns))

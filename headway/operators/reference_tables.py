@@ -21,7 +21,9 @@ def feeds(src, cfg: MigrateConfig) -> DataFrame:
     g, a = src["agency_groups"], src["agency_group_assoc"]
     return (g.join(a, g.agency_group_id == a.agency_group_id)
             .where(not_skipped(a.agency_id, cfg.skip_agencies))
-            .select(g.agency_group_id.alias("feed_id"), g.group_name.alias("name"))
+            .select(g.agency_group_id.alias("feed_id"), g.group_name.alias("name"),
+                    g.feed_contact_email.alias("contact_email"), g.feed_contact_url.alias("contact_url"),
+                    g.feed_license.alias("license"), g.last_modified)
             .distinct())
 
 
@@ -31,18 +33,22 @@ def agencies(src, cfg: MigrateConfig) -> DataFrame:
     a, g = src["agency"], src["agency_group_assoc"]
     return (a.join(g, "agency_id")
             .where(not_skipped("agency_id", cfg.skip_agencies))
-            .select("agency_id", "agency_name", "agency_timezone",
-                    F.col("agency_group_id").alias("feed_id"))
+            .select("agency_id", "agency_id_import", "agency_url", "agency_timezone", "agency_lang_id", "agency_name",
+                    "agency_short_name", "agency_phone", "agency_fare_url", "agency_info", "query_tracking",
+                    "last_modified", "no_frequencies", F.col("agency_group_id").alias("feed_id"))
             .distinct())
 
 
-def zones(src) -> DataFrame:
-    """All zones (no agency filter) plus the wildcard zone -411."""
-    z = src["zones"].select("zone_id", F.col("zone_name").alias("name"), "agency_id")
+def zones(src, cfg: MigrateConfig) -> DataFrame:
+    """All zones (no agency filter) plus the wildcard zone -411, stamped
+    with the run's timestamp and the blank import id that means "all" (B3)."""
+    z = src["zones"].select("zone_id", F.col("zone_name").alias("name"), "agency_id", "last_modified", "zone_id_import")
     wildcard = z.sparkSession.range(1).select(
         F.lit(ALL_ID).cast(z.schema["zone_id"].dataType).alias("zone_id"),
         F.lit(WILDCARD_ZONE_NAME).alias("name"),
-        F.lit(ALL_ID).cast(z.schema["agency_id"].dataType).alias("agency_id"))
+        F.lit(ALL_ID).cast(z.schema["agency_id"].dataType).alias("agency_id"),
+        F.lit(cfg.run_ts).cast(z.schema["last_modified"].dataType).alias("last_modified"),
+        F.lit("").alias("zone_id_import"))
     return z.unionByName(wildcard)
 
 
@@ -53,7 +59,9 @@ def stops_base(src, dst_agencies: DataFrame) -> DataFrame:
     a = dst_agencies.select("agency_id", "feed_id")
     return (s.join(z, "zone_id", "left")
             .join(a, "agency_id")
-            .select("feed_id", "stop_id", F.col("stop_name").alias("name"),
+            .select("feed_id", "stop_id", "stop_code", "platform_code", "location_type",
+                    F.col("parent_station").alias("parent_station_id"), F.col("stop_name").alias("name"),
+                    "stop_desc", "stop_comments", "city", "direction_id", F.col("stop_url").alias("url"),
                     F.when(F.col("_zone_ok"), F.col("zone_id")).alias("zone_id"),
                     make_point("stop_lon", "stop_lat").alias("point"),
                     F.col("publish_status").alias("enabled"),
@@ -65,9 +73,10 @@ def routes(src, dst_agencies: DataFrame) -> DataFrame:
     r = in_migrated_agencies(src["routes"], dst_agencies)
     return r.select(
         "agency_id", "route_id", "route_short_name", "route_long_name",
+        F.col("route_desc").alias("route_description"), "route_type",
         normalise_route_color("route_color", "#ffffff").alias("route_color"),
         normalise_route_color("route_text_color", "#000000").alias("route_text_color"),
-        "route_sort_order",
+        "route_url", "route_bikes_allowed", "route_id_import", "last_modified", "route_sort_order",
         F.when(F.col("hidden"), F.lit(False)).otherwise(F.lit(True)).alias("enabled"))
 
 
@@ -95,7 +104,7 @@ def calendar_bounds(src, dst_agencies: DataFrame, dst_calendars: DataFrame) -> D
 
 def calendar_dates(src, dst_agencies: DataFrame) -> DataFrame:
     d = in_migrated_agencies(src["calendar_dates"], dst_agencies)
-    return d.select("calendar_date_id", "date", "agency_id", F.col("description").alias("name"))
+    return d.select("calendar_date_id", "date", "agency_id", F.col("description").alias("name"), "last_modified")
 
 
 def service_exceptions(src, dst_agencies: DataFrame, dst_calendars: DataFrame,
@@ -123,7 +132,7 @@ def service_exceptions(src, dst_agencies: DataFrame, dst_calendars: DataFrame,
     else:
         raise ValueError(mode)
     return j.select(e.calendar_date_id, e.exception_type, e.service_exception.alias("calendar_id"),
-                    *[int_to_bool(c[d]).alias(d) for d in WEEKDAYS], e.agency_id)
+                    *[int_to_bool(c[d]).alias(d) for d in WEEKDAYS], e.agency_id, e.last_modified)
 
 
 def blocks(src, dst_agencies: DataFrame) -> DataFrame:
@@ -133,7 +142,8 @@ def blocks(src, dst_agencies: DataFrame) -> DataFrame:
 
 def fare_attributes(src, dst_agencies: DataFrame) -> DataFrame:
     f = in_migrated_agencies(src["fare_attributes"], dst_agencies)
-    return f.select("agency_id", "fare_id", "price", "currency_type", "payment_method")
+    return f.select("agency_id", "fare_id", "price", "currency_type", "payment_method", "transfers", "transfer_duration",
+                    "last_modified", "fare_id_import")
 
 
 def fare_rider_categories(src, dst_agencies: DataFrame, dst_fare_attributes: DataFrame,
@@ -149,20 +159,22 @@ def fare_rider_categories(src, dst_agencies: DataFrame, dst_fare_attributes: Dat
 
 def transfers(src, dst_agencies: DataFrame) -> DataFrame:
     t = in_migrated_agencies(src["transfers"], dst_agencies)
-    return t.select("transfer_id", "from_stop_id", "to_stop_id", "transfer_type", "agency_id")
+    return t.select("transfer_id", "from_stop_id", "to_stop_id", "transfer_type", "min_transfer_time", "agency_id",
+                    "last_modified", "from_stop_id_import", "to_stop_id_import")
 
 
 def users(src) -> DataFrame:
     u = src["users"]
-    return u.select("user_id", "email", flag_is_one("read_only").alias("read_only"),
-                    flag_is_one("admin").alias("admin"))
+    return u.select("user_id", "email", "pass", "first_name", "last_name", "active", "registration_date",
+                    flag_is_one("read_only").alias("read_only"), flag_is_one("admin").alias("admin"),
+                    "language_id", "last_modified")
 
 
 def user_permissions(src, dst_agencies: DataFrame, dst_users: DataFrame) -> DataFrame:
     up = src["user_permissions"]
     a = dst_agencies.select("agency_id")
     u = dst_users.select("user_id")
-    return up.join(a, "agency_id").join(u, "user_id").select("permission_id", "agency_id", "user_id")
+    return up.join(a, "agency_id").join(u, "user_id").select("permission_id", "agency_id", "user_id", up.last_modified)
 
 
 CUSTOM_SHAPE_SEGMENTS_SCHEMA = T.StructType([

@@ -30,22 +30,27 @@ def _nl(cols: str) -> str:
 # Target tables as CTEs, in dependency order.
 CTES: list[tuple[str, str]] = [
     ("o_stop_times", "SELECT *, CAST(NULL AS INTEGER) AS drop_off_type, CAST(NULL AS BIGINT) AS headsign_id FROM src_stop_times"),
-    ("o_agencies", f"""SELECT DISTINCT ag.agency_id, ag.agency_name, link.agency_group_id AS feed_id
+    ("o_agencies", f"""SELECT DISTINCT ag.agency_id, ag.agency_id_import, ag.agency_url, ag.agency_timezone, ag.agency_lang_id, ag.agency_name,
+ ag.agency_short_name, ag.agency_phone, ag.agency_fare_url, ag.agency_info, ag.query_tracking, ag.last_modified, ag.no_frequencies,
+ link.agency_group_id AS feed_id
  FROM src_agency ag JOIN src_agency_group_assoc link USING (agency_id) WHERE ag.agency_id NOT IN ({SKIP})"""),
-    ("o_feeds", f"""SELECT DISTINCT grp.agency_group_id AS feed_id, grp.group_name AS name FROM src_agency_groups grp
+    ("o_feeds", f"""SELECT DISTINCT grp.agency_group_id AS feed_id, grp.group_name AS name, grp.feed_contact_email AS contact_email,
+ grp.feed_contact_url AS contact_url, grp.feed_license AS license, grp.last_modified FROM src_agency_groups grp
  WHERE EXISTS (SELECT 1 FROM src_agency_group_assoc link WHERE link.agency_group_id = grp.agency_group_id
                AND link.agency_id NOT IN ({SKIP}))"""),
-    ("o_zones", """SELECT zone_id, zone_name AS name, agency_id FROM src_zones
- UNION ALL SELECT -411, 'Wildcard: any or all zones for this agency.', -411"""),
-    ("o_stops", f"""SELECT ag.feed_id, sp.stop_id, sp.stop_name AS name, zn.zone_id, sp.stop_lon AS lon, sp.stop_lat AS lat,
+    ("o_zones", """SELECT zone_id, zone_name AS name, agency_id, last_modified, zone_id_import FROM src_zones
+ UNION ALL SELECT -411, 'Wildcard: any or all zones for this agency.', -411, DATE '2024-01-01', ''"""),
+    ("o_stops", f"""SELECT ag.feed_id, sp.stop_id, sp.stop_code, sp.platform_code, sp.location_type,
+ sp.parent_station AS parent_station_id, sp.stop_name AS name, sp.stop_desc, sp.stop_comments, sp.city, sp.direction_id,
+ sp.stop_url AS url, zn.zone_id, sp.stop_lon AS lon, sp.stop_lat AS lat,
  sp.publish_status AS enabled, sp.agency_id,
  (SELECT min(box.tzid) FROM tz_polygons box WHERE sp.stop_lon BETWEEN box.min_lon AND box.max_lon
    AND sp.stop_lat BETWEEN box.min_lat AND box.max_lat) AS timezone
  FROM src_stops sp JOIN o_agencies ag ON ag.agency_id = sp.agency_id LEFT JOIN src_zones zn ON zn.zone_id = sp.zone_id"""),
-    ("o_routes", f"""SELECT agency_id, route_id, route_short_name, route_long_name,
+    ("o_routes", f"""SELECT agency_id, route_id, route_short_name, route_long_name, route_desc AS route_description, route_type,
  coalesce('#' || lower(CASE WHEN regexp_full_match(route_color, '[0-9a-fA-F]{{6}}') THEN route_color END), '#ffffff') AS route_color,
- coalesce('#' || lower(CASE WHEN regexp_full_match(CAST(NULL AS VARCHAR), '[0-9a-fA-F]{{6}}') THEN 'x' END), '#000000') AS route_text_color,
- route_sort_order, coalesce(NOT hidden, true) AS enabled
+ coalesce('#' || lower(CASE WHEN regexp_full_match(route_text_color, '[0-9a-fA-F]{{6}}') THEN route_text_color END), '#000000') AS route_text_color,
+ route_url, route_bikes_allowed, route_id_import, last_modified, route_sort_order, coalesce(NOT hidden, true) AS enabled
  FROM src_routes WHERE agency_id IN {DST_AGENCY_IDS}"""),
     ("o_headsigns", f"""SELECT DISTINCT agency_id, headsign_id, headsign FROM src_headsigns
  WHERE headsign IS NOT NULL AND headsign_id IS NOT NULL AND agency_id IN {DST_AGENCY_IDS}"""),
@@ -54,15 +59,15 @@ CTES: list[tuple[str, str]] = [
     ("o_calendar_bounds", f"""SELECT bnd.agency_id, bnd.service_schedule_group_id AS calendar_id, bnd.start_date, bnd.end_date
  FROM src_service_schedule_bounds bnd WHERE bnd.agency_id IN {DST_AGENCY_IDS}
  AND EXISTS (SELECT 1 FROM o_calendars k WHERE k.calendar_id = bnd.service_schedule_group_id)"""),
-    ("o_calendar_dates", f"""SELECT calendar_date_id, date, agency_id, description AS name FROM src_calendar_dates
+    ("o_calendar_dates", f"""SELECT calendar_date_id, date, agency_id, description AS name, last_modified FROM src_calendar_dates
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_service_exceptions", f"""SELECT ex.calendar_date_id, ex.exception_type, ex.service_exception AS calendar_id, {WEEKDAY_BOOLS}, ex.agency_id
+    ("o_service_exceptions", f"""SELECT ex.calendar_date_id, ex.exception_type, ex.service_exception AS calendar_id, {WEEKDAY_BOOLS}, ex.agency_id, ex.last_modified
  FROM src_calendar_date_service_exceptions ex JOIN src_calendar c ON c.calendar_id = ex.service_exception
  WHERE ex.agency_id IN {DST_AGENCY_IDS}
  AND EXISTS (SELECT 1 FROM o_calendars k WHERE k.calendar_id = ex.service_exception)
  AND EXISTS (SELECT 1 FROM o_calendar_dates d WHERE d.calendar_date_id = ex.calendar_date_id)"""),
     # literal reading: the date id must equal the calendar id, and some calendar date must exist
-    ("o_service_exceptions_literal", f"""SELECT ex.calendar_date_id, ex.exception_type, ex.service_exception AS calendar_id, {WEEKDAY_BOOLS}, ex.agency_id
+    ("o_service_exceptions_literal", f"""SELECT ex.calendar_date_id, ex.exception_type, ex.service_exception AS calendar_id, {WEEKDAY_BOOLS}, ex.agency_id, ex.last_modified
  FROM src_calendar_date_service_exceptions ex JOIN src_calendar c ON c.calendar_id = ex.service_exception
  WHERE ex.agency_id IN {DST_AGENCY_IDS}
  AND EXISTS (SELECT 1 FROM o_calendars k WHERE k.calendar_id = ex.service_exception)
@@ -70,13 +75,16 @@ CTES: list[tuple[str, str]] = [
     ("o_blocks", f"""SELECT blk.agency_id, blk.block_id, blk.name, col.color FROM
  (SELECT DISTINCT agency_id, block_id, block_label AS name FROM src_blocks WHERE agency_id IN {DST_AGENCY_IDS}) blk
  LEFT JOIN sample_colors col ON col.color_id = blk.block_id"""),
-    ("o_fare_attributes", f"""SELECT agency_id, fare_id, price, currency_type, payment_method FROM src_fare_attributes
+    ("o_fare_attributes", f"""SELECT agency_id, fare_id, price, currency_type, payment_method, transfers, transfer_duration, last_modified, fare_id_import
+ FROM src_fare_attributes
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_transfers", f"""SELECT transfer_id, from_stop_id, to_stop_id, transfer_type, agency_id FROM src_transfers
+    ("o_transfers", f"""SELECT transfer_id, from_stop_id, to_stop_id, transfer_type, min_transfer_time, agency_id, last_modified,
+ from_stop_id_import, to_stop_id_import FROM src_transfers
  WHERE agency_id IN {DST_AGENCY_IDS}"""),
-    ("o_users", """SELECT user_id, email, CASE WHEN read_only IS NULL THEN NULL ELSE read_only = 1 END AS read_only,
+    ("o_users", """SELECT user_id, email, pass, first_name, last_name, active, registration_date, language_id, last_modified,
+ CASE WHEN read_only IS NULL THEN NULL ELSE read_only = 1 END AS read_only,
  CASE WHEN admin IS NULL THEN NULL ELSE admin = 1 END AS admin FROM src_users"""),
-    ("o_user_permissions", """SELECT perm.permission_id, perm.agency_id, perm.user_id
+    ("o_user_permissions", """SELECT perm.permission_id, perm.agency_id, perm.user_id, perm.last_modified
  FROM src_user_permissions perm JOIN o_agencies USING (agency_id) JOIN o_users USING (user_id)"""),
     # ---- pattern mining
     # stop rows of base trips past the skip list, with the trip's first times
@@ -231,8 +239,7 @@ CTES: list[tuple[str, str]] = [
     ("o_unordered", """SELECT agency_id, CAST(count(DISTINCT route_sort_order) AS BIGINT) AS n_sort_orders,
  CAST(count(route_id) AS BIGINT) AS n_routes FROM o_routes GROUP BY agency_id
  HAVING count(DISTINCT route_sort_order) <> count(route_id)"""),
-    ("o_routes_ordered", """SELECT r.agency_id, r.route_id, r.route_short_name, r.route_long_name, r.route_color, r.route_text_color,
- coalesce(alpha.pos, r.route_sort_order) AS route_sort_order, r.enabled
+    ("o_routes_ordered", """SELECT r.* REPLACE (coalesce(alpha.pos, r.route_sort_order) AS route_sort_order)
  FROM o_routes r LEFT JOIN (
    SELECT route_id, row_number() OVER (PARTITION BY agency_id
      ORDER BY route_long_name NULLS LAST, route_short_name NULLS LAST, route_id) AS pos
@@ -241,7 +248,7 @@ CTES: list[tuple[str, str]] = [
     ("o_fare_rules", f"""SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id,
  CASE WHEN agency_id IN (42, 175) THEN false
       WHEN agency_id = 19 AND (origin_id IS NOT NULL OR destination_id IS NOT NULL) THEN false ELSE true END AS is_combinable,
- CAST(NULL AS TIMESTAMP) AS last_modified
+ last_modified, fare_id_import, route_id_import, origin_id_import, destination_id_import, contains_id_import
  FROM (SELECT *, max(fare_rule_id) OVER (PARTITION BY agency_id, fare_id, route_id, origin_id, destination_id, contains_id) AS newest
        FROM src_fare_rules) r
  WHERE fare_rule_id = newest AND agency_id IN {DST_AGENCY_IDS}
@@ -257,7 +264,7 @@ CTES: list[tuple[str, str]] = [
  AND hi.ko = lo.kd AND hi.kd = lo.ko
  WHERE lo.ko < lo.kd"""),
     ("o_asym", """SELECT r.fare_rule_id, r.fare_id, r.route_id, r.origin_id, r.destination_id, r.contains_id, r.agency_id,
- r.is_combinable, r.last_modified FROM o_rule_keys r
+ r.is_combinable, r.last_modified, fare_id_import, route_id_import, origin_id_import, destination_id_import, contains_id_import FROM o_rule_keys r
  WHERE NOT EXISTS (SELECT 1 FROM o_sym s WHERE s.agency_id = r.agency_id AND s.fare_id = r.fare_id
    AND coalesce(s.route_id, -411) = r.kr AND coalesce(s.contains_id, -411) = r.kc
    AND coalesce(s.zone_id_a, -411) = least(r.ko, r.kd) AND coalesce(s.zone_id_b, -411) = greatest(r.ko, r.kd))"""),
@@ -280,14 +287,15 @@ CTES: list[tuple[str, str]] = [
  FROM o_edits WHERE op IN ('INSERT', 'UPDATE')"""),
     ("o_last_touch", """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY fare_id, agency_id, kr, klo, khi, kc
    ORDER BY seq DESC, step DESC) AS rn FROM o_touch) x WHERE rn = 1"""),
-    ("o_fare_edits_applied", """SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id, is_combinable
+    ("o_fare_edits_applied", """SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id, is_combinable, last_modified, fare_id_import, route_id_import, origin_id_import, destination_id_import, contains_id_import
  FROM o_fare_rules fr WHERE NOT EXISTS (SELECT 1 FROM o_last_touch l WHERE l.fare_id = fr.fare_id AND l.agency_id = fr.agency_id
    AND l.kr = COALESCE(fr.route_id, -411) AND l.kc = COALESCE(fr.contains_id, -411)
    AND l.klo = LEAST(COALESCE(fr.origin_id, -411), COALESCE(fr.destination_id, -411))
    AND l.khi = GREATEST(COALESCE(fr.origin_id, -411), COALESCE(fr.destination_id, -411)))
  UNION ALL
  SELECT (SELECT COALESCE(MAX(fare_rule_id), 0) FROM o_fare_rules) + ROW_NUMBER() OVER (ORDER BY seq, dir) AS fare_rule_id,
-   fare_id, route_id, o AS origin_id, d AS destination_id, contains_id, agency_id, is_combinable
+   fare_id, route_id, o AS origin_id, d AS destination_id, contains_id, agency_id, is_combinable, DATE '2024-01-01' AS last_modified,
+   NULL, NULL, NULL, NULL, NULL
  FROM (SELECT seq, 0 AS dir, new_a AS o, new_b AS d, * FROM o_last_touch WHERE ins
        UNION ALL SELECT seq, 1, new_b, new_a, * FROM o_last_touch WHERE ins) p"""),
     # ---- shapes
@@ -375,7 +383,7 @@ FINAL: dict[str, str] = {
     "feeds": "SELECT * FROM o_feeds",
     "agencies": "SELECT * FROM o_agencies",
     "zones": "SELECT * FROM o_zones",
-    "stops": "SELECT feed_id, stop_id, name, zone_id, lon, lat, enabled, timezone FROM o_stops",
+    "stops": "SELECT * EXCLUDE (agency_id) FROM o_stops",
     "routes": "SELECT * FROM o_routes",
     "headsigns": "SELECT * FROM o_headsigns",
     "directions": "SELECT * FROM o_directions",
@@ -433,11 +441,9 @@ FINAL: dict[str, str] = {
     "fare_rules_golden": """SELECT agency_id, fare_id, route_id, origin_id, destination_id, contains_id,
  max(fare_rule_id) AS newest_fare_rule_id, min(fare_rule_id) AS oldest_fare_rule_id, CAST(count(*) AS BIGINT) AS n_rules
  FROM src_fare_rules GROUP BY agency_id, fare_id, route_id, origin_id, destination_id, contains_id""",
-    "fare_rules": """SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id, is_combinable
- FROM o_fare_rules""",
-    "fares_symmetric": "SELECT agency_id, fare_id, zone_id_a, zone_id_b, route_id, contains_id, is_combinable FROM o_sym",
-    "fares_asymmetric": """SELECT fare_rule_id, fare_id, route_id, origin_id, destination_id, contains_id, agency_id, is_combinable
- FROM o_asym""",
+    "fare_rules": "SELECT * FROM o_fare_rules",
+    "fares_symmetric": "SELECT * FROM o_sym",
+    "fares_asymmetric": "SELECT * FROM o_asym",
     "fare_balance": """SELECT CAST((SELECT COUNT(*) FROM o_sym) AS BIGINT) AS n_symmetric,
  CAST((SELECT COUNT(*) FROM o_asym) AS BIGINT) AS n_asymmetric, CAST((SELECT COUNT(*) FROM o_fare_rules) AS BIGINT) AS n_rules,
  CAST((SELECT sum(c) FROM (SELECT -2 * COUNT(*) AS c FROM o_sym UNION ALL SELECT -COUNT(*) FROM o_asym
@@ -445,7 +451,7 @@ FINAL: dict[str, str] = {
     "fare_edits_applied": "SELECT * FROM o_fare_edits_applied",
     "stop_timezones": """SELECT DISTINCT lon, lat, timezone AS tzid FROM o_stops""",
     "timezone_fallback": """SELECT s.stop_id, COALESCE(CASE WHEN length(s.stop_timezone) = 0 THEN NULL
-   WHEN s.stop_timezone = 'US/Eastern' THEN 'America/New_York' ELSE s.stop_timezone END, CAST(NULL AS VARCHAR)) AS timezone
+   WHEN s.stop_timezone = 'US/Eastern' THEN 'America/New_York' ELSE s.stop_timezone END, a.agency_timezone) AS timezone
  FROM src_stops s LEFT JOIN src_agency a ON s.agency_id = a.agency_id""",
     "shape_segments": "SELECT * FROM o_shape_lines",
     "shape_points_dump": """SELECT from_stop_id, to_stop_id,

@@ -67,7 +67,7 @@ class Migration:
 
     @cached_property
     def zones(self) -> DataFrame:
-        return _keep(ref.zones(self.src))
+        return _keep(ref.zones(self.src, self.cfg))
 
     @cached_property
     def stops_base(self) -> DataFrame:

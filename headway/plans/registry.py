@@ -55,7 +55,7 @@ def q_feeds(spark, sf):
 
 @query("agencies")
 def q_agencies(spark, sf):
-    return migration(spark, sf).agencies.select("agency_id", "agency_name", "feed_id")
+    return migration(spark, sf).agencies
 
 
 @query("zones")
@@ -66,8 +66,9 @@ def q_zones(spark, sf):
 @query("stops")
 def q_stops(spark, sf):
     s = migration(spark, sf).stops
-    return s.select("feed_id", "stop_id", "name", "zone_id", F.col("point.lon").alias("lon"),
-                    F.col("point.lat").alias("lat"), "enabled", "timezone")
+    return s.select("feed_id", "stop_id", "stop_code", "platform_code", "location_type", "parent_station_id", "name",
+                    "stop_desc", "stop_comments", "zone_id", "city", "direction_id", "url",
+                    F.col("point.lon").alias("lon"), F.col("point.lat").alias("lat"), "enabled", "timezone")
 
 
 @query("routes")
@@ -294,23 +295,19 @@ def q_fare_rules_golden(spark, sf):
     return g.withColumn("n_rules", F.col("n_rules").cast("bigint"))
 
 
-FARE_OUT = ["fare_rule_id", "fare_id", "route_id", "origin_id", "destination_id", "contains_id",
-            "agency_id", "is_combinable"]
-
-
 @query("fare_rules")
 def q_fare_rules(spark, sf):
-    return migration(spark, sf).fare_rules.select(*FARE_OUT)
+    return migration(spark, sf).fare_rules
 
 
 @query("fares_symmetric")
 def q_fares_symmetric(spark, sf):
-    return migration(spark, sf).fares_symmetric.drop("last_modified")
+    return migration(spark, sf).fares_symmetric
 
 
 @query("fares_asymmetric")
 def q_fares_asymmetric(spark, sf):
-    return migration(spark, sf).fares_asymmetric.select(*FARE_OUT)
+    return migration(spark, sf).fares_asymmetric
 
 
 @query("fare_balance")
@@ -322,7 +319,7 @@ def q_fare_balance(spark, sf):
 @query("fare_edits_applied")
 def q_fare_edits(spark, sf):
     m = migration(spark, sf)
-    return fares.apply_edits(m.fare_rules, fares.derive_edits(m.fare_rules)).select(*FARE_OUT)
+    return fares.apply_edits(m.fare_rules, fares.derive_edits(m.fare_rules), run_ts=m.cfg.run_ts)
 
 
 # ---- I: spatial ---------------------------------------------------------------------------

@@ -15,9 +15,29 @@ from headway.sources.fixtures import BASE_TABLES, FIXTURE_VIEWS
 # NULLs so every job sees one fixed schema.
 OPTIONAL_COLUMNS: dict[str, list[tuple[str, str]]] = {
     "stop_times": [("drop_off_type", "int"), ("headsign_id", "bigint")],
-    "routes": [("route_text_color", "string")],
-    "agency": [("agency_timezone", "string")],
-    "fare_rules": [("last_modified", "timestamp")],
+    "agency_groups": [("feed_contact_email", "string"), ("feed_contact_url", "string"), ("feed_license", "string"),
+                      ("last_modified", "timestamp")],
+    "agency": [("agency_id_import", "string"), ("agency_url", "string"), ("agency_timezone", "string"),
+               ("agency_lang_id", "int"), ("agency_short_name", "string"), ("agency_phone", "string"),
+               ("agency_fare_url", "string"), ("agency_info", "string"), ("query_tracking", "boolean"),
+               ("last_modified", "timestamp"), ("no_frequencies", "boolean")],
+    "zones": [("last_modified", "timestamp"), ("zone_id_import", "string")],
+    "stops": [("stop_code", "string"), ("platform_code", "string"), ("location_type", "int"), ("parent_station", "bigint"),
+              ("stop_desc", "string"), ("stop_comments", "string"), ("city", "string"), ("direction_id", "int"),
+              ("stop_url", "string")],
+    "routes": [("route_text_color", "string"), ("route_desc", "string"), ("route_type", "int"), ("route_url", "string"),
+               ("route_bikes_allowed", "int"), ("route_id_import", "string"), ("last_modified", "timestamp")],
+    "calendar_dates": [("last_modified", "timestamp")],
+    "calendar_date_service_exceptions": [("last_modified", "timestamp")],
+    "fare_attributes": [("transfers", "int"), ("transfer_duration", "int"), ("last_modified", "timestamp"),
+                        ("fare_id_import", "string")],
+    "fare_rules": [("last_modified", "timestamp"), ("fare_id_import", "string"), ("route_id_import", "string"),
+                   ("origin_id_import", "string"), ("destination_id_import", "string"), ("contains_id_import", "string")],
+    "transfers": [("min_transfer_time", "int"), ("last_modified", "timestamp"), ("from_stop_id_import", "string"),
+                  ("to_stop_id_import", "string")],
+    "users": [("pass", "string"), ("first_name", "string"), ("last_name", "string"), ("active", "boolean"),
+              ("registration_date", "timestamp"), ("language_id", "int"), ("last_modified", "timestamp")],
+    "user_permissions": [("last_modified", "timestamp")],
     "shape_segments": [("last_modified", "timestamp")],
 }
 
