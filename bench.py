@@ -48,7 +48,7 @@ def main() -> None:
     def fresh() -> Migration:
         registry._MIGRATIONS.clear()
         spark.catalog.clearCache()
-        m = Migration(spark, SourceCatalog.from_parquet(spark, prep_dir, SOURCE_TABLES))
+        m = Migration(spark, SourceCatalog.from_parquet(spark, prep_dir, SOURCE_TABLES), registry.FIXTURE_CONFIG)
         registry._MIGRATIONS[registry._key(spark, sf_dir)] = m
         return m
 

@@ -8,11 +8,11 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class MigrateConfig:
-    # Agencies never migrated (NULL agency ids are dropped as well,
-    # three-valued NOT IN).
-    skip_agencies: tuple[int, ...] = (7, 21)
-    # Trips left out of the first-arrival table.
-    skip_trips: tuple[int, ...] = (0,)
+    # Agencies never migrated; none unless the run names them (NULL agency
+    # ids are dropped as well, three-valued NOT IN).
+    skip_agencies: tuple[int, ...] = ()
+    # Trips left out of the first-arrival table; none unless named.
+    skip_trips: tuple[int, ...] = ()
     # Fare rule combinability (fixed values): agencies whose rules are never
     # combinable, and agencies whose zone-bound rules are not combinable.
     never_combinable_agencies: tuple[int, ...] = (42, 175)
@@ -21,7 +21,8 @@ class MigrateConfig:
     # binding of the original statements (see README, traps T5/T6).
     service_exception_mode: str = "intent"
     rider_category_mode: str = "intent"
-    # Timestamp written where the original used now().
+    # Timestamp written where the original used now(): the wildcard zone and
+    # rules added by fare edits.
     run_ts: _dt.datetime = field(default_factory=lambda: _dt.datetime(2024, 1, 1))
     # Latitude band height (degrees) for the point-in-polygon join.
     tz_band_degrees: float = 1.0

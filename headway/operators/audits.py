@@ -61,7 +61,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def fk_audit(m) -> DataFrame:
     """Orphan count per foreign key; a NULL child key passes (MATCH SIMPLE)."""
-    tables = m.targets()
+    tables = m.targets({t for child, _, parent, _ in FOREIGN_KEYS for t in (child, parent)})
     parts = []
     for child, col, parent, pcol in FOREIGN_KEYS:
         c = tables[child].where(F.col(col).isNotNull()).select(F.col(col).cast("bigint").alias("_k"))
@@ -75,12 +75,12 @@ def fk_audit(m) -> DataFrame:
 def key_audit(m) -> DataFrame:
     """Duplicate keys per primary key / unique tuple.  Rows with a NULL
     key part never collide in a unique index and are not counted."""
-    tables = m.targets()
+    tables = m.targets({t for t, _ in UNIQUE_KEYS})
     parts = []
     for table, cols in UNIQUE_KEYS:
         t = tables[table]
-        if not all(c in t.columns for c in cols):
-            continue
+        if missing := [c for c in cols if c not in t.columns]:
+            raise ValueError(f"key audit of {table}: no column {', '.join(missing)}")
         nn = t
         for c in cols:
             nn = nn.where(F.col(c).isNotNull())
@@ -95,7 +95,7 @@ def key_audit(m) -> DataFrame:
 
 def check_audit(m) -> DataFrame:
     """NOT NULL, CHECK (block colour is a CSS colour) and length rules."""
-    tables = m.targets()
+    tables = m.targets({t for t, *_ in [*NOT_NULL, *MAX_LENGTH]} | {"blocks"})
     parts = []
 
     def rule(name, df, bad):

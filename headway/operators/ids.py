@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.session import ensure_checkpoint_dir
+from headway.session import ensure_checkpoint_dir, note_scratch
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -46,6 +46,7 @@ def dense_id(df: DataFrame, order_cols: list, name: str, offset: int = 0,
      .withColumn("_hw_mid", F.monotonically_increasing_id())
      .drop("_hw_tie")
      .write.parquet(path))
+    note_scratch(path)
     src.unpersist()
     # a written table in the shared checkpoint folder cuts the lineage: a
     # lost executor re-reads these files instead of renumbering rows

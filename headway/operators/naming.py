@@ -12,10 +12,11 @@ from headway.operators.scope import in_migrated_agencies
 
 def directions(tpsn: DataFrame, dst_agencies: DataFrame) -> DataFrame:
     """``DISTINCT ON (direction_id) ... ORDER BY direction_id, agency_id``
-    as a partial aggregate: the smallest (agency, name) per direction."""
+    as a partial aggregate: the smallest (agency, name) per direction, NULLs last."""
     t = in_migrated_agencies(tpsn, dst_agencies)
     best = t.groupBy("direction_id").agg(
-        F.min(F.struct(F.col("agency_id").alias("a"), F.col("direction_name").alias("n"))).alias("_m"))
+        F.min(F.struct(F.col("agency_id").isNull().alias("za"), F.col("agency_id").alias("a"),
+                       F.col("direction_name").isNull().alias("zn"), F.col("direction_name").alias("n"))).alias("_m"))
     return best.select(F.col("_m.a").alias("agency_id"), "direction_id", F.col("_m.n").alias("name"))
 
 
@@ -84,7 +85,10 @@ def _stop_names(diff: DataFrame, col: str, n_col: str, stops: DataFrame, sep: st
 
 def generated_names(diff: DataFrame, stops: DataFrame) -> DataFrame:
     """E4: 'Primary', else '+ N stops' / '+ a + b' then ' - N stops' / ' - a - b'.
-    ``concat`` propagates NULL exactly like ``||``."""
+    ``concat`` propagates NULL exactly like ``||``.  One row per pattern, also
+    where several agencies share it."""
+    diff = diff.groupBy("pattern_id").agg(F.min(F.struct(*[c for c in diff.columns if c != "pattern_id"])).alias("_d")) \
+        .select("pattern_id", "_d.*")
     added = _stop_names(diff, "added_stop_ids", "n_added_stops", stops, " + ", "_added")
     removed = _stop_names(diff, "removed_stop_ids", "n_removed_stops", stops, " - ", "_removed")
     d = diff.join(added, "pattern_id", "left").join(removed, "pattern_id", "left")

@@ -46,7 +46,7 @@ def trip_stop_rows(src, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFram
     aid = dst_agencies.select(F.col("agency_id").alias("_aid")).distinct().withColumn("_in_dst", F.lit(True))
     st = st.join(aid, st.agency_id == aid["_aid"], "left")
     row = F.struct(
-        F.col("stop_sequence").alias("seq"), F.col("stop_id").alias("stop_id"),
+        F.col("stop_sequence").isNull().alias("seq_last"), F.col("stop_sequence").alias("seq"), F.col("stop_id").alias("stop_id"),
         F.col("arrival_time").alias("arr"), F.col("departure_time").alias("dep"),
         F.col("pickup_type").alias("pickup_type"), F.col("drop_off_type").alias("drop_off_type"),
         F.col("headsign_id").alias("stop_headsign_id"), F.col("agency_id").alias("st_agency_id"),

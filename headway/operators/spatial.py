@@ -96,7 +96,8 @@ def shape_segments(src, dst_stops: DataFrame) -> DataFrame:
            .join(stops, F.col("end_coordinate_id") == stops["_sid"], "left_semi"))
     j = seg.join(pts, "shape_segment_id")
     line = (j.groupBy("start_coordinate_id", "end_coordinate_id", "last_modified")
-            .agg(F.array_sort(F.collect_list(F.struct("shape_pt_sequence", "lon", "lat"))).alias("_p")))
+            .agg(F.array_sort(F.collect_list(F.struct(
+                F.col("shape_pt_sequence").isNull().alias("last"), "shape_pt_sequence", "lon", "lat"))).alias("_p")))
     return line.select(F.col("start_coordinate_id").alias("from_stop_id"),
                        F.col("end_coordinate_id").alias("to_stop_id"), "last_modified",
                        F.transform("_p", lambda p: make_point(p["lon"], p["lat"])).alias("linestring"))

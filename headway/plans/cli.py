@@ -32,14 +32,15 @@ def main(argv=None) -> None:
     g.add_argument("--testdata")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default="local[*]")
-    ap.add_argument("--skip-agencies", default="7,21")
+    ap.add_argument("--skip-agencies", default="", help="agency ids that are not migrated, comma-separated")
+    ap.add_argument("--skip-trips", default="", help="trip ids without a first arrival, comma-separated")
     ap.add_argument("--cluster", action="store_true", help="use the large-cluster settings (session.CLUSTER_CONF)")
     a = ap.parse_args(argv)
     spark = build_session(master=a.master, cluster=a.cluster)
     src = (SourceCatalog.from_parquet(spark, a.source, SOURCE_TABLES) if a.source
            else SourceCatalog.from_testdata(spark, a.testdata))
-    skip = tuple(int(x) for x in a.skip_agencies.split(",") if x.strip())
-    cfg = MigrateConfig(skip_agencies=skip, materialize_per_trip=a.cluster)
+    agencies, trips = (tuple(int(x) for x in text.split(",") if x.strip()) for text in (a.skip_agencies, a.skip_trips))
+    cfg = MigrateConfig(skip_agencies=agencies, skip_trips=trips, materialize_per_trip=a.cluster)
     print(json.dumps(run_all(spark, src, a.out, cfg)))
 
 

@@ -93,9 +93,9 @@ CTES: list[tuple[str, str]] = [
  FROM src_stop_times x WHERE x.agency_id NOT IN ({SKIP})
  AND EXISTS (SELECT 1 FROM src_trips tr WHERE tr.trip_id = x.trip_id AND tr.based_on IS NULL)"""),
     ("o_trip_sig", """SELECT trip_id, min(first_arr) AS min_arrival_time,
- string_agg(CAST(stop_id AS VARCHAR), ', ' ORDER BY stop_sequence) AS stops_pattern,
- string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(arrival_time - first_arr AS VARCHAR) END, ',' ORDER BY stop_sequence) AS arrival_time_intervals,
- string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(departure_time - first_dep AS VARCHAR) END, ',' ORDER BY stop_sequence) AS departure_time_intervals
+ string_agg(CAST(stop_id AS VARCHAR), ', ' ORDER BY stop_sequence NULLS LAST) AS stops_pattern,
+ string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(arrival_time - first_arr AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST) AS arrival_time_intervals,
+ string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(departure_time - first_dep AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST) AS departure_time_intervals
  FROM o_trip_rows GROUP BY trip_id"""),
     ("o_pattern_groups", f"""SELECT g.stops_pattern, g.arrival_time_intervals, g.departure_time_intervals, tr.agency_id, tr.route_id,
  tr.direction_id, min(tr.trip_id) AS one_trip, count(*) AS trip_count,
@@ -107,7 +107,7 @@ CTES: list[tuple[str, str]] = [
  WHERE agency_id IN {DST_AGENCY_IDS} GROUP BY trip_id"""),
     ("o_tp", """SELECT row_number() OVER (ORDER BY g.one_trip) AS timed_pattern_id, g.*, r.rep_arr AS min_arrival_time,
  r.rep_dep AS min_departure_time FROM o_pattern_groups g JOIN o_rep_min r ON r.trip_id = g.one_trip"""),
-    ("o_stop_lists", f"""SELECT x.trip_id, string_agg(CAST(x.stop_id AS VARCHAR), ', ' ORDER BY x.stop_sequence) AS stop_list
+    ("o_stop_lists", f"""SELECT x.trip_id, string_agg(CAST(x.stop_id AS VARCHAR), ', ' ORDER BY x.stop_sequence NULLS LAST) AS stop_list
  FROM src_stop_times x JOIN src_trips tr ON tr.trip_id = x.trip_id
  WHERE tr.based_on IS NULL AND tr.agency_id IN {DST_AGENCY_IDS} GROUP BY x.trip_id"""),
     ("o_sp", """SELECT u.stops_pattern, u.route_id, u.direction_id,
@@ -120,7 +120,7 @@ CTES: list[tuple[str, str]] = [
  AND sp.direction_id = tp.direction_id"""),
     ("o_tpsn_raw", """SELECT w.agency_id, ag.agency_name, rt.route_short_name, rt.route_long_name, dir.direction_label AS direction_name,
  tr.direction_id, hs.headsign_id AS trip_headsign_id, hs.headsign AS trip_headsign, x.stop_id,
- dense_rank() OVER (PARTITION BY w.timed_pattern_id ORDER BY x.stop_sequence) AS stop_order,
+ dense_rank() OVER (PARTITION BY w.timed_pattern_id ORDER BY x.stop_sequence NULLS LAST) AS stop_order,
  w.timed_pattern_id, w.pattern_id, x.arrival_time - w.min_arrival_time AS arrival_time,
  x.departure_time - w.min_departure_time AS departure_time,
  coalesce(x.pickup_type, 0) AS pickup_type, coalesce(x.drop_off_type, 0) AS drop_off_type,
@@ -150,7 +150,7 @@ CTES: list[tuple[str, str]] = [
  pickup_type, drop_off_type, stop_headsign_id AS headsign_id FROM o_tpsn"""),
     ("o_directions", f"""SELECT agency_id, direction_id, name FROM (
    SELECT agency_id, direction_id, direction_name AS name,
-     row_number() OVER (PARTITION BY direction_id ORDER BY agency_id, direction_name) AS pos
+     row_number() OVER (PARTITION BY direction_id ORDER BY agency_id NULLS LAST, direction_name NULLS LAST) AS pos
    FROM o_tpsn WHERE agency_id IN {DST_AGENCY_IDS}) q WHERE pos = 1"""),
     # ---- trips
     ("o_first_rows", f"""SELECT x.trip_id, x.stop_sequence, x.arrival_time FROM src_stop_times x
@@ -220,11 +220,13 @@ CTES: list[tuple[str, str]] = [
  CASE WHEN len(plus_l) > 0 THEN plus_l END AS added_stop_ids,
  CASE WHEN len(minus_l) > 0 THEN minus_l END AS removed_stop_ids
  FROM o_diff_lists"""),
+    # a pattern that several agencies share has one row
+    ("o_diff_one", "SELECT DISTINCT ON (pattern_id) * FROM o_diff ORDER BY pattern_id, route_id, primary_pattern_id"),
     ("o_plus_names", """SELECT d.pattern_id, string_agg(sp.name, ' + ' ORDER BY sp.stop_id) AS nm
- FROM o_diff d JOIN o_stops sp ON list_contains(d.added_stop_ids, sp.stop_id)
+ FROM o_diff_one d JOIN o_stops sp ON list_contains(d.added_stop_ids, sp.stop_id)
  WHERE d.n_added_stops BETWEEN 1 AND 3 GROUP BY d.pattern_id"""),
     ("o_minus_names", """SELECT d.pattern_id, string_agg(sp.name, ' - ' ORDER BY sp.stop_id) AS nm
- FROM o_diff d JOIN o_stops sp ON list_contains(d.removed_stop_ids, sp.stop_id)
+ FROM o_diff_one d JOIN o_stops sp ON list_contains(d.removed_stop_ids, sp.stop_id)
  WHERE d.n_removed_stops BETWEEN 1 AND 3 GROUP BY d.pattern_id"""),
     ("o_names", """SELECT d.route_id, d.pattern_id, d.primary_pattern_id,
  CASE WHEN d.pattern_id = d.primary_pattern_id THEN 'Primary'
@@ -232,7 +234,7 @@ CTES: list[tuple[str, str]] = [
             ELSE '+ ' || CAST(d.n_added_stops AS VARCHAR) || ' stops' END)
    || (CASE WHEN d.n_removed_stops BETWEEN 1 AND 3 THEN ' - ' || mn.nm
             ELSE ' - ' || CAST(d.n_removed_stops AS VARCHAR) || ' stops' END) END AS generated_name
- FROM o_diff d LEFT JOIN o_plus_names pn ON pn.pattern_id = d.pattern_id
+ FROM o_diff_one d LEFT JOIN o_plus_names pn ON pn.pattern_id = d.pattern_id
  LEFT JOIN o_minus_names mn ON mn.pattern_id = d.pattern_id"""),
     ("o_patterns", """SELECT p.*, n.generated_name AS name FROM o_patterns_base p
  LEFT JOIN o_names n ON n.pattern_id = p.pattern_id"""),

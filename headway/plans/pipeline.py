@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.config import MigrateConfig
 from headway.operators import (audits, fares, naming, patterns as pat, reference_tables as ref,
                                spatial, trips as trp)
-from headway.session import ensure_checkpoint_dir
+from headway.session import ensure_checkpoint_dir, note_scratch, scratch_tables
 from headway.sources.catalog import SourceCatalog
 from headway.sources.sinks import write_all
 
@@ -40,6 +40,7 @@ def bucketed_table(df: DataFrame, key: str, label: str) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.write.bucketBy(n, key).sortBy(key).option("path", f"{root}/{name}")
      .mode("overwrite").saveAsTable(name))
+    note_scratch(f"{root}/{name}", name)
     return spark.table(name)
 
 
@@ -234,24 +235,39 @@ class Migration:
         return _keep(spatial.shape_segments(self.src, self.stops_base))
 
     # ---- everything -----------------------------------------------------------
-    def targets(self) -> dict[str, DataFrame]:
-        return {
-            "feeds": self.feeds, "agencies": self.agencies, "zones": self.zones,
-            "stops": self.stops, "routes": self.routes_ordered, "headsigns": self.headsigns,
-            "directions": self.directions, "calendars": self.calendars,
-            "calendar_bounds": self.calendar_bounds, "calendar_dates": self.calendar_dates,
-            "calendar_date_service_exceptions": self.service_exceptions(),
-            "blocks": self.blocks, "fare_attributes": self.fare_attributes,
-            "fare_rider_categories": self.fare_rider_categories(), "transfers": self.transfers,
-            "users": self.users, "user_permissions": self.user_permissions,
-            "pattern_custom_shape_segments": self.custom_shape_segments,
-            "timed_pattern_stops_nonnormalized": self.tpsn, "patterns": self.patterns,
-            "pattern_stops": self.pattern_stops, "timed_patterns": self.timed_patterns,
-            "timed_pattern_stops": self.timed_pattern_stops,
-            "snap_first_arrivals_for_trip": self.first_arrivals,
-            "dev_patterns_trips": self.patterns_trips, "trips": self.trips,
-            "fare_rules": self.fare_rules, "shape_segments": self.shape_segments,
+    def targets(self, names: set[str] | None = None) -> dict[str, DataFrame]:
+        """The target tables by name; only the named ones are built."""
+        build = {
+            "feeds": lambda: self.feeds,
+            "agencies": lambda: self.agencies,
+            "zones": lambda: self.zones,
+            "stops": lambda: self.stops,
+            "routes": lambda: self.routes_ordered,
+            "headsigns": lambda: self.headsigns,
+            "directions": lambda: self.directions,
+            "calendars": lambda: self.calendars,
+            "calendar_bounds": lambda: self.calendar_bounds,
+            "calendar_dates": lambda: self.calendar_dates,
+            "calendar_date_service_exceptions": lambda: self.service_exceptions(),
+            "blocks": lambda: self.blocks,
+            "fare_attributes": lambda: self.fare_attributes,
+            "fare_rider_categories": lambda: self.fare_rider_categories(),
+            "transfers": lambda: self.transfers,
+            "users": lambda: self.users,
+            "user_permissions": lambda: self.user_permissions,
+            "pattern_custom_shape_segments": lambda: self.custom_shape_segments,
+            "timed_pattern_stops_nonnormalized": lambda: self.tpsn,
+            "patterns": lambda: self.patterns,
+            "pattern_stops": lambda: self.pattern_stops,
+            "timed_patterns": lambda: self.timed_patterns,
+            "timed_pattern_stops": lambda: self.timed_pattern_stops,
+            "snap_first_arrivals_for_trip": lambda: self.first_arrivals,
+            "dev_patterns_trips": lambda: self.patterns_trips,
+            "trips": lambda: self.trips,
+            "fare_rules": lambda: self.fare_rules,
+            "shape_segments": lambda: self.shape_segments,
         }
+        return {name: make() for name, make in build.items() if names is None or name in names}
 
     def audits(self) -> dict[str, DataFrame]:
         return {"fk_audit": audits.fk_audit(self), "key_audit": audits.key_audit(self),
@@ -262,7 +278,8 @@ def run_all(spark: SparkSession, src: SourceCatalog, out_root: str,
             cfg: MigrateConfig | None = None) -> dict[str, str]:
     """Full reload: every target table is rebuilt and overwritten."""
     m = Migration(spark, src, cfg)
-    try:
-        return write_all(m.targets(), out_root)
-    finally:
-        _release(m)
+    with scratch_tables(spark):
+        try:
+            return write_all(m.targets(), out_root)
+        finally:
+            _release(m)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,7 +39,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
             builder = builder.config(k, v)
         spark = builder.config("spark.ui.showConsoleProgress", "false").getOrCreate()
         spark.sparkContext.setLogLevel("WARN")
-        ensure_checkpoint_dir(spark)
+        ensure_checkpoint_dir(spark, shared=True)
         return spark
     spark = (
         builder
@@ -56,12 +58,38 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+# Intermediate tables written in this process: folder, and name where the
+# table is in the catalog.
+_scratch: list[tuple[str, str | None]] = []
+
+
+def note_scratch(path: str, table: str | None = None) -> None:
+    _scratch.append((path, table))
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables written inside the block when it ends."""
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path, table in _scratch[before:]:
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        del _scratch[before:]
+
+
+def ensure_checkpoint_dir(spark: SparkSession, shared: bool = False) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is.  Only when nothing is configured (tests, local runs) a scratch
-    folder is created.
+    folder is created; with ``shared``, or away from a local master, that is
+    an error, since every executor would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +97,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if shared or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="headway-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

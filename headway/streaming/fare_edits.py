@@ -8,45 +8,52 @@ retried batch rewrites the same version from the same input.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.fares import apply_edits
+from headway.session import scratch_tables
 
 
 def version_path(root: str, batch_id: int) -> str:
     return f"{root}/v{batch_id:08d}"
 
 
-def latest_version(spark: SparkSession, root: str, initial: str, before: int) -> str:
-    """Newest complete version written by a batch earlier than ``before``."""
-    if root.startswith("file:") or os.path.isabs(root):
-        local = root.replace("file:", "")
-        done = sorted(d for d in (os.listdir(local) if os.path.isdir(local) else [])
-                      if d.startswith("v") and int(d[1:]) < before
-                      and os.path.exists(os.path.join(local, d, "_SUCCESS")))
-        if done:
-            return f"{root}/{done[-1]}"
-        return initial
-    # other file systems: go through Hadoop's FileSystem API
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Complete versions under ``root``, oldest first, on whatever file system the path names."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return initial
+        return []
     names = sorted(s.getPath().getName() for s in fs.listStatus(path))
-    done = [n for n in names if n.startswith("v") and int(n[1:]) < before
-            and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+    return [n for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+
+
+def latest_version(spark: SparkSession, root: str, initial: str, before: int) -> str:
+    """Newest complete version written by a batch earlier than ``before``."""
+    done = [n for n in _versions(spark, root) if int(n[1:]) < before]
     return f"{root}/{done[-1]}" if done else initial
 
 
+def retire_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` versions."""
+    jvm = spark.sparkContext._jvm
+    for name in _versions(spark, root)[:-keep]:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stream_fare_edits(spark: SparkSession, edit_stream: DataFrame, initial_rules: str, out_root: str,
-                      checkpoint: str, available_now: bool = False) -> StreamingQuery:
+                      checkpoint: str, available_now: bool = False, keep_versions: int = 5) -> StreamingQuery:
+    """Starts the job; the newest ``keep_versions`` versions (at least the two a retried batch needs) stay."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         current = spark.read.parquet(latest_version(spark, out_root, initial_rules, batch_id))
-        apply_edits(current, batch).write.mode("overwrite").parquet(version_path(out_root, batch_id))
+        batch = batch.persist()                        # the edits are read by several branches
+        with scratch_tables(spark):
+            apply_edits(current, batch).write.mode("overwrite").parquet(version_path(out_root, batch_id))
+        batch.unpersist()
+        retire_versions(spark, out_root, max(2, keep_versions))
 
     writer = edit_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

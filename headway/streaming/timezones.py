@@ -20,14 +20,20 @@ def timezone_batch(stops: DataFrame, edges: DataFrame, cfg: MigrateConfig | None
                     F.col("tzid").alias("timezone")))
 
 
+def latest_timezones(written: DataFrame) -> DataFrame:
+    """The newest row of every stop: a moved stop leaves its earlier rows behind."""
+    newest = written.groupBy("stop_id").agg(F.max_by(F.struct("lon", "lat", "timezone"), "batch_id").alias("s"))
+    return newest.select("stop_id", "s.*")
+
+
 def stream_timezones(stops_stream: DataFrame, edges: DataFrame, out_path: str, checkpoint: str,
                      cfg: MigrateConfig | None = None, available_now: bool = False) -> StreamingQuery:
-    """Append the time zone of every inserted or moved stop to ``out_path``.
-    The polygon edges are a static table joined in every micro-batch; the
-    checkpoint makes each batch land exactly once."""
+    """Write the time zone of every inserted or moved stop under ``out_path``.
+    The polygon edges are a static table joined in every micro-batch.  Every
+    batch has its own partition ``batch_id=N``, which a retried batch
+    overwrites, so each lands exactly once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        timezone_batch(batch, edges, cfg).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(out_path)
+        timezone_batch(batch, edges, cfg).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     writer = stops_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -45,12 +45,14 @@ def test_ids_do_not_depend_on_shuffle_partitions(spark):
 
 
 def test_bucketed_per_trip_table_gives_the_same_wide_table(spark):
-    from headway.config import MigrateConfig
+    from dataclasses import replace
+
+    from headway.plans.registry import FIXTURE_CONFIG
     from headway.plans.pipeline import Migration
     from headway.sources.catalog import SourceCatalog
     cols = ["timed_pattern_id", "pattern_id", "stop_order", "stop_id", "arrival_time", "departure_time"]
     a = {tuple(r) for r in migration(spark, SF).tpsn.select(*cols).collect()}
-    m2 = Migration(spark, SourceCatalog.from_testdata(spark, SF), MigrateConfig(materialize_per_trip=True))
+    m2 = Migration(spark, SourceCatalog.from_testdata(spark, SF), replace(FIXTURE_CONFIG, materialize_per_trip=True))
     b = {tuple(r) for r in m2.tpsn.select(*cols).collect()}
     assert a == b
     assert not m2.per_trip.is_cached
