@@ -43,7 +43,7 @@ from .store import ship, shuffle_partitions, write_table
 
 DISCOUNT = 0.75
 STEP = 1 / 16                  # width of a probability code in log10; 255 codes reach 10**-15.9
-CELL = 4_000_000               # occurrences of a middle word per cell
+CELL = 500_000                 # occurrences of a middle word per cell
 UNKNOWN, START, FIRST_ID = 0, 1, 2
 END = np.uint64(text.mix_one(0x656E64))
 _U = np.uint64
@@ -255,7 +255,7 @@ class Model:
 
 def score_grams(root, w, u, code, held, universe):
     """log10 of every n-gram occurrence, the model being built from those not held out."""
-    _, at2 = np.unique(root * _U(universe) + w, return_inverse=True)
+    at2 = np.unique(root.astype(np.uint64) * _U(universe) + w, return_inverse=True)[1]
     grams, first, at3 = np.unique(at2.astype(np.uint64) * _U(universe) + u, return_index=True, return_inverse=True)
     count3 = np.bincount(at3, ~held, len(grams))
     root3, w3, u3, code3, gram3 = root[first], w[first], u[first], code[first], at2[first]
@@ -269,6 +269,10 @@ def score_grams(root, w, u, code, held, universe):
     return model.score(root3, w3.astype(np.int64), u3.astype(np.int64), code3)[at3]
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint32) if not len(x) or x.max() < 1 << 32 else x
+
+
 def _scores(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = pdf[pdf["kind"] == _GRAMS]
     out = pdf[pdf["kind"] == _STREAM]
@@ -280,14 +284,15 @@ def _scores(pdf: pd.DataFrame) -> pd.DataFrame:
         first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
         run = np.cumsum(dw, dtype=np.uint64)
         run -= np.repeat(run[first] - dw[first], np.diff(np.append(first, len(v))))
-        parts.append((v, run, unpack(r.c), unpack(r.d), unpack(r.e), unpack(r.f)))
+        parts.append((_narrow(v), _narrow(run), *[_narrow(unpack(x)) for x in (r.c, r.d, r.e)], unpack(r.f).astype(np.uint8)))
     sizes = [len(p[0]) for p in parts]
     v, w, u, cell, doc, code = (np.concatenate([p[i] for p in parts]) for i in range(6))
     del parts
-    roots, of = np.unique(v * (cell.max() + _U(1)) + cell, return_inverse=True)
+    of = np.unique(v.astype(np.uint64) * _U(int(cell.max()) + 1) + cell, return_inverse=True)[1].astype(np.uint32)
+    del v, cell
     universe = int(max(w.max(), u.max())) + 1
-    value = score_grams(of.astype(np.uint64), w, u, code.astype(np.uint8), (doc & _U(1)).astype(bool), universe)
-    doc = (doc >> _U(1)).astype(np.int64)
+    value = score_grams(of, w, u, code, (doc & 1).astype(bool), universe)
+    doc = doc >> 1
     found, at = [], 0
     for r, n in zip(rows.itertuples(), sizes):
         found.append(_row(r.chunk, 0, _PARTIAL, np.bincount(doc[at:at + n], value[at:at + n]).astype(np.float32).tobytes()))
