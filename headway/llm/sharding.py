@@ -1,10 +1,10 @@
 """Sharding by vector bin packing over bytes, tokens and rows.
 
-Rows with equal texts form a group.  A group is placed whole unless it alone
-exceeds a 1/64 of a shard in bytes, tokens or rows; then it is cut into pieces
-of about that size.  Smaller groups are bundled by their hash into coarse and
-fine bundles, so the packer sees a number of items that depends on the shard
-count and grows only by one bundle per million rows.  Items go, largest
+Rows with equal texts form a group.  A group beyond 1/64 of a shard in bytes,
+tokens or rows is an item of its own; only beyond a quarter of a shard is it
+cut into pieces of about that size.  Smaller groups are bundled by their hash
+into coarse and fine bundles, so the packer sees a number of items that depends
+on the shard count and grows only by one bundle per million rows.  Items go, largest
 first, to the shard whose residual capacity vector has the highest dot product
 with the item.  Nothing of the size of the corpus reaches the driver: it sees
 the totals, the groups beyond a 1/64 share (at most 3 * 64 * shards) and one
@@ -26,7 +26,8 @@ from pyspark.sql.window import Window
 from .store import write_table
 
 TOKEN = r"[^\x20\x09-\x0D]+"
-PARTS_PER_SHARD = 64          # a group beyond this share of a shard is cut
+PARTS_PER_SHARD = 64          # a group beyond this share of a shard is an item of its own
+WHOLE_PARTS = 16              # of which a group may have so many before it is cut
 BUNDLES_PER_SHARD = 32        # coarse bundles and as many fine ones
 ROWS_PER_BUNDLE = 1_000_000   # more bundles once a bundle would hold more rows than this
 DIMENSIONS = ("size", "n_tokens", "n_rows")
@@ -68,7 +69,7 @@ def assign(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     limit = [max(1.0, (t or 0) / (n_shards * PARTS_PER_SHARD)) for t in total]
     share = F.greatest(*[F.col(c) / F.lit(m) for c, m in zip(DIMENSIONS, limit)])
     # at most 3 * 64 * n_shards groups can exceed a 64th of a shard in one of three dimensions
-    large = groups.where(share > 1).select("g1", "g2", F.ceil(share).cast("int").alias("n_pieces")).toPandas()
+    large = groups.where(share > 1).select("g1", "g2", F.ceil(share / WHOLE_PARTS).cast("int").alias("n_pieces")).toPandas()
     large = large.sort_values(["g1", "g2"], ignore_index=True)
     per_shard = max(BUNDLES_PER_SHARD, (total[2] or 0) // (n_shards * ROWS_PER_BUNDLE))
     n_bundles = int(n_shards * per_shard)
