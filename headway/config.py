@@ -24,6 +24,8 @@ class MigrateConfig:
     # Timestamp written where the original used now(): the wildcard zone and
     # rules added by fare edits.
     run_ts: _dt.datetime = field(default_factory=lambda: _dt.datetime(2024, 1, 1))
+    # Side (degrees) of the grid cells that find a point's candidate polygons.
+    tz_cell_degrees: float = 5.0
     # Latitude band height (degrees) for the point-in-polygon join.
     tz_band_degrees: float = 1.0
     # Salt buckets spread a hot latitude band over several tasks.

@@ -111,14 +111,13 @@ def pattern_names(patterns: DataFrame, diff: DataFrame, stops: DataFrame) -> Dat
 
 def pattern_names_endpoints(patterns: DataFrame, pattern_stops: DataFrame, src_stops: DataFrame) -> DataFrame:
     """E5: '<first stop> to <last stop> x<number of stops>'."""
-    summary = pattern_stops.groupBy("pattern_id").agg(
-        F.count(F.lit(1)).alias("number_of_stops"), F.min("stop_order").alias("_lo"), F.max("stop_order").alias("_hi"))
-    ps = pattern_stops.select("pattern_id", "stop_order", "stop_id")
+    ends = pattern_stops.groupBy("pattern_id").agg(
+        F.count(F.lit(1)).alias("number_of_stops"), F.min_by("stop_id", "stop_order").alias("_first_id"),
+        F.max_by("stop_id", "stop_order").alias("_last_id"))
     s = src_stops.select("stop_id", "stop_name")
-    first = ps.join(s, "stop_id").select("pattern_id", F.col("stop_order").alias("_lo"), F.col("stop_name").alias("_first"))
-    last = ps.join(s, "stop_id").select("pattern_id", F.col("stop_order").alias("_hi"), F.col("stop_name").alias("_last"))
-    j = (patterns.select("pattern_id").join(summary, "pattern_id")
-         .join(first, ["pattern_id", "_lo"]).join(last, ["pattern_id", "_hi"]))
+    first = s.select(F.col("stop_id").alias("_first_id"), F.col("stop_name").alias("_first"))
+    last = s.select(F.col("stop_id").alias("_last_id"), F.col("stop_name").alias("_last"))
+    j = patterns.select("pattern_id").join(ends, "pattern_id").join(first, "_first_id").join(last, "_last_id")
     return j.select("pattern_id", F.concat(F.col("_first"), F.lit(" to "), F.col("_last"), F.lit(" x"),
                                            F.col("number_of_stops").cast("string")).alias("generated_name"))
 

@@ -216,9 +216,8 @@ def timed_pattern_stops(tpsn: DataFrame) -> DataFrame:
                        F.col("stop_headsign_id").alias("headsign_id")).distinct()
 
 
-def multi_route_patterns(tpsn: DataFrame) -> DataFrame:
-    """Patterns used by several agencies, routes or directions."""
-    return (tpsn.groupBy("pattern_id")
-            .agg(F.countDistinct("agency_id").alias("agency_count"),
-                 F.countDistinct("route_id").alias("route_count"),
-                 F.countDistinct("direction_id").alias("direction_count")))
+def multi_route_patterns(patterns_base: DataFrame) -> DataFrame:
+    """Patterns used by several agencies, routes or directions, counted
+    over the patterns table, which has each combination once."""
+    return (patterns_base.groupBy("pattern_id")
+            .agg(*[F.size(F.collect_set(f"{c}_id")).cast("bigint").alias(f"{c}_count") for c in ("agency", "route", "direction")]))

@@ -1,11 +1,12 @@
 """Spatial jobs without geo types.
 
-Point in polygon (I1) is a banded equi-join: polygon edges are replicated
-into the latitude bands they span, points fall in exactly one band, and a
-point lies inside a polygon when a ray to its east crosses an odd number
-of that polygon's edges (crossing number, half-open in latitude).  Points
-are deduplicated first, and a salt spreads a crowded band over several
-tasks.
+Point in polygon (I1) takes two equi-joins.  Grid cells that a polygon's
+bounding box touches give the candidate polygons of a point.  The edges of a
+polygon are replicated into the latitude bands they span, and a candidate
+meets only the edges of its polygon in its band: it lies inside when a ray to
+its east crosses an odd number of them (half-open in latitude), which also
+gets holes and several parts right.  Points are deduplicated first, and a
+salt spreads a crowded band over several tasks.
 """
 
 from __future__ import annotations
@@ -38,20 +39,47 @@ def ring_edges(rings: DataFrame) -> DataFrame:
     return rings.where(F.size("ring") > 1).select("tzid", F.explode(e).alias("e")).select("tzid", "e.*")
 
 
+def vertex_rings(vertices: DataFrame) -> DataFrame:
+    """Rows (tzid, ring_id, vertex_no, lon, lat) -> closed rings; a ring's vertices make one array."""
+    points = F.transform(F.array_sort(F.collect_list(F.struct("vertex_no", "lon", "lat"))), lambda v: make_point(v["lon"], v["lat"]))
+    rings = vertices.groupBy("tzid", "ring_id").agg(points.alias("ring"))
+    return rings.select("tzid", F.concat("ring", F.slice("ring", 1, 1)).alias("ring"))
+
+
+def polygon_edges(polygons: DataFrame) -> DataFrame:
+    """Edges of polygons given as vertex rows, as ring arrays or as boxes.
+
+    A polygon is all rings of its ``tzid``: several parts, and holes, which
+    run against the outer ring's direction where areas are taken.
+    """
+    if "vertex_no" in polygons.columns:
+        return ring_edges(vertex_rings(polygons))
+    return ring_edges(polygons) if "ring" in polygons.columns else box_edges(polygons)
+
+
 def point_timezone(points: DataFrame, edges: DataFrame, cfg: MigrateConfig | None = None) -> DataFrame:
     """(lon, lat) distinct points -> (lon, lat, tzid); ``min(tzid)`` when
     several polygons contain the point, NULL when none does."""
     cfg = cfg or MigrateConfig()
     h, salts = float(cfg.tz_band_degrees), max(1, int(cfg.tz_band_salt))
     pts = points.select("lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).distinct()
-    pts_b = pts.select("lon", "lat", F.floor(F.col("lat") / h).alias("band"),
-                       F.pmod(F.xxhash64("lon", "lat"), F.lit(salts)).alias("salt"))
+    c = float(cfg.tz_cell_degrees)
+    box = edges.groupBy("tzid").agg(
+        F.min(F.least("x1", "x2")).alias("w"), F.max(F.greatest("x1", "x2")).alias("e"),
+        F.min(F.least("y1", "y2")).alias("s"), F.max(F.greatest("y1", "y2")).alias("n"))
+    cells = (box.select("*", F.explode(F.sequence(F.floor(F.col("w") / c), F.floor(F.col("e") / c))).alias("cx"))
+             .select("*", F.explode(F.sequence(F.floor(F.col("s") / c), F.floor(F.col("n") / c))).alias("cy")))
+    pts_b = (pts.select("lon", "lat", F.floor(F.col("lon") / c).alias("cx"), F.floor(F.col("lat") / c).alias("cy"))
+             .join(cells, ["cx", "cy"])
+             .where(F.col("lon").between(F.col("w"), F.col("e")) & F.col("lat").between(F.col("s"), F.col("n")))
+             .select("lon", "lat", "tzid", F.floor(F.col("lat") / h).alias("band"),
+                     F.pmod(F.xxhash64("lon", "lat"), F.lit(salts)).alias("salt")))
     # horizontal edges never cross a horizontal ray
     e = edges.where(F.col("y1") != F.col("y2"))
     e_b = e.select("tzid", "x1", "y1", "x2", "y2", F.explode(F.sequence(
         F.floor(F.least("y1", "y2") / h), F.floor(F.greatest("y1", "y2") / h))).alias("band"))
     e_b = e_b.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    cand = pts_b.join(e_b, ["band", "salt"])
+    cand = pts_b.join(e_b, ["tzid", "band", "salt"])
     py, px = F.col("lat"), F.col("lon")
     crosses = (((F.col("y1") > py) != (F.col("y2") > py))
                & (px < F.col("x1") + (py - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))))
@@ -65,7 +93,7 @@ def assign_timezones(stops: DataFrame, tz_polygons: DataFrame, cfg: MigrateConfi
     """B4 + I1: stops get the time zone of the polygon holding their point."""
     with_xy = stops.select("*", F.col("point.lon").alias("_lon"), F.col("point.lat").alias("_lat"))
     tz = point_timezone(with_xy.select(F.col("_lon").alias("lon"), F.col("_lat").alias("lat")),
-                        box_edges(tz_polygons), cfg)
+                        polygon_edges(tz_polygons), cfg)
     tz = tz.select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), F.col("tzid").alias("timezone"))
     return with_xy.join(tz, ["_lon", "_lat"], "left").drop("_lon", "_lat")
 

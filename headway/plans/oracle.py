@@ -44,8 +44,10 @@ CTES: list[tuple[str, str]] = [
  sp.parent_station AS parent_station_id, sp.stop_name AS name, sp.stop_desc, sp.stop_comments, sp.city, sp.direction_id,
  sp.stop_url AS url, zn.zone_id, sp.stop_lon AS lon, sp.stop_lat AS lat,
  sp.publish_status AS enabled, sp.agency_id,
- (SELECT min(box.tzid) FROM tz_polygons box WHERE sp.stop_lon BETWEEN box.min_lon AND box.max_lon
-   AND sp.stop_lat BETWEEN box.min_lat AND box.max_lat) AS timezone
+ (SELECT min(n.n_name) FROM nation n, (SELECT sp.stop_lon + 180 AS x, sp.stop_lat AS y) p
+   WHERE p.x >= 15 * n.n_nationkey AND p.x < 15 * n.n_nationkey + 15 AND p.y >= -60
+   AND p.y < 60 - 20 * abs(p.x - 15 * n.n_nationkey - 7.5) / 7.5
+   AND NOT (p.y >= -10 AND p.y < 12 - 22 * abs(p.x - 15 * n.n_nationkey - 7.5) / 3.5)) AS timezone
  FROM src_stops sp JOIN o_agencies ag ON ag.agency_id = sp.agency_id LEFT JOIN src_zones zn ON zn.zone_id = sp.zone_id"""),
     ("o_routes", f"""SELECT agency_id, route_id, route_short_name, route_long_name, route_desc AS route_description, route_type,
  coalesce('#' || lower(CASE WHEN regexp_full_match(route_color, '[0-9a-fA-F]{{6}}') THEN route_color END), '#ffffff') AS route_color,
@@ -503,16 +505,15 @@ FINAL: dict[str, str] = {
  UNION ALL SELECT 'fare_rules', CAST(COALESCE(MAX(fare_rule_id), 0) + 1 AS BIGINT) FROM o_fare_rules
  UNION ALL SELECT 'blocks', CAST(COALESCE(MAX(block_id), 0) + 1 AS BIGINT) FROM o_blocks""",
 }
-_BOX_EDGES = """SELECT tzid, min_lon AS x1, min_lat AS y1, max_lon AS x2, min_lat AS y2 FROM tz_polygons
- UNION ALL SELECT tzid, max_lon, min_lat, max_lon, max_lat FROM tz_polygons
- UNION ALL SELECT tzid, max_lon, max_lat, min_lon, max_lat FROM tz_polygons
- UNION ALL SELECT tzid, min_lon, max_lat, min_lon, min_lat FROM tz_polygons"""
+_RING_EDGES = """SELECT tzid, lon AS x1, lat AS y1, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS x2,
+   coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS y2
+ FROM tz_polygons WINDOW w AS (PARTITION BY tzid, ring_id ORDER BY vertex_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
 FINAL.update({
     "trips_legacy_union": """SELECT * FROM o_trips_sched UNION SELECT * FROM o_trips_based_on
  UNION SELECT * FROM o_trips_freq_based_on UNION SELECT * FROM o_trips_freq""",
     "tz_coverage": f"""SELECT ROUND((SELECT SUM(area_m2) FROM (
    SELECT tzid, abs(sum((radians(x2) - radians(x1)) * (2 + sin(radians(y1)) + sin(radians(y2))))) * 6378137.0 * 6378137.0 / 2 AS area_m2
-   FROM ({_BOX_EDGES}) e GROUP BY tzid) a) / 510072000000000.0, 9) AS fraction_covered,
+   FROM ({_RING_EDGES}) e GROUP BY tzid) a) / 510072000000000.0, 9) AS fraction_covered,
  (SELECT CAST(COUNT(*) FILTER (WHERE timezone IS NULL) AS BIGINT) FROM o_stops) AS n_null_timezone""",
     "stop_feed_link": "SELECT s.stop_id, a.feed_id FROM src_stops s LEFT JOIN o_agencies a ON s.agency_id = a.agency_id",
     "orphan_prune": f"""SELECT * FROM (SELECT fare_rider_category_id, fare_id, rider_category_custom_id, CAST(price AS DOUBLE) AS price, agency_id
@@ -521,7 +522,7 @@ FINAL.update({
 })
 FINAL["scope_only_agency"] = """SELECT DISTINCT ag.agency_id, ag.agency_name, link.agency_group_id AS feed_id
  FROM src_agency ag JOIN src_agency_group_assoc link USING (agency_id)
- WHERE ag.agency_id = (SELECT agency_id FROM src_trips WHERE agency_id IS NOT NULL GROUP BY agency_id
+ WHERE ag.agency_id = (SELECT agency_id FROM src_trips WHERE agency_id IN (SELECT agency_id FROM src_agency_group_assoc) GROUP BY agency_id
                        ORDER BY count(*) DESC, agency_id LIMIT 1)"""
 FINAL["null_means_all"] = """SELECT fare_rule_id, coalesce(route_id, -411) AS route_id, coalesce(origin_id, -411) AS origin_id,
  coalesce(destination_id, -411) AS destination_id, coalesce(contains_id, -411) AS contains_id FROM src_fare_rules"""

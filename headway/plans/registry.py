@@ -195,7 +195,7 @@ def q_timed_pattern_stops(spark, sf):
 
 @query("multi_route_patterns")
 def q_multi_route(spark, sf):
-    return pat.multi_route_patterns(migration(spark, sf).tpsn).select(
+    return pat.multi_route_patterns(migration(spark, sf).patterns_base).select(
         "pattern_id", *[F.col(c).cast("bigint").alias(c) for c in ("agency_count", "route_count", "direction_count")])
 
 
@@ -331,7 +331,7 @@ def q_fare_edits(spark, sf):
 def q_stop_timezones(spark, sf):
     m = migration(spark, sf)
     pts = m.stops.select(F.col("point.lon").alias("lon"), F.col("point.lat").alias("lat"))
-    return spatial.point_timezone(pts, spatial.box_edges(m.src["tz_polygons"]), m.cfg)
+    return spatial.point_timezone(pts, spatial.polygon_edges(m.src["tz_polygons"]), m.cfg)
 
 
 @query("timezone_fallback")
@@ -427,7 +427,7 @@ def q_trips_legacy_union(spark, sf):
 @query("tz_coverage")
 def q_tz_coverage(spark, sf):
     m = migration(spark, sf)
-    cov = spatial.tz_coverage(spatial.box_edges(m.src["tz_polygons"]), m.stops)
+    cov = spatial.tz_coverage(spatial.polygon_edges(m.src["tz_polygons"]), m.stops)
     return cov.select(F.round("fraction_covered", 9).alias("fraction_covered"), "n_null_timezone")
 
 
@@ -444,8 +444,9 @@ def q_orphan_prune(spark, sf):
 
 
 def busiest_agency(src) -> int:
-    """The agency running the most trips (ties: smallest id), read as a scalar."""
-    row = (src["trips"].where(F.col("agency_id").isNotNull()).groupBy("agency_id").count()
+    """The agency in a group running the most trips (ties: smallest id), read as a scalar."""
+    grouped = src["agency_group_assoc"].select("agency_id")
+    row = (src["trips"].where(F.col("agency_id").isNotNull()).join(grouped, "agency_id", "left_semi").groupBy("agency_id").count()
            .orderBy(F.col("count").desc(), F.col("agency_id")).first())
     return int(row["agency_id"])
 

@@ -127,8 +127,16 @@ SELECT c_custkey AS permission_id, c_nationkey AS agency_id, c_custkey AS user_i
 SELECT CAST(FLOOR(event_id / 10) AS BIGINT) AS shape_segment_id, CAST(event_id % 10 AS INT) AS shape_pt_sequence, CAST((event_id * 7) % 360 AS DOUBLE) - 180 AS lon, CAST((event_id * 3) % 160 AS DOUBLE) - 80 AS lat FROM events"""),
     ("src_shape_segments", """
 SELECT CAST(FLOOR(event_id / 10) AS BIGINT) AS shape_segment_id, user_id % 20 AS start_coordinate_id, CASE WHEN event_id % 70 = 0 THEN NULL ELSE (user_id + 1 + CAST(FLOOR(event_id / 10) AS BIGINT) % 5) % 20 END AS end_coordinate_id FROM events WHERE event_id % 10 = 0"""),
+    # one house-shaped zone with a triangular hole per nation
     ("tz_polygons", """
-SELECT n_name AS tzid, CAST(15 * n_nationkey AS DOUBLE) - 180 AS min_lon, CAST(15 * n_nationkey AS DOUBLE) - 165 AS max_lon, CAST(-60 AS DOUBLE) AS min_lat, CAST(60 AS DOUBLE) AS max_lat FROM nation WHERE n_nationkey < 24"""),
+SELECT n_name AS tzid, 0 AS ring_id, 0 AS vertex_no, CAST(15 * n_nationkey AS DOUBLE) - 180 + 0.0 AS lon, CAST(-60.0 AS DOUBLE) AS lat FROM nation
+ UNION ALL SELECT n_name, 0, 1, CAST(15 * n_nationkey AS DOUBLE) - 180 + 15.0, CAST(-60.0 AS DOUBLE) FROM nation
+ UNION ALL SELECT n_name, 0, 2, CAST(15 * n_nationkey AS DOUBLE) - 180 + 15.0, CAST(40.0 AS DOUBLE) FROM nation
+ UNION ALL SELECT n_name, 0, 3, CAST(15 * n_nationkey AS DOUBLE) - 180 + 7.5, CAST(60.0 AS DOUBLE) FROM nation
+ UNION ALL SELECT n_name, 0, 4, CAST(15 * n_nationkey AS DOUBLE) - 180 + 0.0, CAST(40.0 AS DOUBLE) FROM nation
+ UNION ALL SELECT n_name, 1, 0, CAST(15 * n_nationkey AS DOUBLE) - 180 + 4.0, CAST(-10.0 AS DOUBLE) FROM nation
+ UNION ALL SELECT n_name, 1, 1, CAST(15 * n_nationkey AS DOUBLE) - 180 + 7.5, CAST(12.0 AS DOUBLE) FROM nation
+ UNION ALL SELECT n_name, 1, 2, CAST(15 * n_nationkey AS DOUBLE) - 180 + 11.0, CAST(-10.0 AS DOUBLE) FROM nation"""),
 ]
 
 FIXTURE_NAMES = [name for name, _ in FIXTURE_VIEWS]

@@ -46,8 +46,8 @@ def test_stop_lookup_and_ring_edges(spark):
     m = migration(spark, SF)
     one = audits.stop_lookup(m, 1).collect()
     assert len(one) == 1 and one[0].stop_id == 1
-    edges = spatial.box_edges(m.src["tz_polygons"])
-    assert edges.count() == 4 * m.src["tz_polygons"].count()
+    edges = spatial.polygon_edges(m.src["tz_polygons"])
+    assert edges.count() == m.src["tz_polygons"].count()
 
 
 def test_prune_orphans_keeps_null_keys(spark):

@@ -22,12 +22,12 @@ def test_stream_timezones_equals_batch(spark, tmp_path):
     stops.where("stop_id % 2 = 1").write.parquet(inbox + "/b")
     stream = spark.readStream.schema(stops.schema).option("recursiveFileLookup", "true").parquet(inbox)
     out = str(tmp_path / "out")
-    q = stream_timezones(stream, spatial.box_edges(m.src["tz_polygons"]), out, str(tmp_path / "ckpt"),
+    q = stream_timezones(stream, spatial.polygon_edges(m.src["tz_polygons"]), out, str(tmp_path / "ckpt"),
                          m.cfg, available_now=True)
     q.awaitTermination(300)
     got = {(r.stop_id, r.timezone) for r in spark.read.parquet(out).collect()}
     pts = stops.select(F.col("stop_lon").alias("lon"), F.col("stop_lat").alias("lat"))
-    tz = spatial.point_timezone(pts, spatial.box_edges(m.src["tz_polygons"]), m.cfg)
+    tz = spatial.point_timezone(pts, spatial.polygon_edges(m.src["tz_polygons"]), m.cfg)
     want = {(r.stop_id, r.tzid) for r in stops.join(
         tz, (stops.stop_lon == tz.lon) & (stops.stop_lat == tz.lat), "left").collect()}
     assert got == want
