@@ -51,8 +51,9 @@ def clean(docs: DataFrame, sites: int = SITES) -> DataFrame:
         lines.join(spread, ["h1", "h2"], "left_semi").groupBy("doc_id", "mark").agg(F.collect_set("place").alias("places")),
         "lines-hits").withColumnsRenamed({"doc_id": "hit_id", "mark": "hit_mark"})
     parts = F.split("text", "\n", -1)
+    # hits grow with the documents: merged at every size, not broadcast while they happen to be few
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(
-        hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left")
+        hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left")
     kept = F.filter(parts, lambda _, i: ~F.array_contains("places", i))
     return rows.select(
         "doc_id", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias("n_lines"),
