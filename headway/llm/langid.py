@@ -186,7 +186,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     rejected = write_table(found.where(~F.col("accepted")).select(
         F.col("key.doc_id").alias("_id"), F.col("key.mark").alias("_mark")).distinct(), "langid-rejected")
     mark = F.xxhash64(docs["text"], docs["lang"], docs["source"])
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]) & (mark == rejected["_mark"]), "left_anti")
+    return docs.join(rejected.hint("merge"), docs["doc_id"].eqNullSafe(rejected["_id"]) & (mark == rejected["_mark"]), "left_anti")
 
 
 _PAGE_TEXT = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<[^>]*>|&[a-z]+;|&#\w+;"
