@@ -66,10 +66,20 @@ def test_scores_match_plain_model(spark, rows):
         assert abs(g["score"] - w[6]) <= 1.5 * lm.STEP * w[2]
 
 
-def test_probabilities_sum_to_one(spark, rows):
-    """Quantisation apart, the model is a distribution: checked on the plain model's own vocabulary."""
-    scores = plain_model([(1, "a b a c a b"), (2, "b a")])
-    assert all(s[6] <= 0 for s in scores)
+def test_probabilities_of_a_context_sum_to_one():
+    """All words after one context, the unknown one included, up to the width of a probability code."""
+    rng = np.random.default_rng(4)
+    n_words, n = 12, 400
+    v, w, u = (rng.integers(1, n_words, n).astype(np.uint32) for _ in range(3))
+    counts = np.bincount(w, minlength=n_words)
+    p1 = (counts + 0.1) / (n + 0.1 * n_words)
+    for context_v, context_u in ((3, 5), (7, 0), (11, 2)):
+        root = np.append(v, np.full(n_words, context_v)).astype(np.uint32)
+        words = np.append(w, np.arange(n_words)).astype(np.uint32)
+        before = np.append(u, np.full(n_words, context_u)).astype(np.uint32)
+        held = np.append(np.zeros(n, bool), np.ones(n_words, bool))
+        value = lm.score_grams(root, words, before, lm.quantise(np.log10(p1))[words], held, n_words)
+        assert (10 ** value[n:]).sum() == pytest.approx(1, abs=0.08)
 
 
 def test_empty_table(spark):
