@@ -46,10 +46,44 @@ UNIQUE_KEYS = [
     ("trips", ["trip_id"]),
 ]
 
-# NOT NULL columns and text length limits checked after load.
-NOT_NULL = [("blocks", "name"), ("headsigns", "headsign"), ("patterns", "route_id"), ("agencies", "agency_name"),
-            ("feeds", "name"), ("routes", "agency_id")]
-MAX_LENGTH = [("headsigns", "headsign", 105), ("feeds", "name", 2044)]
+# NOT NULL columns of the target schema, by table.
+NOT_NULL = {
+    "agencies": ["agency_id", "agency_url", "agency_timezone", "agency_name", "agency_short_name", "last_modified", "no_frequencies"],
+    "blocks": ["agency_id", "block_id", "name"],
+    "calendars": ["agency_id", "calendar_id", "name"],
+    "calendar_bounds": ["agency_id", "calendar_id", "start_date", "end_date"],
+    "calendar_dates": ["date"],
+    "calendar_date_service_exceptions": ["calendar_date_id", "calendar_id", "monday", "tuesday", "wednesday", "thursday",
+                                         "friday", "saturday", "sunday", "agency_id", "last_modified"],
+    "directions": ["direction_id", "name"],
+    "fare_attributes": ["fare_id", "price", "currency_type", "last_modified"],
+    "fare_rider_categories": ["fare_rider_category_id"],
+    "fare_rules": ["fare_rule_id", "is_combinable", "last_modified"],
+    "feeds": ["feed_id", "name"],
+    "headsigns": ["headsign_id", "headsign"],
+    "patterns": ["agency_id", "pattern_id", "route_id"],
+    "pattern_stops": ["agency_id", "pattern_id", "stop_order", "stop_id"],
+    "routes": ["agency_id", "route_id", "route_short_name", "route_long_name", "route_id_import", "last_modified"],
+    "shape_segments": ["from_stop_id", "to_stop_id"],
+    "stops": ["stop_id", "location_type", "enabled"],
+    "timed_patterns": ["agency_id", "timed_pattern_id", "pattern_id"],
+    "timed_pattern_stops": ["stop_order", "pickup_type", "drop_off_type"],
+    "trips": ["timed_pattern_id", "calendar_id", "agency_id", "start_time", "monday", "tuesday", "wednesday", "thursday",
+              "friday", "saturday", "sunday"],
+}
+# Longest texts of the target schema, by table and column.
+MAX_LENGTH = {
+    "agencies": {"agency_id_import": 100, "agency_url": 255, "agency_timezone": 45, "agency_name": 120, "agency_short_name": 10,
+                 "agency_phone": 70, "agency_fare_url": 255, "agency_info": 255},
+    "calendars": {"name": 2044},
+    "directions": {"name": 35},
+    "fare_attributes": {"currency_type": 3},
+    "feeds": {"name": 2044, "contact_email": 2044, "contact_url": 2044, "license": 2044},
+    "headsigns": {"headsign": 105},
+    "routes": {"route_short_name": 30, "route_long_name": 220, "route_url": 300, "route_id_import": 100},
+    "stops": {"stop_code": 2044, "stop_desc": 2044, "stop_comments": 2044, "platform_code": 2044, "city": 2044, "url": 2044,
+              "timezone": 2044},
+}
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -94,21 +128,22 @@ def key_audit(m) -> DataFrame:
 
 
 def check_audit(m) -> DataFrame:
-    """NOT NULL, CHECK (block colour is a CSS colour) and length rules."""
-    tables = m.targets({t for t, *_ in [*NOT_NULL, *MAX_LENGTH]} | {"blocks"})
+    """NOT NULL, CHECK (block colour is a CSS colour) and length rules:
+    one aggregate per table, one row per rule."""
+    rules: dict[str, list] = {}
+    for table, cols in NOT_NULL.items():
+        rules.setdefault(table, []).extend((f"{table}.{c} not null", F.col(c).isNull()) for c in cols)
+    for table, cols in MAX_LENGTH.items():
+        rules.setdefault(table, []).extend((f"{table}.{c} length <= {n}", F.length(c) > n) for c, n in cols.items())
+    rules["blocks"].append(("blocks.color is_valid_css_color", F.col("color").isNotNull() & ~is_valid_css_color("color")))
+    tables = m.targets(set(rules))
     parts = []
-
-    def rule(name, df, bad):
-        parts.append(df.groupBy().agg(
-            F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("violations")).select(
-            F.lit(name).alias("rule"), F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations")))
-
-    for table, col in NOT_NULL:
-        rule(f"{table}.{col} not null", tables[table], F.col(col).isNull())
-    for table, col, n in MAX_LENGTH:
-        rule(f"{table}.{col} length <= {n}", tables[table], F.length(col) > n)
-    blocks = tables["blocks"]
-    rule("blocks.color is_valid_css_color", blocks, F.col("color").isNotNull() & ~is_valid_css_color("color"))
+    for table, checks in rules.items():
+        counts = tables[table].groupBy().agg(*[
+            F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"v{i}") for i, (_, bad) in enumerate(checks)])
+        parts.append(counts.select(F.explode(F.array(*[
+            F.struct(F.lit(name).alias("rule"), F.col(f"v{i}").alias("violations")) for i, (name, _) in enumerate(checks)])).alias("r"))
+            .select("r.*"))
     return _union(parts)
 
 
