@@ -101,7 +101,7 @@ def test_pack_takes_the_highest_dot_product():
     share = items / items.sum(axis=0)
     capacity, want = np.full((2, 3), 0.5), np.zeros(5, int)
     for i in sorted(range(5), key=lambda i: (-share[i].max(), i)):
-        want[i] = int(np.argmax([c @ share[i] for c in capacity]))
+        want[i] = int(np.argmax([c @ (share[i] * sharding.WEIGHTS) for c in capacity]))
         capacity[want[i]] -= share[i]
     assert (sharding.pack(items, 2) == want).all()
 
