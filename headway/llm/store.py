@@ -7,6 +7,7 @@ unset (tests, local runs) the session helper makes one.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -36,6 +37,16 @@ def drop_table(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Spark does so when the driver's garbage collector finds the plan gone,
+    which on a driver with little to do may be half an hour later.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _shipped: set[str] = set()
 
 
