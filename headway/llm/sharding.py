@@ -19,7 +19,6 @@ further columns of the input are ignored, whatever their names.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 

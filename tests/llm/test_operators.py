@@ -5,7 +5,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
