@@ -11,7 +11,9 @@ token of a text has no context.  No part of the model is held whole by any task:
     knows the base score of its documents and sends their n-grams, sorted and
     packed, to the shard of the middle word v of (u, v, w).  A middle word with
     more than ``CELL`` occurrences is split into cells by the hash of u, so no
-    shard grows with a frequent word; the bigram context is (v, cell).
+    shard grows with a frequent word.  Only trigrams are split: the distinct
+    (v, w) of split words are counted over all cells in shards of their own,
+    which send the totals, and the sums and kinds per v, to the cells.
 3.  A shard counts its training n-grams and builds a trie: (v, cell) -> w -> u,
     and (v, cell) -> u for the context weights.  Pointers and ids are
     Elias-Fano sequences, probabilities 8-bit codes of log10; the levels lie in
@@ -75,7 +77,7 @@ def _cuts(n: int) -> np.ndarray:
 _WORDS = "shard int, hashes binary, counts binary, types long, tokens long"
 _ROWS = "chunk long, shard int, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 _SCHEMA = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("kind", pa.int32())] + [(x, pa.binary()) for x in "abcdef"])
-_VOCABULARY, _ASK, _STREAM, _ANSWER, _GRAMS, _PARTIAL = range(6)
+_VOCABULARY, _ASK, _STREAM, _ANSWER, _GRAMS, _PARTIAL, _PAIRS, _BIGRAMS, _CONTEXTS = range(9)
 
 
 def _row(chunk: int, shard: int, kind: int, *data: bytes) -> tuple:
@@ -161,32 +163,100 @@ def _answer(n_shards: int):
     return answer
 
 
+def _resolve(pdf: pd.DataFrame) -> tuple:
+    """A chunk's stream, ids and counts of its distinct words, its tokens, and lengths and starts of its documents."""
+    stream = pdf[pdf["kind"] == _STREAM].iloc[0]
+    answers = pdf[pdf["kind"] == _ANSWER].sort_values("shard")
+    number = unpack(stream["c"]).astype(np.int64)
+    ids, counts = np.empty(len(number), np.uint64), np.empty(len(number), np.uint64)
+    ids[number] = np.concatenate([unpack(x) for x in answers["a"]])
+    counts[number] = np.concatenate([unpack(x) for x in answers["b"]])
+    token, lengths = unpack(stream["b"]).astype(np.int64), unpack(stream["d"]).astype(np.int64)
+    return stream, ids, counts, token, lengths, np.cumsum(lengths) - lengths
+
+
+def _ngrams(ids: np.ndarray, counts: np.ndarray, token: np.ndarray, starts: np.ndarray, size: int) -> tuple:
+    """u, v, w of every token, the number of cells of v and the cell."""
+    w, c = ids[token], counts[token]
+    v, cv = np.roll(w, 1), np.roll(c, 1)
+    v[starts] = START
+    u = np.roll(v, 1)
+    cells = cv // _U(size) + _U(1)
+    return u, v, w, cells, text.mix(u + _U(77)) % cells
+
+
+def _held(stream: pd.Series, lengths: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(stream["e"], np.uint8), count=len(lengths))
+
+
+def _place(v: np.ndarray, second: np.ndarray, n_shards: int) -> np.ndarray:
+    return (text.mix(v * _U(1000003) + second) % _U(n_shards)).astype(np.int64)
+
+
+def _by_shard(chunk: int, kind: int, shard: np.ndarray, n_shards: int, *columns: np.ndarray) -> list[tuple]:
+    """A row per shard; ``shard`` ascends."""
+    cuts = np.append(np.searchsorted(shard, np.arange(n_shards)), len(shard))
+    return [_row(chunk, int(s), kind, *[pack(x[cuts[s]:cuts[s + 1]]) for x in columns]) for s in np.flatnonzero(np.diff(cuts))]
+
+
+def _pairs(n_shards: int):
+    """Distinct (v, w, cell) of a chunk's split words with training counts, to the shards of (v, w)."""
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        stream, ids, counts, token, lengths, starts = _resolve(pdf)
+        u, v, w, cells, cell = _ngrams(ids, counts, token, starts, CELL)
+        split = cells > 1
+        split[starts] = False
+        train = np.repeat(_held(stream, lengths) == 0, lengths)[split]
+        v, w, cells, cell = (x[split] for x in (v, w, cells, cell))
+        if not len(v):
+            return _frame([])
+        shard = _place(v, w, n_shards)
+        order = np.lexsort((cell, w, v, shard))
+        v, w, cells, cell, shard, train = (x[order] for x in (v, w, cells, cell, shard, train))
+        first = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (cell[1:] != cell[:-1])))
+        count = np.add.reduceat(train, first, dtype=np.int64)
+        return _frame(_by_shard(stream["chunk"], _PAIRS, shard[first], n_shards, v[first], w[first], cell[first], count, cells[first]))
+    return pairs
+
+
+def _bigrams(n_shards: int):
+    """Counts of (v, w) over all cells for every cell that asks, and this shard's part of the sums and kinds per v for every cell."""
+    def bigrams(pdf: pd.DataFrame) -> pd.DataFrame:
+        v, w, cell, count, cells = (np.concatenate([unpack(x) for x in pdf[c]]) for c in "abcde")
+        order = np.lexsort((cell, w, v))
+        v, w, cell, count, cells = (x[order] for x in (v, w, cell, count, cells))
+        new_v = np.append(True, v[1:] != v[:-1])
+        new_pair = new_v | np.append(True, w[1:] != w[:-1])
+        new = new_pair | np.append(True, cell[1:] != cell[:-1])
+        total = np.add.reduceat(count, np.flatnonzero(new_pair))
+        each = total[np.cumsum(new_pair) - 1][new]
+        shard = _place(v[new], cell[new], n_shards)
+        order = np.argsort(shard, kind="stable")
+        out = _by_shard(-1, _BIGRAMS, shard[order], n_shards, *[x[order] for x in (v[new], cell[new], w[new], each)])
+        lead = np.flatnonzero(new_v[new_pair])
+        sums, kinds = np.add.reduceat(total, lead), np.add.reduceat(total > 0, lead, dtype=np.int64)
+        v, cells = v[new_v], cells[new_v].astype(np.int64)
+        cell = (np.arange(cells.sum()) - np.repeat(np.cumsum(cells) - cells, cells)).astype(np.uint64)
+        v, sums, kinds = (np.repeat(x, cells) for x in (v, sums, kinds))
+        shard = _place(v, cell, n_shards)
+        order = np.argsort(shard, kind="stable")
+        return _frame(out + _by_shard(-1, _CONTEXTS, shard[order], n_shards, *[x[order] for x in (v, cell, sums, kinds)]))
+    return bigrams
+
+
 def _grams(n_shards: int, total: float):
     def grams(pdf: pd.DataFrame) -> pd.DataFrame:
-        stream = pdf[pdf["kind"] == _STREAM].iloc[0]
-        answers = pdf[pdf["kind"] == _ANSWER].sort_values("shard")
-        number = unpack(stream["c"]).astype(np.int64)
-        ids, counts = np.empty(len(number), np.uint64), np.empty(len(number), np.uint64)
-        ids[number] = np.concatenate([unpack(x) for x in answers["a"]])
-        counts[number] = np.concatenate([unpack(x) for x in answers["b"]])
-        token, lengths = unpack(stream["b"]).astype(np.int64), unpack(stream["d"]).astype(np.int64)
-        starts = np.cumsum(lengths) - lengths
+        stream, ids, counts, token, lengths, starts = _resolve(pdf)
         value = np.log10(counts + 0.1)
         stats = np.stack([np.add.reduceat(value[token], starts), np.add.reduceat(counts[token] > 0, starts, dtype=np.int64), lengths,
                           value[token[starts]] - np.log10(total)])      # a text's first token has no context
         chunk = stream["chunk"]
         out = [_row(chunk, int(chunk % n_shards), _STREAM, stream["a"], stats.astype(np.float64).tobytes(), stream["e"], stream["f"])]
 
-        w, c = ids[token], counts[token]
-        v, cv = np.roll(w, 1), np.roll(c, 1)
-        v[starts] = START
-        u = np.roll(v, 1)
+        u, v, w, _, cell = _ngrams(ids, counts, token, starts, CELL)
         code = quantise(value - np.log10(total))[token]
-        held = np.unpackbits(np.frombuffer(stream["e"], np.uint8), count=len(lengths))
-        doc = np.repeat(np.arange(len(lengths), dtype=np.uint64) * _U(2) + held.astype(np.uint64), lengths)
-        cells = cv // _U(CELL) + _U(1)
-        cell = text.mix(u + _U(77)) % cells
-        shard = (text.mix(v * _U(1000003) + cell) % _U(n_shards)).astype(np.int64)
+        doc = np.repeat(np.arange(len(lengths), dtype=np.uint64) * _U(2) + _held(stream, lengths).astype(np.uint64), lengths)
+        shard = _place(v, cell, n_shards)
         shard[starts] = n_shards                                     # goes nowhere
         order = np.lexsort((u, w, v, shard))[:len(shard) - len(starts)]
         v, w, u, cell, doc, code, shard = (x[order] for x in (v, w, u, cell, doc, code, shard))
@@ -205,10 +275,9 @@ class Model:
     """The trie of one shard."""
 
     def __init__(self, root: np.ndarray, parents: np.ndarray, w: np.ndarray, count2: np.ndarray, p1: np.ndarray,
-                 grams: np.ndarray, u: np.ndarray, count3: np.ndarray, universe: int):
-        """Sorted training contexts; bigrams (context, w) with counts and unigram log10; trigrams (bigram, u) with counts."""
+                 grams: np.ndarray, u: np.ndarray, count3: np.ndarray, universe: int, sums: np.ndarray, kinds: np.ndarray):
+        """Sorted training contexts with their sums and kinds; bigrams (context, w) with counts and unigram log10; trigrams (bigram, u) with counts."""
         n = len(root)
-        sums, kinds = np.bincount(parents, count2, n), np.bincount(parents, minlength=n)
         weight = DISCOUNT * kinds / sums
         p2 = (count2 - DISCOUNT) / sums[parents] + weight[parents] * 10.0 ** p1
         pair = parents[grams].astype(np.uint64) * _U(universe) + u.astype(np.uint64)
@@ -253,22 +322,56 @@ class Model:
         return out
 
 
-def score_grams(root, w, u, code, held, universe):
-    """log10 of every n-gram occurrence, the model being built from those not held out."""
+def score_grams(root, w, u, code, held, universe, whole=None):
+    """log10 of every n-gram occurrence, the model being built from those not held out.
+
+    ``whole`` has the figures that cover more than these occurrences: the
+    split roots with sums and kinds, and the ascending bigrams root * universe
+    + w of these with counts.
+    """
     at2 = np.unique(root.astype(np.uint64) * _U(universe) + w, return_inverse=True)[1]
     grams, first, at3 = np.unique(at2.astype(np.uint64) * _U(universe) + u, return_index=True, return_inverse=True)
     count3 = np.bincount(at3, ~held, len(grams))
     root3, w3, u3, code3, gram3 = root[first], w[first], u[first], code[first], at2[first]
     trained = count3 > 0
-    g2, of2 = np.unique(gram3[trained], return_inverse=True)
-    count2 = np.bincount(of2, count3[trained], len(g2))
-    lead = np.flatnonzero(trained)[np.append(True, np.diff(gram3[trained]) > 0)] if trained.any() else np.zeros(0, np.int64)
-    contexts, parents = np.unique(root3[lead], return_inverse=True)
-    model = Model(contexts, parents.astype(np.int64), w3[lead].astype(np.int64), count2, -STEP * code3[lead].astype(np.float64),
-                  of2.astype(np.int64), u3[trained].astype(np.int64), count3[trained], universe)
+    lead = np.flatnonzero(np.append(True, np.diff(gram3) > 0))
+    root2, w2, count2 = root3[lead], w3[lead], np.bincount(gram3, count3, len(lead))
+    roots, sums, kinds, bigrams, counts = whole or [np.zeros(0, np.int64)] * 5
+    count2[np.searchsorted(root2.astype(np.uint64) * _U(universe) + w2, bigrams.astype(np.uint64))] = counts
+    known = count2 > 0
+    contexts = np.union1d(root2[known], roots.astype(root2.dtype))
+    parents = np.searchsorted(contexts, root2[known])
+    sums2, kinds2 = np.bincount(parents, count2[known], len(contexts)), np.bincount(parents, minlength=len(contexts))
+    at = np.searchsorted(contexts, roots)
+    sums2[at], kinds2[at] = sums, kinds
+    model = Model(contexts, parents.astype(np.int64), w2[known].astype(np.int64), count2[known], -STEP * code3[lead][known].astype(np.float64),
+                  (np.cumsum(known) - 1)[gram3[trained]], u3[trained].astype(np.int64), count3[trained], universe, sums2, kinds2)
     return model.score(root3, w3.astype(np.int64), u3.astype(np.int64), code3)[at3]
 
 
+def _whole(pdf: pd.DataFrame, roots: np.ndarray, n_cells: int, universe: int) -> tuple | None:
+    """What the shards of (v, w) know of this shard's split roots; ``roots`` are ascending keys v * n_cells + cell."""
+    def read(kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = pdf[pdf["kind"] == kind]
+        if not len(rows):
+            return tuple([np.zeros(0, np.uint64)] * 3)
+        v, cell, x, y = (np.concatenate([unpack(r) for r in rows[c]]) for c in "abcd")
+        here = cell < n_cells
+        key = v[here] * _U(n_cells) + cell[here]
+        at = np.minimum(np.searchsorted(roots, key), len(roots) - 1)
+        hit = roots[at] == key
+        return at[hit].astype(np.uint64), x[here][hit], y[here][hit]
+
+    root, sums, kinds = read(_CONTEXTS)
+    if not len(root):
+        return None
+    root, of = np.unique(root, return_inverse=True)
+    at, w, count = read(_BIGRAMS)
+    bigrams = at * _U(universe) + w
+    order = np.argsort(bigrams)
+    return root, np.bincount(of, sums), np.bincount(of, kinds), bigrams[order], count[order]
+
+
 def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint32) if not len(x) or x.max() < 1 << 32 else x
 
@@ -288,10 +391,12 @@ def _scores(pdf: pd.DataFrame) -> pd.DataFrame:
     sizes = [len(p[0]) for p in parts]
     v, w, u, cell, doc, code = (np.concatenate([p[i] for p in parts]) for i in range(6))
     del parts
-    of = np.unique(v.astype(np.uint64) * _U(int(cell.max()) + 1) + cell, return_inverse=True)[1].astype(np.uint32)
+    n_cells = int(cell.max()) + 1
+    roots, of = np.unique(v.astype(np.uint64) * _U(n_cells) + cell, return_inverse=True)
+    of = of.astype(np.uint32)
     del v, cell
     universe = int(max(w.max(), u.max())) + 1
-    value = score_grams(of, w, u, code, (doc & 1).astype(bool), universe)
+    value = score_grams(of, w, u, code, (doc & 1).astype(bool), universe, _whole(pdf, roots, n_cells, universe))
     doc = doc >> 1
     found, at = [], 0
     for r, n in zip(rows.itertuples(), sizes):
@@ -329,6 +434,7 @@ def score(docs: DataFrame) -> DataFrame:
                          F.col("counts").alias("b"), *[none.alias(x) for x in "cdef"])
     answers = docs.mapInArrow(_ask(n_shards), _ROWS).union(known).groupBy("shard").applyInPandas(_answer(n_shards), _ROWS)
     grams = answers.groupBy("chunk").applyInPandas(_grams(n_shards, total), _ROWS)
-    scores = grams.groupBy("shard").applyInPandas(_scores, _ROWS)
+    bigrams = answers.groupBy("chunk").applyInPandas(_pairs(n_shards), _ROWS).groupBy("shard").applyInPandas(_bigrams(n_shards), _ROWS)
+    scores = grams.union(bigrams).groupBy("shard").applyInPandas(_scores, _ROWS)
     return scores.groupBy("chunk").applyInPandas(
         _finish(n_train, total), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

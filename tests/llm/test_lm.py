@@ -93,6 +93,19 @@ def test_cells_split_frequent_words(spark, rows, monkeypatch):
         assert r["score"] < 0 and r["score"] > 3 * r["base_score"] - 1
 
 
+@pytest.mark.parametrize("cell", [1, 5, 20])
+def test_cells_keep_the_bigrams_of_the_corpus(spark, rows, monkeypatch, cell):
+    """Splitting a word's occurrences changes no probability: the dictionary model has no cells."""
+    monkeypatch.setattr(lm, "CELL", cell)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[5], 6))
+    got = sorted(lm.score(df).collect(), key=key)
+    for g, w in zip(got, sorted(plain_model(rows), key=key), strict=True):
+        assert abs(g["score"] - w[6]) <= 0.5 * lm.STEP * w[2]
+    monkeypatch.undo()
+    assert [g["score"] for g in got] == pytest.approx([g["score"] for g in sorted(lm.score(df).collect(), key=key)], abs=1e-4)
+
+
 @pytest.mark.parametrize("n,top", [(0, 1), (1, 5), (10, 10), (1000, 50), (3000, 10**6), (5000, 2**52)])
 def test_elias_fano(n, top):
     rng = np.random.default_rng(n)
