@@ -25,7 +25,7 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 
 # Words of which at least one stands in every text that a rule can match.
 GATES = ("licen", "copyright", "spdx", "public domain", "creative commons", "creativecommons", "warranty", "rights reserved",
-         "redistribution", "copyleft", "gnu org", "opensource org", "cc by", "cc0", "permission is hereby")
+         "redistribution", "copyleft", "gnu org", "opensource org", "cc by", "cc0", "permission is hereby", "attribution")
 
 # Licences: label, SPDX identifier, names (regexes over words).
 LICENSES = (
@@ -122,7 +122,7 @@ NOTICES = (
     ("gfdl", 30, "free documentation", "(gnu )?free documentation licen[cs]e"),
     ("gpl", 30, "general public licen", "(gnu )?general public licen[cs]e"),
     ("apache", 30, "apache", "apache( software)? licen[cs]e"),
-    ("bsd", 30, "bsd licen", "bsd( style)? licen[cs]e"),
+    ("bsd", 30, "bsd", "bsd( style)? licen[cs]e"),
     ("mpl", 30, "mozilla public", "mozilla public licen[cs]e"),
     ("epl", 30, "eclipse public", "eclipse public licen[cs]e"),
     ("artistic", 30, "artistic", "artistic licen[cs]e"),
@@ -136,7 +136,7 @@ NOTICES = (
     ("public-domain", 50, "public domain", "(is|are|placed|released|dedicated)( in| into| to)?( the)? public domain"),
     ("proprietary", 60, "rights reserved", "all rights reserved"),
     ("proprietary", 55, "proprietary", "proprietary and confidential|proprietary licen[cs]e"),
-    ("copyright", 80, "copyright", "copyright (c )?(\\d\\d\\d\\d )+"),
+    ("copyright", 80, "copyright", "copyright( c)?( \\d\\d\\d\\d)+"),
     ("unknown-license", 90, "licen", "(is|are|be) licen[cs]ed under( the)?( terms of)?|under the terms of the( \\w+)? licen[cs]e|see the licen[cs]e( file)?"),
 )
 

@@ -77,6 +77,42 @@ def test_hundreds_of_rules_compile():
     assert [p for _, p, _, _ in found] == sorted(p for _, p, _, _ in found)
 
 
+# An example of every notice, in their order.
+NOTICE_EXAMPLES = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of it",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "you may not use this file except in compliance with the License.",
+    "It is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License",
+    "GNU Lesser General Public License", "the Affero General Public License", "GNU Free Documentation License", "GNU General Public License",
+    "Apache Software License", "a BSD-style license", "Mozilla Public License", "Eclipse Public License", "the Artistic License",
+    "licensed under a CC BY 4.0", "CC BY-SA 4.0", "CC BY-NC 4.0", "CC BY-ND 4.0", "CC BY-NC-SA 4.0", "CC BY-NC-ND 4.0",
+    "Creative Commons", "released into the public domain", "All rights reserved.", "a proprietary license", "Copyright (c) 2019, 2020 Acme Inc",
+    "see the LICENSE file")
+
+
+def example(regex):
+    """A text of a licence rule: optional parts left out, the first of alternatives."""
+    text = regex.replace("[cs]", "c").replace(" ?", " ").replace("( \\d)*", "").replace("v?", "")
+    text = re.sub(r"\((?!\?:)[^()]*\)\?", "", text).replace("(?:", "(")
+    return re.sub(r"\(([^()|]*)[^()]*\)", r"\1", text)
+
+
+def test_every_rule_detects_an_example(spark):
+    found = licenses.rules()
+    texts = [dict(zip(licenses.NOTICES, NOTICE_EXAMPLES, strict=True)).get(rule) or example(rule[3]) for rule in found]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: {d["label"] for d in r["kept"] or []} for r in licenses.scan(docs).collect()}
+    assert [(rule, texts[i]) for i, rule in enumerate(found) if rule[0] not in got[i]] == []
+
+
+def test_copyright_notices(spark):
+    texts = ["Copyright 2020 Acme Inc", "copyright (C) 2020, 2021 Acme", "Copyright 2020", "copyright law of 2020"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.digest(docs).collect()}
+    assert [got[i]["labels"] for i in range(4)] == ["copyright"] * 3 + [""]
+    assert [round(got[i]["score"], 6) for i in range(4)] == [0.2] * 3 + [0.0]
+
+
 # ---- op7
 
 def test_shards_are_level_and_keep_groups(spark):
