@@ -25,7 +25,7 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 
 # Words of which at least one stands in every text that a rule can match.
 GATES = ("licen", "copyright", "spdx", "public domain", "creative commons", "creativecommons", "warranty", "rights reserved",
-         "redistribution", "copyleft", "gnu org", "opensource org", "cc by", "cc0", "permission is hereby", "attribution")
+         "redistribution", "copyleft", "gnu org", "opensource org", "cc by", "cc0", "permission is hereby", "attribution", "proprietary")
 
 # Licences: label, SPDX identifier, names (regexes over words).
 LICENSES = (

@@ -105,6 +105,18 @@ def test_every_rule_detects_an_example(spark):
     assert [(rule, texts[i]) for i, rule in enumerate(found) if rule[0] not in got[i]] == []
 
 
+def test_detections_need_no_gate(spark, monkeypatch):
+    """The gate drops no case of a rule: the plain detections run without it."""
+    texts = ["Proprietary and confidential. Do not distribute.", "MIT No Attribution", "released under MIT no attribution", "plain text",
+             *(example(rule[3].split("|")[-1]) for rule in licenses.NOTICES)]
+    docs = spark.createDataFrame(list(enumerate(texts, 1_000_000)), "doc_id long, text string").union(table(spark, SF, "documents").select("doc_id", "text"))
+    rows = docs.collect()
+    got = {r["doc_id"]: r["kept"] for r in licenses.scan(docs).collect()}
+    assert {d["label"] for d in got[1_000_000]} == {"proprietary"} and got[1_000_003] is None
+    monkeypatch.setattr(licenses, "GATES", ("",))
+    assert [r["text"][:80] for r in rows if sorted(tuple(d) for d in got[r["doc_id"]] or []) != plain_detections(r["text"])] == []
+
+
 def test_copyright_notices(spark):
     texts = ["Copyright 2020 Acme Inc", "copyright (C) 2020, 2021 Acme", "Copyright 2020", "copyright law of 2020"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
