@@ -6,8 +6,8 @@ sidebars, notices, adverts, forms, scripts, styles and reader comments.  Every
 block carries the hashes of the element subtrees it stands in.  Spark counts,
 per host, on how many different pages each subtree occurs; a subtree on at
 least half of a host's pages (and at least ten) is a template and its blocks
-go.  Pages whose main text is the same count once, and a page that would lose
-half its text that way is a copy of others, not a template: it keeps its text.
+go.  Pages whose main text is the same count once, and a page of which nothing
+would be left that way repeats others as a whole: it keeps its text.
 
 Defined results: null, empty and tag-only pages give the empty text; pages
 without a host have no templates; repeated rows give repeated results; an
@@ -223,7 +223,7 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
     kept = F.transform(F.filter(block, lambda b: ~F.arrays_overlap(b["h"], F.col("templates"))), lambda b: b["t"])
     joined = joined.withColumn("kept", F.when(F.size("templates") == 0, F.col("texts")).otherwise(kept))
     whole, left = F.array_join("texts", "\n\n"), F.array_join("kept", "\n\n")
-    copy = 2 * F.length(left) < F.length(whole)
+    copy = F.size("kept") == 0
     return joined.select(
         "page_id", "url", F.when(copy, whole).otherwise(left).alias("text"),
         F.when(copy, F.lit(0)).otherwise(F.size("texts") - F.size("kept")).alias("n_template_blocks")

@@ -167,6 +167,15 @@ def test_pages_give_their_articles(spark):
         assert got[row["page_id"]] == "\n\n".join(b for b in blocks if b)
 
 
+def test_short_pages_lose_a_long_template(spark):
+    notice = "<div><p>" + "a long notice of the site " * 20 + "</p></div>"
+    rows = [(i, f"https://site.example/{i}", f"<article><h1>T{i}</h1><p>short {i}</p>{notice}</article>") for i in range(30)]
+    rows.append((99, "https://site.example/99", f"<article>{notice}</article>"))
+    got = {r["page_id"]: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all((got[i]["text"], got[i]["n_template_blocks"]) == (f"T{i}\n\nshort {i}", 1) for i in range(30))
+    assert got[99]["text"].startswith("a long notice") and got[99]["n_template_blocks"] == 0
+
+
 # ---- op4
 
 def test_language_by_text_alone_on_held_out(spark):
