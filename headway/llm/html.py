@@ -5,8 +5,8 @@ articles, else ``main``, else the body) without menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments.  Every
 block carries the hashes of the element subtrees it stands in.  Spark counts,
 per host, on how many different pages each subtree occurs; a subtree on at
-least half of a host's pages (and at least ten) is a template and its blocks
-go.  Pages whose main text is the same count once, and a page of which nothing
+least ten, and on twice the root of the number of a host's pages, is a template
+and its blocks go: a section's template counts on a host of many sections.  Pages whose main text is the same count once, and a page of which nothing
 would be left that way repeats others as a whole: it keeps its text.
 
 Defined results: null, empty and tag-only pages give the empty text; pages
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .store import ship, write_table
 
-SHARE, LEAST = 0.5, 10
+PER_ROOT, LEAST = 2.0, 10      # least pages of a template: per root of the host's pages, and at all
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -202,7 +202,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([h for _, h in out], _PARSED.field("hashes").type)], schema=_PARSED)
 
 
-def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def extract(pages: DataFrame, per_root: float = PER_ROOT, least: int = LEAST) -> DataFrame:
     """``page_id, url, text, n_chars, n_template_blocks`` of every page."""
     ship(pages.sparkSession)
     host = F.nullif(F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
@@ -215,8 +215,8 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
     counts = subtrees.groupBy("host", "h").agg(F.count("*").alias("n"))
     sites = seen.select("host", "sig").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     templates = write_table(
-        counts.where(F.col("n") >= least).join(sites, "host").where(F.col("n") >= share * F.col("pages"))
-        .groupBy("host").agg(F.collect_set("h").alias("templates")), "html-templates")   # at most elements per page / share
+        counts.where(F.col("n") >= least).join(sites, "host").where(F.col("n") >= per_root * F.sqrt("pages"))
+        .groupBy("host").agg(F.collect_set("h").alias("templates")), "html-templates")   # at most elements per page * root of pages / per_root
     none = F.lit([]).cast("array<bigint>")
     joined = parsed.join(templates, "host", "left").withColumn("templates", F.coalesce("templates", none))
     block = F.zip_with("texts", "hashes", lambda t, h: F.struct(t.alias("t"), h.alias("h")))

@@ -176,6 +176,15 @@ def test_short_pages_lose_a_long_template(spark):
     assert got[99]["text"].startswith("a long notice") and got[99]["n_template_blocks"] == 0
 
 
+def test_sections_of_a_host_have_templates_of_their_own(spark):
+    rows = []
+    for i in range(120):
+        more = "<p>as said before</p>" if i % 10 == 0 else ""                # on 12 pages, too few for a template of this host
+        rows.append((i, f"https://site.example/{i}", f"<article><h1>T{i}</h1><p>text {i}</p>{more}<div><p>notice of section {i % 3}</p></div></article>"))
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"T{i}\n\ntext {i}" + ("\n\nas said before" if i % 10 == 0 else "") for i in range(120)}
+
+
 # ---- op4
 
 def test_language_by_text_alone_on_held_out(spark):
