@@ -3,11 +3,12 @@
 A softmax classifier, fitted on a sample of at most about ``SAMPLE`` labelled
 rows, gives every document posteriors over the domains of the labelled table.
 A document with n tokens and posteriors p adds rate * n * p_k to domain k.
-Nonnegative rates are fitted by projected gradient descent on the weighted
-least squares distance of the domain totals from their targets, starting from
-rate 1.  A step needs only the totals, one number per domain, which Spark sums
-over all documents; a document's rate is replayed from the steps so far and is
-stored nowhere.
+Nonnegative rates of least weighted squared distance of the domain totals from
+their targets, as near to 1 as that allows, are fitted until they stand still.
+A step needs only the totals and their derivatives, a few numbers per pair of
+domains, which Spark sums over all documents; a document's rate follows from
+one number per domain and is stored nowhere.  Posteriors are soft: a domain of
+target 0 gets as little as the other targets allow, not always nothing.
 
 Defined results: null and empty texts have no tokens and the posteriors of an
 empty text; a document without labels is classified like any other; labels
@@ -19,6 +20,7 @@ gives no rows; further columns are ignored by ``rates`` and kept by ``mixed``.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,10 +35,12 @@ from .store import ship, write_table
 SAMPLE = 10_000              # labelled documents that the classifier is fitted on
 WORDS = 512                  # most telling words of the sample that are features
 LEAST = 5                    # documents of the sample that such a word is in
-STEPS = 60
-CLOSE = 1e-3                 # steps end when every total is this close to its target, or stands still
+STEPS = 500                  # a guard; the log tells when it ends a fit
+CLOSE = 1e-6                 # steps end when no domain's total is this share of its tokens from its optimum
+EASE = 1e-6                  # weight of staying near rate 1 against the targets
 WEIGHTS = {"quality_1": 0.9, "quality_0": 0.1, "toxic": 0.0}
 _BITS = 22
+_LOG = logging.getLogger(__name__)
 
 
 def domain() -> Column:
@@ -169,7 +173,7 @@ def _descend(rows: np.ndarray, feature: np.ndarray, dense: np.ndarray, target: n
 
 
 def replay(p: np.ndarray, steps: np.ndarray, most: float) -> np.ndarray:
-    """Rates after the projected steps so far: rate <- min(most, max(0, rate - p . step))."""
+    """Rates after the projected steps: rate <- min(most, max(0, rate - p . step))."""
     rate = np.full(len(p), min(1.0, most))
     for step in steps:
         rate = np.clip(rate - p @ step, 0.0, most)
@@ -179,11 +183,12 @@ def replay(p: np.ndarray, steps: np.ndarray, most: float) -> np.ndarray:
 @dataclass
 class Mix:
     classifier: Classifier
-    steps: np.ndarray          # one row per step, one number per domain
+    steps: np.ndarray          # one row, one number per domain
     most: float
     tokens: np.ndarray         # expected tokens per domain at rate 1
     targets: np.ndarray
     reached: np.ndarray
+    converged: bool
 
 
 def posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
@@ -206,45 +211,60 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
 
 def fit_rates(table: DataFrame, classifier: Classifier, weights: dict[str, float], total: float | None = None,
               most: float = float("inf"), max_steps: int = STEPS) -> Mix:
-    """Projected gradient descent on the domain totals of ``posteriors``.
+    """Rates of least squared distance of the domain totals of ``posteriors`` from their targets.
 
     ``total`` is the number of tokens of the mix; by default as many as take
     the domain of the greatest weight once.  The objective weighs a domain by
-    the inverse of its tokens, and the step is taken per token, so that
-    documents of all lengths move alike and a step of 1 converges.
+    the inverse of its tokens; among equal mixes the rates nearest to the start
+    are taken (weight ``EASE``).  Its dual has one number x_k per domain, the rates
+    being clip(start - p . x): damped Newton steps on x, each a pass that sums
+    the totals and their derivatives.
     """
-    k = len(classifier.domains)
+    k, start = len(classifier.domains), min(1.0, most)
 
-    def totals(steps: np.ndarray) -> np.ndarray:
+    def sums(x: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Sum of n * integral of the rate, domain totals, and their derivatives by -x."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(k)
+            out = np.zeros(1 + k + k * k)
             for batch in batches:
                 p, n = _matrix(batch["p"], k), batch["n_tokens"].to_numpy()
-                sums += (n * replay(p, steps, most)) @ p
-            yield pa.RecordBatch.from_pydict({f"s{i}": [x] for i, x in enumerate(sums)})
-
-        schema = ", ".join(f"s{i} double" for i in range(k))
-        row = table.mapInArrow(run, schema).agg(*[F.coalesce(F.sum(f"s{i}"), F.lit(0.0)) for i in range(k)]).first()
-        return np.array(row, float)
-
-    steps = np.zeros((0, k))
-    reached = tokens = totals(steps) / min(1.0, most)
+                free = start - p @ x
+                rate = np.clip(free, 0.0, most)
+                out[0] += n @ (rate * free - rate ** 2 / 2)
+                out[1:k + 1] += (n * rate) @ p
+                out[k + 1:] += (p.T @ (p * (n * ((free > 0) & (free <= most)))[:, None])).ravel()
+            yield pa.RecordBatch.from_pydict({f"s{i}": [v] for i, v in enumerate(out)})
+
+        names = [f"s{i}" for i in range(1 + k + k * k)]
+        row = table.mapInArrow(run, ", ".join(f"{c} double" for c in names)).agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in names]).first()
+        row = np.array(row, float)
+        return row[0], row[1:k + 1], row[k + 1:].reshape(k, k)
+
+    x = np.zeros(k)
+    level, reached, slope = sums(x)
+    tokens = reached / start if start else reached
     share = np.array([weights.get(d, 0.0) for d in classifier.domains], float)
     share = share / share.sum() if share.sum() else np.full(k, 1 / k)
     if total is None:
         top = int(np.argmax(share))
         total = tokens[top] / share[top]
     targets = total * share
-    reached = tokens * min(1.0, most)
     scale = np.maximum(tokens, 1.0)
+    height, damp, done = level, 1e-2, False
     for _ in range(max_steps):
-        if (np.abs(reached - targets) <= CLOSE * max(total, 1.0)).all():
-            break
-        steps = np.vstack([steps, (reached - targets) / scale])
-        before, reached = reached, totals(steps)
-        if (np.abs(reached - before) <= CLOSE / 100 * scale).all():
+        gradient = targets - reached + EASE * scale * x
+        if done := bool((np.abs(gradient) <= CLOSE * scale).all()):
             break
-    return Mix(classifier, steps, most, tokens, targets, reached)
+        step = np.linalg.solve(slope + np.diag((EASE + damp) * scale), -gradient)
+        level, totals, slopes = sums(x + step)
+        new = level + targets @ (x + step) + EASE / 2 * scale @ (x + step) ** 2
+        if new <= height + 1e-12 * abs(height):
+            x, reached, slope, height, damp = x + step, totals, slopes, new, damp / 10
+        else:
+            damp *= 8
+    told = ", ".join(f"{d} {r:.0f} of {t:.0f}" for d, r, t in zip(classifier.domains, reached, targets))
+    (_LOG.info if done else _LOG.warning)("mix %s; tokens reached of target: %s", "converged" if done else "NOT converged", told)
+    return Mix(classifier, x[None, :], most, tokens, targets, reached, done)
 
 
 def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most: float = float("inf")) -> DataFrame:

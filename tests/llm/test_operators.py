@@ -222,6 +222,25 @@ def test_rates_meet_targets(spark):
     assert mixing.replay(p, capped.steps, 1.0).max() <= 1.0
 
 
+def test_fit_runs_to_its_end(spark):
+    """Overlapping domains, production parameters: no rate can move without a greater distance from the targets."""
+    rng = np.random.default_rng(3)
+    names, share = ["quality_0", "quality_1", "toxic"], np.array([0.45, 0.5, 0.05])
+    true = rng.choice(3, 3000, p=share)
+    for gap in (1.0, 2.0):
+        p = mixing.softmax(np.log(share) + gap * (rng.normal(0, 1, (3000, 3)) + gap * np.eye(3)[true]))
+        n = rng.integers(10, 500, 3000)
+        frame = spark.createDataFrame([(i, int(k), [float(x) for x in v]) for i, (k, v) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
+        classifier = mixing.Classifier(names, np.zeros(0, np.uint64), np.zeros(1, bool), np.zeros((5, 3)))
+        for most in (1.0, float("inf")):
+            mix = mixing.fit_rates(frame, classifier, mixing.WEIGHTS, most=most)
+            rate = mixing.replay(p, mix.steps, most)
+            assert np.allclose((n * rate) @ p, mix.reached)
+            slope = p @ ((mix.reached - mix.targets) / mix.tokens)
+            assert np.abs(slope[(rate > 0) & (rate < most)]).max(initial=0) < 1e-3
+            assert slope[rate == 0].min(initial=0) > -1e-3 and slope[rate >= most].max(initial=0) < 1e-3
+
+
 def test_classifier_finds_the_labels(spark):
     docs, labels = table(spark, MORE, "documents"), table(spark, MORE, "labels")
     c = mixing.fit(docs, labels)
