@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html, jaccard, langid, licenses, lines, lm, mixing, sharding, topk
+from . import decontam, html, jaccard, langid, licenses, lines, lm, middle, mixing, multiindex, sharding, topk, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,18 @@ def op9_html_extraction(spark, sf_dir):
 @query("op10_lm_scoring")
 def op10_lm_scoring(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op11_fill_in_middle", middle.ORACLE_SQL)
+def op11_fill_in_middle(spark, sf_dir):
+    return middle.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_approximate_neighbours")
+def op12_approximate_neighbours(spark, sf_dir):
+    return multiindex.search(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+@query("op13_centroid_clustering", vafile.ORACLE_SQL)
+def op13_centroid_clustering(spark, sf_dir):
+    return vafile.cluster(table(spark, sf_dir, "embeddings"))

@@ -28,11 +28,24 @@ def write_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return out
 
 
+def bucketed_table(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``write_table`` with the rows bucketed and sorted by ``keys``: a join on them leaves the table where it is."""
+    spark = df.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{table}"
+    (df.write.bucketBy(shuffle_partitions(spark), *keys).sortBy(*keys).option("path", path).option("compression", "zstd").saveAsTable(table))
+    out = spark.table(table)
+    out._headway_path, out._headway_table = path, table
+    return out
+
+
 def drop_table(df: DataFrame) -> None:
-    """Delete a table made by ``write_table`` once nothing reads it any more."""
+    """Delete a table made by ``write_table`` or ``bucketed_table`` once nothing reads it any more."""
     path = getattr(df, "_headway_path", None)
     if path:
         spark: SparkSession = df.sparkSession
+        if table := getattr(df, "_headway_table", None):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
