@@ -34,6 +34,15 @@ FOREIGN_KEYS = [
     ("pattern_stops", "stop_id", "stops", "stop_id"),
 ]
 
+# Keys whose parent can't be deleted while a child row points to it (child, column);
+# the other keys take their child rows along.
+RESTRICT_KEYS = {
+    ("calendar_bounds", "agency_id"), ("calendar_date_service_exceptions", "agency_id"), ("calendar_dates", "agency_id"),
+    ("calendars", "agency_id"), ("directions", "agency_id"), ("fare_attributes", "agency_id"),
+    ("fare_rider_categories", "agency_id"), ("fare_rules", "agency_id"), ("headsigns", "agency_id"),
+    ("pattern_stops", "stop_id"),
+}
+
 # Primary keys and unique tuples (table, key columns).
 UNIQUE_KEYS = [
     ("feeds", ["feed_id"]), ("agencies", ["agency_id"]), ("zones", ["zone_id"]), ("stops", ["stop_id"]),
@@ -148,8 +157,8 @@ def check_audit(m) -> DataFrame:
 
 
 def prune_orphans(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
-    """J4 ON DELETE CASCADE: children whose parent is gone are dropped; NULL
-    child keys stay."""
+    """J4 for one key: children whose parent is gone are dropped; NULL child
+    keys stay (``cascade.prune_orphans`` follows every key)."""
     p = parent.select(F.col(pcol).alias("_pk")).distinct()
     return child.join(p, child[col] == p["_pk"], "left_semi").unionByName(child.where(F.col(col).isNull()))
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 
 from headway.functions.columns import CSS_COLOR_NAMES
-from headway.operators.audits import FOREIGN_KEYS, UNIQUE_KEYS
 from headway.sources.fixtures import FIXTURE_NAMES, fixture_body, fixture_closure
 
 SKIP = "7, 21"
@@ -322,9 +321,55 @@ _LAMBERT = """(CASE WHEN sig = 0 THEN 0.0 ELSE 6378137.0 * (sig - (1.0 / 298.257
  + (sig + sin(sig)) * pow(cos(p) * sin(q), 2) / pow(sin(sig / 2), 2))) END)"""
 
 
+# Fixed values, stated apart from the job: keys (rule on delete, child, column, parent, column) and unique tuples.
+_KEYS = """
+restrict calendar_bounds agency_id agencies agency_id
+cascade calendar_bounds calendar_id calendars calendar_id
+restrict calendar_date_service_exceptions agency_id agencies agency_id
+cascade calendar_date_service_exceptions calendar_date_id calendar_dates calendar_date_id
+cascade calendar_date_service_exceptions calendar_id calendars calendar_id
+restrict calendar_dates agency_id agencies agency_id
+restrict calendars agency_id agencies agency_id
+restrict directions agency_id agencies agency_id
+restrict fare_attributes agency_id agencies agency_id
+restrict fare_rider_categories agency_id agencies agency_id
+cascade fare_rider_categories fare_id fare_attributes fare_id
+restrict fare_rules agency_id agencies agency_id
+cascade fare_rules fare_id fare_attributes fare_id
+cascade fare_rules contains_id zones zone_id
+cascade fare_rules origin_id zones zone_id
+cascade fare_rules destination_id zones zone_id
+restrict headsigns agency_id agencies agency_id
+cascade pattern_stops pattern_id patterns pattern_id
+restrict pattern_stops stop_id stops stop_id
+"""
+_UNIQUE = """
+feeds feed_id
+agencies agency_id
+zones zone_id
+stops stop_id
+routes route_id
+headsigns headsign_id
+directions direction_id
+calendars calendar_id
+calendar_dates calendar_date_id
+blocks block_id
+fare_attributes fare_id
+fare_rules fare_rule_id
+fare_rules agency_id fare_id route_id origin_id destination_id contains_id
+users user_id
+transfers transfer_id
+patterns pattern_id
+timed_patterns timed_pattern_id
+shape_segments from_stop_id to_stop_id
+trips trip_id
+"""
+
+
 def _fk_sql() -> str:
     parts = []
-    for child, col, parent, pcol in FOREIGN_KEYS:
+    for line in _KEYS.strip().splitlines():
+        _, child, col, parent, pcol = line.split()
         parts.append(
             f"SELECT '{child}.{col} -> {parent}.{pcol}' AS constraint_name, CAST(COUNT(*) AS BIGINT) AS orphan_rows "
             f"FROM {_TABLE_CTE[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
@@ -334,7 +379,8 @@ def _fk_sql() -> str:
 
 def _key_sql() -> str:
     parts = []
-    for table, cols in UNIQUE_KEYS:
+    for line in _UNIQUE.strip().splitlines():
+        table, *cols = line.split()
         cl = ", ".join(cols)
         nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
         parts.append(
@@ -567,6 +613,53 @@ FINAL["scope_only_agency"] = """SELECT DISTINCT ag.agency_id, ag.agency_name, li
                        ORDER BY count(*) DESC, agency_id LIMIT 1)"""
 FINAL["null_means_all"] = """SELECT fare_rule_id, coalesce(route_id, -411) AS route_id, coalesce(origin_id, -411) AS origin_id,
  coalesce(destination_id, -411) AS destination_id, coalesce(contains_id, -411) AS contains_id FROM src_fare_rules"""
+# The keyed tables before any agency is left out, for the cascade.
+_UNSCOPED = {
+    "agencies": "SELECT agency_id FROM o_agencies", "zones": "SELECT zone_id, agency_id FROM o_zones",
+    "patterns": "SELECT pattern_id FROM o_patterns_base", "stops": "SELECT stop_id, zone_id FROM o_stops",
+    "pattern_stops": "SELECT pattern_id, stop_id FROM o_pattern_stops",
+    "calendars": "SELECT agency_id, service_schedule_group_id AS calendar_id FROM src_service_schedule_groups",
+    "calendar_bounds": "SELECT agency_id, service_schedule_group_id AS calendar_id FROM src_service_schedule_bounds",
+    "calendar_dates": "SELECT calendar_date_id, agency_id FROM src_calendar_dates",
+    "calendar_date_service_exceptions": "SELECT calendar_date_id, service_exception AS calendar_id, agency_id FROM src_calendar_date_service_exceptions",
+    "directions": "SELECT agency_id FROM o_directions", "headsigns": "SELECT agency_id FROM src_headsigns",
+    "fare_attributes": "SELECT fare_id, agency_id FROM src_fare_attributes",
+    "fare_rider_categories": "SELECT fare_id, agency_id FROM src_fare_rider_categories",
+    "fare_rules": "SELECT fare_id, origin_id, destination_id, contains_id, agency_id FROM src_fare_rules",
+}
+_NAMED = {"calendars": "agency_id NOT IN (SELECT agency_id FROM o_agencies)", "calendar_dates": "agency_id NOT IN (SELECT agency_id FROM o_agencies)",
+          "fare_attributes": "agency_id NOT IN (SELECT agency_id FROM o_agencies)",
+          "zones": "agency_id <> -411 AND agency_id NOT IN (SELECT agency_id FROM o_agencies)", "stops": "zone_id IS NULL"}
+
+
+def _cascade_sql() -> str:
+    """Every row is a node, every key an edge to the parent's row; a recursive walk carries the chains down."""
+    ctes, edges, nodes, restrict = [], [], [], []
+    for t, body in _UNSCOPED.items():
+        ctes.append(f"t_{t} AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM ({body}) b)")
+        nodes.append(f"SELECT '{t}' AS tbl, rid FROM t_{t}")
+    for line in _KEYS.strip().splitlines():
+        rule, child, col, parent, pcol = line.split()
+        edge = (f"SELECT '{child}' AS tbl, c.rid, '{child}.{col} -> {parent}.{pcol}: ' AS step, '{parent}' AS up, p.rid AS up_rid "
+                f"FROM t_{child} c LEFT JOIN t_{parent} p ON p.{pcol} = c.{col} WHERE c.{col} IS NOT NULL")
+        (edges if rule == "cascade" else restrict).append(edge)
+    named = " UNION ALL ".join(f"SELECT '{t}' AS tbl, rid, 'deleted' AS chain FROM t_{t} WHERE {rule}" for t, rule in _NAMED.items())
+    union = " UNION ALL ".join
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f""",
+e AS MATERIALIZED ({union(edges)}), r AS MATERIALIZED ({union(restrict)}), n AS ({union(nodes)}),
+gone AS (SELECT * FROM ({named}) x UNION SELECT tbl, rid, step || 'absent' FROM e WHERE up_rid IS NULL
+ UNION SELECT e.tbl, e.rid, e.step || g.chain FROM e JOIN gone g ON g.tbl = e.up AND g.rid = e.up_rid),
+why AS (SELECT tbl, rid, min(chain) AS chain FROM gone GROUP BY tbl, rid)
+SELECT n.tbl AS table_name, CASE WHEN why.chain IS NULL THEN 'kept' WHEN why.chain = 'deleted' THEN 'deleted' ELSE 'cascade' END AS action,
+ coalesce(why.chain, '') AS chain, CAST(count(*) AS BIGINT) AS n_rows
+FROM n LEFT JOIN why ON why.tbl = n.tbl AND why.rid = n.rid GROUP BY ALL
+UNION ALL
+SELECT r.tbl, 'restrict', r.step || coalesce(up.chain, 'absent'), CAST(count(*) AS BIGINT)
+FROM r LEFT JOIN why own ON own.tbl = r.tbl AND own.rid = r.rid LEFT JOIN why up ON up.tbl = r.up AND up.rid = r.up_rid
+WHERE own.chain IS NULL AND (r.up_rid IS NULL OR up.chain IS NOT NULL) GROUP BY ALL"""
+
+
+FINAL["cascade_prune"] = _cascade_sql()
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()
 FINAL["check_audit"] = _check_sql()
@@ -590,6 +683,8 @@ def build(name: str) -> str:
     text = final + "\n" + "\n".join(_CTE_BODY[c] for c in ctes)
     fixtures = fixture_closure(text)
     parts = [f"{n} AS ({fixture_body(n)})" for n in fixtures] + [f"{c} AS ({_CTE_BODY[c]})" for c in ctes]
+    if final.startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + final.removeprefix("WITH RECURSIVE ")
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 

@@ -15,6 +15,7 @@ from headway.config import MigrateConfig
 from headway.functions.columns import is_valid_css_color
 from headway.functions.geo import line_text
 from headway.operators import audits, fares, naming, patterns as pat, spatial, trips as trp
+from headway.operators.cascade import prune_orphans as prune_all
 from headway.operators.ids import high_water_marks
 from headway.plans.pipeline import Migration
 from headway.sources.catalog import SourceCatalog
@@ -443,6 +444,39 @@ def q_orphan_prune(spark, sf):
     return audits.prune_orphans(_riders(m, "literal"), "fare_id", m.fare_attributes, "fare_id")
 
 
+def unscoped_tables(m) -> dict:
+    """The keyed tables as the source holds them, before any agency is left out (patterns and stops: migrated)."""
+    src = m.src
+    groups = src["service_schedule_groups"]
+    return {
+        "agencies": m.agencies, "zones": m.zones, "patterns": m.patterns_base, "stops": m.stops_base, "pattern_stops": m.pattern_stops,
+        "calendars": groups.select("agency_id", F.col("service_schedule_group_id").alias("calendar_id")),
+        "calendar_bounds": src["service_schedule_bounds"].select("agency_id", F.col("service_schedule_group_id").alias("calendar_id"), "start_date"),
+        "calendar_dates": src["calendar_dates"].select("calendar_date_id", "agency_id"),
+        "calendar_date_service_exceptions": src["calendar_date_service_exceptions"].select(
+            "calendar_date_id", F.col("service_exception").alias("calendar_id"), "agency_id"),
+        "directions": m.directions, "headsigns": src["headsigns"],
+        "fare_attributes": src["fare_attributes"].select("fare_id", "agency_id"),
+        "fare_rider_categories": src["fare_rider_categories"].select("fare_rider_category_id", "fare_id", "agency_id"),
+        "fare_rules": src["fare_rules"].select("fare_rule_id", "fare_id", "origin_id", "destination_id", "contains_id", "agency_id"),
+    }
+
+
+@query("cascade_prune")
+def q_cascade_prune(spark, sf):
+    """J4 over all 19 keys: everything that agencies outside the run own in calendars, calendar dates, fares
+    and zones is deleted, and so are the stops without a zone."""
+    m = migration(spark, sf)
+    tables = unscoped_tables(m)
+    migrated = m.agencies.select("agency_id")
+    def foreign(name, key):
+        return tables[name].where(F.col("agency_id") != -411).join(migrated, "agency_id", "left_anti").select(key)
+    deletes = {"calendars": foreign("calendars", "calendar_id"), "calendar_dates": foreign("calendar_dates", "calendar_date_id"),
+               "fare_attributes": foreign("fare_attributes", "fare_id"), "zones": foreign("zones", "zone_id"),
+               "stops": m.stops_base.where(F.col("zone_id").isNull()).select("stop_id")}
+    return prune_all(tables, deletes=deletes)[1]
+
+
 def busiest_agency(src) -> int:
     """The agency in a group running the most trips (ties: smallest id), read as a scalar."""
     grouped = src["agency_group_assoc"].select("agency_id")
