@@ -34,3 +34,6 @@ class MigrateConfig:
     # bucketed by trip_id under spark.checkpoint.dir instead of persisting
     # it: a lost executor re-reads files instead of redoing the shuffle.
     materialize_per_trip: bool = False
+    # Folder of the key dictionaries that keep pattern, timed pattern and
+    # trip ids the same over reloads; without it every reload numbers anew.
+    key_dictionary: str | None = None

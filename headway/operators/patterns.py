@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from headway.config import MigrateConfig
 from headway.functions.columns import ordered_join
 from headway.operators.ids import dense_id
+from headway.operators.keydict import KeyDictionary
 from headway.operators.scope import in_migrated_agencies, not_skipped
 
 PATTERN_KEY = ["stops_pattern", "arrival_time_intervals", "departure_time_intervals",
@@ -110,10 +111,11 @@ def pattern_time_intervals(per_trip: DataFrame, dst_agencies: DataFrame) -> Data
             .agg(F.min("trip_id").alias("one_trip"), F.count(F.lit(1)).alias("trip_count")))
 
 
-def timed_patterns(pti: DataFrame, per_trip: DataFrame) -> DataFrame:
+def timed_patterns(pti: DataFrame, per_trip: DataFrame, known: KeyDictionary | None = None) -> DataFrame:
     """C5 + C7: minimum times re-derived from the representative trip's
     migrated stop rows (patterns whose representative has none vanish),
-    ``timed_pattern_id`` numbered by ``one_trip`` (unique per pattern)."""
+    ``timed_pattern_id`` numbered by ``one_trip`` (unique per pattern), or
+    looked up by pattern key in the dictionary of earlier reloads (A9)."""
     rep = per_trip.where(F.col("is_base") & F.col("has_dst")).select(
         F.col("trip_id").alias("one_trip"), "trip_headsign_id",
         F.col("rep_min_arrival_time").alias("min_arrival_time"),
@@ -121,16 +123,22 @@ def timed_patterns(pti: DataFrame, per_trip: DataFrame) -> DataFrame:
     # number the surviving pattern keys only; the representative's stop rows
     # join afterwards, so the id step never moves the row arrays
     keys = pti.join(rep.select("one_trip"), "one_trip", "left_semi")
-    return dense_id(keys, ["one_trip"], "timed_pattern_id").join(rep, "one_trip")
+    ided = known.assign(keys, PATTERN_KEY, "timed_pattern_id", ["one_trip"]) if known else dense_id(keys, ["one_trip"], "timed_pattern_id")
+    return ided.join(rep, "one_trip")
 
 
-def stop_patterns(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
-    """C6 + C7: distinct (stop list, route, direction) over base trips of
-    migrated agencies; ``pattern_id`` numbered by those three columns."""
+def distinct_stop_patterns(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
+    """Distinct (stop list, route, direction) over base trips of migrated agencies."""
     trips = in_migrated_agencies(per_trip.where("is_base"), dst_agencies)
-    distinct = trips.select(F.col("stops_pattern_all").alias("stops_pattern"),
-                            "route_id", "direction_id").distinct()
-    return dense_id(distinct, ["stops_pattern", "route_id", "direction_id"], "pattern_id")
+    return trips.select(F.col("stops_pattern_all").alias("stops_pattern"), "route_id", "direction_id").distinct()
+
+
+def stop_patterns(per_trip: DataFrame, dst_agencies: DataFrame, known: KeyDictionary | None = None) -> DataFrame:
+    """C6 + C7: ``pattern_id`` numbered by the three columns of a stop
+    pattern, or looked up by them (A9)."""
+    distinct = distinct_stop_patterns(per_trip, dst_agencies)
+    key = ["stops_pattern", "route_id", "direction_id"]
+    return known.assign(distinct, key, "pattern_id") if known else dense_id(distinct, key, "pattern_id")
 
 
 def assemble_tpsn(tp: DataFrame, sp: DataFrame, src) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
 from headway.functions.columns import flag_is_one, int_to_bool, ordered_join
-from headway.operators.ids import dense_id
+from headway.operators.ids import dense_id, rank_within
+from headway.operators.keydict import KeyDictionary
 from headway.operators.reference_tables import WEEKDAYS
 from headway.operators.scope import in_migrated_agencies, not_skipped
 
@@ -147,9 +148,10 @@ def frequency_trips(src, dst_agencies, pt) -> DataFrame:
         flag_is_one(t.in_seat_transfer).alias("in_seat_transfer"))
 
 
-def trips(src, dst_agencies, first_arr, pt) -> DataFrame:
+def trips(src, dst_agencies, first_arr, pt, known: KeyDictionary | None = None) -> DataFrame:
     """The four branches as UNION ALL with their own dense ``trip_id``
-    (branch, then every column, NULLs last)."""
+    (branch, then every column, NULLs last).  With a dictionary of earlier
+    reloads (A9) a trip's key is every column and its number among equal rows."""
     parts = [scheduled_trips(src, dst_agencies, first_arr, pt),
              based_on_trips(src, dst_agencies, pt),
              frequency_based_on_trips(src, dst_agencies, pt),
@@ -158,7 +160,10 @@ def trips(src, dst_agencies, first_arr, pt) -> DataFrame:
     for i, p in enumerate(parts, start=1):
         p = p.withColumn("trip_source", F.lit(i))
         tagged = p if tagged is None else tagged.unionByName(p)
-    return dense_id(tagged, ["trip_source", *TRIP_COLUMNS], "trip_id")
+    key = ["trip_source", *TRIP_COLUMNS]
+    if known is None:
+        return dense_id(tagged, key, "trip_id")
+    return known.assign(rank_within(tagged, key, [], "_hw_copy"), [*key, "_hw_copy"], "trip_id").drop("_hw_copy")
 
 
 def trips_legacy_union(src, dst_agencies, first_arr, pt) -> DataFrame:

@@ -659,6 +659,17 @@ FROM r LEFT JOIN why own ON own.tbl = r.tbl AND own.rid = r.rid LEFT JOIN why up
 WHERE own.chain IS NULL AND (r.up_rid IS NULL OR up.chain IS NOT NULL) GROUP BY ALL"""
 
 
+FINAL["lasting_pattern_ids"] = """SELECT CAST(CASE WHEN e.stops_pattern IS NOT NULL THEN e.pos ELSE (SELECT count(*) FROM
+   (SELECT DISTINCT l.stop_list, tr.route_id, tr.direction_id FROM o_stop_lists l JOIN src_trips tr ON tr.trip_id = l.trip_id
+    WHERE tr.agency_id IN (SELECT agency_id FROM o_agencies WHERE feed_id > (SELECT min(feed_id) FROM o_agencies))) c)
+  + row_number() OVER (PARTITION BY e.stops_pattern IS NULL ORDER BY s.stops_pattern NULLS LAST, s.route_id NULLS LAST, s.direction_id NULLS LAST) END AS BIGINT) AS pattern_id,
+ s.stops_pattern, s.route_id, s.direction_id, e.stops_pattern IS NULL AS is_new
+ FROM o_sp s LEFT JOIN (
+   SELECT stops_pattern, route_id, direction_id,
+     row_number() OVER (ORDER BY stops_pattern NULLS LAST, route_id NULLS LAST, direction_id NULLS LAST) AS pos
+   FROM (SELECT DISTINCT l.stop_list AS stops_pattern, tr.route_id, tr.direction_id FROM o_stop_lists l JOIN src_trips tr ON tr.trip_id = l.trip_id
+         WHERE tr.agency_id IN (SELECT agency_id FROM o_agencies WHERE feed_id > (SELECT min(feed_id) FROM o_agencies))) d) e
+ ON e.stops_pattern IS NOT DISTINCT FROM s.stops_pattern AND e.route_id IS NOT DISTINCT FROM s.route_id AND e.direction_id IS NOT DISTINCT FROM s.direction_id"""
 FINAL["cascade_prune"] = _cascade_sql()
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()

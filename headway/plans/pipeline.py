@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.config import MigrateConfig
 from headway.operators import (audits, fares, naming, patterns as pat, reference_tables as ref,
                                spatial, trips as trp)
+from headway.operators.keydict import KeyDictionary
 from headway.session import ensure_checkpoint_dir, note_scratch, scratch_tables
 from headway.sources.catalog import SourceCatalog
 from headway.sources.sinks import write_all
@@ -57,6 +58,10 @@ class Migration:
         self.src = src
         self.cfg = cfg or MigrateConfig()
 
+    def _dictionary(self, kind: str) -> KeyDictionary | None:
+        """The ids of earlier reloads, where the run names their folder."""
+        return KeyDictionary(self.spark, self.cfg.key_dictionary, kind) if self.cfg.key_dictionary else None
+
     # ---- B: reference tables --------------------------------------------
     @cached_property
     def agencies(self) -> DataFrame:
@@ -150,11 +155,11 @@ class Migration:
 
     @cached_property
     def timed_pattern_rows(self) -> DataFrame:
-        return pat.timed_patterns(self.pattern_time_intervals, self.per_trip)
+        return pat.timed_patterns(self.pattern_time_intervals, self.per_trip, self._dictionary("timed_patterns"))
 
     @cached_property
     def stop_patterns(self) -> DataFrame:
-        return pat.stop_patterns(self.per_trip, self.agencies)
+        return pat.stop_patterns(self.per_trip, self.agencies, self._dictionary("patterns"))
 
     @cached_property
     def tpsn(self) -> DataFrame:
@@ -193,7 +198,7 @@ class Migration:
 
     @cached_property
     def trips(self) -> DataFrame:
-        return trp.trips(self.src, self.agencies, self.first_arrivals, self.patterns_trips)
+        return trp.trips(self.src, self.agencies, self.first_arrivals, self.patterns_trips, self._dictionary("trips"))
 
     # ---- E: naming and ordering --------------------------------------------
     @cached_property

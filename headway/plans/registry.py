@@ -17,6 +17,7 @@ from headway.functions.geo import line_text
 from headway.operators import audits, fares, naming, patterns as pat, spatial, trips as trp
 from headway.operators.cascade import prune_orphans as prune_all
 from headway.operators.ids import high_water_marks
+from headway.operators.keydict import KeyDictionary, lasting_ids
 from headway.plans.pipeline import Migration
 from headway.sources.catalog import SourceCatalog
 
@@ -417,6 +418,22 @@ def q_high_water_marks(spark, sf):
     })
 
 
+@query("lasting_pattern_ids")
+def q_lasting_pattern_ids(spark, sf):
+    """The stop patterns of the second of two reloads.  The first one ran before the feed with the
+    smallest id joined; patterns it numbered keep their ids, the others are numbered after them."""
+    m = migration(spark, sf)
+    key = ["stops_pattern", "route_id", "direction_id"]
+    every = pat.distinct_stop_patterns(m.per_trip, m.agencies)
+    joined_later = m.agencies.agg(F.min("feed_id").alias("feed_id"))
+    earlier = m.agencies.join(joined_later, "feed_id", "left_anti")
+    none = spark.createDataFrame([], KeyDictionary.SCHEMA)
+    _, first = lasting_ids(pat.distinct_stop_patterns(m.per_trip, earlier), key, "pattern_id", none)
+    second, fresh = lasting_ids(every, key, "pattern_id", first)
+    return second.join(fresh.select(F.col("_hw_id").alias("pattern_id"), F.lit(True).alias("is_new")), "pattern_id", "left").select(
+        "pattern_id", *key, F.coalesce("is_new", F.lit(False)).alias("is_new"))
+
+
 # ---- legacy and coverage jobs ------------------------------------------------------------------
 
 @query("trips_legacy_union")
