@@ -5,7 +5,8 @@
 
 ``--source`` expects one parquet dataset per source table
 (``<source>/<table>.parquet``); ``--testdata`` derives the source tables
-from the driver's TPC-H style tables.  Every target table is overwritten.
+from the driver's TPC-H style tables.  The target tables are published as
+one new version under ``--out``; readers keep the earlier one until then.
 """
 
 from __future__ import annotations
@@ -34,14 +35,19 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--skip-agencies", default="", help="agency ids that are not migrated, comma-separated")
     ap.add_argument("--skip-trips", default="", help="trip ids without a first arrival, comma-separated")
+    ap.add_argument("--key-dictionary", help="folder of the ids that last across reloads")
+    ap.add_argument("--keep", type=int, default=3, help="published versions that stay")
+    ap.add_argument("--accept", type=int, help="run the audits before publishing; violations accepted of every rule")
     ap.add_argument("--cluster", action="store_true", help="use the large-cluster settings (session.CLUSTER_CONF)")
     a = ap.parse_args(argv)
     spark = build_session(master=a.master, cluster=a.cluster)
     src = (SourceCatalog.from_parquet(spark, a.source, SOURCE_TABLES) if a.source
            else SourceCatalog.from_testdata(spark, a.testdata))
     agencies, trips = (tuple(int(x) for x in text.split(",") if x.strip()) for text in (a.skip_agencies, a.skip_trips))
-    cfg = MigrateConfig(skip_agencies=agencies, skip_trips=trips, materialize_per_trip=a.cluster)
-    print(json.dumps(run_all(spark, src, a.out, cfg)))
+    cfg = MigrateConfig(skip_agencies=agencies, skip_trips=trips, materialize_per_trip=a.cluster,
+                        key_dictionary=a.key_dictionary)
+    accepted = None if a.accept is None else {"*": a.accept}
+    print(json.dumps(run_all(spark, src, a.out, cfg, accepted, a.keep)))
 
 
 if __name__ == "__main__":

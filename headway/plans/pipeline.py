@@ -22,7 +22,7 @@ from headway.operators import (audits, fares, naming, patterns as pat, reference
 from headway.operators.keydict import KeyDictionary
 from headway.session import ensure_checkpoint_dir, note_scratch, scratch_tables
 from headway.sources.catalog import SourceCatalog
-from headway.sources.sinks import write_all
+from headway.sources.versions import Versions, broken_rules
 
 
 def _keep(df: DataFrame) -> DataFrame:
@@ -279,12 +279,21 @@ class Migration:
                 "check_audit": audits.check_audit(self)}
 
 
-def run_all(spark: SparkSession, src: SourceCatalog, out_root: str,
-            cfg: MigrateConfig | None = None) -> dict[str, str]:
-    """Full reload: every target table is rebuilt and overwritten."""
+def run_all(spark: SparkSession, src: SourceCatalog, out_root: str, cfg: MigrateConfig | None = None,
+            accepted: dict[str, int] | None = None, keep: int = 3) -> dict[str, str]:
+    """Full reload: every target table is rebuilt and published as one new version under ``out_root``.
+
+    With ``accepted`` the staged tables must pass the audits J1-J3 first
+    (violations accepted by rule, see ``versions.broken_rules``); otherwise
+    the audits are left to the caller.  Returns the published paths by table.
+    """
     m = Migration(spark, src, cfg)
+    store = Versions(spark, out_root)
+    checks = None if accepted is None else (lambda tables: broken_rules(tables, accepted))
     with scratch_tables(spark):
         try:
-            return write_all(m.targets(), out_root)
+            names = m.targets()
+            version = store.reload(names, checks, keep)
+            return {name: store.path(version, name) for name in names}
         finally:
             _release(m)
