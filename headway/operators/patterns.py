@@ -13,20 +13,23 @@ Plan shape (see README, "Scale"):
    (partial aggregation first, so a pattern shared by a third of all trips
    is still combined map-side); the trip list is kept as a membership
    table, never collected into one array.
-4. Dense ids over patterns (``ids.dense_id``), then the wide table is built
-   by exploding the representative trip's rows.
+4. Dense ids over patterns (``ids.dense_id``); every join and test that
+   needs one row per timed pattern comes before the representative trip's
+   rows are exploded into the wide table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
 from headway.functions.columns import ordered_join
 from headway.operators.ids import dense_id
-from headway.operators.keydict import KeyDictionary
+from headway.operators.keydict import KeyDictionary, fingerprint
+from headway.operators.losses import Losses, drop
 from headway.operators.scope import in_migrated_agencies, not_skipped
+from headway.session import scratch_table
 
 PATTERN_KEY = ["stops_pattern", "arrival_time_intervals", "departure_time_intervals",
                "agency_id", "route_id", "direction_id"]
@@ -37,22 +40,24 @@ def trip_stop_rows(src, dst_agencies: DataFrame, cfg: MigrateConfig) -> DataFram
     the only shuffle of stop_times in a run (the first-arrival table D1 is
     read off the same arrays).  ``is_base`` marks trips with ``based_on IS
     NULL`` (the pattern jobs use only those).  Each stop row records whether
-    it passes the skip list (``keep``, filters C1-C3) and whether its agency
-    was migrated (``in_dst``, filters C5 and D1)."""
+    it passes the skip list (``keep``, filters C1-C3), whether its agency
+    was migrated (``in_dst``, filters C5 and D1) and whether the source has
+    its agency at all (``known``, C8)."""
     st = src["stop_times"]
     trips = (src["trips"]
              .select("trip_id", F.col("agency_id").alias("trip_agency_id"), "route_id",
                      "direction_id", F.col("headsign_id").alias("trip_headsign_id"),
                      F.col("based_on").isNull().alias("trip_is_base")))
     aid = dst_agencies.select(F.col("agency_id").alias("_aid")).distinct().withColumn("_in_dst", F.lit(True))
-    st = st.join(aid, st.agency_id == aid["_aid"], "left")
+    every = src["agency"].select(F.col("agency_id").alias("_kid")).distinct()
+    st = st.join(aid, st.agency_id == aid["_aid"], "left").join(every, F.col("agency_id") == every["_kid"], "left")
     row = F.struct(
         F.col("stop_sequence").isNull().alias("seq_last"), F.col("stop_sequence").alias("seq"), F.col("stop_id").alias("stop_id"),
         F.col("arrival_time").alias("arr"), F.col("departure_time").alias("dep"),
         F.col("pickup_type").alias("pickup_type"), F.col("drop_off_type").alias("drop_off_type"),
         F.col("headsign_id").alias("stop_headsign_id"), F.col("agency_id").alias("st_agency_id"),
         not_skipped(F.col("agency_id"), cfg.skip_agencies).alias("keep"),
-        F.coalesce(F.col("_in_dst"), F.lit(False)).alias("in_dst"))
+        F.coalesce(F.col("_in_dst"), F.lit(False)).alias("in_dst"), F.col("_kid").isNotNull().alias("known"))
     grouped = (st.join(trips, "trip_id")
                .groupBy("trip_id")
                .agg(F.first("trip_agency_id").alias("agency_id"), F.first("route_id").alias("route_id"),
@@ -111,7 +116,7 @@ def pattern_time_intervals(per_trip: DataFrame, dst_agencies: DataFrame) -> Data
             .agg(F.min("trip_id").alias("one_trip"), F.count(F.lit(1)).alias("trip_count")))
 
 
-def timed_patterns(pti: DataFrame, per_trip: DataFrame, known: KeyDictionary | None = None) -> DataFrame:
+def timed_patterns(pti: DataFrame, per_trip: DataFrame, known: KeyDictionary | None = None, losses: Losses | None = None) -> DataFrame:
     """C5 + C7: minimum times re-derived from the representative trip's
     migrated stop rows (patterns whose representative has none vanish),
     ``timed_pattern_id`` numbered by ``one_trip`` (unique per pattern), or
@@ -122,7 +127,9 @@ def timed_patterns(pti: DataFrame, per_trip: DataFrame, known: KeyDictionary | N
         F.col("rep_min_departure_time").alias("min_departure_time"), "rows")
     # number the surviving pattern keys only; the representative's stop rows
     # join afterwards, so the id step never moves the row arrays
-    keys = pti.join(rep.select("one_trip"), "one_trip", "left_semi")
+    held = pti.join(rep.select("one_trip", F.lit(True).alias("_rep")), "one_trip", "left")
+    keys = drop(held, losses, "timed pattern", {"representative without a migrated stop row": F.col("_rep").isNull()},
+                F.col("trip_count")).drop("_rep")
     ided = known.assign(keys, PATTERN_KEY, "timed_pattern_id", ["one_trip"]) if known else dense_id(keys, ["one_trip"], "timed_pattern_id")
     return ided.join(rep, "one_trip")
 
@@ -141,28 +148,64 @@ def stop_patterns(per_trip: DataFrame, dst_agencies: DataFrame, known: KeyDictio
     return known.assign(distinct, key, "pattern_id") if known else dense_id(distinct, key, "pattern_id")
 
 
-def assemble_tpsn(tp: DataFrame, sp: DataFrame, src) -> DataFrame:
-    """The wide table.  Stop patterns join with plain ``=`` on
-    direction, so patterns of trips without a direction drop out (T1)."""
-    joined = tp.join(sp, ["stops_pattern", "route_id", "direction_id"])
-    rows = joined.select(
-        "agency_id", "route_id", "direction_id", "trip_headsign_id", "timed_pattern_id", "pattern_id",
-        "one_trip", "stops_pattern", "arrival_time_intervals", "departure_time_intervals",
-        "min_arrival_time", "min_departure_time", F.explode("rows").alias("r"))
+def _known_rows() -> Column:
+    """A representative's stop rows whose agency the source has."""
+    return F.filter("rows", lambda r: r["known"])
+
+
+def resolve_patterns(tp: DataFrame, sp: DataFrame, src, losses: Losses | None = None) -> DataFrame:
+    """C8's key joins and C9, before any stop row is exploded: the timed
+    patterns that reach the wide table with their ``pattern_id``, as a
+    written table.
+
+    Stop patterns join with plain ``=``, so patterns of trips without a
+    direction drop out (T1).  A pattern that names a stop absent from the
+    source stops goes with all its timed patterns (stop ids are the source
+    key, never NULL there); that is tested on the distinct stops of each
+    pattern.
+    """
+    routes = src["routes"].select("route_id").distinct().withColumn("_route", F.lit(True))
+    used = F.array_distinct(F.transform(_known_rows(), lambda r: r["stop_id"]))
+    keyed = (tp.select("timed_pattern_id", "trip_count", "stops_pattern", "route_id", "direction_id", used.alias("_stops"))
+             .join(sp, ["stops_pattern", "route_id", "direction_id"], "left")
+             .join(routes, "route_id", "left"))
+    bad = (keyed.where(F.col("pattern_id").isNotNull() & F.col("_route"))
+           .select("pattern_id", F.explode("_stops").alias("stop_id")).where(F.col("stop_id").isNotNull()).distinct()
+           .join(src["stops"].select("stop_id"), "stop_id", "left_anti")
+           .select("pattern_id").distinct().withColumn("_bad", F.lit(True)))
+    marked = keyed.drop("_stops").join(bad, "pattern_id", "left")
+    kept = drop(marked, losses, "wide table", {
+        "no direction": F.col("direction_id").isNull(),
+        "no route": F.col("_route").isNull(),
+        "no stop pattern": F.col("pattern_id").isNull(),
+        "stop not in the source": F.col("_bad").isNotNull()}, F.col("trip_count"))
+    return scratch_table(kept.select("timed_pattern_id", "pattern_id"), "resolved-patterns")
+
+
+def assemble_tpsn(tp: DataFrame, resolved: DataFrame, src) -> DataFrame:
+    """The wide table.  Everything that one value per timed pattern
+    decides is joined before the representative's stop rows are exploded, and
+    ``stop_order`` (a dense rank by stop sequence) is read off the ordered
+    row array, so no exploded row is shuffled."""
     routes = src["routes"].select("route_id", "route_short_name", "route_long_name")
     directions = src["directions"].select("direction_id", F.col("direction_label").alias("direction_name"))
     heads = src["headsigns"].select(F.col("headsign_id").alias("trip_headsign_id"),
                                     F.col("headsign").alias("trip_headsign"))
     agency = src["agency"].select(F.col("agency_id").alias("_st_agency_id"), "agency_name")
-    wide = (rows.join(routes, "route_id")
-            .join(directions, "direction_id", "left")
-            .join(heads.withColumn("_hs", F.col("trip_headsign_id")), "trip_headsign_id", "left")
-            .join(agency, F.col("r.st_agency_id") == agency["_st_agency_id"]))
-    order = Window.partitionBy("timed_pattern_id").orderBy(F.col("r.seq").asc_nulls_last())
+    joined = (tp.join(resolved, "timed_pattern_id").join(routes, "route_id")
+              .join(directions, "direction_id", "left")
+              .join(heads.withColumn("_hs", F.col("trip_headsign_id")), "trip_headsign_id", "left"))
+    ranked = joined.withColumn("rows", _known_rows()).withColumn("_seqs", F.array_distinct(F.transform("rows", lambda r: r["seq"])))
+    # the array is sorted by sequence with NULL last; NULL has the last rank
+    order = F.when(F.col("r.seq").isNull(), F.size("_seqs").cast("bigint")).otherwise(F.array_position("_seqs", F.col("r.seq")))
+    rows = ranked.select(
+        "agency_id", "route_id", "direction_id", "route_short_name", "route_long_name", "direction_name", "_hs", "trip_headsign",
+        "timed_pattern_id", "pattern_id", "one_trip", "stops_pattern", "arrival_time_intervals", "departure_time_intervals",
+        "min_arrival_time", "min_departure_time", "_seqs", F.explode("rows").alias("r")).withColumn("stop_order", order).drop("_seqs")
+    wide = rows.join(agency, F.col("r.st_agency_id") == agency["_st_agency_id"])
     return wide.select(
         "agency_id", "agency_name", "route_short_name", "route_long_name", "direction_name", "direction_id",
-        F.col("_hs").alias("trip_headsign_id"), "trip_headsign", F.col("r.stop_id").alias("stop_id"),
-        F.dense_rank().over(order).cast("bigint").alias("stop_order"),
+        F.col("_hs").alias("trip_headsign_id"), "trip_headsign", F.col("r.stop_id").alias("stop_id"), "stop_order",
         "timed_pattern_id", "pattern_id",
         (F.col("r.arr") - F.col("min_arrival_time")).alias("arrival_time"),
         (F.col("r.dep") - F.col("min_departure_time")).alias("departure_time"),
@@ -173,23 +216,35 @@ def assemble_tpsn(tp: DataFrame, sp: DataFrame, src) -> DataFrame:
         F.col("r.seq").alias("stop_sequence"))
 
 
-def drop_patterns_missing_stops(tpsn: DataFrame, src) -> DataFrame:
-    """Remove every row of a pattern that names a stop absent from the
-    source stops (stop ids are the source key, never NULL there)."""
-    stops = src["stops"].select("stop_id")
-    bad = (tpsn.where(F.col("stop_id").isNotNull()).select("pattern_id", "stop_id")
-           .join(stops, "stop_id", "left_anti").select("pattern_id").distinct())
-    return tpsn.join(bad, "pattern_id", "left_anti")
+def heavy_threshold(keys: DataFrame) -> int:
+    """Trips that a salt of a pattern holds: a sixteenth of a join partition's even share."""
+    spark = keys.sparkSession
+    total = keys.agg(F.sum("trip_count").alias("n")).first()["n"] or 0        # one value
+    return max(1, -(-int(total) // (16 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
 
 def pattern_members(per_trip: DataFrame, tp: DataFrame, dst_agencies: DataFrame) -> DataFrame:
     """The trip list of each timed pattern as a table (trip_id,
     timed_pattern_id, min_arrival_time); ordering a pattern's trips by
-    ``min_arrival_time`` reproduces the original array order."""
-    trips = _pattern_trips(per_trip, dst_agencies).select(*PATTERN_KEY, "trip_id", "min_arrival_time")
-    keys = tp.select(*[F.col(k).alias("_k_" + k) for k in PATTERN_KEY], "timed_pattern_id")
-    cond = [trips[k].eqNullSafe(keys["_k_" + k]) for k in PATTERN_KEY]
-    return trips.join(keys, cond).select("timed_pattern_id", "trip_id", "min_arrival_time")
+    ``min_arrival_time`` reproduces the original array order.
+
+    Trips and patterns meet on a 128-bit fingerprint of the six-column key,
+    so the texts aren't shuffled.  C4 knows every pattern's trip count:
+    patterns with more than ``heavy_threshold`` trips are dealt over as many
+    salts as they hold thresholds.  There are at most sixteen such patterns per
+    shuffle partition, which bounds the list that is broadcast to salt their
+    trips.
+    """
+    trips = _pattern_trips(per_trip, dst_agencies).select(*fingerprint(PATTERN_KEY), "trip_id", "min_arrival_time")
+    keys = tp.select(*fingerprint(PATTERN_KEY), "timed_pattern_id", "trip_count")
+    share = heavy_threshold(keys)
+    keys = keys.withColumn("_salts", F.ceil(F.col("trip_count") / share).cast("int"))
+    heavy = keys.where(F.col("_salts") > 1).select(F.col("_hw_f1").alias("_h1"), F.col("_hw_f2").alias("_h2"), "_salts")
+    salted = (trips.join(F.broadcast(heavy), (F.col("_hw_f1") == F.col("_h1")) & (F.col("_hw_f2") == F.col("_h2")), "left")
+              .select("_hw_f1", "_hw_f2", "trip_id", "min_arrival_time",
+                      F.coalesce(F.pmod(F.xxhash64("trip_id"), F.col("_salts")), F.lit(0)).cast("int").alias("_salt")))
+    dealt = keys.select("_hw_f1", "_hw_f2", "timed_pattern_id", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+    return salted.join(dealt, ["_hw_f1", "_hw_f2", "_salt"]).select("timed_pattern_id", "trip_id", "min_arrival_time")
 
 
 # ---- C10-C15: tables read off the wide table ---------------------------------

@@ -10,6 +10,7 @@ from headway.config import MigrateConfig
 from headway.functions.columns import flag_is_one, int_to_bool, ordered_join
 from headway.operators.ids import dense_id, rank_within
 from headway.operators.keydict import KeyDictionary
+from headway.operators.losses import Losses, drop
 from headway.operators.reference_tables import WEEKDAYS
 from headway.operators.scope import in_migrated_agencies, not_skipped
 
@@ -60,18 +61,24 @@ def _freq_ids(src) -> DataFrame:
     return src["frequencies"].select(F.col("trip_id").alias("_fid"))
 
 
-def scheduled_trips(src, dst_agencies, first_arr, pt) -> DataFrame:
+def scheduled_trips(src, dst_agencies, first_arr, pt, losses: Losses | None = None) -> DataFrame:
     """Base trips without frequencies; one row per trip and distinct
     start time (the original GROUP BY includes trip_id)."""
-    t = src["trips"].where(F.col("based_on").isNull() & F.col("service_id").isNotNull())
-    t = in_migrated_agencies(t, dst_agencies)
+    t = in_migrated_agencies(src["trips"].where(F.col("based_on").isNull()), dst_agencies)
     freq = _freq_ids(src)
     t = t.join(freq, t.trip_id == freq["_fid"], "left_anti")
     cal = src["calendar"]
-    j = (t.join(cal, t.service_id == cal.calendar_id)
-         .join(first_arr.where(F.col("first_arrival_time").isNotNull()), "trip_id")
-         .join(pt.select("trip_id", "timed_pattern_id"), "trip_id")
-         .where(cal.service_schedule_group_id.isNotNull()))
+    first = first_arr.select("trip_id", "first_arrival_time", F.lit(True).alias("_first"))
+    j = (t.join(cal, t.service_id == cal.calendar_id, "left")
+         .join(first, "trip_id", "left")
+         .join(pt.select("trip_id", "timed_pattern_id"), "trip_id", "left"))
+    j = drop(j, losses, "scheduled trips", {
+        "no service": t.service_id.isNull(),
+        "no calendar": cal.calendar_id.isNull(),
+        "no first stop row": F.col("_first").isNull(),
+        "first stop without an arrival": F.col("first_arrival_time").isNull(),
+        "no timed pattern": F.col("timed_pattern_id").isNull(),
+        "calendar without a schedule group": cal.service_schedule_group_id.isNull()})
     out = j.select(
         t.agency_id, F.col("timed_pattern_id"), cal.service_schedule_group_id.alias("calendar_id"),
         F.col("first_arrival_time").cast("bigint").alias("start_time"),
@@ -88,21 +95,24 @@ def _child_base(src, dst_agencies):
     return b.join(base, b.b_based_on == base.trip_id), base
 
 
-def based_on_trips(src, dst_agencies, pt) -> DataFrame:
+def based_on_trips(src, dst_agencies, pt, losses: Losses | None = None) -> DataFrame:
     """A child trip reuses its base trip's timed pattern; start is
     ``coalesce(child, base)``.  Frequencies are checked on the base (T12)
     and children identical in the grouping columns collapse."""
     j, base = _child_base(src, dst_agencies)
-    j = j.where(F.col("b_service_id").isNotNull() & F.col("b_based_on").isNotNull()
-                & (F.col("b_trip_start_time").isNotNull() | F.col("trip_start_time").isNotNull()))
     freq = _freq_ids(src)
     j = j.join(freq, F.col("trip_id") == freq["_fid"], "left_anti")
     cal = src["calendar"]
-    j = (j.join(pt.select(F.col("trip_id").alias("_pt_trip"), "timed_pattern_id"),
-                F.col("trip_id") == F.col("_pt_trip"))
-         .join(cal, F.col("b_service_id") == cal.calendar_id)
-         .where(cal.service_schedule_group_id.isNotNull()))
     start = F.coalesce(F.col("b_trip_start_time"), F.col("trip_start_time")).cast("bigint")
+    j = (j.join(pt.select(F.col("trip_id").alias("_pt_trip"), "timed_pattern_id"),
+                F.col("trip_id") == F.col("_pt_trip"), "left")
+         .join(cal, F.col("b_service_id") == cal.calendar_id, "left"))
+    j = drop(j, losses, "based-on trips", {
+        "no service": F.col("b_service_id").isNull(),
+        "no calendar": cal.calendar_id.isNull(),
+        "no start time": start.isNull(),
+        "no timed pattern": F.col("timed_pattern_id").isNull(),
+        "calendar without a schedule group": cal.service_schedule_group_id.isNull()})
     out = j.select(
         F.col("b_agency_id").alias("agency_id"), "timed_pattern_id",
         cal.service_schedule_group_id.alias("calendar_id"), start.alias("start_time"),
@@ -148,12 +158,12 @@ def frequency_trips(src, dst_agencies, pt) -> DataFrame:
         flag_is_one(t.in_seat_transfer).alias("in_seat_transfer"))
 
 
-def trips(src, dst_agencies, first_arr, pt, known: KeyDictionary | None = None) -> DataFrame:
+def trips(src, dst_agencies, first_arr, pt, known: KeyDictionary | None = None, losses: Losses | None = None) -> DataFrame:
     """The four branches as UNION ALL with their own dense ``trip_id``
     (branch, then every column, NULLs last).  With a dictionary of earlier
     reloads (A9) a trip's key is every column and its number among equal rows."""
-    parts = [scheduled_trips(src, dst_agencies, first_arr, pt),
-             based_on_trips(src, dst_agencies, pt),
+    parts = [scheduled_trips(src, dst_agencies, first_arr, pt, losses),
+             based_on_trips(src, dst_agencies, pt, losses),
              frequency_based_on_trips(src, dst_agencies, pt),
              frequency_trips(src, dst_agencies, pt)]
     tagged = None

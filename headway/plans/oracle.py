@@ -670,6 +670,37 @@ FINAL["lasting_pattern_ids"] = """SELECT CAST(CASE WHEN e.stops_pattern IS NOT N
    FROM (SELECT DISTINCT l.stop_list AS stops_pattern, tr.route_id, tr.direction_id FROM o_stop_lists l JOIN src_trips tr ON tr.trip_id = l.trip_id
          WHERE tr.agency_id IN (SELECT agency_id FROM o_agencies WHERE feed_id > (SELECT min(feed_id) FROM o_agencies))) d) e
  ON e.stops_pattern IS NOT DISTINCT FROM s.stops_pattern AND e.route_id IS NOT DISTINCT FROM s.route_id AND e.direction_id IS NOT DISTINCT FROM s.direction_id"""
+def _reasons(source: str, step: str, reasons: list[tuple[str, str]], trips: str = "1") -> str:
+    """Rows of ``source`` by the first condition that holds; a row per reason, also where it never holds."""
+    case = " ".join(f"WHEN {cond} THEN '{name}'" for name, cond in reasons)
+    names = ", ".join(f"('{name}')" for name, _ in reasons)
+    return (f"SELECT '{step}' AS step, k.reason, CAST(count(x.reason) AS BIGINT) AS n_rows, CAST(coalesce(sum(x.w), 0) AS BIGINT) AS n_trips "
+            f"FROM (VALUES {names}) k(reason) LEFT JOIN (SELECT CASE {case} END AS reason, {trips} AS w FROM ({source}) s) x ON x.reason = k.reason GROUP BY k.reason")
+
+
+_SCHEDULED = f"""SELECT tr.service_id, c.calendar_id, fa.trip_id AS first_row, fa.first_arrival_time, pt.timed_pattern_id, c.service_schedule_group_id AS grp
+ FROM src_trips tr LEFT JOIN src_calendar c ON c.calendar_id = tr.service_id LEFT JOIN o_first_arrivals fa ON fa.trip_id = tr.trip_id
+ LEFT JOIN o_patterns_trips pt ON pt.trip_id = tr.trip_id
+ WHERE tr.based_on IS NULL AND tr.agency_id IN {DST_AGENCY_IDS} AND tr.trip_id NOT IN (SELECT trip_id FROM src_frequencies)"""
+_CHILDREN = f"""SELECT kid.service_id, c.calendar_id, coalesce(kid.trip_start_time, par.trip_start_time) AS start_time, pt.timed_pattern_id,
+ c.service_schedule_group_id AS grp
+ FROM src_trips kid JOIN src_trips par ON par.trip_id = kid.based_on LEFT JOIN src_calendar c ON c.calendar_id = kid.service_id
+ LEFT JOIN o_patterns_trips pt ON pt.trip_id = par.trip_id
+ WHERE par.agency_id IN {DST_AGENCY_IDS} AND par.trip_id NOT IN (SELECT trip_id FROM src_frequencies)"""
+_RESOLVE = """SELECT tp.trip_count, tp.direction_id, rt.route_id, sp.pattern_id, bad.pattern_id AS bad_id
+ FROM o_tp tp LEFT JOIN (SELECT DISTINCT route_id FROM src_routes) rt ON rt.route_id = tp.route_id
+ LEFT JOIN o_sp sp ON sp.stops_pattern = tp.stops_pattern AND sp.route_id = tp.route_id AND sp.direction_id = tp.direction_id
+ LEFT JOIN o_bad_patterns bad ON bad.pattern_id = sp.pattern_id"""
+FINAL["dropped_rows"] = "\nUNION ALL ".join([
+    _reasons("SELECT g.trip_count, r.trip_id FROM o_pattern_groups g LEFT JOIN o_rep_min r ON r.trip_id = g.one_trip", "timed pattern",
+             [("representative without a migrated stop row", "trip_id IS NULL")], "trip_count"),
+    _reasons(_RESOLVE, "wide table", [("no direction", "direction_id IS NULL"), ("no route", "route_id IS NULL"),
+                                      ("no stop pattern", "pattern_id IS NULL"), ("stop not in the source", "bad_id IS NOT NULL")], "trip_count"),
+    _reasons(_SCHEDULED, "scheduled trips", [("no service", "service_id IS NULL"), ("no calendar", "calendar_id IS NULL"),
+                                             ("no first stop row", "first_row IS NULL"), ("first stop without an arrival", "first_arrival_time IS NULL"),
+                                             ("no timed pattern", "timed_pattern_id IS NULL"), ("calendar without a schedule group", "grp IS NULL")]),
+    _reasons(_CHILDREN, "based-on trips", [("no service", "service_id IS NULL"), ("no calendar", "calendar_id IS NULL"), ("no start time", "start_time IS NULL"),
+                                           ("no timed pattern", "timed_pattern_id IS NULL"), ("calendar without a schedule group", "grp IS NULL")])])
 FINAL["cascade_prune"] = _cascade_sql()
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()

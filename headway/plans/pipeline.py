@@ -20,6 +20,7 @@ from headway.config import MigrateConfig
 from headway.operators import (audits, fares, naming, patterns as pat, reference_tables as ref,
                                spatial, trips as trp)
 from headway.operators.keydict import KeyDictionary
+from headway.operators.losses import Losses
 from headway.session import ensure_checkpoint_dir, note_scratch, scratch_tables
 from headway.sources.catalog import SourceCatalog
 from headway.sources.versions import Versions, broken_rules
@@ -57,6 +58,7 @@ class Migration:
         self.spark = spark
         self.src = src
         self.cfg = cfg or MigrateConfig()
+        self.losses = Losses()
 
     def _dictionary(self, kind: str) -> KeyDictionary | None:
         """The ids of earlier reloads, where the run names their folder."""
@@ -155,16 +157,19 @@ class Migration:
 
     @cached_property
     def timed_pattern_rows(self) -> DataFrame:
-        return pat.timed_patterns(self.pattern_time_intervals, self.per_trip, self._dictionary("timed_patterns"))
+        return pat.timed_patterns(self.pattern_time_intervals, self.per_trip, self._dictionary("timed_patterns"), self.losses)
 
     @cached_property
     def stop_patterns(self) -> DataFrame:
         return pat.stop_patterns(self.per_trip, self.agencies, self._dictionary("patterns"))
 
+    @cached_property
+    def resolved_patterns(self) -> DataFrame:
+        return pat.resolve_patterns(self.timed_pattern_rows, self.stop_patterns, self.src, self.losses)
+
     @cached_property
     def tpsn(self) -> DataFrame:
-        wide = pat.assemble_tpsn(self.timed_pattern_rows, self.stop_patterns, self.src)
-        return pat.drop_patterns_missing_stops(wide, self.src).persist(StorageLevel.MEMORY_AND_DISK)
+        return pat.assemble_tpsn(self.timed_pattern_rows, self.resolved_patterns, self.src).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def pattern_members(self) -> DataFrame:
@@ -198,7 +203,7 @@ class Migration:
 
     @cached_property
     def trips(self) -> DataFrame:
-        return trp.trips(self.src, self.agencies, self.first_arrivals, self.patterns_trips, self._dictionary("trips"))
+        return trp.trips(self.src, self.agencies, self.first_arrivals, self.patterns_trips, self._dictionary("trips"), self.losses)
 
     # ---- E: naming and ordering --------------------------------------------
     @cached_property
@@ -239,6 +244,12 @@ class Migration:
     def shape_segments(self) -> DataFrame:
         return _keep(spatial.shape_segments(self.src, self.stops_base))
 
+    def dropped_rows(self) -> DataFrame:
+        """Timed patterns and trips that vanish, by step and reason, as counted by the passes that write
+        the resolved patterns and the trips."""
+        self.resolved_patterns, self.trips
+        return self.losses.report(self.spark)
+
     # ---- everything -----------------------------------------------------------
     def targets(self, names: set[str] | None = None) -> dict[str, DataFrame]:
         """The target tables by name; only the named ones are built."""

@@ -400,6 +400,11 @@ def q_trip_chain_counts(spark, sf):
     return audits.trip_chain_counts(m.src, m)
 
 
+@query("dropped_rows")
+def q_dropped_rows(spark, sf):
+    return migration(spark, sf).dropped_rows()
+
+
 # ---- H / A: functions and id bookkeeping ------------------------------------------------------
 
 @query("css_color_valid")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Settings for a large cluster (~100 TB of stop times, ~1000 executors).
@@ -67,6 +68,15 @@ def note_scratch(path: str, table: str | None = None) -> None:
     _scratch.append((path, table))
 
 
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the checkpoint folder and return it reread: the lineage is cut."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    note_scratch(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Deletes the intermediate tables written inside the block when it ends."""

@@ -22,7 +22,7 @@ def test_default_scope_keeps_every_agency_and_trip(spark, catalog):
     tr = spark.createDataFrame([(0, 7, 3, 0, None, None)],
                                "trip_id long, agency_id int, route_id long, direction_id int, headsign_id int, based_on long")
     dst = spark.createDataFrame([(7,)], "agency_id int")
-    per_trip = pat.trip_stop_rows(catalog(stop_times=st, trips=tr), dst, MigrateConfig())
+    per_trip = pat.trip_stop_rows(catalog(stop_times=st, trips=tr, agency=dst), dst, MigrateConfig())
     assert [r.trip_id for r in trp.first_arrivals(per_trip, MigrateConfig()).collect()] == [0]
 
 
@@ -39,7 +39,7 @@ def test_null_stop_sequence_stands_last(spark, catalog):
     tr = spark.createDataFrame([(1, 1, 3, 0, None, None)],
                                "trip_id long, agency_id int, route_id long, direction_id int, headsign_id int, based_on long")
     dst = spark.createDataFrame([(1,)], "agency_id int")
-    row = pat.trip_stop_rows(catalog(stop_times=st, trips=tr), dst, MigrateConfig()).first()
+    row = pat.trip_stop_rows(catalog(stop_times=st, trips=tr, agency=dst), dst, MigrateConfig()).first()
     assert row.stops_pattern == "10, 20, 30"
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
 from headway.functions.columns import array_minus, is_valid_css_color, normalise_route_color
+from headway.operators.losses import Losses
 from headway.operators import patterns as pat
 
 ST_SCHEMA = ("trip_id bigint, agency_id int, stop_sequence int, stop_id bigint, arrival_time bigint, "
@@ -19,7 +20,7 @@ def test_departure_signature_is_gated_on_arrival(spark, catalog):
     st = spark.createDataFrame([
         (1, 1, 1, 10, 100, 110, None), (1, 1, 2, 20, 200, None, 0), (1, 1, 3, 30, None, 330, 0)], ST_SCHEMA)
     trips = spark.createDataFrame([(1, 5, 1, 0, None, None)], TRIP_SCHEMA)
-    src = catalog(stop_times=st, trips=trips)
+    src = catalog(stop_times=st, trips=trips, agency=_agencies(spark))
     row = pat.trip_stop_rows(src, _agencies(spark), MigrateConfig()).first()
     assert row.stops_pattern == "10, 20, 30"
     assert row.arrival_time_intervals == "0,100,"
@@ -30,7 +31,7 @@ def test_departure_signature_is_gated_on_arrival(spark, catalog):
 def test_all_null_stop_list_is_null_not_empty(spark, catalog):
     st = spark.createDataFrame([(1, 1, 1, None, 100, 110, None), (1, 1, 2, None, 200, 210, 0)], ST_SCHEMA)
     trips = spark.createDataFrame([(1, 5, 1, 0, None, None)], TRIP_SCHEMA)
-    row = pat.trip_stop_rows(catalog(stop_times=st, trips=trips), _agencies(spark), MigrateConfig()).first()
+    row = pat.trip_stop_rows(catalog(stop_times=st, trips=trips, agency=_agencies(spark)), _agencies(spark), MigrateConfig()).first()
     assert row.stops_pattern is None
 
 
@@ -38,7 +39,7 @@ def test_skip_list_filters_stop_time_agency(spark, catalog):
     # agency 7 is skipped: its stop rows vanish from the signature
     st = spark.createDataFrame([(1, 1, 1, 10, 100, 100, None), (1, 7, 2, 20, 200, 200, 0)], ST_SCHEMA)
     trips = spark.createDataFrame([(1, 5, 1, 0, None, None)], TRIP_SCHEMA)
-    row = pat.trip_stop_rows(catalog(stop_times=st, trips=trips), _agencies(spark), MigrateConfig(skip_agencies=(7,))).first()
+    row = pat.trip_stop_rows(catalog(stop_times=st, trips=trips, agency=_agencies(spark)), _agencies(spark), MigrateConfig(skip_agencies=(7,))).first()
     assert row.stops_pattern == "10"
     assert row.stops_pattern_all == "10, 20"
 
@@ -75,7 +76,7 @@ def test_null_direction_patterns_drop_out_of_wide_table(spark, catalog):
     ag = _agencies(spark)
     per_trip = pat.trip_stop_rows(src, ag, MigrateConfig())
     tp = pat.timed_patterns(pat.pattern_time_intervals(per_trip, ag), per_trip)
-    wide = pat.drop_patterns_missing_stops(pat.assemble_tpsn(tp, pat.stop_patterns(per_trip, ag), src), src)
+    wide = pat.assemble_tpsn(tp, pat.resolve_patterns(tp, pat.stop_patterns(per_trip, ag), src), src)
     assert tp.count() == 2
     assert [r.route_id for r in wide.collect()] == [5]
 
@@ -94,6 +95,7 @@ def test_patterns_with_a_missing_stop_are_removed_whole(spark, catalog):
     ag = _agencies(spark)
     per_trip = pat.trip_stop_rows(src, ag, MigrateConfig())
     tp = pat.timed_patterns(pat.pattern_time_intervals(per_trip, ag), per_trip)
-    wide = pat.assemble_tpsn(tp, pat.stop_patterns(per_trip, ag), src)
-    assert wide.count() == 2
-    assert pat.drop_patterns_missing_stops(wide, src).count() == 0
+    losses = Losses()
+    assert pat.assemble_tpsn(tp, pat.resolve_patterns(tp, pat.stop_patterns(per_trip, ag), src, losses), src).count() == 0
+    counts = {r.reason: (r.n_rows, r.n_trips) for r in losses.report(spark).collect()}
+    assert counts.pop("stop not in the source") == (1, 1) and set(counts.values()) == {(0, 0)}
