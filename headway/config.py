@@ -24,11 +24,11 @@ class MigrateConfig:
     # Timestamp written where the original used now(): the wildcard zone and
     # rules added by fare edits.
     run_ts: _dt.datetime = field(default_factory=lambda: _dt.datetime(2024, 1, 1))
-    # Side (degrees) of the grid cells that find a point's candidate polygons.
+    # Side (degrees) of the coarsest grid cells that cover the polygons, and
+    # how often a cell that many edges cut is split into four.
     tz_cell_degrees: float = 5.0
-    # Latitude band height (degrees) for the point-in-polygon join.
-    tz_band_degrees: float = 1.0
-    # Salt buckets spread a hot latitude band over several tasks.
+    tz_cover_levels: int = 6
+    # Salt buckets spread the points of a crowded cell over several tasks.
     tz_band_salt: int = 4
     # Write the per-trip table (about the size of stop_times) as a table
     # bucketed by trip_id under spark.checkpoint.dir instead of persisting

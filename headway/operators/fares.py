@@ -157,9 +157,20 @@ def _pair_key(fare, agency, route, a, b, contains):
             F.least(nma(a), nma(b)).alias("_klo"), F.greatest(nma(a), nma(b)).alias("_khi"), nma(contains).alias("_kc")]
 
 
+NULL_KEY = -(1 << 62)       # stands for a missing fare or agency in a bucket's hash
 _KEY = ["_kf", "_ka", "_kr", "_klo", "_khi", "_kc"]
 
 
+def pair_bucket(buckets: int, side: str | None = None):
+    """Bucket of a rule's pair key, or of the ``old`` or ``new`` key of an edit."""
+    if side is None:
+        cols = [F.col(c) for c in ("fare_id", "agency_id", "route_id", "origin_id", "destination_id", "contains_id")]
+    else:
+        cols = [F.col(f"{side}_{c}") for c in ("fare_id", "agency_id", "route_id", "zone_id_a", "zone_id_b", "contains_id")]
+    key = [F.coalesce(k.cast("bigint"), F.lit(NULL_KEY)) for k in _pair_key(*cols)]
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
 def apply_edits(rules: DataFrame, edits: DataFrame, first_new_id: int | None = None, run_ts=None) -> DataFrame:
     """F8: DELETE removes both directions of OLD; INSERT removes both
     directions of NEW, then adds forward and reverse rows; UPDATE does both

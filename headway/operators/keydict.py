@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.ids import dense_id
+from headway.sources.files import Files
 
 _PRINT = ["_hw_f1", "_hw_f2"]
 
@@ -50,18 +51,10 @@ class KeyDictionary:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
         self.path = f"{root.rstrip('/')}/{name}"
-        self._jvm = spark.sparkContext._jvm
-        self._fs = self._file(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _file(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
 
     def generations(self) -> list[str]:
         """Complete generations, oldest first."""
-        if not self._fs.exists(self._file(self.path)):
-            return []
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._file(self.path)))
-        return [n for n in names if n.startswith("g") and self._fs.exists(self._file(f"{self.path}/{n}/_SUCCESS"))]
+        return Files(self.spark, self.path).complete("", "g")
 
     def known(self) -> DataFrame:
         done = [f"{self.path}/{n}" for n in self.generations()]

@@ -1,12 +1,9 @@
 """Spatial jobs without geo types.
 
-Point in polygon (I1) takes two equi-joins.  Grid cells that a polygon's
-bounding box touches give the candidate polygons of a point.  The edges of a
-polygon are replicated into the latitude bands they span, and a candidate
-meets only the edges of its polygon in its band: it lies inside when a ray to
-its east crosses an odd number of them (half-open in latitude), which also
-gets holes and several parts right.  Points are deduplicated first, and a
-salt spreads a crowded band over several tasks.
+Point in polygon (I1) looks points up in a quadtree cover of the polygons
+(``cover``): cells inside a polygon answer without an edge, border cells by the
+edges that cut them.  Points are deduplicated first, and a salt spreads a
+crowded cell over several tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +13,7 @@ from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
 from headway.functions.geo import METRES_TO_MILES, make_point, segment_metres
+from headway.operators.cover import Cover, build_cover, containing_polygons
 
 # Legacy time zone text clean-up.
 LEGACY_TZ_RENAMES = {"US/Eastern": "America/New_York"}
@@ -57,34 +55,14 @@ def polygon_edges(polygons: DataFrame) -> DataFrame:
     return ring_edges(polygons) if "ring" in polygons.columns else box_edges(polygons)
 
 
-def point_timezone(points: DataFrame, edges: DataFrame, cfg: MigrateConfig | None = None) -> DataFrame:
+def point_timezone(points: DataFrame, polygons: DataFrame | Cover, cfg: MigrateConfig | None = None) -> DataFrame:
     """(lon, lat) distinct points -> (lon, lat, tzid); ``min(tzid)`` when
-    several polygons contain the point, NULL when none does."""
+    several polygons contain the point, NULL when none does.  ``polygons``
+    are edges, or their cover where it serves several calls."""
     cfg = cfg or MigrateConfig()
-    h, salts = float(cfg.tz_band_degrees), max(1, int(cfg.tz_band_salt))
+    cover = polygons if isinstance(polygons, Cover) else build_cover(polygons, cfg)
     pts = points.select("lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).distinct()
-    c = float(cfg.tz_cell_degrees)
-    box = edges.groupBy("tzid").agg(
-        F.min(F.least("x1", "x2")).alias("w"), F.max(F.greatest("x1", "x2")).alias("e"),
-        F.min(F.least("y1", "y2")).alias("s"), F.max(F.greatest("y1", "y2")).alias("n"))
-    cells = (box.select("*", F.explode(F.sequence(F.floor(F.col("w") / c), F.floor(F.col("e") / c))).alias("cx"))
-             .select("*", F.explode(F.sequence(F.floor(F.col("s") / c), F.floor(F.col("n") / c))).alias("cy")))
-    pts_b = (pts.select("lon", "lat", F.floor(F.col("lon") / c).alias("cx"), F.floor(F.col("lat") / c).alias("cy"))
-             .join(cells, ["cx", "cy"])
-             .where(F.col("lon").between(F.col("w"), F.col("e")) & F.col("lat").between(F.col("s"), F.col("n")))
-             .select("lon", "lat", "tzid", F.floor(F.col("lat") / h).alias("band"),
-                     F.pmod(F.xxhash64("lon", "lat"), F.lit(salts)).alias("salt")))
-    # horizontal edges never cross a horizontal ray
-    e = edges.where(F.col("y1") != F.col("y2"))
-    e_b = e.select("tzid", "x1", "y1", "x2", "y2", F.explode(F.sequence(
-        F.floor(F.least("y1", "y2") / h), F.floor(F.greatest("y1", "y2") / h))).alias("band"))
-    e_b = e_b.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    cand = pts_b.join(e_b, ["tzid", "band", "salt"])
-    py, px = F.col("lat"), F.col("lon")
-    crosses = (((F.col("y1") > py) != (F.col("y2") > py))
-               & (px < F.col("x1") + (py - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))))
-    inside = (cand.where(crosses).groupBy("lon", "lat", "tzid").agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") % 2 == 1)
+    inside = (containing_polygons(pts, cover, max(1, int(cfg.tz_band_salt)))
               .groupBy("lon", "lat").agg(F.min("tzid").alias("tzid")))
     return pts.join(inside, ["lon", "lat"], "left")
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import audits
+from headway.sources.files import Files
 from headway.sources.sinks import write_target
 
 
@@ -31,17 +32,10 @@ class Versions:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._jvm = spark.sparkContext._jvm
-        self._fs = self._file(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _file(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
+        self._files = Files(spark, root)
 
     def _names(self, folder: str) -> list[str]:
-        path = self._file(f"{self.root}/{folder}")
-        if not self._fs.exists(path):
-            return []
-        return sorted(n for n in (s.getPath().getName() for s in self._fs.listStatus(path)) if n.startswith("v"))
+        return self._files.names(folder, "v")
 
     def published(self) -> list[str]:
         """Published versions, oldest first."""
@@ -69,14 +63,14 @@ class Versions:
         while True:
             number += 1
             version = f"v{number:08d}"
-            if self._fs.createNewFile(self._file(f"{self.root}/claimed/{version}")):
+            if self._files.create(f"claimed/{version}"):
                 return version
 
     def publish(self, version: str) -> None:
         newest = self.current()
         if newest is not None and newest >= version:
             raise CheckFailed(f"{version} is older than the published {newest}")
-        if not self._fs.createNewFile(self._file(f"{self.root}/published/{version}")):
+        if not self._files.create(f"published/{version}"):
             raise CheckFailed(f"{version} is already published")
 
     def retire(self, keep: int) -> list[str]:
@@ -88,9 +82,8 @@ class Versions:
         gone = [v for v in self._names("versions") if v not in stay and v < done[-1]]
         for v in gone:
             # readers stop finding the version before its files go
-            self._fs.delete(self._file(f"{self.root}/published/{v}"), False)
-            self._fs.delete(self._file(self.path(v)), True)
-            self._fs.delete(self._file(f"{self.root}/claimed/{v}"), False)
+            for name in (f"published/{v}", f"versions/{v}", f"claimed/{v}"):
+                self._files.delete(name)
         return gone
 
     def reload(self, tables: dict[str, Callable[[], DataFrame] | DataFrame],

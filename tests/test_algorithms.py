@@ -61,7 +61,7 @@ def test_point_in_polygon_matches_ray_casting(spark):
                                   "tzid string, ring array<struct<lon:double,lat:double>>")
     got = {(r.lon, r.lat): r.tzid for r in spatial.point_timezone(
         spark.createDataFrame(pts, "lon double, lat double"), spatial.ring_edges(rings),
-        MigrateConfig(tz_band_degrees=3.0, tz_band_salt=3)).collect()}
+        MigrateConfig(tz_cell_degrees=3.0, tz_band_salt=3)).collect()}
     for x, y in pts:
         inside = sorted(t for t, r in polys if _inside(x, y, r))
         assert got[(x, y)] == (inside[0] if inside else None)
