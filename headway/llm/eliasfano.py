@@ -10,6 +10,7 @@ from __future__ import annotations
 import mmap
 import os
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -85,6 +86,40 @@ class EliasFano:
         return low
 
 
+    def decode(self, begin: int, end: int) -> np.ndarray:
+        """The values from index ``begin`` to ``end``."""
+        first, last = self._select(np.array([begin, end - 1]), True)
+        byte = int(first) >> 3
+        ones = np.flatnonzero(np.unpackbits(self.bits[byte:(int(last) >> 3) + 1], bitorder="little")) + 8 * byte
+        ones = ones[np.searchsorted(ones, first):][:end - begin]
+        at = np.arange(begin, end)
+        return ((ones - at).astype(np.uint64) << np.uint64(self.low_bits)) | _read_bits(self.low, at, self.low_bits)
+
+    def _blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        for begin in range(0, self.n, BLOCK):
+            yield begin, self.decode(begin, min(begin + BLOCK, self.n))
+
+    def ascending_access(self, i: np.ndarray) -> np.ndarray:
+        """``access`` for ascending indices, a block of the sequence at a time."""
+        out = np.empty(len(i), np.uint64)
+        for begin, values in self._blocks():
+            a, b = np.searchsorted(i, [begin, begin + len(values)])
+            out[a:b] = values[i[a:b] - begin]
+        return out
+
+    def ascending_successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first value >= x (n where there is none) for ascending x, and whether it equals x."""
+        out, equal, at = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool), 0
+        for begin, values in self._blocks():
+            to = at + int(np.searchsorted(x[at:], values[-1], side="right"))
+            here = np.searchsorted(values, x[at:to])
+            out[at:to], equal[at:to] = begin + here, values[here] == x[at:to]
+            at = to
+        return out, equal
+
+
+BLOCK = 1 << 16                # values decoded at a time by an ascending search
+
 _SELECT = np.zeros((256, 8), np.int64)         # place of the k-th one of a byte
 for _byte in range(256):
     _places = [i for i in range(8) if _byte >> i & 1]
@@ -126,19 +161,25 @@ class TrieLevel:
         self.ids = EliasFano(parents.astype(np.uint64) * np.uint64(universe) + ids.astype(np.uint64))
 
     def find(self, parents: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Position of child ``ids`` of node ``parents``; -1 where absent."""
+        """Position of child ``ids`` of node ``parents``; -1 where absent.
+
+        The queries are put in ascending order, so the level is read front to
+        back, a block at a time, and the successor of each query is held
+        against the pointers of its node.
+        """
         if not self.ids.n or not len(ids):
             return np.full(len(ids), -1, np.int64)
-        new = np.append(True, parents[1:] != parents[:-1])               # queries come in runs of one node
-        nodes, run = parents[new], np.cumsum(new) - 1
-        begin, end = (self.pointers.access(nodes + k).astype(np.int64)[run] for k in (0, 1))
         target = parents.astype(np.uint64) * np.uint64(self.universe) + ids.astype(np.uint64)
-        at = self.ids.successor(target, begin, end)
-        inside = np.flatnonzero(at < end)
-        found = np.full(len(ids), -1, np.int64)
-        hit = inside[self.ids.access(at[inside]) == target[inside]]
-        found[hit] = at[hit]
-        return found
+        back = None
+        if (target[1:] < target[:-1]).any():
+            target, back = np.unique(target, return_inverse=True)
+        at, equal = self.ids.ascending_successor(target)
+        node = (target // np.uint64(self.universe)).astype(np.int64)
+        new = np.append(True, node[1:] != node[:-1])                     # queries come in runs of one node
+        nodes, run = node[new], np.cumsum(new) - 1
+        begin, end = (self.pointers.ascending_access(nodes + k).astype(np.int64)[run] for k in (0, 1))
+        found = np.where(equal & (begin <= at) & (at < end), at, -1)
+        return found if back is None else found[back]
 
     def arrays(self) -> list[np.ndarray]:
         return self.pointers.arrays() + self.ids.arrays()

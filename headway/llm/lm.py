@@ -202,6 +202,8 @@ def _by_shard(chunk: int, kind: int, shard: np.ndarray, n_shards: int, *columns:
 def _pairs(n_shards: int):
     """Distinct (v, w, cell) of a chunk's split words with training counts, to the shards of (v, w)."""
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        if all(unpack(x).max(initial=0) < CELL for x in pdf.loc[pdf["kind"] == _ANSWER, "b"]):
+            return _frame([])                                        # no word of this chunk is split
         stream, ids, counts, token, lengths, starts = _resolve(pdf)
         u, v, w, cells, cell = _ngrams(ids, counts, token, starts, CELL)
         split = cells > 1
@@ -244,6 +246,23 @@ def _bigrams(n_shards: int):
     return bigrams
 
 
+def _ranks(x: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rank of every value among the distinct ones, and the bits that hold it."""
+    distinct, rank = np.unique(x, return_inverse=True)
+    return rank.astype(np.uint64), max(1, int(len(distinct) - 1).bit_length())
+
+
+def _order(shard: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Order by shard, v and w: one sort of numbers that hold the ranks and the position, where they fit."""
+    place = max(1, int(len(shard) - 1).bit_length())
+    (first, bits1), (second, bits2) = _ranks(shard.astype(np.uint64) << _U(48) | v), _ranks(w)
+    if int(v.max()) >> 48 or bits1 + bits2 + place > 64:
+        return np.lexsort((w, v, shard))
+    key = (first << _U(bits2) | second) << _U(place) | np.arange(len(shard), dtype=np.uint64)
+    key.sort()
+    return (key & _U((1 << place) - 1)).astype(np.int64)
+
+
 def _grams(n_shards: int, total: float):
     def grams(pdf: pd.DataFrame) -> pd.DataFrame:
         stream, ids, counts, token, lengths, starts = _resolve(pdf)
@@ -258,7 +277,7 @@ def _grams(n_shards: int, total: float):
         doc = np.repeat(np.arange(len(lengths), dtype=np.uint64) * _U(2) + _held(stream, lengths).astype(np.uint64), lengths)
         shard = _place(v, cell, n_shards)
         shard[starts] = n_shards                                     # goes nowhere
-        order = np.lexsort((u, w, v, shard))[:len(shard) - len(starts)]
+        order = _order(shard, v, w)[:len(shard) - len(starts)]
         v, w, u, cell, doc, code, shard = (x[order] for x in (v, w, u, cell, doc, code, shard))
         cuts = np.append(np.searchsorted(shard, np.arange(n_shards)), len(shard))
         for s in np.flatnonzero(np.diff(cuts)):
@@ -303,9 +322,7 @@ class Model:
         if not self.root.n:
             return out
         new = np.append(True, root[1:] != root[:-1])
-        at = self.root.successor(root[new])
-        seen = at < self.root.n
-        seen[seen] = self.root.access(at[seen]) == root[new][seen]
+        at, seen = self.root.ascending_successor(root[new].astype(np.uint64))
         parent = np.where(seen, at, -1)[np.cumsum(new) - 1]
         known = np.flatnonzero(parent >= 0)
         parent, w, u = parent[known], w[known], u[known]
@@ -400,7 +417,8 @@ def _scores(pdf: pd.DataFrame) -> pd.DataFrame:
     doc = doc >> 1
     found, at = [], 0
     for r, n in zip(rows.itertuples(), sizes):
-        found.append(_row(r.chunk, 0, _PARTIAL, np.bincount(doc[at:at + n], value[at:at + n]).astype(np.float32).tobytes()))
+        # values are whole steps, so the sums are exact
+        found.append(_row(r.chunk, 0, _PARTIAL, pack(np.rint(np.bincount(doc[at:at + n], value[at:at + n]) / -STEP))))
         at += n
     return pd.concat([out, _frame(found)], ignore_index=True)
 
@@ -413,8 +431,8 @@ def _finish(n_train: int, total: float):
         flags = [np.unpackbits(np.frombuffer(meta[x], np.uint8), count=len(ids)).astype(bool) for x in "cd"]
         score = first.copy()
         for part in pdf.loc[pdf["kind"] == _PARTIAL, "a"]:
-            part = np.frombuffer(part, np.float32)
-            score[:len(part)] += part
+            part = unpack(part)
+            score[:len(part)] -= STEP * part.astype(np.float64)
         return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids, flags[1]), "held_out": flags[0], "n_tokens": length.astype(np.int64),
                              "n_known": known.astype(np.int64), "train_tokens": n_train,
                              "base_score": base - length * np.log10(total), "score": score})

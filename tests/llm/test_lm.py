@@ -126,3 +126,28 @@ def test_trie_level_and_mapping():
     assert ((level.find(every // 1000, every % 1000) >= 0) == np.isin(every, keys)).all()
     arrays = level.arrays()
     assert all((a == b).all() for a, b in zip(arrays, memory_map(arrays)))
+
+
+@pytest.mark.parametrize("n,top", [(1, 5), (1000, 50), (3000, 10**6), (200_000, 2**40)])
+def test_ascending_searches(monkeypatch, n, top):
+    """Block by block, with blocks smaller and larger than the sequence."""
+    from headway.llm import eliasfano
+    rng = np.random.default_rng(n)
+    values = np.sort(rng.integers(0, top, n)).astype(np.uint64)
+    ef = EliasFano(values)
+    asked = np.sort(np.concatenate([rng.integers(0, top + 5, 500).astype(np.uint64), values[:200], values[-50:] + np.uint64(1)]))
+    for block in (7 if n < 5000 else 4096, 1 << 16):
+        monkeypatch.setattr(eliasfano, "BLOCK", block)
+        at, equal = ef.ascending_successor(asked)
+        assert (at == np.searchsorted(values, asked)).all()
+        assert (equal == np.isin(asked, values)).all()
+        index = np.unique(rng.integers(0, n, 300))
+        assert (ef.ascending_access(index) == values[index]).all()
+        assert (ef.decode(n // 3, n) == values[n // 3:]).all()
+
+
+def test_packed_order_equals_lexsort():
+    rng = np.random.default_rng(1)
+    for top in (5, 1 << 20, 1 << 40):
+        shard, v, w = rng.integers(0, 9, 3000), rng.integers(0, top, 3000).astype(np.uint64), rng.integers(0, top, 3000).astype(np.uint64)
+        assert (lm._order(shard, v, w) == np.lexsort((w, v, shard))).all()
