@@ -168,7 +168,7 @@ def frequency_parity(src, m) -> DataFrame:
     in the target."""
     s = (src["frequencies"].join(src["trips"].select("trip_id", "route_id"), "trip_id")
          .groupBy("route_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_source")))
-    t = (m.trips.where(F.col("headway_secs").isNotNull()).select("timed_pattern_id")
+    t = (m.trip_rows.where(F.col("headway_secs").isNotNull()).select("timed_pattern_id")
          .join(m.timed_patterns.select("timed_pattern_id", "pattern_id"), "timed_pattern_id")
          .join(m.patterns_base.select("pattern_id", "route_id"), "pattern_id")
          .groupBy("route_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_target")))
@@ -177,6 +177,30 @@ def frequency_parity(src, m) -> DataFrame:
                     F.coalesce("n_target", F.lit(0)).alias("n_target")))
 
 
+def frequency_rows(src, m) -> tuple[DataFrame, DataFrame]:
+    """Frequency rows of the source and trips with a headway of the target, in the same columns."""
+    cols = ["route_id", "start_time", "end_time", "headway_secs"]
+    s = src["frequencies"].join(src["trips"].select("trip_id", "route_id"), "trip_id")
+    t = (m.trip_rows.where(F.col("headway_secs").isNotNull())
+         .join(m.timed_patterns.select("timed_pattern_id", "pattern_id").distinct(), "timed_pattern_id")
+         .join(m.patterns_base.select("pattern_id", "route_id").distinct(), "pattern_id"))
+    return tuple(df.select(F.col("route_id"), *[F.col(c).cast("bigint").alias(c) for c in cols[1:]]) for df in (s, t))
+
+
+def row_difference(a: DataFrame, b: DataFrame, a_name: str = "source", b_name: str = "target") -> DataFrame:
+    """The multiset difference both ways: rows one side holds more often, with
+    ``side`` and ``n_rows``, how many more.  One shuffle of partial counts."""
+    cols = a.columns
+    both = a.select(*cols, F.lit(1).alias("_n")).unionByName(b.select(*cols, F.lit(-1).alias("_n")))
+    more = both.groupBy(*cols).agg(F.sum("_n").cast("bigint").alias("_n")).where(F.col("_n") != 0)
+    return more.select(*cols, F.when(F.col("_n") > 0, a_name).otherwise(b_name).alias("side"), F.abs("_n").alias("n_rows"))
+
+
+def frequency_difference(src, m) -> DataFrame:
+    """Frequency rows that the source and the target don't share."""
+    return row_difference(*frequency_rows(src, m))
+
+
 def based_on_missing_start(src, m) -> DataFrame:
     """Child trips that, like their base, have no start time."""
     trips = src["trips"]

@@ -102,9 +102,10 @@ def trip_signatures(per_trip: DataFrame) -> DataFrame:
         "has_dst", "rep_min_arrival_time", "rep_min_departure_time", "rows")
 
 
-def _pattern_trips(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
-    """Trips feeding C4: base trips with skip-list rows, agency migrated."""
-    return in_migrated_agencies(per_trip.where(F.col("is_base") & F.col("has_kept")), dst_agencies)
+def _pattern_trips(per_trip: DataFrame, dst_agencies: DataFrame, children: bool = False) -> DataFrame:
+    """Trips feeding C4: base trips (with ``children`` all trips) with skip-list rows, agency migrated."""
+    trips = per_trip if children else per_trip.where("is_base")
+    return in_migrated_agencies(trips.where("has_kept"), dst_agencies)
 
 
 def pattern_time_intervals(per_trip: DataFrame, dst_agencies: DataFrame) -> DataFrame:
@@ -223,10 +224,12 @@ def heavy_threshold(keys: DataFrame) -> int:
     return max(1, -(-int(total) // (16 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
 
-def pattern_members(per_trip: DataFrame, tp: DataFrame, dst_agencies: DataFrame) -> DataFrame:
+def pattern_members(per_trip: DataFrame, tp: DataFrame, dst_agencies: DataFrame, children: bool = False) -> DataFrame:
     """The trip list of each timed pattern as a table (trip_id,
     timed_pattern_id, min_arrival_time); ordering a pattern's trips by
-    ``min_arrival_time`` reproduces the original array order.
+    ``min_arrival_time`` reproduces the original array order.  With
+    ``children`` the list also holds the based-on trips whose own stop rows
+    have the pattern's key (D9).
 
     Trips and patterns meet on a 128-bit fingerprint of the six-column key,
     so the texts aren't shuffled.  C4 knows every pattern's trip count:
@@ -235,7 +238,7 @@ def pattern_members(per_trip: DataFrame, tp: DataFrame, dst_agencies: DataFrame)
     shuffle partition, which bounds the list that is broadcast to salt their
     trips.
     """
-    trips = _pattern_trips(per_trip, dst_agencies).select(*fingerprint(PATTERN_KEY), "trip_id", "min_arrival_time")
+    trips = _pattern_trips(per_trip, dst_agencies, children).select(*fingerprint(PATTERN_KEY), "trip_id", "min_arrival_time")
     keys = tp.select(*fingerprint(PATTERN_KEY), "timed_pattern_id", "trip_count")
     share = heavy_threshold(keys)
     keys = keys.withColumn("_salts", F.ceil(F.col("trip_count") / share).cast("int"))

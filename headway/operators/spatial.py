@@ -76,19 +76,37 @@ def assign_timezones(stops: DataFrame, tz_polygons: DataFrame, cfg: MigrateConfi
     return with_xy.join(tz, ["_lon", "_lat"], "left").drop("_lon", "_lat")
 
 
+def timezone_clean(tz):
+    """Legacy time zone text: '' is none, old names get their present ones."""
+    cleaned = F.when(F.length(tz) == 0, F.lit(None).cast("string"))
+    for old, new in LEGACY_TZ_RENAMES.items():
+        cleaned = cleaned.when(tz == old, F.lit(new))
+    return cleaned.otherwise(tz)
+
+
 def timezone_fallback(src) -> DataFrame:
     """I10 (legacy): '' -> NULL, legacy names renamed, then the agency's
     time zone for stops still without one."""
     s, a = src["stops"], src["agency"].select("agency_id", "agency_timezone")
-    tz = F.col("stop_timezone")
-    cleaned = F.when(F.length(tz) == 0, F.lit(None).cast("string"))
-    for old, new in LEGACY_TZ_RENAMES.items():
-        cleaned = cleaned.when(tz == old, F.lit(new))
-    cleaned = cleaned.otherwise(tz)
+    cleaned = timezone_clean(F.col("stop_timezone"))
     return s.join(a, "agency_id", "left").select(
         "stop_id", F.coalesce(cleaned, F.col("agency_timezone")).alias("timezone"))
 
 
+def stop_agencies(src) -> DataFrame:
+    """The link table of stops and the agencies whose trips call there."""
+    return src["stop_times"].select("stop_id", "agency_id").where(F.col("agency_id").isNotNull()).distinct()
+
+
+def timezone_by_link(src, dst_agencies: DataFrame, link: DataFrame) -> DataFrame:
+    """I10 over a stop-agency link: a stop without a time zone takes the
+    smallest one of its migrated agencies (the original took any)."""
+    own = timezone_clean(F.col("stop_timezone"))
+    of_agency = (link.join(dst_agencies.select("agency_id", "agency_timezone"), "agency_id")
+                 .groupBy("stop_id").agg(F.min("agency_timezone").alias("_tz")))
+    return src["stops"].join(of_agency, "stop_id", "left").select("stop_id", F.coalesce(own, F.col("_tz")).alias("timezone"))
+
+
 def shape_segments(src, dst_stops: DataFrame) -> DataFrame:
     """The newest segment (largest id) of each (start, end) stop pair as
     an ordered line; both stops must be migrated."""

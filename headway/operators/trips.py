@@ -158,10 +158,8 @@ def frequency_trips(src, dst_agencies, pt) -> DataFrame:
         flag_is_one(t.in_seat_transfer).alias("in_seat_transfer"))
 
 
-def trips(src, dst_agencies, first_arr, pt, known: KeyDictionary | None = None, losses: Losses | None = None) -> DataFrame:
-    """The four branches as UNION ALL with their own dense ``trip_id``
-    (branch, then every column, NULLs last).  With a dictionary of earlier
-    reloads (A9) a trip's key is every column and its number among equal rows."""
+def trip_rows(src, dst_agencies, first_arr, pt, losses: Losses | None = None) -> DataFrame:
+    """D8 without ids: the four branches as UNION ALL."""
     parts = [scheduled_trips(src, dst_agencies, first_arr, pt, losses),
              based_on_trips(src, dst_agencies, pt, losses),
              frequency_based_on_trips(src, dst_agencies, pt),
@@ -170,10 +168,17 @@ def trips(src, dst_agencies, first_arr, pt, known: KeyDictionary | None = None,
     for i, p in enumerate(parts, start=1):
         p = p.withColumn("trip_source", F.lit(i))
         tagged = p if tagged is None else tagged.unionByName(p)
+    return tagged
+
+
+def trips(rows: DataFrame, known: KeyDictionary | None = None) -> DataFrame:
+    """The union with its own dense ``trip_id`` (branch, then every
+    column, NULLs last).  With a dictionary of earlier reloads (A9) a trip's
+    key is every column and its number among equal rows."""
     key = ["trip_source", *TRIP_COLUMNS]
     if known is None:
-        return dense_id(tagged, key, "trip_id")
-    return known.assign(rank_within(tagged, key, [], "_hw_copy"), [*key, "_hw_copy"], "trip_id").drop("_hw_copy")
+        return dense_id(rows, key, "trip_id")
+    return known.assign(rank_within(rows, key, [], "_hw_copy"), [*key, "_hw_copy"], "trip_id").drop("_hw_copy")
 
 
 def trips_legacy_union(src, dst_agencies, first_arr, pt) -> DataFrame:
@@ -186,3 +191,27 @@ def trips_legacy_union(src, dst_agencies, first_arr, pt) -> DataFrame:
     for p in parts[1:]:
         out = out.union(p)
     return out.distinct()
+
+
+def trips_legacy_own_list(src, first_arr, lists: DataFrame) -> DataFrame:
+    """D9 as the older runner did it, pattern by pattern: every branch takes
+    only trips of the pattern's own list (``lists``: timed_pattern_id,
+    trip_id, based-on trips included), a based-on trip starts at its own start
+    time, and the branches are combined with a set UNION."""
+    t = src["trips"].where(F.col("service_id").isNotNull()).join(lists.select("timed_pattern_id", "trip_id"), "trip_id")
+    cal = src["calendar"]
+    j = t.join(cal, t.service_id == cal.calendar_id)
+    freq = src["frequencies"].select(F.col("trip_id").alias("_fid"), "start_time", "end_time", "headway_secs")
+
+    def rows(df, start, end, headway):
+        return df.select(t.agency_id, "timed_pattern_id", cal.service_schedule_group_id.alias("calendar_id"), start.cast("bigint").alias("start_time"),
+                         end.cast("bigint").alias("end_time"), headway.cast("int").alias("headway_secs"), t.block_id, *_weekdays(cal),
+                         flag_is_one(t.in_seat_transfer).alias("in_seat_transfer"))
+
+    none = F.lit(None)
+    plain = j.join(freq.select("_fid"), t.trip_id == F.col("_fid"), "left_anti")
+    base = plain.where(F.col("based_on").isNull()).join(first_arr.where(F.col("first_arrival_time").isNotNull()), "trip_id")
+    by_frequency = j.join(freq, t.trip_id == F.col("_fid"))
+    return (rows(base, F.col("first_arrival_time"), none, none)
+            .union(rows(plain.where(F.col("based_on").isNotNull()), F.col("trip_start_time"), none, none))
+            .union(rows(by_frequency, F.col("start_time"), F.col("end_time"), F.col("headway_secs"))).distinct())

@@ -94,9 +94,9 @@ CTES: list[tuple[str, str]] = [
  FROM src_stop_times x WHERE x.agency_id NOT IN ({SKIP})
  AND EXISTS (SELECT 1 FROM src_trips tr WHERE tr.trip_id = x.trip_id AND tr.based_on IS NULL)"""),
     ("o_trip_sig", """SELECT trip_id, min(first_arr) AS min_arrival_time,
- string_agg(CAST(stop_id AS VARCHAR), ', ' ORDER BY stop_sequence NULLS LAST) AS stops_pattern,
- string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(arrival_time - first_arr AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST) AS arrival_time_intervals,
- string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(departure_time - first_dep AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST) AS departure_time_intervals
+ string_agg(CAST(stop_id AS VARCHAR), ', ' ORDER BY stop_sequence NULLS LAST, stop_id) AS stops_pattern,
+ string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(arrival_time - first_arr AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST, stop_id) AS arrival_time_intervals,
+ string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(departure_time - first_dep AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST, stop_id) AS departure_time_intervals
  FROM o_trip_rows GROUP BY trip_id"""),
     ("o_pattern_groups", f"""SELECT g.stops_pattern, g.arrival_time_intervals, g.departure_time_intervals, tr.agency_id, tr.route_id,
  tr.direction_id, min(tr.trip_id) AS one_trip, count(*) AS trip_count,
@@ -108,7 +108,7 @@ CTES: list[tuple[str, str]] = [
  WHERE agency_id IN {DST_AGENCY_IDS} GROUP BY trip_id"""),
     ("o_tp", """SELECT row_number() OVER (ORDER BY g.one_trip) AS timed_pattern_id, g.*, r.rep_arr AS min_arrival_time,
  r.rep_dep AS min_departure_time FROM o_pattern_groups g JOIN o_rep_min r ON r.trip_id = g.one_trip"""),
-    ("o_stop_lists", f"""SELECT x.trip_id, string_agg(CAST(x.stop_id AS VARCHAR), ', ' ORDER BY x.stop_sequence NULLS LAST) AS stop_list
+    ("o_stop_lists", f"""SELECT x.trip_id, string_agg(CAST(x.stop_id AS VARCHAR), ', ' ORDER BY x.stop_sequence NULLS LAST, x.stop_id) AS stop_list
  FROM src_stop_times x JOIN src_trips tr ON tr.trip_id = x.trip_id
  WHERE tr.based_on IS NULL AND tr.agency_id IN {DST_AGENCY_IDS} GROUP BY x.trip_id"""),
     ("o_sp", """SELECT u.stops_pattern, u.route_id, u.direction_id,
@@ -701,6 +701,42 @@ FINAL["dropped_rows"] = "\nUNION ALL ".join([
                                              ("no timed pattern", "timed_pattern_id IS NULL"), ("calendar without a schedule group", "grp IS NULL")]),
     _reasons(_CHILDREN, "based-on trips", [("no service", "service_id IS NULL"), ("no calendar", "calendar_id IS NULL"), ("no start time", "start_time IS NULL"),
                                            ("no timed pattern", "timed_pattern_id IS NULL"), ("calendar without a schedule group", "grp IS NULL")])])
+_FREQ_SOURCE = """SELECT tr.route_id, CAST(f.start_time AS BIGINT) AS start_time, CAST(f.end_time AS BIGINT) AS end_time,
+ CAST(f.headway_secs AS BIGINT) AS headway_secs FROM src_frequencies f JOIN src_trips tr USING (trip_id)"""
+_FREQ_TARGET = """SELECT p.route_id, tr.start_time, tr.end_time, CAST(tr.headway_secs AS BIGINT) AS headway_secs
+ FROM o_trips tr JOIN (SELECT DISTINCT timed_pattern_id, pattern_id FROM o_timed_patterns) tp USING (timed_pattern_id)
+ JOIN (SELECT DISTINCT pattern_id, route_id FROM o_patterns_base) p ON p.pattern_id = tp.pattern_id WHERE tr.headway_secs IS NOT NULL"""
+FINAL["frequency_difference"] = f"""SELECT route_id, start_time, end_time, headway_secs, 'source' AS side, CAST(count(*) AS BIGINT) AS n_rows
+ FROM ({_FREQ_SOURCE} EXCEPT ALL {_FREQ_TARGET}) a GROUP BY ALL
+ UNION ALL SELECT route_id, start_time, end_time, headway_secs, 'target', CAST(count(*) AS BIGINT)
+ FROM ({_FREQ_TARGET} EXCEPT ALL {_FREQ_SOURCE}) b GROUP BY ALL"""
+_LEGACY_COLUMNS = f"tr.agency_id, l.timed_pattern_id, c.service_schedule_group_id AS calendar_id, %s, tr.block_id, {WEEKDAY_BOOLS}, tr.in_seat_transfer = 1 AS in_seat_transfer"
+_LEGACY_FROM = "FROM lists l JOIN src_trips tr ON tr.trip_id = l.trip_id JOIN src_calendar c ON c.calendar_id = tr.service_id"
+_NO_FREQUENCY = "tr.trip_id NOT IN (SELECT trip_id FROM src_frequencies)"
+FINAL["trips_legacy_own_list"] = f"""WITH sig_rows AS (SELECT x.*, min(arrival_time) OVER (PARTITION BY trip_id) AS fa, min(departure_time) OVER (PARTITION BY trip_id) AS fd
+  FROM src_stop_times x WHERE agency_id NOT IN ({SKIP})),
+sigs AS (SELECT trip_id, string_agg(CAST(stop_id AS VARCHAR), ', ' ORDER BY stop_sequence NULLS LAST, stop_id) AS s,
+  string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(arrival_time - fa AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST, stop_id) AS a,
+  string_agg(CASE WHEN arrival_time IS NULL THEN '' ELSE CAST(departure_time - fd AS VARCHAR) END, ',' ORDER BY stop_sequence NULLS LAST, stop_id) AS d
+  FROM sig_rows GROUP BY trip_id),
+lists AS (SELECT DISTINCT tp.timed_pattern_id, tr.trip_id FROM sigs JOIN src_trips tr USING (trip_id) JOIN o_tp tp
+  ON tp.stops_pattern IS NOT DISTINCT FROM sigs.s AND tp.arrival_time_intervals IS NOT DISTINCT FROM sigs.a AND tp.departure_time_intervals IS NOT DISTINCT FROM sigs.d
+  AND tp.agency_id = tr.agency_id AND tp.route_id IS NOT DISTINCT FROM tr.route_id AND tp.direction_id IS NOT DISTINCT FROM tr.direction_id
+  WHERE tp.timed_pattern_id IN (SELECT timed_pattern_id FROM o_tpsn WHERE agency_id IN {DST_AGENCY_IDS}))
+SELECT {_LEGACY_COLUMNS % "CAST(fa.first_arrival_time AS BIGINT) AS start_time, CAST(NULL AS BIGINT) AS end_time, CAST(NULL AS INTEGER) AS headway_secs"}
+ {_LEGACY_FROM} JOIN o_first_arrivals fa ON fa.trip_id = tr.trip_id WHERE tr.based_on IS NULL AND fa.first_arrival_time IS NOT NULL AND {_NO_FREQUENCY}
+UNION SELECT {_LEGACY_COLUMNS % "tr.trip_start_time, NULL, NULL"} {_LEGACY_FROM} WHERE tr.based_on IS NOT NULL AND {_NO_FREQUENCY}
+UNION SELECT {_LEGACY_COLUMNS % "f.start_time, f.end_time, f.headway_secs"} {_LEGACY_FROM} JOIN src_frequencies f ON f.trip_id = tr.trip_id"""
+FINAL["timezone_by_link"] = """SELECT s.stop_id, coalesce(CASE s.stop_timezone WHEN '' THEN NULL WHEN 'US/Eastern' THEN 'America/New_York' ELSE s.stop_timezone END,
+ (SELECT min(a.agency_timezone) FROM src_stop_times x JOIN o_agencies a ON a.agency_id = x.agency_id WHERE x.stop_id = s.stop_id)) AS timezone FROM src_stops s"""
+FINAL["geojson_lines"] = """SELECT shape_segment_id, CAST(count(*) AS BIGINT) AS n_points,
+ 'LINESTRING(' || string_agg(printf('%.6f %.6f', lon, lat), ', ' ORDER BY shape_pt_sequence) || ')' AS linestring FROM src_shape_points GROUP BY shape_segment_id"""
+FINAL["stop_time_texts"] = """SELECT trip_id, stop_id, CAST(arrival_time // 3600 AS VARCHAR) || ':' || lpad(CAST(arrival_time // 60 % 60 AS VARCHAR), 2, '0') || ':'
+ || lpad(CAST(arrival_time % 60 AS VARCHAR), 2, '0') AS arrival_text, CAST(arrival_time AS BIGINT) AS arrival_time FROM src_stop_times"""
+FINAL["agency_sample"] = """SELECT agency_id FROM (SELECT agency_id FROM src_agency WHERE agency_id IN (3, 175) OR agency_name NOT LIKE '%DEPRECATED%'
+ ORDER BY agency_id LIMIT 10) s WHERE agency_id <> 1"""
+FINAL["busiest_stop"] = """SELECT feed_id, stop_id, name, zone_id, lon, lat, enabled, timezone FROM o_stops
+ WHERE stop_id = (SELECT x.stop_id FROM src_stop_times x WHERE x.stop_id IN (SELECT stop_id FROM o_stops) GROUP BY x.stop_id ORDER BY count(*) DESC, x.stop_id LIMIT 1)"""
 FINAL["cascade_prune"] = _cascade_sql()
 FINAL["fk_audit"] = _fk_sql()
 FINAL["key_audit"] = _key_sql()
@@ -725,6 +761,8 @@ def build(name: str) -> str:
     text = final + "\n" + "\n".join(_CTE_BODY[c] for c in ctes)
     fixtures = fixture_closure(text)
     parts = [f"{n} AS ({fixture_body(n)})" for n in fixtures] + [f"{c} AS ({_CTE_BODY[c]})" for c in ctes]
+    if final.startswith("WITH sig_rows"):
+        return "WITH " + ",\n".join(parts) + ",\n" + final.removeprefix("WITH ")
     if final.startswith("WITH RECURSIVE "):
         return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + final.removeprefix("WITH RECURSIVE ")
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final

@@ -201,14 +201,25 @@ class Migration:
         return trp.patterns_trips(self.pattern_members, self.tpsn, self.agencies).persist(
             StorageLevel.MEMORY_AND_DISK)
 
+    @cached_property
+    def trip_rows(self) -> DataFrame:
+        """The trips without ids, which counting them doesn't need."""
+        return _keep(trp.trip_rows(self.src, self.agencies, self.first_arrivals, self.patterns_trips, self.losses))
+
     @cached_property
     def trips(self) -> DataFrame:
-        return trp.trips(self.src, self.agencies, self.first_arrivals, self.patterns_trips, self._dictionary("trips"), self.losses)
+        return trp.trips(self.trip_rows, self._dictionary("trips"))
+
+    @cached_property
+    def legacy_lists(self) -> DataFrame:
+        """Trip lists with based-on trips, of timed patterns in the wide table."""
+        members = pat.pattern_members(self.per_trip, self.timed_pattern_rows, self.agencies, children=True)
+        return trp.patterns_trips(members, self.tpsn, self.agencies)
 
     # ---- E: naming and ordering --------------------------------------------
     @cached_property
     def pattern_trip_counts(self) -> DataFrame:
-        return naming.pattern_trip_counts(self.trips, self.timed_patterns, self.patterns_base)
+        return naming.pattern_trip_counts(self.trip_rows, self.timed_patterns, self.patterns_base)
 
     @cached_property
     def primary_patterns(self) -> DataFrame:

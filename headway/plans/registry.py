@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.config import MigrateConfig
-from headway.functions.columns import is_valid_css_color
+from headway.functions.columns import hms_to_seconds, is_valid_css_color, seconds_to_hms
 from headway.functions.geo import line_text
 from headway.operators import audits, fares, naming, patterns as pat, spatial, trips as trp
 from headway.operators.cascade import prune_orphans as prune_all
 from headway.operators.ids import high_water_marks
+from headway.operators.scope import sample_agencies
 from headway.operators.keydict import KeyDictionary, lasting_ids
 from headway.plans.pipeline import Migration
 from headway.sources.catalog import SourceCatalog
@@ -400,6 +401,59 @@ def q_trip_chain_counts(spark, sf):
     return audits.trip_chain_counts(m.src, m)
 
 
+@query("frequency_difference")
+def q_frequency_difference(spark, sf):
+    m = migration(spark, sf)
+    return audits.frequency_difference(m.src, m)
+
+
+@query("trips_legacy_own_list")
+def q_trips_legacy_own_list(spark, sf):
+    m = migration(spark, sf)
+    return trp.trips_legacy_own_list(m.src, m.first_arrivals, m.legacy_lists)
+
+
+@query("timezone_by_link")
+def q_timezone_by_link(spark, sf):
+    m = migration(spark, sf)
+    return spatial.timezone_by_link(m.src, m.agencies, spatial.stop_agencies(m.src))
+
+
+@query("geojson_lines")
+def q_geojson_lines(spark, sf):
+    """Every segment's points written as GeoJSON and parsed back into a line."""
+    pair = F.concat(F.lit("["), F.col("lon").cast("string"), F.lit(","), F.col("lat").cast("string"), F.lit("]"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("shape_pt_sequence", pair.alias("p")))), lambda x: x["p"])
+    texts = migration(spark, sf).src["shape_points"].groupBy("shape_segment_id").agg(F.concat(
+        F.lit('{"type":"LineString","coordinates":['), F.array_join(ordered, ","), F.lit("]}")).alias("geojson"))
+    return spatial.geojson_lines(texts, "geojson").select("shape_segment_id", F.size("linestring").cast("bigint").alias("n_points"),
+                                                          line_text("linestring").alias("linestring"))
+
+
+@query("stop_time_texts")
+def q_stop_time_texts(spark, sf):
+    """H7: arrival times as text and back."""
+    text = seconds_to_hms("arrival_time")
+    return migration(spark, sf).src["stop_times"].select("trip_id", "stop_id", text.alias("arrival_text"), hms_to_seconds(text).alias("arrival_time"))
+
+
+@query("agency_sample")
+def q_agency_sample(spark, sf):
+    """Must-have agencies and the first ten that aren't deprecated, without a block list (a sample by design)."""
+    return sample_agencies(migration(spark, sf).src, [3, 175], 10, [1])
+
+
+@query("busiest_stop")
+def q_busiest_stop(spark, sf):
+    """The look-up of one stop, the one that most stop rows name (ties: smallest id)."""
+    m = migration(spark, sf)
+    calls = (m.src["stop_times"].where(F.col("stop_id").isNotNull()).join(m.stops_base.select("stop_id"), "stop_id", "left_semi")
+             .groupBy("stop_id").count())
+    top = calls.agg(F.max_by("stop_id", F.struct("count", -F.col("stop_id"))).alias("s")).first()["s"]     # one value
+    return audits.stop_lookup(m, int(top)).select("feed_id", "stop_id", "name", "zone_id", F.col("point.lon").alias("lon"), F.col("point.lat").alias("lat"),
+                                                  "enabled", "timezone")
+
+
 @query("dropped_rows")
 def q_dropped_rows(spark, sf):
     return migration(spark, sf).dropped_rows()

@@ -69,7 +69,7 @@ SELECT o.o_orderkey AS trip_id, r.route_id, r.agency_id, CASE WHEN r.route_id %
  CASE o.o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE 0 END AS in_seat_transfer
  FROM orders o JOIN src_routes r ON r.route_id = CAST(FLOOR(o.o_custkey / 10) AS BIGINT)"""),
     ("src_stop_times", """
-SELECT t.trip_id, t.agency_id, CAST(l.l_linenumber AS INT) AS stop_sequence,
+SELECT t.trip_id, t.agency_id, CAST(CASE WHEN t.trip_id % 31 = 3 AND l.l_linenumber = 2 THEN 1 ELSE l.l_linenumber END AS INT) AS stop_sequence,
  (t.route_id * 7 + l.l_linenumber * 3 + t.trip_id % 2) % (SELECT COUNT(*) FROM supplier) AS stop_id,
  CASE WHEN t.trip_id % 13 = 0 AND l.l_linenumber = 4 THEN NULL ELSE 18000 + (t.trip_id % 60) * 900 + l.l_linenumber * 300 END AS arrival_time,
  CASE WHEN t.trip_id % 23 = 0 AND l.l_linenumber = 5 THEN NULL ELSE 18000 + (t.trip_id % 60) * 900 + l.l_linenumber * 300 + 30 END AS departure_time,
