@@ -1,8 +1,11 @@
 """Main text of web pages with removal of site templates.
 
-Each page is parsed once into the text blocks of its main region (its
-articles, else ``main``, else the body) without menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments.  Every
+Each page is parsed once, in time linear in its length, into the text blocks of
+its main region (``main`` where most of its text stands outside articles, else
+the articles, else ``main``, else the body) without menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments.  Names
+of classes and ids mark furniture only as a whole, never on an element that
+holds the article, and not where nothing else would be left.  Every
 block carries the hashes of the element subtrees it stands in.  Spark counts,
 per host, on how many different pages each subtree occurs; a subtree on at
 least ten, and on twice the root of the number of a host's pages, is a template
@@ -27,10 +30,10 @@ from pyspark.sql import DataFrame, functions as F
 from .store import ship, write_table
 
 PER_ROOT, LEAST = 2.0, 10      # least pages of a template: per root of the host's pages, and at all
+LEVELS = 64                    # elements around a block that may be its template
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*|[^>]*)>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW}
@@ -46,6 +49,11 @@ promotion cookie cookies consent gdpr notice notices notification popup modal ov
 navbar nav navigation breadcrumb breadcrumbs sidebar aside widget widgets footer masthead comment comments commentlist disqus reply
 replies respond share sharing social related recommended recommendations pagination pager login skip toolbar disclaimer alert
 paywall outbrain taboola topbar sitemap""".split())
+# Words that may stand beside them in one name (fixed values); any other word makes the name something else.
+_BESIDE = frozenset("""area bar block blocks body bottom box button buttons container cta entry form global group holder icons inner item
+items left link links list main media mobile module outer page panel post posts primary right row secondary section side site slot
+sticky text top unit wrap wrapper""".split())
+_HEADER = frozenset("header head masthead".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 # A start tag on the left closes an open element on the right up to the given bounds.
@@ -54,44 +62,118 @@ _CLOSES = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)),
 _FENCE = frozenset(("article", "main", "body", "html"))
 
 
-def _furniture(tag: str, attrs: str) -> tuple[bool, str]:
-    """Whether an element is page furniture, and its class names."""
+KEPT, GONE, DOUBTFUL, HEADER = range(4)     # what an element's tag, role and names say about it
+
+
+def _name_kind(name: str) -> int:
+    """One class or id name as a whole: furniture if its words are, beside neutral ones."""
+    words = {w.lower() for w in _WORDS.findall(name)}
+    if not words <= _FURNITURE | _BESIDE | _HEADER:
+        return KEPT
+    return DOUBTFUL if words & _FURNITURE else HEADER if words & _HEADER else KEPT
+
+
+def _kind(tag: str, attrs: str) -> tuple[int, str]:
+    """What an element is, and its class names."""
     if not attrs or attrs.isspace():
-        return tag in _DROP, ""
+        return GONE if tag in _DROP else KEPT, ""
     found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTR.findall(attrs)}
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    drop = (tag in _DROP or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+    if (tag in _DROP or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
             or found.get("role", "").lower() in _ROLES
-            or "display:none" in found.get("style", "").replace(" ", "").lower()
-            or (tag not in ("html", "body") and any(w.lower() in _FURNITURE for w in _WORDS.findall(names))))
-    return drop, found.get("class", "")
+            or "display:none" in found.get("style", "").replace(" ", "").lower()):
+        return GONE, found.get("class", "")
+    kinds = set() if tag in ("html", "body") else {_name_kind(n) for n in f"{found.get('class', '')} {found.get('id', '')}".split()}
+    return DOUBTFUL if DOUBTFUL in kinds else HEADER if HEADER in kinds else KEPT, found.get("class", "")
+
+
+class _Scanner:
+    """Tags of a page, front to back, in time linear in its length whatever is left open."""
+
+    def __init__(self, html: str):
+        self.html, self.at = html, 0
+        self.text_from = 0
+        self._dead: set[int] = set()        # quotes from which no tag end was found outside quotes
+
+    def _tag_end(self, at: int) -> int:
+        """The ``>`` that ends a tag: the first outside quotes; the first at all where a quote stays open; -1 without one."""
+        first = self.html.find(">", at)
+        if first < 0:
+            return -1
+        seen, pos = [], at
+        while m := _STOP.search(self.html, pos):
+            if m[0] == ">":
+                return m.start()
+            if m.start() in self._dead:
+                break
+            seen.append(m.start())
+            close = self.html.find(m[0], m.end())
+            if close < 0:
+                break
+            pos = close + 1
+        self._dead.update(seen)
+        return first
+
+    def __iter__(self) -> Iterator[tuple[str, str, str, bool]]:
+        """Text before a tag, the tag's name (empty: markup without one), its attributes, whether it is an end tag."""
+        html = self.html
+        while (at := html.find("<", self.at)) >= 0:
+            self.at = at + 1
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                end = len(html) if end < 0 else end + 3
+                name, attrs = "", ""
+            elif html.startswith("<![CDATA[", at):
+                end = html.find("]]>", at + 9)
+                end = len(html) if end < 0 else end + 3
+                name, attrs = "", ""
+            elif html.startswith(("<!", "<?"), at):
+                end = html.find(">", at) + 1
+                name, attrs = "", ""
+            elif m := _NAME.match(html, at):
+                close = self._tag_end(m.end())
+                end = close + 1
+                name, attrs = m[1], html[m.end():close]
+            else:
+                continue
+            if not end:
+                break                                     # no > from here on: the rest is text
+            text = html[self.text_from:at]
+            self.at = self.text_from = end
+            yield text, name.lower(), attrs, html.startswith("</", at)
+
+    def skip(self, end: re.Pattern) -> None:
+        """Moves behind the next match, or to the end."""
+        found = end.search(self.html, self.at)
+        self.at = self.text_from = found.end() if found else len(self.html)
+
+    def rest(self) -> str:
+        return self.html[self.text_from:]
 
 
 class Page:
     """Blocks of one page: texts, and the elements each stands in."""
 
     def __init__(self, html: str):
-        self.tags, self.parents, self.drops, self.hashes = ["#"], [0], [False], [0]
+        self.tags, self.parents, self.kinds, self.hashes = ["#"], [0], [KEPT], [0]
         self.blocks: list[tuple[str, int]] = []          # text, innermost block element
         self._parts: list[list[str]] = [[]]
         self._open, self._text = [0], []
-        at = 0
-        while m := _MARKUP.search(html, at):
-            if m.start() > at:
-                self._text.append(html[at:m.start()])
-            at = m.end()
-            if tag := m[2]:
-                tag = tag.lower()
-                if m[1]:
-                    self._end(tag)
-                else:
-                    self._start(tag, m[3])
-                    if tag in _RAW_END:
-                        end = _RAW_END[tag].search(html, at)
-                        at = end.end() if end else len(html)
-                        self._end(tag)
-        if at < len(html):
-            self._text.append(html[at:])
+        self._depth: dict[str, int] = {}                 # open elements by tag
+        scanner = _Scanner(html)
+        for text, tag, attrs, is_end in scanner:
+            if text:
+                self._text.append(text)
+            if not tag:
+                continue
+            if is_end:
+                self._end(tag)
+                continue
+            self._start(tag, attrs)
+            if tag in _RAW_END:
+                scanner.skip(_RAW_END[tag])
+                self._end(tag)
+        if text := scanner.rest():
+            self._text.append(text)
         while len(self._open) > 1:
             self._close()
         self._flush()
@@ -121,28 +203,32 @@ class Page:
             for t in _CLOSES[tag][0].split():
                 self._pop_to(t, _FENCE | set(_CLOSES[tag][1]))
         if tag not in _BLOCK and tag not in _DROP and not (attrs and "class" in attrs) and "hidden" not in attrs and "id=" not in attrs \
-                and all(self.tags[n] != tag for n in self._open):
+                and not self._depth.get(tag):
             return                                        # inline formatting makes no element of its own
-        drop, names = _furniture(tag, attrs)
-        if drop or tag in _BLOCK or any(self.tags[n] == tag for n in self._open):
-            if drop or tag in _BLOCK:
+        kind, names = _kind(tag, attrs)
+        if kind in (GONE, DOUBTFUL) or tag in _BLOCK or self._depth.get(tag):
+            if kind in (GONE, DOUBTFUL) or tag in _BLOCK:
                 self._flush()
             self.tags.append(tag)
             self.parents.append(self._open[-1])
-            self.drops.append(drop)
+            self.kinds.append(kind)
+            self._depth[tag] = self._depth.get(tag, 0) + 1
             self.hashes.append(0)
             self._parts.append([tag, names])
             self._open.append(len(self.tags) - 1)
 
     def _close(self) -> None:
-        if self.drops[self._open[-1]] or self.tags[self._open[-1]] in _BLOCK:
+        if self.kinds[self._open[-1]] in (GONE, DOUBTFUL) or self.tags[self._open[-1]] in _BLOCK:
             self._flush()
         node = self._open.pop()
+        self._depth[self.tags[node]] -= 1
         self.hashes[node] = xxhash.xxh64_intdigest("\x01".join(self._parts[node])) - (1 << 63)
         self._parts[self._open[-1]].append(str(self.hashes[node]))
 
     def _pop_to(self, tag: str, fence) -> None:
         """Close the nearest open ``tag`` that no element of ``fence`` shields."""
+        if not self._depth.get(tag):
+            return
         for i in range(len(self._open) - 1, 0, -1):
             if self.tags[self._open[i]] == tag:
                 while len(self._open) > i:
@@ -156,37 +242,71 @@ class Page:
             self._text.append(" ")
         self._pop_to(tag, _FENCE - {tag} if tag not in ("body", "html") else ())
 
-    def chain(self, node: int) -> list[int]:
-        out = []
-        while node:
-            out.append(node)
-            node = self.parents[node]
+    def _below(self, own: list, add) -> list:
+        """A value of every element from its parent's and its own; parents come first."""
+        out = [own[0]]
+        for node in range(1, len(self.tags)):
+            out.append(add(out[self.parents[node]], own[node]))
         return out
 
+    def _holds_main(self) -> list[bool]:
+        """Elements with an ``article`` or ``main`` that has text below them (or that are one)."""
+        text = [0] * len(self.tags)
+        for words, node in self.blocks:
+            text[node] += len(words)
+        holds = [t in ("article", "main") for t in self.tags]
+        for node in range(len(self.tags) - 1, 0, -1):
+            text[self.parents[node]] += text[node]
+        for node in range(len(self.tags) - 1, 0, -1):
+            holds[node] = holds[node] and text[node] > 0
+            holds[self.parents[node]] = holds[self.parents[node]] or holds[node]
+        return holds
+
     def main(self) -> tuple[list[str], list[list[int]]]:
         """Texts of the main region's blocks, and for each the hashes of its elements inside the region."""
-        chains = [self.chain(node) for _, node in self.blocks]
-        for root in ("article", "main", "body", "#"):
-            texts, hashes = [], []
-            for (text, _), chain in zip(self.blocks, chains):
-                if root == "#":
-                    inner, outer = chain, []
-                else:
-                    places = [i for i, n in enumerate(chain) if self.tags[n] == root]
-                    if not places:
-                        continue
-                    inner, outer = chain[:places[-1]], chain[places[-1]:]      # of the outermost such element
-                if any(self.drops[n] for n in inner) or any(self.drops[n] and self.tags[n] != "form" for n in outer):
+        found = self._main(True)
+        return found if found[0] else self._main(False)      # names alone don't empty a page
+
+    def _main(self, by_name: bool) -> tuple[list[str], list[list[int]]]:
+        holds = self._holds_main()
+        drops = [k == GONE and t != "form" or by_name and k == DOUBTFUL and not h for k, t, h in zip(self.kinds, self.tags, holds)]
+        gone = self._below(drops, lambda a, b: a or b)
+        forms = self._below([int(t == "form") for t in self.tags], int.__add__)
+        headers = self._below([int(t == "header") for t in self.tags], int.__add__)
+        named = self._below([int(k == HEADER) for k in self.kinds], int.__add__)
+        inside = {tag: self._below([n if t == tag else 0 for n, t in enumerate(self.tags)], lambda a, b: a or b) for tag in ("article", "main", "body")}
+
+        def region(root: str) -> list[tuple[str, int, int]]:
+            """Text, element and root element (the outermost such) of the region's blocks."""
+            out = []
+            for text, node in self.blocks:
+                top = inside[root][node] if root != "#" else 0
+                if gone[node] or root != "#" and not top or forms[node] > forms[top]:
                     continue
                 # a header of the page goes, a heading in an article's own header stays
-                if any(self.tags[n] == "header" for n in inner) and not (root in ("article", "main") and self.tags[inner[0]][0] == "h" and self.tags[inner[0]][1:].isdigit()):
+                heading = root in ("article", "main") and self.tags[node][0] == "h" and self.tags[node][1:].isdigit()
+                if headers[node] > headers[top] and not heading or root in ("body", "#") and named[node] > named[top]:
                     continue
-                texts.append(text)
-                hashes.append([self.hashes[n] for n in inner])
-            if texts:
-                return texts, hashes
+                out.append((text, node, top))
+            return out
+
+        regions = {root: region(root) for root in ("article", "main")}
+        own = sum(len(text) for text, node, _ in regions["main"] if not inside["article"][node])
+        teasers = sum(len(text) for text, node, _ in regions["main"] if inside["article"][node])
+        order = ("main", "article") if own > teasers else ("article", "main")
+        for root in (*order, "body", "#"):
+            if kept := regions[root] if root in regions else region(root):
+                return [text for text, _, _ in kept], [self._chain(node, top) for _, node, top in kept]
         return [], []
 
+    def _chain(self, node: int, top: int) -> list[int]:
+        """Hashes of the elements from a block outwards, inside the region, up to ``LEVELS`` of them."""
+        out = []
+        while node and node != top and len(out) < LEVELS:
+            out.append(self.hashes[node])
+            node = self.parents[node]
+        return out
+
 
 _PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("sig", pa.int64()),
                      ("texts", pa.list_(pa.string())), ("hashes", pa.list_(pa.list_(pa.int64())))])
