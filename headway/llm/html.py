@@ -207,7 +207,7 @@ class Page:
             return                                        # inline formatting makes no element of its own
         kind, names = _kind(tag, attrs)
         if kind in (GONE, DOUBTFUL) or tag in _BLOCK or self._depth.get(tag):
-            if kind in (GONE, DOUBTFUL) or tag in _BLOCK:
+            if self._breaks(kind, tag):
                 self._flush()
             self.tags.append(tag)
             self.parents.append(self._open[-1])
@@ -217,10 +217,16 @@ class Page:
             self._parts.append([tag, names])
             self._open.append(len(self.tags) - 1)
 
+    @staticmethod
+    def _breaks(kind: int, tag: str) -> bool:
+        """Whether an element ends the block around it; a script inside a paragraph doesn't."""
+        return tag in _BLOCK or kind in (GONE, DOUBTFUL) and tag not in _RAW_END
+
     def _close(self) -> None:
-        if self.kinds[self._open[-1]] in (GONE, DOUBTFUL) or self.tags[self._open[-1]] in _BLOCK:
+        node = self._open[-1]
+        if self._breaks(self.kinds[node], self.tags[node]):
             self._flush()
-        node = self._open.pop()
+        self._open.pop()
         self._depth[self.tags[node]] -= 1
         self.hashes[node] = xxhash.xxh64_intdigest("\x01".join(self._parts[node])) - (1 << 63)
         self._parts[self._open[-1]].append(str(self.hashes[node]))
