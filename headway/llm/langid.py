@@ -9,8 +9,14 @@ host towards address suffix, suffix towards the whole corpus.  A document does
 not count in its own prior.
 
 The trigram models are fitted on a sample of at most about ``SAMPLE`` labelled
-rows; everything else covers all rows.  Languages are the labels of that
-sample, hundreds at most.
+rows; everything else covers all rows.  Languages are the labels that hold at
+least one in ``MOST_LANGUAGES`` of that sample, so there are never more.
+
+The test is open: a text is also rejected when its mean log likelihood per
+trigram lies ``SPREAD`` below what is typical of each language (its sample's
+mean, read off the model), with ``SHORT`` / sqrt(trigrams) allowed on top.  That
+takes languages without a label and strings of letters that are no language;
+texts of a labelled language with numbers, codes or capitals stay.
 
 Defined results: null and empty texts, and texts without a letter, have no
 language and are rejected; without a declared language, host or suffix that
@@ -39,6 +45,8 @@ TEXT_WEIGHT = 60.0       # trigrams that a whole text counts as, at most
 DECLARED_TRUST = 0.9     # chance that a declared language is the text's
 PRIOR_WEIGHT = 20.0      # documents that the parent's prior counts as
 ACCEPT = 0.5             # least posterior of an accepted document
+SPREAD, SHORT = 3.5, 8.0 # nats per trigram below the typical value of a language
+MOST_LANGUAGES = 500
 _SLICE = 1 << 20
 
 # Bytes that end a word become spaces, A-Z is folded.
@@ -75,6 +83,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarra
     rows = labelled.select("text", _language(F.col("lang")).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     one_in = max(1, -(-rows.count() // sample))
     rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0)
+    held = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    least = -(-(held.agg(F.sum("n")).first()[0] or 0) // MOST_LANGUAGES)
+    known = [r["lang"] for r in held.where(F.col("n") >= least).select("lang").collect()]         # at most MOST_LANGUAGES rows
+    rows = rows.where(F.col("lang").isin(known))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -123,6 +135,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     key_type = rows.schema["key"].dataType.simpleString()
     rows = rows.select("key", "text", _language(F.col("declared")).alias("declared"), "host", "suffix")
     scored = rows.mapInArrow(likelihoods, f"key {key_type}, declared string, host string, suffix string, n_letters long, loglik array<double>")
+    typical = (np.exp(weights.astype(np.float64)) * weights).sum(axis=1) if n_langs else np.zeros(0)
     known = F.array(*[F.lit(x) for x in languages]).cast("array<string>")
     doubt = (1 - DECLARED_TRUST) / max(1, n_langs - 1)
     declared = F.when(F.array_contains(known, F.col("declared")), F.transform(
@@ -168,8 +181,10 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
         return F.when(F.col("n_letters") > 0, F.element_at(known, F.array_position(c, F.array_max(c)).cast("int")))
 
     posterior = F.when(F.col("n_letters") > 0, F.array_max("fused")).otherwise(F.lit(0.0))
+    above = F.zip_with("loglik", F.array(*[F.lit(float(x)) for x in typical]), lambda a, t: a / F.least("n_letters", F.lit(TEXT_WEIGHT)) - t)
+    fits = F.when(F.col("n_letters") > 0, F.array_max(above) >= -(SPREAD + SHORT / F.sqrt("n_letters")))
     return fused.select("key", best("fused").alias("lang"), posterior.alias("posterior"), best("loglik").alias("text_lang"),
-                        (posterior >= ACCEPT).alias("accepted"))
+                        (F.coalesce(fits, F.lit(False)) & (posterior >= ACCEPT)).alias("accepted"))
 
 
 def _documents(docs: DataFrame, key: Column) -> DataFrame:

@@ -6,8 +6,12 @@ A document with n tokens and posteriors p adds rate * n * p_k to domain k.
 Nonnegative rates of least weighted squared distance of the domain totals from
 their targets, as near to 1 as that allows, are fitted until they stand still.
 A step needs only the totals and their derivatives, a few numbers per pair of
-domains, which Spark sums over all documents; a document's rate follows from
-one number per domain and is stored nowhere.  Posteriors are soft: a domain of
+domains, which Spark sums over all documents; a document's rate is the start
+less p . x projected on the allowed range, where x has one number per domain,
+and is stored nowhere.  The steps are damped Newton steps on x: plain and
+accelerated projected gradient steps on the rates have the same end, but need
+thousands of passes to get there (figures in the README).  A fit that doesn't
+reach its end says so in the column ``converged``.  Posteriors are soft: a domain of
 target 0 gets as little as the other targets allow, not always nothing.
 
 Defined results: null and empty texts have no tokens and the posteriors of an
@@ -173,7 +177,7 @@ def _descend(rows: np.ndarray, feature: np.ndarray, dense: np.ndarray, target: n
 
 
 def replay(p: np.ndarray, steps: np.ndarray, most: float) -> np.ndarray:
-    """Rates after the projected steps: rate <- min(most, max(0, rate - p . step))."""
+    """Rates of the fit: the start less p . step for its one step, projected on [0, most]."""
     rate = np.full(len(p), min(1.0, most))
     for step in steps:
         rate = np.clip(rate - p @ step, 0.0, most)
@@ -268,7 +272,7 @@ def fit_rates(table: DataFrame, classifier: Classifier, weights: dict[str, float
 
 
 def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, most: float = float("inf")) -> DataFrame:
-    """``doc_id, n_tokens, p, rate`` of every document."""
+    """``doc_id, n_tokens, p, rate`` of every document, with the domains, target and reached totals of the fit."""
     classifier = fit(docs, labels)
     table = write_table(posteriors(docs, classifier), "mixing-posteriors")
     mix = fit_rates(table, classifier, weights, most=most)
@@ -279,11 +283,15 @@ def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHT
             rate = replay(_matrix(batch["p"], k), mix.steps, most)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_tokens"], batch["p"], pa.array(rate)], names=["doc_id", "n_tokens", "p", "rate"])
 
-    return table.mapInArrow(run, "doc_id long, n_tokens long, p array<double>, rate double")
+    told = table.mapInArrow(run, "doc_id long, n_tokens long, p array<double>, rate double")
+    def numbers(x):
+        return F.array(*[F.lit(float(v)) for v in x])
+    return told.select("*", F.array(*map(F.lit, classifier.domains)).alias("domains"), numbers(mix.targets).alias("targets"),
+                       numbers(mix.reached).alias("reached"), F.lit(mix.converged).alias("converged"))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, rate`` and the posteriors of the domains."""
+    """``doc_id, n_tokens, p, rate``, and of the whole fit ``domains, targets, reached, converged``."""
     return rates(docs, labels)
 
 

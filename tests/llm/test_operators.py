@@ -281,3 +281,31 @@ def test_queries_read_whole_tables(spark):
     n = table(spark, SF, "documents").count()
     for name in ("op1_mixing", "op3_license_scan", "op7_sharding"):
         assert QUERIES[name](spark, SF).count() == n
+
+
+def test_language_stage_rejects_what_is_no_labelled_language(spark):
+    """Junk letters and languages without a label go, every document of a labelled language stays."""
+    docs = table(spark, MORE, "documents")
+    rng = np.random.default_rng(11)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(80)) for _ in range(20)]
+    foreign = ["Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5, "Жил старик со своею старухой у самого синего моря. " * 5,
+               "私は猫である。名前はまだ無い。どこで生れたか頓と見当がつかぬ。" * 6, "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία και το φως. " * 6]
+    extra = [(10**9 + i, t, None, "web", len(t)) for i, t in enumerate(junk + foreign)]
+    both = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    kept = {r["doc_id"] for r in langid.accepted(both).select("doc_id").collect()}
+    before = {r["doc_id"] for r in docs.where("text rlike '[A-Za-z]'").select("doc_id").collect()}
+    assert before <= kept
+    assert not any(i in kept for i, *_ in extra)
+
+
+def test_rare_labels_are_no_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 4)
+    rows = [(f"the one and the other {i}", "en") for i in range(30)] + [(f"le chat et la souris {i}", "fr") for i in range(20)]
+    rows += [(f"x{i} y", "q" + "abcdefghij"[i] * 2) for i in range(10)]
+    assert langid.fit(spark.createDataFrame(rows, "text string, lang string"))[0] == ["en", "fr"]
+
+
+def test_rates_tell_whether_the_fit_converged(spark):
+    rows = mixing.rates(table(spark, SF, "documents"), table(spark, SF, "labels"), most=1.0).select("domains", "targets", "reached", "converged").distinct().collect()
+    assert len(rows) == 1 and rows[0]["converged"] and len(rows[0]["domains"]) == len(rows[0]["targets"]) == len(rows[0]["reached"])
