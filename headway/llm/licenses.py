@@ -15,6 +15,8 @@ gives no rows; further columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -163,28 +165,61 @@ def rules() -> list[tuple[str, int, str, str]]:
 
 
 def _text() -> Column:
-    # lower() also folds non-ASCII capitals; these are word characters either way and in no signature
-    return F.lower(F.coalesce(F.col("text"), F.lit("")))
+    return F.translate(F.coalesce(F.col("text"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+
+
+def _numbered(joined: Column) -> Column:
+    """' w0 w1 ... ' with every word's number before it: ' 0:w0 1:w1 ... '."""
+    words = F.split(F.trim(joined), " ")
+    return F.concat(F.lit(" "), F.array_join(F.transform(words, lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " "), F.lit(" "))
+
+
+def _places(numbered: Column, regex: Column) -> Column:
+    """Word intervals ``struct<a, b>`` of all matches of ``regex`` in a numbered text: a match tells its first
+    word's number itself, and its spaces are its words."""
+    # a space of the rule stands for a space and the next word's number, one that may be missing for both or none
+    body = F.replace(F.replace(F.replace(regex, F.lit(" ?"), F.lit("\x01")), F.lit(" "), F.lit(r" \d+:")), F.lit("\x01"), F.lit(r"(?: \d+:)?"))
+    pattern = F.concat(F.lit(r" \d+:(?:"), body, F.lit(")(?= )"))
+    def span(m):
+        a = F.regexp_extract(m, r"^ (\d+):", 1).cast("int")
+        return F.struct(a.alias("a"), (a + F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit("")))).alias("b"))
+    return F.transform(F.regexp_extract_all(numbered, pattern, F.lit(0)), span)
 
 
-def _places(joined: Column, regex: Column) -> Column:
-    """Word intervals ``struct<a, b>`` of all matches of ``regex`` in ' w0 w1 ... '.
+def _beats(e: Column, d: Column) -> Column:
+    """Whether detection ``e`` holds ``d`` and goes before it."""
+    length = lambda x: -x["nb"] - x["a"]
+    return ((e["a"] <= d["a"]) & (e["nb"] <= d["nb"])
+            & ((e["p"] < d["p"]) | ((e["p"] == d["p"]) & ((length(e) > length(d)) | ((length(e) == length(d)) & (e["i"] < d["i"]))))))
 
-    The texts between matches tell where each match starts: its number of
-    spaces is its number of words.
+
+def _survivors(text: DataFrame) -> DataFrame:
+    """``text`` with ``kept``, the detections of ``found`` that no other one beats.
+
+    In the order of start and falling end whatever holds a detection stands
+    before it, and starts less than the longest detection's length before it.
+    A detection is held against so many before it as reach back that far
+    anywhere in the text: a number found by one pass over the sorted array.
     """
-    pattern = F.concat(F.lit(" (?:"), regex, F.lit(")(?= )"))
-    between = F.split(joined, pattern, -1)
-    matches = F.regexp_extract_all(joined, pattern, F.lit(0))
-    words = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
-    step = lambda acc, pair: F.struct(
-        (acc["at"] + words(pair["between"]) + words(pair["match"])).alias("at"),
-        F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + words(pair["between"])).alias("a"),
-            (acc["at"] + words(pair["between"]) + words(pair["match"])).alias("b")))).alias("spans"))
-    start = F.struct(F.lit(0).alias("at"), F.lit([]).cast("array<struct<a:int,b:int>>").alias("spans"))
-    pairs = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda b, m: F.struct(b.alias("between"), m.alias("match")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+    order = F.sort_array(F.transform("found", lambda x: F.struct(x["a"].alias("a"), (-x["b"]).alias("nb"), x["p"].alias("p"), x["i"].alias("i"),
+                                                                 x["label"].alias("label"))))
+    text = text.withColumn("ordered", order)
+    text = text.withColumn("longest", F.array_max(F.transform("ordered", lambda x: -x["nb"] - x["a"])))
+    n = F.size("ordered")
+
+    def reaches(k: int) -> Column:
+        near = F.exists(F.sequence(F.lit(k + 1), F.greatest(n, F.lit(k + 1))), lambda j: (j <= n) & (
+            F.get("ordered", j - 1)["a"] - F.get("ordered", j - 1 - F.lit(k))["a"] < F.col("longest")))
+        return (n <= k) | ~F.coalesce(near, F.lit(False))
+
+    window = n
+    for k in (4096, 1024, 256, 64):
+        window = F.when(reaches(k), F.lit(k)).otherwise(window)
+    text = text.withColumn("window", window)
+    kept = F.filter("ordered", lambda d, j: ~F.exists(
+        F.slice("ordered", F.greatest(j - F.col("window") + 1, F.lit(1)), F.least(j, F.col("window"))), lambda e: _beats(e, d)))
+    back = F.transform(kept, lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p"), x["label"].alias("label"), x["a"].alias("a"), (-x["nb"]).alias("b")))
+    return text.withColumn("kept", back)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -201,22 +236,17 @@ def scan(docs: DataFrame) -> DataFrame:
     # a text's own outer gaps and the added spaces make at most one space at each end
     joined = F.regexp_replace("w", "^ +| +$", " ")
     text = text.select("doc_id", "n_words", joined.alias("w"))
+    text = text.withColumn("numbered", F.when(F.col("w").isNotNull(), _numbered(F.col("w"))))
     def named(label: str):
         return lambda s: F.struct(F.lit(label).alias("label"), s["a"].alias("a"), s["b"].alias("b"))
 
     base = F.when(F.col("w").isNotNull(), F.concat(*[
-        F.transform(_places(F.col("w"), F.lit(phrase)), named(label)) for phrase, label in BASE]))
+        F.transform(_places(F.col("numbered"), F.lit(phrase)), named(label)) for phrase, label in BASE]))
     keyed = F.filter(rule_set, lambda r: F.contains(F.col("w"), r["k"]))
     found = F.when(F.col("w").isNotNull(), F.flatten(F.transform(keyed, lambda r: F.transform(
-        _places(F.col("w"), r["r"]), lambda s: F.struct(
+        _places(F.col("numbered"), r["r"]), lambda s: F.struct(
             r["i"].alias("i"), r["p"].alias("p"), r["label"].alias("label"), s["a"].alias("a"), s["b"].alias("b"))))))
-    text = text.withColumn("base", base).withColumn("found", found)
-    beats = lambda e, d: (
-        (e["a"] <= d["a"]) & (e["b"] >= d["b"])
-        & ((e["p"] < d["p"]) | ((e["p"] == d["p"]) & ((e["b"] - e["a"] > d["b"] - d["a"])
-                                                     | ((e["b"] - e["a"] == d["b"] - d["a"]) & (e["i"] < d["i"]))))))
-    kept = F.filter("found", lambda d: ~F.exists("found", lambda e: beats(e, d)))
-    return text.select("doc_id", "n_words", "base", kept.alias("kept"))
+    return _survivors(text.withColumn("base", base).withColumn("found", found)).select("doc_id", "n_words", "base", "kept")
 
 
 def digest(docs: DataFrame) -> DataFrame:

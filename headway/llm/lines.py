@@ -48,17 +48,19 @@ def clean(docs: DataFrame, sites: int = SITES) -> DataFrame:
     lines = write_table(line_rows(docs), "lines")
     spread = write_table(spread_lines(lines, sites), "lines-spread")
     hits = write_table(
-        lines.join(spread, ["h1", "h2"], "left_semi").groupBy("doc_id", "mark").agg(F.collect_set("place").alias("places")),
+        lines.join(spread, ["h1", "h2"], "left_semi").groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("place")).alias("places")),
         "lines-hits").withColumnsRenamed({"doc_id": "hit_id", "mark": "hit_mark"})
-    parts = F.split("text", "\n", -1)
     # hits grow with the documents: merged at every size, not broadcast while they happen to be few
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(
+    rows = docs.select("doc_id", F.split("text", "\n", -1).alias("parts"), F.xxhash64("text").alias("mark")).join(
         hits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains("places", i))
+    # the runs of lines between removed ones, each cut out once
+    first = F.concat(F.array(F.lit(0)), F.transform("places", lambda i: i + 1))
+    behind = F.concat(F.col("places"), F.array(F.size("parts")))
+    kept = F.flatten(F.zip_with(first, behind, lambda a, b: F.slice("parts", a + 1, b - a)))
     return rows.select(
-        "doc_id", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col("places").isNull(), F.lit(0)).otherwise(F.size("places")).cast("long").alias("n_removed"),
-        F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+        "doc_id", F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_removed"),
+        F.array_join(F.when(F.col("places").isNull(), F.col("parts")).otherwise(kept), "\n").alias("text"))
 
 
 ORACLE_SQL = f"""

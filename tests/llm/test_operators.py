@@ -1,6 +1,7 @@
 """Operators without SQL against brute force, planted cases or held-out accuracy (sf0.001 and sf0.01)."""
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from headway.llm import decontam, html, jaccard, langid, licenses, mixing, sharding
+from headway.llm import decontam, html, jaccard, langid, licenses, lines, mixing, sharding
 from headway.llm.queries import QUERIES, table
 
 SF = "/root/testdata/sf0.001"
@@ -309,3 +310,43 @@ def test_rare_labels_are_no_languages(spark, monkeypatch):
 def test_rates_tell_whether_the_fit_converged(spark):
     rows = mixing.rates(table(spark, SF, "documents"), table(spark, SF, "labels"), most=1.0).select("domains", "targets", "reached", "converged").distinct().collect()
     assert len(rows) == 1 and rows[0]["converged"] and len(rows[0]["domains"]) == len(rows[0]["targets"]) == len(rows[0]["reached"])
+
+
+def _seconds(run):
+    start = time.perf_counter()
+    run()
+    return time.perf_counter() - start
+
+
+def test_long_texts_full_of_detections_take_linear_time(spark):
+    """100,000 detections in one text: a doubled text takes about twice the time, and every detection is there."""
+    def text(n):
+        return "MIT License and GNU Lesser General Public License v2.1 or copyright 2020 " * n
+    def run(n):
+        df = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        r = licenses.digest(df).first()
+        assert (r["n_words"], r["n_base"], r["n_detections"]) == (13 * n, 2 * n, 3 * n)
+    run(50)
+    short, long = _seconds(lambda: run(16_667)), _seconds(lambda: run(33_334))
+    assert long < 60 and long < 3.5 * short
+
+
+def test_detections_in_a_long_text_equal_plain_python(spark):
+    rng = np.random.default_rng(5)
+    pieces = ["mit license", "licensed under the apache license version 2 0", "gnu general public license v3", "creative commons", "see the license file",
+              "copyright c 2019 2020", "all rights reserved", "words", "of no meaning", "spdx license identifier mit or later"]
+    text = " ".join(rng.choice(pieces, 400))
+    got = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["kept"]
+    assert sorted(tuple(d) for d in got) == plain_detections(text)
+
+
+def test_a_long_text_full_of_shared_lines_takes_linear_time(spark):
+    def run(n):
+        rows = [(i, "\n".join(f"line {j}" if j % 4 else f"own {i} {j}" for j in range(n)), f"s{i}") for i in range(11)]
+        got = {r["doc_id"]: r for r in lines.clean(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()}
+        shared = n - (n + 3) // 4
+        assert all((r["n_lines"], r["n_removed"]) == (n, shared) for r in got.values())
+        assert got[3]["text"] == "\n".join(f"own 3 {j}" for j in range(0, n, 4))
+    run(100)
+    short, long = _seconds(lambda: run(50_000)), _seconds(lambda: run(100_000))
+    assert long < 90 and long < 3.5 * short
