@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .store import drop_table, ship, write_table
+from .store import drop_table, ship, shuffle_partitions, write_table
 
 SAMPLE = 20_000            # entries that fit the codebooks, at most
 CENTROIDS = 128            # of a half, at most
@@ -308,7 +308,8 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, block_rows: int = BL
             seen = [sorted({first[i] + p for i in np.flatnonzero(row) for p in range(parts[i])}) for row in reach]
             yield pdf.assign(stop=stop, blocks=seen)
 
-    questions = asked.dropDuplicates(["a", "b"]).select("a", "b", "embedding").mapInPandas(
+    # few bytes but much work a row: spread over as many tasks as a shuffle has
+    questions = asked.dropDuplicates(["a", "b"]).select("a", "b", "embedding").repartition(shuffle_partitions(spark), "a", "b").mapInPandas(
         visit, f"a long, b long, embedding {kind}, stop double, blocks array<long>")
     n_packs = max(1, -(-(n // every) // pack_queries))
 
