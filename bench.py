@@ -4,16 +4,17 @@ local[$BENCH_CPUS]; prints one JSON line.
 The source tables are first derived from the driver's tables and stored
 as parquet in a fresh scratch folder -- the production input layout, one
 dataset per source table (reported as ``source_prep_sec``, not part of
-``value``).  Each headline query then runs on a fresh migration over those
-stored tables, with Spark's cache cleared, and is executed completely
-through the ``noop`` sink.  ``full_reload`` builds all target tables of
-one migration.
+``value``).  Each headline query runs on a fresh migration over those stored
+tables, with Spark's cache cleared, and is executed completely through the
+``noop`` sink: once to warm up, then three times, of which the median counts.
+``full_reload`` builds all target tables of one migration, once.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import tempfile
 import time
@@ -56,10 +57,13 @@ def main() -> None:
     run(registry.QUERIES["agencies"](spark, sf_dir))  # warm-up: JVM, codegen, footers
     times: dict[str, float] = {}
     for name in HEADLINE:
-        fresh()
-        t0 = time.perf_counter()
-        run(registry.QUERIES[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(4):
+            fresh()
+            t0 = time.perf_counter()
+            run(registry.QUERIES[name](spark, sf_dir))
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs[1:]), 3)
     m = fresh()
     t0 = time.perf_counter()
     for df in m.targets().values():
