@@ -6,7 +6,8 @@ as parquet in a fresh scratch folder -- the production input layout, one
 dataset per source table (reported as ``source_prep_sec``, not part of
 ``value``).  Each headline query runs on a fresh migration over those stored
 tables, with Spark's cache cleared, and is executed completely through the
-``noop`` sink: once to warm up, then three times, of which the median counts.
+``noop`` sink: once to warm up, then $BENCH_RUNS times (default 1), of which
+the median counts.
 ``full_reload`` builds all target tables of one migration, once.
 """
 
@@ -56,9 +57,10 @@ def main() -> None:
     fresh()
     run(registry.QUERIES["agencies"](spark, sf_dir))  # warm-up: JVM, codegen, footers
     times: dict[str, float] = {}
+    repeats = int(os.environ.get("BENCH_RUNS", "1"))
     for name in HEADLINE:
         runs = []
-        for _ in range(4):
+        for _ in range(1 + repeats):
             fresh()
             t0 = time.perf_counter()
             run(registry.QUERIES[name](spark, sf_dir))
