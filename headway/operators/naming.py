@@ -110,10 +110,11 @@ def pattern_names(patterns: DataFrame, diff: DataFrame, stops: DataFrame) -> Dat
 
 
 def pattern_names_endpoints(patterns: DataFrame, pattern_stops: DataFrame, src_stops: DataFrame) -> DataFrame:
-    """E5: '<first stop> to <last stop> x<number of stops>'."""
+    """E5: '<first stop> to <last stop> x<number of stops>'; of several stops
+    that share the first or last place the one with the smallest id."""
     ends = pattern_stops.groupBy("pattern_id").agg(
-        F.count(F.lit(1)).alias("number_of_stops"), F.min_by("stop_id", "stop_order").alias("_first_id"),
-        F.max_by("stop_id", "stop_order").alias("_last_id"))
+        F.count(F.lit(1)).alias("number_of_stops"), F.min_by("stop_id", F.struct("stop_order", "stop_id")).alias("_first_id"),
+        F.max_by("stop_id", F.struct(F.col("stop_order"), -F.col("stop_id"))).alias("_last_id"))
     s = src_stops.select("stop_id", "stop_name")
     first = s.select(F.col("stop_id").alias("_first_id"), F.col("stop_name").alias("_first"))
     last = s.select(F.col("stop_id").alias("_last_id"), F.col("stop_name").alias("_last"))

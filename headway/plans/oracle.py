@@ -524,8 +524,8 @@ FINAL: dict[str, str] = {
     "pattern_names_endpoints": """SELECT ends.pattern_id,
  head.stop_name || ' to ' || tail.stop_name || ' x' || CAST(ends.n AS VARCHAR) AS generated_name
  FROM o_ps_summary ends
- JOIN o_pattern_stops f ON f.pattern_id = ends.pattern_id AND f.stop_order = ends.lo
- JOIN o_pattern_stops l ON l.pattern_id = ends.pattern_id AND l.stop_order = ends.hi
+ JOIN (SELECT pattern_id, stop_order, min(stop_id) AS stop_id FROM o_pattern_stops GROUP BY ALL) f ON f.pattern_id = ends.pattern_id AND f.stop_order = ends.lo
+ JOIN (SELECT pattern_id, stop_order, min(stop_id) AS stop_id FROM o_pattern_stops GROUP BY ALL) l ON l.pattern_id = ends.pattern_id AND l.stop_order = ends.hi
  JOIN src_stops head ON head.stop_id = f.stop_id JOIN src_stops tail ON tail.stop_id = l.stop_id""",
     "unordered_agencies": "SELECT * FROM o_unordered",
     "routes_ordered": "SELECT * FROM o_routes_ordered",

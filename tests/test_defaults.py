@@ -90,9 +90,18 @@ def test_retried_time_zone_batch_lands_once(spark, tmp_path):
 
 def test_fare_rule_versions_on_a_path_without_scheme(spark, tmp_path):
     root = str(tmp_path / "rules")
-    for batch in range(4):
-        spark.range(batch + 1).write.parquet(fare_edits.version_path(root, batch))
-    assert fare_edits.latest_version(spark, root, "initial", 2).endswith("v00000001")
-    assert fare_edits.latest_version(spark, root, "initial", 0) == "initial"
-    fare_edits.retire_versions(spark, root, 2)
-    assert sorted(os.listdir(root)) == ["v00000002", "v00000003"]
+    rules = spark.createDataFrame([(i, i % 3, 1, 2, 3, None, 5, True, None) for i in range(6)],
+                                  "fare_rule_id long, fare_id long, route_id long, origin_id long, destination_id long, contains_id long, "
+                                  "agency_id int, is_combinable boolean, last_modified timestamp")
+    store = fare_edits.RuleStore(spark, root, buckets=4)
+    store.create(rules)
+    store.create(rules.limit(1))                                    # there already
+    assert store.versions() == ["v00000000"] and store.read().count() == 6
+    none = spark.createDataFrame([], "seq long, op string, old_fare_id long, old_agency_id int, old_route_id long, old_zone_id_a long, "
+                                 "old_zone_id_b long, old_contains_id long, new_fare_id long, new_agency_id int, new_route_id long, "
+                                 "new_zone_id_a long, new_zone_id_b long, new_contains_id long, new_is_combinable boolean")
+    for batch in (1, 2, 3):
+        assert store.apply(none, batch) == []                       # a batch without edits writes no bucket
+    store.retire(2)
+    assert store.versions() == ["v00000002", "v00000003"] and store.read().count() == 6
+    assert sorted(os.listdir(f"{root}/manifest")) == ["v00000002", "v00000003"]
