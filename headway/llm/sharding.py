@@ -6,9 +6,11 @@ cut into pieces of about that size.  Smaller groups are bundled by their hash
 into coarse and fine bundles, so the packer sees a number of items that depends
 on the shard count and grows only by one bundle per million rows.  Items go, largest
 first, to the shard whose residual capacity vector has the highest dot product
-with the item.  Nothing of the size of the corpus reaches the driver: it sees
-the totals, the groups beyond a 1/64 share (at most 3 * 64 * shards) and one
-row per item.
+with the item.  An item of more than ``ROWS_PER_BUNDLE`` rows is numbered in
+runs of about that many rows, drawn by a hash of the row, whose offsets follow
+from their counts; no task sorts more.  Nothing of the size of the corpus
+reaches the driver: it sees the totals, the groups beyond a 1/64 share (at most
+3 * 64 * shards) and one row per run.
 
 Defined results: null texts have size 16, no tokens and the checksum of the
 empty text; all null and empty texts are one group; repeated rows are kept as
@@ -28,7 +30,7 @@ TOKEN = r"[^\x20\x09-\x0D]+"
 PARTS_PER_SHARD = 64          # a group beyond this share of a shard is an item of its own
 WHOLE_PARTS = 16              # of which a group may have so many before it is cut
 BUNDLES_PER_SHARD = 32        # coarse bundles and as many fine ones
-ROWS_PER_BUNDLE = 1_000_000   # more bundles once a bundle would hold more rows than this
+ROWS_PER_BUNDLE = 1_000_000   # more bundles, and more runs of an item, once they would hold more rows than this
 DIMENSIONS = ("size", "n_tokens", "n_rows")
 WEIGHTS = (8.0, 1.0, 1.0)     # of the dimensions in the dot product; the law is on bytes
 
@@ -59,7 +61,7 @@ def pack(items: np.ndarray, n_shards: int) -> np.ndarray:
     return out
 
 
-def assign(docs: DataFrame, n_shards: int = 40) -> DataFrame:
+def assign(docs: DataFrame, n_shards: int = 40, rows_per_bundle: int = ROWS_PER_BUNDLE) -> DataFrame:
     """``doc_id, size, n_tokens, text_crc32, shard, slot`` for every row."""
     spark = docs.sparkSession
     rows = write_table(sizes(docs), "shard-sizes")
@@ -69,32 +71,36 @@ def assign(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     limit = [max(1.0, (t or 0) / (n_shards * PARTS_PER_SHARD)) for t in total]
     share = F.greatest(*[F.col(c) / F.lit(m) for c, m in zip(DIMENSIONS, limit)])
     # at most 3 * 64 * n_shards groups can exceed a 64th of a shard in one of three dimensions
-    large = groups.where(share > 1).select("g1", "g2", F.ceil(share / WHOLE_PARTS).cast("int").alias("n_pieces")).toPandas()
+    large = groups.where(share > 1).select("g1", "g2", "n_rows", F.ceil(share / WHOLE_PARTS).cast("int").alias("n_pieces")).toPandas()
     large = large.sort_values(["g1", "g2"], ignore_index=True)
-    per_shard = max(BUNDLES_PER_SHARD, (total[2] or 0) // (n_shards * ROWS_PER_BUNDLE))
+    per_shard = max(BUNDLES_PER_SHARD, (total[2] or 0) // (n_shards * rows_per_bundle))
     n_bundles = int(n_shards * per_shard)
     large["base"] = 2 * n_bundles + large["n_pieces"].cumsum() - large["n_pieces"]
-    large = large.astype({"g1": "int64", "g2": "int64", "n_pieces": "int32", "base": "int64"})
-    large = spark.createDataFrame(large, "g1 long, g2 long, n_pieces int, base long")
+    large["n_runs"] = -(-large["n_rows"] // (large["n_pieces"] * rows_per_bundle))
+    large = large[["g1", "g2", "n_pieces", "base", "n_runs"]].astype({"g1": "int64", "g2": "int64", "n_pieces": "int32", "base": "int64", "n_runs": "int32"})
+    large = spark.createDataFrame(large, "g1 long, g2 long, n_pieces int, base long, n_runs int")
 
     bundle = F.pmod(F.shiftrightunsigned("g2", 8), F.lit(n_bundles))
     fine = F.pmod("g2", F.lit(10)) == 0        # a tenth of the groups levels the shards at the end
     unit = F.when(F.col("n_pieces").isNotNull(),
                   F.col("base") + F.pmod(F.xxhash64("row_no"), F.col("n_pieces"))
                   ).otherwise(bundle + F.when(fine, F.lit(n_bundles)).otherwise(F.lit(0)))
-    placed = rows.join(F.broadcast(large), ["g1", "g2"], "left").withColumn("unit", unit.cast("long"))
-    items = placed.groupBy("unit").agg(
+    run = F.coalesce(F.pmod(F.xxhash64("row_no", F.lit(7)), F.col("n_runs")), F.lit(0))
+    placed = rows.join(F.broadcast(large), ["g1", "g2"], "left").withColumn("unit", unit.cast("long")).withColumn("run", run.cast("int"))
+    runs = placed.groupBy("unit", "run").agg(
         F.sum("size").alias("size"), F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_rows")
-    ).toPandas().sort_values("unit", ignore_index=True)
+    ).toPandas().sort_values(["unit", "run"], ignore_index=True)
+    items = runs.groupby("unit", as_index=False)[list(DIMENSIONS)].sum()
     items["shard"] = pack(items[list(DIMENSIONS)].to_numpy(float).reshape(-1, 3), n_shards)
-    items["first_slot"] = items.groupby("shard")["n_rows"].cumsum() - items["n_rows"] if len(items) else []
+    runs = runs.merge(items[["unit", "shard"]], on="unit")
+    runs["first_slot"] = runs.groupby("shard")["n_rows"].cumsum() - runs["n_rows"] if len(runs) else []
     plan = spark.createDataFrame(
-        items[["unit", "shard", "first_slot"]].astype({"unit": "int64", "shard": "int32", "first_slot": "int64"}),
-        "unit long, shard int, first_slot long")
-    in_unit = F.row_number().over(Window.partitionBy("unit").orderBy("g1", "g2", "doc_id", "row_no"))
-    return placed.join(F.broadcast(plan), "unit").select(
+        runs[["unit", "run", "shard", "first_slot"]].astype({"unit": "int64", "run": "int32", "shard": "int32", "first_slot": "int64"}),
+        "unit long, run int, shard int, first_slot long")
+    in_run = F.row_number().over(Window.partitionBy("unit", "run").orderBy("g1", "g2", "doc_id", "row_no"))
+    return placed.join(F.broadcast(plan), ["unit", "run"]).select(
         "doc_id", "size", "n_tokens", "text_crc32", "shard",
-        (F.col("first_slot") + in_unit - 1).cast("long").alias("slot"))
+        (F.col("first_slot") + in_run - 1).cast("long").alias("slot"))
 
 
 def digest(docs: DataFrame, n_shards: int = 40) -> DataFrame:
