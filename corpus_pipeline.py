@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import decontam, jaccard, langid, mixing, sharding
-from headway.llm.store import write_table
+from headway.llm.store import drop_table, write_table
 
 N_SHARDS = 40
 
@@ -51,5 +51,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = write_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = write_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_table(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
