@@ -9,8 +9,9 @@ contained to 80 % lacks at most a fifth of its shingles, so its sketch must hit
 k less that many times: no contained item can be missed, at any size.
 Candidates are verified by their exact containment.
 
-Documents are read once.  Items of up to ``BLOCK_BYTES`` of text are one index,
-which is broadcast.  Beyond that the sketches are a table: documents send their
+Items of up to ``BLOCK_BYTES`` of text are one index, which is broadcast, and
+documents are read once.  Beyond that documents are read three times, however
+many items there are: the sketches are a table, and documents send their
 distinct shingles to it by a join on the shingle, whose items' side is repeated
 ``SALTS`` times so that a shingle of very many documents spreads; pairs with
 enough hits are counted before the candidates' texts are read for verification.
