@@ -18,8 +18,10 @@ def test_offset_plus_minimum_reproduces_arrivals(spark):
     m = migration(spark, SF)
     # rows of each representative trip: relative arrival + trip minimum = absolute arrival
     rep = m.timed_pattern_rows.select("timed_pattern_id", "min_arrival_time", F.explode("rows").alias("r"))
-    wide = m.tpsn.select("timed_pattern_id", "stop_sequence", "arrival_time")
-    j = rep.join(wide, (rep.timed_pattern_id == wide.timed_pattern_id) & (F.col("r.seq") == wide.stop_sequence))
+    wide = m.tpsn.select("timed_pattern_id", "stop_sequence", "stop_id", "arrival_time")
+    # rows may tie on the sequence (D2); the stop tells them apart
+    j = rep.join(wide, (rep.timed_pattern_id == wide.timed_pattern_id) & (F.col("r.seq") == wide.stop_sequence) & (F.col("r.stop_id") == wide.stop_id))
+    assert j.count() == wide.count()
     bad = j.where(F.col("arrival_time") + F.col("min_arrival_time") != F.col("r.arr"))
     assert bad.count() == 0
 

@@ -22,7 +22,7 @@ def executed(df) -> str:
 
 def test_no_exploded_row_is_shuffled(spark):
     """Above the Generate of the wide table no Exchange takes its rows (only broadcast dimensions join it)."""
-    m = migration(spark, SF)
+    m = Migration(spark, SourceCatalog.from_testdata(spark, SF), FIXTURE_CONFIG)      # its own: no test has persisted its wide table
     wide = pat.assemble_tpsn(m.timed_pattern_rows, m.resolved_patterns, m.src)
     plan = wide._jdf.queryExecution().optimizedPlan().toString()
     assert "dense_rank" not in plan and plan.count("Generate explode(rows") == 1
