@@ -230,6 +230,21 @@ def _entries(rows: DataFrame, k: int) -> DataFrame:
             .groupBy("a", "b").agg(F.first("embedding").alias("embedding"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
 
 
+def _sample(entries: DataFrame, n: int, size: int) -> pd.DataFrame:
+    """The ``size`` entries of the smallest hashes.
+
+    The driver merges what the tasks return, each its smallest ``size``: entries beyond the hash that
+    some more than ``size`` are expected below go first.
+    """
+    share = 1.1 * size / n
+    while True:
+        below = entries if share >= 1 else entries.where(F.col("a") < F.lit(int(share * 2.0 ** 64) - 2 ** 63))
+        sample = below.orderBy("a", "b").limit(size).select("embedding").toPandas()
+        if share >= 1 or len(sample) == size:
+            return sample
+        share *= 2
+
+
 def _packed_blocks(coded: DataFrame, index: Index) -> DataFrame:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["i", "j", "a", "b"], kind="stable")
@@ -280,7 +295,7 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, block_rows: int = BL
     n, dim = size["n"], size["dim"]
     if not n:
         return spark.createDataFrame([], schema)
-    sample = entries.orderBy("a", "b").limit(max(k + 2, min(SAMPLE, 32 * BLOCK_BYTES // (8 * dim)))).select("embedding").toPandas()
+    sample = _sample(entries, n, max(k + 2, min(SAMPLE, 32 * BLOCK_BYTES // (8 * dim))))
     index = Index.fitted(matrix(sample["embedding"], dim), n, k)
     want = max(WHOLE, (index.share if share is None else share) * n)
 

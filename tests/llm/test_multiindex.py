@@ -81,3 +81,29 @@ def test_share_is_small_where_vectors_cluster():
     loose = multiindex.Index.fitted(r.normal(size=(4000, 16)), 4000, 5)
     tight = multiindex.Index.fitted(centres[r.integers(0, 100, 4000)] + 0.3 * r.normal(size=(4000, 16)), 4000, 5)
     assert tight.share < loose.share
+
+
+def test_driver_gets_one_sample_however_many_tasks_there_are(spark, monkeypatch):
+    monkeypatch.setattr(multiindex, "SAMPLE", 1000)
+    conf, held = spark.sparkContext._jsc.sc().conf(), {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(r.normal(size=(9600, 16)))], "vec_id long, embedding array<double>")
+    limit = conf.get("spark.driver.maxResultSize", "1g")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")       # a file per task
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        conf.set("spark.driver.maxResultSize", "500k")
+        assert multiindex.search(df, 5, 400).count() == 24 * 5
+    finally:
+        conf.set("spark.driver.maxResultSize", limit)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_sample_is_of_the_smallest_hashes(spark):
+    """Whether or not the cutoff lets enough through at first."""
+    df = spark.createDataFrame([(h, b, [float(b)]) for b, h in enumerate([2**63 - 1, -2**63, 5, 2**62, 2**62 + 1, 2**62, 7, 2**61])],
+                               "a long, b long, embedding array<double>")
+    order = [1.0, 2.0, 6.0, 7.0, 3.0, 5.0, 4.0, 0.0]
+    for size in (1, 2, 5, 7, 8, 20):
+        assert [x[0] for x in multiindex._sample(df, 8, size)["embedding"]] == order[:size]
