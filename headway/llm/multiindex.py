@@ -11,17 +11,19 @@ cells hold a share of all entries.  That share is measured when the index is
 fitted: entries of the sample search the sample by brute force, and the share
 is the one that holds ``RECALL`` of their true neighbours.  (Vectors without any
 structure need a large share, clustered ones little.)  What a query takes along
-is its vector and the summed distance of the last pair; blocks of entries with
-neighbouring first centroids meet packs of queries and rerank the entries of
-the visited cells.  The reranked cosine is exact (correctly rounded sums), and a
-window merges the blocks.
+is its vector and the summed distance of the last pair; shelves, which are blocks of
+entries with neighbouring first centroids, meet the queries that reach them and
+rerank the entries of the visited cells.  A shelf is sent once for each
+``TILE_BYTES`` of its queries, a query once to each shelf that it reaches.  The
+reranked cosine is exact (correctly rounded sums), and a window merges the shelves.
 
 An index of fewer entries than ``WHOLE`` is walked to its end, so the result is
 exact there.
 
 Bounds: the codebooks and the number of entries by pair (at most 128 x 128)
 travel with the tasks; a first centroid with more than ``BLOCK_ROWS`` entries
-is dealt over several blocks; a block holds at most about ``BLOCK_BYTES``.
+is dealt over several blocks; a block holds at most about ``BLOCK_BYTES``, a
+shelf at most ``SHELF_BLOCKS`` of them.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite
 component, and rows without an id, take no part; missing trailing components
@@ -39,6 +41,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -52,6 +56,8 @@ TRIALS = 400               # sample entries that measure the share to be visited
 RECALL = 0.97
 WHOLE = 1000
 BLOCK_ROWS, BLOCK_BYTES = 16_384, 8 << 20
+SHELVES, SHELF_BLOCKS = 48, 8      # blocks stand alone up to that many
+TILE_BYTES = 64 << 20
 PACK_QUERIES = 512
 SALTS = 8
 MARGIN = 1e-9              # of a cosine in floating point
@@ -81,7 +87,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def cosine(a: np.ndarray, b: np.ndarray) -> float:
     """Cosine of two scaled vectors; the sums are correctly rounded, so their order doesn't matter."""
-    return math.fsum(a * b) / (math.sqrt(math.fsum(a * a)) * math.sqrt(math.fsum(b * b)))
+    return math.fsum((a * b).tolist()) / (math.sqrt(math.fsum((a * a).tolist())) * math.sqrt(math.fsum((b * b).tolist())))
 
 
 def distances(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -171,51 +177,87 @@ class Index:
         return _nearest(rows[:, :half], self.first), _nearest(rows[:, half:], self.second)
 
 
-class Block:
-    """Entries of some first centroids, sorted by centroid pair."""
+class Shelf:
+    """Entries of some first centroids, sorted by centroid pair; the list of a first centroid is cut into pieces."""
 
-    def __init__(self, index: Index, r):
-        vectors = np.frombuffer(r.data, np.float64).reshape(-1, index.dim)
-        self.exact, self.rows = scaled(vectors), unit(vectors)
-        self.i, self.j = np.frombuffer(r.i, np.int64), np.frombuffer(r.j, np.int64)
-        self.keys = np.frombuffer(r.keys, np.int64).reshape(-1, 2)
-        self.ids, self.ends = np.frombuffer(r.ids, np.int64), np.frombuffer(r.ends, np.int64)
+    def __init__(self, index: Index, table: pa.Table, piece: int):
+        code = table["i"].to_numpy(), table["j"].to_numpy()
+        self.order = np.lexsort(code[::-1])
+        self.i, self.j = (x[self.order] for x in code)
+        self.vectors = _dense(table["embedding"], index.dim)
+        self.rows = unit(self.vectors[self.order].astype(np.float64))
+        self.keys = np.stack([table["a"].to_numpy(), table["b"].to_numpy()], axis=1)
+        self.ids, lengths = _flat(table["ids"])
+        self.ends = np.cumsum(lengths)
         starts = np.flatnonzero(np.diff(self.i, prepend=-1))
-        self.lists = list(zip(starts, [*starts[1:], len(self.i)]))
+        self.own = self.i[starts]
+        self.lists = [(at, min(at + piece, hi)) for lo, hi in zip(starts, [*starts[1:], len(self.i)]) for at in range(lo, hi, piece)]
 
     def top(self, index: Index, queries: np.ndarray, keys: np.ndarray, stop: np.ndarray, k: int) -> Iterator[tuple]:
         """``a, b, score, vec_id, same`` of each query's k + 1 best rows in the visited cells."""
         exact, rows = scaled(queries), unit(queries)
-        near, far = index.halves(rows)
+        half = index.dim // 2
+        near, far = distances(rows[:, :half], index.first[self.own]), distances(rows[:, half:], index.second)
+        closest = far.min(axis=1)
         floor = np.full(len(rows), -np.inf)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for lo, hi in self.lists:
-            i = self.i[lo]
-            active = np.flatnonzero(near[:, i] + far.min(axis=1) <= stop)
+            i = np.searchsorted(self.own, self.i[lo])
+            active = np.flatnonzero(near[:, i] + closest <= stop)
             if not len(active):
                 continue
             sims = rows[active] @ self.rows[lo:hi].T
-            sims[near[active, i][:, None] + far[np.ix_(active, self.j[lo:hi])] > stop[active, None]] = -np.inf
-            if hi - lo > k:
-                floor[active] = np.maximum(floor[active], np.partition(sims, -(k + 1), axis=1)[:, -(k + 1)])
-            q, e = np.nonzero((sims >= floor[active, None] - MARGIN) & (sims > -np.inf))
-            found.append((active[q], lo + e, sims[q, e]))
+            # only a row with more than k entries from its floor on can raise it
+            rising = np.flatnonzero(np.count_nonzero(sims >= floor[active, None], axis=1) > k)
+            if len(rising):
+                q, visited = active[rising], sims[rising]
+                visited[near[q, i][:, None] + far[np.ix_(q, self.j[lo:hi])] > stop[q, None]] = -np.inf
+                floor[q] = np.maximum(floor[q], np.partition(visited, -(k + 1), axis=1)[:, -(k + 1)])
+            q, e = np.divmod(np.flatnonzero(sims >= floor[active, None] - MARGIN), hi - lo)
+            s, q = sims[q, e], active[q]
+            seen = near[q, i] + far[q, self.j[lo + e]] <= stop[q]
+            found.append((q[seen], lo + e[seen], s[seen]))
         if not found:
             return
         q, e, s = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((-s, q))
+        q, e, s = q[order], self.order[e[order]], s[order]
+        lo, hi = _runs(q)
+        floor[q[lo]] = np.where(hi - lo > k, s[np.minimum(lo + k, hi - 1)], -np.inf)
         keep = s >= floor[q] - MARGIN
         q, e = q[keep], e[keep]
-        order = np.argsort(q, kind="stable")
-        q, e = q[order], e[order]
+        scores = np.concatenate([self.scores(exact[q[at:at + 4096]], e[at:at + 4096]) for at in range(0, len(q), 4096)]) if len(q) else np.zeros(0)
+        same = (self.keys[e] == keys[q]).all(axis=1).tolist()
         for lo, hi in zip(*_runs(q)):
-            own = keys[q[lo]]
+            a, b = keys[q[lo]].tolist()
             best = []
-            for at in e[lo:hi]:
-                score, same = cosine(exact[q[lo]], self.exact[at]), bool((self.keys[at] == own).all())
+            for at, score, own in zip(e[lo:hi].tolist(), scores[lo:hi].tolist(), same[lo:hi]):
                 begin = self.ends[at - 1] if at else 0
-                best.extend((-score, int(x), same) for x in self.ids[begin:self.ends[at]])
-            for score, x, same in heapq.nsmallest(k + 1, best):
-                yield int(own[0]), int(own[1]), -score, x, same
+                best.extend((-score, x, own) for x in self.ids[begin:self.ends[at]].tolist())
+            for score, x, own in heapq.nsmallest(k + 1, best):
+                yield a, b, -score, x, own
+
+    def scores(self, queries: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """``cosine`` of each of the scaled queries and its entry."""
+        return np.array([cosine(a, b) for a, b in zip(queries, scaled(self.vectors[entries].astype(np.float64)))])
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a column of lists, and the lists' lengths."""
+    column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column).to_numpy(zero_copy_only=False)
+
+
+def _dense(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Vectors as rows, padded to one width, in the column's own precision."""
+    values, lengths = _flat(column)
+    if not np.issubdtype(values.dtype, np.floating):
+        values = values.astype(np.float64)
+    if (lengths == dim).all():
+        return values.reshape(-1, dim)
+    out = np.zeros((len(lengths), dim), values.dtype)
+    out[np.arange(dim) < lengths[:, None]] = values
+    return out
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,19 +287,6 @@ def _sample(entries: DataFrame, n: int, size: int) -> pd.DataFrame:
         share *= 2
 
 
-def _packed_blocks(coded: DataFrame, index: Index) -> DataFrame:
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["i", "j", "a", "b"], kind="stable")
-        ids = np.concatenate(list(pdf["ids"]))
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "data": [matrix(pdf["embedding"], index.dim).tobytes()],
-                             "i": [pdf["i"].to_numpy(np.int64).tobytes()], "j": [pdf["j"].to_numpy(np.int64).tobytes()],
-                             "keys": [pdf[["a", "b"]].to_numpy(np.int64).tobytes()], "ids": [ids.astype(np.int64).tobytes()],
-                             "ends": [np.cumsum([len(x) for x in pdf["ids"]]).astype(np.int64).tobytes()]})
-
-    return coded.groupBy("block").applyInPandas(
-        pack, "block long, data binary, i binary, j binary, keys binary, ids binary, ends binary")
-
-
 def _block_plan(held: np.ndarray, block_rows: int) -> tuple[list[int], list[int]]:
     """First block and number of blocks of every first centroid: small ones share a block, large ones are split."""
     first, parts, block, room = [], [], -1, 0
@@ -310,44 +339,48 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, block_rows: int = BL
     counts = np.zeros((len(index.first), len(index.second)), dtype=np.int64)
     for r in coded.groupBy("i", "j").count().collect():                      # a row per centroid pair
         counts[r["i"], r["j"]] = r["count"]
-    first, parts = _block_plan(counts.sum(axis=1), max(1, min(block_rows, BLOCK_BYTES // (8 * dim))))
+    piece = max(1, min(block_rows, BLOCK_BYTES // (8 * dim)))
+    first, parts = _block_plan(counts.sum(axis=1), piece)
+    shelf_blocks = min(SHELF_BLOCKS, -(-(first[-1] + parts[-1]) // SHELVES))
     at = F.col("i").cast("int") + 1
     block = F.element_at(F.array(*map(F.lit, first)), at) + F.pmod(F.col("a"), F.element_at(F.array(*map(F.lit, parts)), at))
-    blocks = _packed_blocks(coded.withColumn("block", block.cast("long")), index)
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             near, far = index.halves(unit(matrix(pdf["embedding"], dim)))
             stop = [walk(a, b, counts, want) for a, b in zip(near, far)]
             reach = near + far.min(axis=1)[:, None] <= np.array(stop)[:, None]
-            seen = [sorted({first[i] + p for i in np.flatnonzero(row) for p in range(parts[i])}) for row in reach]
-            yield pdf.assign(stop=stop, blocks=seen)
-
-    # few bytes but much work a row: spread over as many tasks as a shuffle has
-    questions = asked.dropDuplicates(["a", "b"]).select("a", "b", "embedding").repartition(shuffle_partitions(spark), "a", "b").mapInPandas(
-        visit, f"a long, b long, embedding {kind}, stop double, blocks array<long>")
-    n_packs = max(1, -(-(n // every) // pack_queries))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "q_data": [matrix(pdf["embedding"], dim).tobytes()],
-                             "q_keys": [pdf[["a", "b"]].to_numpy(np.int64).tobytes()], "q_stop": [pdf["stop"].to_numpy(np.float64).tobytes()]})
-
-    packs = (questions.select("a", "b", "embedding", "stop", F.explode("blocks").alias("block"), F.pmod(F.col("a"), F.lit(n_packs)).alias("pack"))
-             .groupBy("block", "pack").applyInPandas(pack, "block long, q_data binary, q_keys binary, q_stop binary"))
-
-    def rerank(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, entries_of = None, None
-        for pdf in frames:
-            for r in pdf.itertuples():
-                if last != r.block:
-                    last, entries_of = r.block, Block(index, r)
-                queries, keys = np.frombuffer(r.q_data, np.float64).reshape(-1, dim), np.frombuffer(r.q_keys, np.int64).reshape(-1, 2)
-                found = entries_of.top(index, queries, keys, np.frombuffer(r.q_stop, np.float64), k)
-                yield pd.DataFrame(found, columns=["a", "b", "score", "vec_id", "same"])
-
-    # a pair of block and pack is a task's unit of work, so pairs spread whatever the blocks
-    pairs = packs.withColumn("part", F.monotonically_increasing_id()).join(blocks, "block").repartition(F.col("block"), F.col("part"))
-    found = pairs.drop("part").mapInPandas(rerank, "a long, b long, score double, vec_id long, same boolean")
+            seen = [sorted({(first[i] + p) // shelf_blocks for i in np.flatnonzero(row) for p in range(parts[i])}) for row in reach]
+            yield pdf.assign(stop=stop, shelves=seen)
+
+    # few bytes but much work a row: spread over as many tasks as a shuffle has (by a key of its own, or the distinct rows stay where they are)
+    questions = write_table(
+        asked.dropDuplicates(["a", "b"]).select("a", "b", "embedding").repartition(shuffle_partitions(spark), F.xxhash64("b", "a")).mapInPandas(
+            visit, f"a long, b long, embedding {kind}, stop double, shelves array<long>"), "multi-index-questions")
+    most = questions.select(F.explode("shelves").alias("shelf")).groupBy("shelf").count().agg(F.max("count").alias("most")).first()["most"] or 0
+    tiles = max(1, -(-most * 8 * dim // TILE_BYTES))
+
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("score", pa.float64()), ("vec_id", pa.int64()), ("same", pa.bool_())])
+
+    def rerank(entries: pa.Table, queries: pa.Table) -> pa.Table:
+        found: list[list] = [[] for _ in out]
+        if len(entries) and len(queries):
+            shelf = Shelf(index, entries, piece)
+            vectors, stop = _dense(queries["embedding"], dim), queries["stop"].to_numpy()
+            keys = np.stack([queries["a"].to_numpy(), queries["b"].to_numpy()], axis=1)
+            for at in range(0, len(stop), pack_queries):
+                pack = slice(at, at + pack_queries)
+                rows = shelf.top(index, vectors[pack].astype(np.float64), keys[pack], stop[pack], k)
+                for column, type_, values in zip(found, out.types, zip(*rows)):
+                    column.append(pa.array(values, type_))
+        return pa.table([pa.chunked_array(x, type_) for x, type_ in zip(found, out.types)], schema=out)
+
+    shelves = coded.select(F.floor(block / shelf_blocks).cast("long").alias("shelf"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"),
+                           "i", "j", "a", "b", "embedding", "ids")
+    callers = questions.select(F.explode("shelves").alias("shelf"), F.pmod(F.xxhash64("b"), F.lit(tiles)).cast("int").alias("tile"),
+                               "a", "b", "embedding", "stop")
+    found = shelves.groupBy("shelf", "tile").cogroup(callers.groupBy("shelf", "tile")).applyInArrow(
+        rerank, "a long, b long, score double, vec_id long, same boolean")
     best = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.desc("score"), "vec_id"))
     top = (found.withColumn("pos", best).where(F.col("pos") <= k + 1)
            .groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("less"), "vec_id", "same"))).alias("top")))
@@ -361,4 +394,5 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, block_rows: int = BL
     result = write_table(ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"),
                                        (-F.col("t.less")).alias("score")), "multi-index-found")
     drop_table(coded)
+    drop_table(questions)
     return result

@@ -107,3 +107,38 @@ def test_sample_is_of_the_smallest_hashes(spark):
     order = [1.0, 2.0, 6.0, 7.0, 3.0, 5.0, 4.0, 0.0]
     for size in (1, 2, 5, 7, 8, 20):
         assert [x[0] for x in multiindex._sample(df, 8, size)["embedding"]] == order[:size]
+
+
+@pytest.mark.parametrize("shelves,tile_bytes", [(1, 1 << 20), (1, 100), (3, 400), (100, 100)])
+def test_shelves_of_several_blocks_and_tiles_of_queries(spark, monkeypatch, shelves, tile_bytes):
+    monkeypatch.setattr(multiindex, "SHELVES", shelves)
+    monkeypatch.setattr(multiindex, "TILE_BYTES", tile_bytes)
+    r = np.random.default_rng(6)
+    rows = [(i, r.normal(size=6 - i % 2).tolist()) for i in range(80)]
+    rows += [(100 + i, rows[3][1]) for i in range(30)] + [(10, rows[3][1]), (20, [2 * x for x in rows[7][1]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert found(multiindex.search(df, 5, 10, 7, 2, share=1.0)) == brute(rows, 5, 10)
+
+
+def _moved(df):
+    """Bytes that the plan of ``df`` sent through shuffles."""
+    df.collect()
+    total, nodes = 0, [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+            continue
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("dataSize").value()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_entries_are_not_sent_once_for_each_pack_of_queries(spark, monkeypatch):
+    moved, write = [], multiindex.write_table
+    monkeypatch.setattr(multiindex, "write_table", lambda df, name: (moved.append(_moved(df)) if name == "multi-index-found" else None) or write(df, name))
+    r = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(r.normal(size=(3000, 16)))], "vec_id long, embedding array<double>")
+    assert multiindex.search(df, 5, 25, pack_queries=2).count() == 120 * 5
+    assert 0 < moved[0] < 4 * 3000 * 16 * 8
